@@ -30,13 +30,20 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
 READERS = {"json": read_json_lines, "csv": read_csv, "parquet": read_parquet}
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the path's own file system, so object stores and HDFS work alike."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def read_if_exists(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
-    """The table, or None when there is none yet.  Spark is asked rather than the
-    local file system, so object stores and HDFS work alike.  Only a missing path
-    (or, without a schema, a folder without data files) counts as absent."""
+    """The table, or None when there is none yet: no such path or, without a schema
+    to read an empty folder by, no data file in it.  Any other failure is raised."""
+    if not path_exists(spark, path):
+        return None
     try:
         return read_parquet(spark, path, schema)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise

@@ -1,7 +1,6 @@
 """Sinks."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def spread_for_write(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
@@ -10,16 +9,12 @@ def spread_for_write(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
 
     A rebalance rather than a plain repartition: a value holding a third of the
     table is cut into pieces of the advisory size, and small values share a task.
+    The cutting needs adaptive execution; a session without it keeps the rows
+    where they are, as one task per hot value would be worse than small files.
+    Works for a micro-batch of a stateless stream too.
     """
-    return df.hint("rebalance", *by)
-
-
-def spread_stream_for_write(df: DataFrame, by: tuple[str, ...], slices: int = 16) -> DataFrame:
-    """The same for a micro-batch, which is planned without runtime statistics:
-    each value is dealt over ``slices`` tasks, in the order the files are read,
-    so that a task run again deals its rows the same way."""
-    slice_no = F.monotonically_increasing_id() % slices
-    return df.withColumn("_slice", slice_no).repartition(*by, "_slice").drop("_slice")
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    return df.hint("rebalance", *by) if adaptive else df
 
 
 def append_parquet(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:

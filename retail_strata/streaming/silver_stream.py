@@ -9,12 +9,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from retail_strata.operators.lineage import stamp_processing
 from retail_strata.plans.tables import CUSTOMERS, Entity, Layers
-from retail_strata.sources.writers import spread_stream_for_write
+from retail_strata.sources.writers import spread_for_write
 
 
 def start_silver_stream(
     spark: SparkSession, layers: Layers, entity: Entity, run_id: str, checkpoint: str,
-    files_per_batch: int | None = None, slices: int = 16,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Refine the bronze files not seen yet, append them to silver, and stop.
 
@@ -31,7 +31,7 @@ def start_silver_stream(
     fresh = reader.parquet(f"{layers.bronze}/{entity.bronze_table}")
     refined = stamp_processing(entity.refine(fresh), run_id)
     return (
-        spread_stream_for_write(refined, entity.silver_partitions, slices)
+        spread_for_write(refined, entity.silver_partitions)
         .writeStream.outputMode("append")
         .partitionBy(*entity.silver_partitions)
         .option("checkpointLocation", checkpoint)
