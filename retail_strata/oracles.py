@@ -42,13 +42,13 @@ _RAW = {
           case when l_orderkey % 97 = 0 then cast(0 as double) else l_extendedprice end as total_amount,
           ' ' || o_orderstatus || ' ' as status,
           case when l_orderkey % 101 = 0 then 'not a date'
-               else strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') end as order_date
+               else cast(o_orderdate as varchar) end as order_date
         from lineitem join orders on l_orderkey = o_orderkey""",
     "payments_raw": """
         select cast(o_orderkey as varchar) as payment_id,
           case when o_orderkey % 89 = 0 then null
-               else strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') end as payment_date,
-          strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as created_at,
+               else cast(o_orderdate as varchar) end as payment_date,
+          cast(o_orderdate as varchar) as created_at,
           case when o_orderkey % 83 = 0 then cast(-5 as double) else o_totalprice end as amount,
           ' ' || o_orderpriority as payment_method, o_orderstatus as status,
           cast(1 + o_orderkey % 12 as integer) as total_installments

@@ -69,8 +69,8 @@ def products_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _day_text(column: str) -> Column:
-    return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+def _moment_text(column: str) -> Column:
+    return F.col(column).cast("string")
 
 
 def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -84,7 +84,7 @@ def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("quantity"),
         F.when(_every("l_orderkey", 97), 0.0).otherwise(F.col("l_extendedprice")).alias("total_amount"),
         _text(" ", F.col("o_orderstatus"), " ").alias("status"),
-        F.when(_every("l_orderkey", 101), "not a date").otherwise(_day_text("o_orderdate")).alias("order_date"),
+        F.when(_every("l_orderkey", 101), "not a date").otherwise(_moment_text("o_orderdate")).alias("order_date"),
     )
 
 
@@ -92,8 +92,8 @@ def payments_raw(spark: SparkSession, folder: str) -> DataFrame:
     """One payment per order."""
     return star_table(spark, folder, "orders").select(
         F.col("o_orderkey").cast("string").alias("payment_id"),
-        F.when(_every("o_orderkey", 89), F.lit(None)).otherwise(_day_text("o_orderdate")).alias("payment_date"),
-        _day_text("o_orderdate").alias("created_at"),
+        F.when(_every("o_orderkey", 89), F.lit(None)).otherwise(_moment_text("o_orderdate")).alias("payment_date"),
+        _moment_text("o_orderdate").alias("created_at"),
         F.when(_every("o_orderkey", 83), -5.0).otherwise(F.col("o_totalprice")).alias("amount"),
         _text(" ", F.col("o_orderpriority")).alias("payment_method"),
         F.col("o_orderstatus").alias("status"),
