@@ -74,17 +74,24 @@ def _moment_text(column: str) -> Column:
 
 
 def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """One sale per line item."""
-    lines = star_table(spark, folder, "lineitem")
-    orders = star_table(spark, folder, "orders")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        _text(F.col("l_orderkey"), "-", F.col("l_linenumber")).alias("order_id"),
+    """One sale per line item.  Each side is shaped before the join, so that the
+    order's texts are made once per order."""
+    order_date = F.when(_every("o_orderkey", 101), "not a date").otherwise(_moment_text("o_orderdate"))
+    orders = star_table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").cast("string").alias("customer_id"),
+        _text(" ", F.col("o_orderstatus"), " ").alias("status"),
+        order_date.alias("order_date"),
+    )
+    lines = star_table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        _text(F.col("l_orderkey"), "-", F.col("l_linenumber")).alias("order_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
         F.when(_every("l_orderkey", 97), 0.0).otherwise(F.col("l_extendedprice")).alias("total_amount"),
-        _text(" ", F.col("o_orderstatus"), " ").alias("status"),
-        F.when(_every("l_orderkey", 101), "not a date").otherwise(_moment_text("o_orderdate")).alias("order_date"),
+    )
+    return lines.join(orders, "l_orderkey").select(
+        "order_id", "customer_id", "product_id", "quantity", "total_amount", "status", "order_date"
     )
 
 

@@ -16,20 +16,22 @@ def refine_entity(
     """Refine the bronze rows newer than silver's mark; None when there are none.
 
     If every new row is rejected, silver and its mark stay as they are and the
-    next run reads the same rows again.  The rows are counted while they are
-    written; ``read`` is for monitoring, as it sits below the shuffles.
+    next run reads the same rows again.  Counting the new rows reads the stamp
+    column alone, or only file footers on a first run; both the count and the
+    refinement see the files listed when bronze was opened.
     """
     path = f"{layers.silver}/{entity.silver_table}"
     mark = high_water_mark(read_if_exists(spark, path, entity.silver_schema))
     bronze = read_parquet(spark, f"{layers.bronze}/{entity.bronze_table}", entity.bronze_schema)
     fresh = newer_than(bronze, mark)
-    if fresh.isEmpty():
+    read = fresh.count()
+    if read == 0:
         return None
-    read, written = Observation(f"{entity.name} read"), Observation(f"{entity.name} written")
-    refined = stamp_processing(entity.refine(count_rows(fresh, read)), run_id, stamp)
-    laid_out = spread_for_write(refined, entity.silver_partitions)
-    append_parquet(count_rows(laid_out, written), path, by=entity.silver_partitions)
-    rows = {"read": read.get["rows"], "written": written.get["rows"]}
+    refined = stamp_processing(entity.refine(fresh), run_id, stamp)
+    written = Observation(f"{entity.name} written")
+    laid_out = count_rows(spread_for_write(refined, entity.silver_partitions), written)
+    append_parquet(laid_out, path, by=entity.silver_partitions)
+    rows = {"read": read, "written": written.get["rows"]}
     return StageResult(entity.silver_table, path, rows)
 
 
