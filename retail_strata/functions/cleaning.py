@@ -4,31 +4,33 @@ The ``try_`` forms give null for a value that does not parse, whether the
 session runs in ANSI mode or not, so one bad row never fails a job.
 """
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def trimmed(column: str) -> str:
+    """Without outer spaces; tabs and line ends stay."""
+    return f"trim({column})"
 
-def lowered(column: str) -> Column:
-    return F.lower(F.trim(column))
 
+def lowered(column: str) -> str:
+    return f"lower(trim({column}))"
 
-def uppered(column: str) -> Column:
-    return F.upper(F.trim(column))
 
+def uppered(column: str) -> str:
+    return f"upper(trim({column}))"
 
-def digits(column: str) -> Column:
+
+def digits(column: str) -> str:
     """Only the digits; a value without any becomes the empty string, not null."""
-    return F.regexp_replace(column, "[^0-9]", "")
+    return f"regexp_replace({column}, '[^0-9]', '')"
 
 
-def instant(column: str) -> Column:
-    return F.try_to_timestamp(F.col(column))
+def instant(column: str) -> str:
+    return f"try_to_timestamp({column})"
 
 
-def day(column: str) -> Column:
-    return F.col(column).try_cast("date")
+def day(column: str) -> str:
+    return f"try_cast({column} AS date)"
 
 
-def money(column: str) -> Column:
+def money(column: str) -> str:
     """decimal(10,2), rounded half up; null when the value does not fit."""
-    return F.col(column).try_cast("decimal(10,2)")
+    return f"try_cast({column} AS decimal(10,2))"

@@ -5,23 +5,20 @@ retry, and any SQL engine can compute them.  All intermediate products stay
 inside bigint for every row number.
 """
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 PRIME = 2147483647
 
 
-def draw(row: Column, stream: int) -> Column:
+def draw(row: str, stream: int) -> str:
     """A value in 0 .. PRIME-1 for this row; ``stream`` selects an independent series."""
-    spread = ((row + 1) % PRIME * 48271 + stream * 7919) % PRIME
-    return spread * (spread % 65521 + stream + 1) % PRIME
+    spread = f"((({row} + 1) % {PRIME}L * 48271L + {stream * 7919}L) % {PRIME}L)"
+    return f"({spread} * ({spread} % 65521L + {stream + 1}L) % {PRIME}L)"
 
 
-def pick(row: Column, stream: int, size: int | Column) -> Column:
+def pick(row: str, stream: int, size: int) -> str:
     """A value in 0 .. size-1, for sizes up to PRIME."""
-    return draw(row, stream) % size
+    return f"({draw(row, stream)} % {size}L)"
 
 
-def pick_row(row: Column, stream: int, size: Column) -> Column:
+def pick_row(row: str, stream: int, size: int) -> str:
     """A value in 0 .. size-1 for tables of any length: two draws make one wide one."""
-    return (draw(row, stream) * PRIME + draw(row, stream + 1)) % size
+    return f"(({draw(row, stream)} * {PRIME}L + {draw(row, stream + 1)}) % {size}L)"

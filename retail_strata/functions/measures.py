@@ -1,14 +1,7 @@
 """Aggregate expressions of the gold tables."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def mean(column: str) -> Column:
+def mean(column: str) -> str:
     """Average to two decimals.  For decimal(10,2) input Spark averages to six
     decimals half up and then rounds half up again."""
-    return F.round(F.avg(column), 2)
-
-
-def named(**measures: Column) -> list[Column]:
-    return [measure.alias(name) for name, measure in measures.items()]
+    return f"round(avg({column}), 2)"

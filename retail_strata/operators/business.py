@@ -7,7 +7,8 @@ status or payment method costs one row per map task.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_strata.functions.measures import mean, named
+from retail_strata.functions import named
+from retail_strata.functions.measures import mean
 from retail_strata.operators.hot_keys import SLICE, find_hot_keys, left_join_unique
 
 
@@ -16,24 +17,24 @@ def sales_summary(sales: DataFrame) -> DataFrame:
     distinct count is spread by customer before it is added up per month."""
     keys = ["order_year", "order_month", "status"]
     measures = named(
-        total_orders=F.count("order_id"),
-        unique_customers=F.count_distinct("customer_id"),
-        total_revenue=F.sum("total_amount"),
-        total_quantity=F.sum("quantity"),
+        total_orders="count(order_id)",
+        unique_customers="count(DISTINCT customer_id)",
+        total_revenue="sum(total_amount)",
+        total_quantity="sum(quantity)",
         avg_order_value=mean("total_amount"),
-        max_order_value=F.max("total_amount"),
-        min_order_value=F.min("total_amount"),
+        max_order_value="max(total_amount)",
+        min_order_value="min(total_amount)",
     )
     return sales.groupBy(keys).agg(*measures).sort(keys)
 
 
 def spending_per_customer(sales: DataFrame) -> DataFrame:
     return sales.groupBy("customer_id").agg(*named(
-        total_orders=F.count("order_id"),
-        total_spent=F.sum("total_amount"),
+        total_orders="count(order_id)",
+        total_spent="sum(total_amount)",
         avg_order_value=mean("total_amount"),
-        last_order_date=F.max("order_date"),
-        first_order_date=F.min("order_date"),
+        last_order_date="max(order_date)",
+        first_order_date="min(order_date)",
     ))
 
 
@@ -49,9 +50,9 @@ def customer_metrics(customers: DataFrame, sales: DataFrame) -> DataFrame:
 
 def turnover_per_product(sales: DataFrame) -> DataFrame:
     return sales.groupBy("product_id").agg(*named(
-        total_orders=F.count("order_id"),
-        total_quantity_sold=F.sum("quantity"),
-        total_revenue=F.sum("total_amount"),
+        total_orders="count(order_id)",
+        total_quantity_sold="sum(quantity)",
+        total_revenue="sum(total_amount)",
         avg_sale_value=mean("total_amount"),
     ))
 
@@ -79,8 +80,8 @@ def payment_analysis(payments: DataFrame) -> DataFrame:
     """Payments per method and status, in that order."""
     keys = ["payment_method", "status"]
     measures = named(
-        total_transactions=F.count("payment_id"),
-        total_amount=F.sum("amount"),
+        total_transactions="count(payment_id)",
+        total_amount="sum(amount)",
         avg_transaction_value=mean("amount"),
         avg_installments=mean("total_installments"),
     )

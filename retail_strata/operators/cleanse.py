@@ -4,21 +4,21 @@ Checks are positive filters, so a null in any of them rejects the row.
 """
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from retail_strata.functions.cleaning import day, digits, instant, lowered, money, uppered
+from retail_strata.functions import columns
+from retail_strata.functions.cleaning import day, digits, instant, lowered, money, trimmed, uppered
 from retail_strata.operators.latest import latest_per_key
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
-    return raw.withColumns({
-        "name": F.trim("name"),
-        "email": lowered("email"),
+    return raw.withColumns(columns(
+        name=trimmed("name"),
+        email=lowered("email"),
         **{number: digits(number) for number in ("phone", "cpf")},
-        "state": uppered("state"),
-        "birth_date": day("birth_date"),
+        state=uppered("state"),
+        birth_date=day("birth_date"),
         **{moment: instant(moment) for moment in ("created_at", "updated_at")},
-    })
+    ))
 
 
 def latest_customers(customers: DataFrame) -> DataFrame:
@@ -35,35 +35,27 @@ def refine_customers(raw: DataFrame) -> DataFrame:
 
 
 def refine_products(raw: DataFrame) -> DataFrame:
-    typed = raw.withColumns({
-        "product_name": F.trim("product_name"),
-        "category": F.trim("category"),
-        "price": money("price"),
-    })
+    typed = raw.withColumns(columns(
+        product_name=trimmed("product_name"), category=trimmed("category"), price=money("price"),
+    ))
     sellable = typed.filter("price > 0 AND stock_quantity >= 0 AND product_name IS NOT NULL")
-    in_stock = F.col("stock_quantity") > 0
-    return sellable.withColumn("is_available", F.when(in_stock, True).otherwise(False))
+    return sellable.withColumns(columns(
+        is_available="CASE WHEN stock_quantity > 0 THEN true ELSE false END",
+    ))
 
 
 def refine_sales(raw: DataFrame) -> DataFrame:
-    typed = raw.withColumns({
-        "order_date": instant("order_date"),
-        "total_amount": money("total_amount"),
-        "status": lowered("status"),
-    })
-    dated = typed.withColumns({
-        "order_year": F.year("order_date"),
-        "order_month": F.month("order_date"),
-    })
+    typed = raw.withColumns(columns(
+        order_date=instant("order_date"), total_amount=money("total_amount"), status=lowered("status"),
+    ))
+    dated = typed.withColumns(columns(order_year="year(order_date)", order_month="month(order_date)"))
     return dated.filter("total_amount > 0 AND quantity > 0 AND order_date IS NOT NULL")
 
 
 def refine_payments(raw: DataFrame) -> DataFrame:
-    typed = raw.withColumns({
-        "payment_date": instant("payment_date"),
-        "created_at": instant("created_at"),
-        "amount": money("amount"),
-        "payment_method": lowered("payment_method"),
-        "status": lowered("status"),
-    })
+    typed = raw.withColumns(columns(
+        **{moment: instant(moment) for moment in ("payment_date", "created_at")},
+        amount=money("amount"),
+        **{label: lowered(label) for label in ("payment_method", "status")},
+    ))
     return typed.filter("amount > 0 AND payment_date IS NOT NULL")

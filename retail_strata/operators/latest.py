@@ -1,18 +1,21 @@
 """Latest row per key."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retail_strata.functions import quoted
+
 
 def latest_per_key(df: DataFrame, keys: list[str], newest_by: list[str]) -> DataFrame:
     """Keep the one row per key that is largest by ``newest_by``, nulls last.
 
     Rows that tie there are compared on all their other columns, so the survivor
-    never depends on how the data is distributed.  ``row_number() == 1`` lets Spark
+    never depends on how the data is distributed.  ``row_number() = 1`` lets Spark
     keep one row per key in every map task before the shuffle: a key with a third
     of all rows sends one row per task, not all of them.
     """
     ties = [c for c in df.columns if c not in keys and c not in newest_by]
-    order = [F.col(c).desc_nulls_last() for c in [*newest_by, *ties]]
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    group = ", ".join(map(quoted, keys))
+    order = ", ".join(f"{quoted(c)} DESC NULLS LAST" for c in [*newest_by, *ties])
+    place = F.expr(f"row_number() OVER (PARTITION BY {group} ORDER BY {order})")
     return df.withColumn("_place", place).filter("_place = 1").drop("_place")

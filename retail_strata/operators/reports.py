@@ -3,7 +3,8 @@
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from retail_strata.functions import named, quoted
 
 
 def _stack(parts: list[DataFrame]) -> DataFrame:
@@ -13,17 +14,14 @@ def _stack(parts: list[DataFrame]) -> DataFrame:
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table; Parquet answers the count from its footers."""
     return _stack([
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in tables.items()
+        df.agg(*named(table_name=f"'{name}'", row_count="count(1)")) for name, df in tables.items()
     ])
 
 
 def ingestion_report(tables: dict[str, DataFrame], run_column: str = "ingestion_id") -> DataFrame:
     """Rows and number of ingestion runs per table."""
+    runs = f"count(DISTINCT {quoted(run_column)})"
     return _stack([
-        df.agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.count_distinct(run_column).alias("ingestions"),
-        ).select(F.lit(name).alias("table_name"), "row_count", "ingestions")
+        df.agg(*named(table_name=f"'{name}'", row_count="count(1)", ingestions=runs))
         for name, df in tables.items()
     ])

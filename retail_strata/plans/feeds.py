@@ -5,9 +5,9 @@ keys 0 .. n-1 of an existing table) and a reference day that all dates count
 back from, so nothing depends on the clock.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from retail_strata.functions import named
 from retail_strata.functions.draws import draw, pick, pick_row
 from retail_strata.plans.tables import Layers
 from retail_strata.sources.writers import write_csv, write_json_lines
@@ -22,30 +22,26 @@ STATES = ["SP", "RJ", "MG", "RS", "BA", "PR", "PE", "CE"]
 DAY_SECONDS = 86400
 
 
-def _one_of(values: list, position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (position + 1).cast("int"))
+def _one_of(values: list[str], position: str) -> str:
+    listed = ", ".join(f"'{value}'" for value in values)
+    return f"element_at(array({listed}), int({position}) + 1)"
 
 
-def _padded(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+def _padded(number: str, width: int) -> str:
+    return f"lpad(string({number}), {width}, '0')"
 
 
-def _before(day: str, seconds: Column) -> Column:
+def _before(day: str, seconds: str) -> str:
     """Text of the instant ``seconds`` before midnight of ``day``, free of time zones."""
-    midnight = F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
-    moment = midnight - F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
-    return F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
+    return f"string(timestamp_ntz'{day} 00:00:00' - make_dt_interval(0, 0, 0, {seconds}))"
 
 
-def _source(customer_row: Column) -> Column:
+def _source(customer_row: str) -> str:
     """The row whose attributes this customer row has: its own, or for a repeat
     those of the row before, which may be a repeat itself."""
-    place = customer_row % 400
-    return (
-        F.when(place.isin(18, 19), customer_row - place + 17)
-        .when(customer_row % 20 == 19, customer_row - 1)
-        .otherwise(customer_row)
-    )
+    return f"""CASE WHEN {customer_row} % 400 IN (18, 19) THEN {customer_row} - {customer_row} % 400 + 17
+                    WHEN {customer_row} % 20 = 19 THEN {customer_row} - 1
+                    ELSE {customer_row} END"""
 
 
 def feed_customers(ids: DataFrame, day: str = "2024-07-01") -> DataFrame:
@@ -53,56 +49,46 @@ def feed_customers(ids: DataFrame, day: str = "2024-07-01") -> DataFrame:
 
     Which rows repeat follows from the row number alone.
     """
-    row, src = F.col("id"), F.col("src")
-    age = pick(src, 1, 63) + 18
-    born = F.date_sub(F.lit(day).cast("date"), (age * 365 + pick(src, 2, 365)).cast("int"))
-    created = pick(src, 3, 2 * 365 * DAY_SECONDS)
-    updated = draw(src, 4) % (created + 1)
-    return ids.select(row, _source(row).alias("src")).select(
-        F.concat(F.lit("C"), _padded(src, 12)).alias("customer_id"),
-        F.concat(F.lit("Cliente "), src.cast("string")).alias("name"),
-        F.concat(F.lit("cliente"), row.cast("string"), F.lit("@example.com")).alias("email"),
-        F.concat(F.lit("+55 (11) 9"), _padded(pick(src, 5, 100000000), 8)).alias("phone"),
-        F.concat(
-            _padded(pick(src, 6, 1000), 3), F.lit("."), _padded(pick(src, 7, 1000), 3), F.lit("."),
-            _padded(pick(src, 8, 1000), 3), F.lit("-"), _padded(pick(src, 9, 100), 2),
-        ).alias("cpf"),
-        F.date_format(born, "yyyy-MM-dd").alias("birth_date"),
-        age.alias("age"),
-        _one_of(["M", "F", "Other"], pick(src, 10, 3)).alias("gender"),
-        F.concat(F.lit("Rua "), (pick(src, 11, 900) + 1).cast("string")).alias("address"),
-        F.concat(F.lit("Cidade "), (pick(src, 12, 300) + 1).cast("string")).alias("city"),
-        _one_of(STATES, pick(src, 13, len(STATES))).alias("state"),
-        F.concat(_padded(pick(src, 14, 100000), 5), F.lit("-000")).alias("zip_code"),
-        _before(day, created).alias("created_at"),
-        _before(day, updated).alias("updated_at"),
-        (pick(src, 15, 4) < 3).alias("is_active"),
-    )
-
-
-def _price(row: Column) -> Column:
+    cpf = [_padded(pick("src", 6 + part, 1000), 3) for part in range(3)]
+    created = pick("src", 3, 2 * 365 * DAY_SECONDS)
+    return ids.selectExpr("id", f"{_source('id')} AS src").select(named(
+        customer_id=f"concat('C', {_padded('src', 12)})",
+        name="concat('Cliente ', src)",
+        email="concat('cliente', id, '@example.com')",
+        phone=f"concat('+55 (11) 9', {_padded(pick('src', 5, 100000000), 8)})",
+        cpf=f"concat({cpf[0]}, '.', {cpf[1]}, '.', {cpf[2]}, '-', {_padded(pick('src', 9, 100), 2)})",
+        birth_date=f"string(date_sub(date'{day}', int(({pick('src', 1, 63)} + 18) * 365 + {pick('src', 2, 365)})))",
+        age=f"{pick('src', 1, 63)} + 18",
+        gender=_one_of(["M", "F", "Other"], pick("src", 10, 3)),
+        address=f"concat('Rua ', {pick('src', 11, 900)} + 1)",
+        city=f"concat('Cidade ', {pick('src', 12, 300)} + 1)",
+        state=_one_of(STATES, pick("src", 13, len(STATES))),
+        zip_code=f"concat({_padded(pick('src', 14, 100000), 5)}, '-000')",
+        created_at=_before(day, created),
+        updated_at=_before(day, f"{draw('src', 4)} % ({created} + 1)"),
+        is_active=f"{pick('src', 15, 4)} < 3",
+    ))
+
+
+def _price(row: str) -> str:
     """A price within the range of the row's category, drawn in whole cents."""
     cents = [
-        pick(row, 22, (high - low) * 100 + 1) + low * 100 for _, low, high in CATALOGUE.values()
+        f"{pick(row, 22, (high - low) * 100 + 1)} + {low * 100}" for _, low, high in CATALOGUE.values()
     ]
-    return F.element_at(F.array(*cents), (pick(row, 20, len(cents)) + 1).cast("int")) / 100
+    return f"element_at(array({', '.join(cents)}), int({pick(row, 20, len(cents))}) + 1) / 100D"
 
 
 def feed_products(ids: DataFrame, day: str = "2024-07-01") -> DataFrame:
-    row = F.col("id")
-    category = pick(row, 20, len(CATALOGUE))
-    kinds = F.array(*[F.array(*map(F.lit, kinds)) for kinds, _, _ in CATALOGUE.values()])
-    kind = F.element_at(
-        F.element_at(kinds, (category + 1).cast("int")), (pick(row, 21, 3) + 1).cast("int")
-    )
-    return ids.select(
-        F.concat(F.lit("P"), _padded(row, 12)).alias("product_id"),
-        F.concat(kind, F.lit(" Empresa "), row.cast("string")).alias("product_name"),
-        _one_of(list(CATALOGUE), category).alias("category"),
-        _price(row).alias("price"),
-        pick(row, 23, 501).cast("int").alias("stock_quantity"),
-        _before(day, pick(row, 24, 365 * DAY_SECONDS)).alias("created_at"),
-    )
+    category = pick("id", 20, len(CATALOGUE))
+    kinds = [_one_of(kinds, pick("id", 21, len(kinds))) for kinds, _, _ in CATALOGUE.values()]
+    return ids.select(named(
+        product_id=f"concat('P', {_padded('id', 12)})",
+        product_name=f"concat(element_at(array({', '.join(kinds)}), int({category}) + 1), ' Empresa ', id)",
+        category=_one_of(list(CATALOGUE), category),
+        price=_price("id"),
+        stock_quantity=f"int({pick('id', 23, 501)})",
+        created_at=_before(day, pick("id", 24, 365 * DAY_SECONDS)),
+    ))
 
 
 def feed_sales(
@@ -116,24 +102,23 @@ def feed_sales(
     """
     if customer_ids is None or product_ids is None:
         raise ValueError("sales need the customer and the product feed first")
-    n_customers = customer_ids.count()
-    n_products = product_ids.count()
+    n_customers, n_products = customer_ids.count(), product_ids.count()
     if not n_customers or not n_products:
         raise ValueError("sales need at least one customer and one product")
-    row = F.col("id")
-    customer = pick_row(row, 30, F.lit(n_customers))
-    product = pick_row(row, 32, F.lit(n_products))
-    drawn = ids.select(row, customer.alias("customer"), product.alias("product"))
-    quantity = pick(row, 34, 5) + 1
-    return drawn.select(
-        F.concat(F.lit("O"), _padded(row, 14)).alias("order_id"),
-        F.concat(F.lit("C"), _padded(_source(F.col("customer")), 12)).alias("customer_id"),
-        F.concat(F.lit("P"), _padded(F.col("product"), 12)).alias("product_id"),
-        quantity.alias("quantity"),
-        F.round(quantity * _price(F.col("product")), 2).alias("total_amount"),
-        _one_of(["completed", "pending", "cancelled"], pick(row, 35, 3)).alias("status"),
-        _before(day, pick(row, 36, 183 * DAY_SECONDS)).alias("order_date"),
-    )
+    drawn = ids.select("id", *named(
+        customer=pick_row("id", 30, n_customers),
+        product=pick_row("id", 32, n_products),
+        quantity=f"{pick('id', 34, 5)} + 1",
+    ))
+    return drawn.select(named(
+        order_id=f"concat('O', {_padded('id', 14)})",
+        customer_id=f"concat('C', {_padded(_source('customer'), 12)})",
+        product_id=f"concat('P', {_padded('product', 12)})",
+        quantity="quantity",
+        total_amount=f"round(quantity * ({_price('product')}), 2)",
+        status=_one_of(["completed", "pending", "cancelled"], pick("id", 35, 3)),
+        order_date=_before(day, pick("id", 36, 183 * DAY_SECONDS)),
+    ))
 
 
 def write_feeds(

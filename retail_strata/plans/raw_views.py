@@ -5,10 +5,11 @@ Every row of the source tables takes part; the remainders below only choose
 which rows carry a defect or a second version.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from retail_strata.functions import named
 from retail_strata.plans.tables import ENTITIES, Entity, Layers
+from retail_strata.schemas import RAW_SALES
 from retail_strata.sources.writers import overwrite_parquet, write_csv, write_json_lines
 
 
@@ -16,96 +17,76 @@ def star_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _every(column: str, step: int, place: int = 0) -> Column:
-    return F.col(column) % step == place
-
-
-def _text(*parts: str | Column) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
-
 def customers_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Every 20th customer has a second, newer version; every 100th's is invalid."""
-    key, version = F.col("c_custkey"), F.col("version")
-    both, first = F.array(F.lit(0), F.lit(1)), F.array(F.lit(0))
-    nation = star_table(spark, folder, "nation")
-    people = star_table(spark, folder, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    versions = people.withColumn("version", F.explode(F.when(_every("c_custkey", 20), both).otherwise(first)))
-    email = (
-        F.when((version == 1) & _every("c_custkey", 100), "broken")
-        .when(_every("c_custkey", 50, 7), "no-at-sign")
-        .when(_every("c_custkey", 50, 8), F.lit(None))
-        .otherwise(_text(" User", key, ".V", version, "@Example.COM "))
-    )
-    return versions.select(
-        key.cast("string").alias("customer_id"),
-        _text("  ", F.col("c_name"), " ").alias("name"),
-        email.alias("email"),
-        _text("+55 (11) 9", F.lpad(key.cast("string"), 8, "0")).alias("phone"),
-        F.when(_every("c_custkey", 40, 3), F.lit(None))
-        .otherwise(_text(F.lpad(key.cast("string"), 9, "0"), "-00")).alias("cpf"),
-        F.when(_every("c_custkey", 60, 5), "not a date").otherwise("1990-01-15").alias("birth_date"),
-        (key % 63 + 18).alias("age"),
-        F.when(_every("c_custkey", 3), "M").when(_every("c_custkey", 3, 1), "F").otherwise("Other").alias("gender"),
-        _text("Rua ", key).alias("address"),
-        F.col("n_name").alias("city"),
-        _text(" s", F.col("c_nationkey"), " ").alias("state"),
-        F.lpad((key % 100000).cast("string"), 5, "0").alias("zip_code"),
-        F.lit("2023-05-06 07:08:09").alias("created_at"),
-        _text("2024-01-0", version + 1, " 00:00:00").alias("updated_at"),
-        (key % 4 != 0).alias("is_active"),
+    nation = star_table(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+    people = star_table(spark, folder, "customer").join(nation, "c_nationkey")
+    versions = people.selectExpr(
+        "c_custkey AS k", "c_name", "c_nationkey", "n_name",
+        "explode(if(c_custkey % 20 = 0, array(0, 1), array(0))) AS v",
     )
+    return versions.select(named(
+        customer_id="string(k)",
+        name="concat('  ', c_name, ' ')",
+        email="""CASE WHEN v = 1 AND k % 100 = 0 THEN 'broken'
+                      WHEN k % 50 = 7 THEN 'no-at-sign'
+                      WHEN k % 50 <> 8 THEN concat(' User', k, '.V', v, '@Example.COM ') END""",
+        phone="concat('+55 (11) 9', lpad(string(k), 8, '0'))",
+        cpf="CASE WHEN k % 40 <> 3 THEN concat(lpad(string(k), 9, '0'), '-00') END",
+        birth_date="if(k % 60 = 5, 'not a date', '1990-01-15')",
+        age="k % 63 + 18",
+        gender="element_at(array('M', 'F', 'Other'), int(k % 3) + 1)",
+        address="concat('Rua ', k)",
+        city="n_name",
+        state="concat(' s', c_nationkey, ' ')",
+        zip_code="lpad(string(k % 100000), 5, '0')",
+        created_at="'2023-05-06 07:08:09'",
+        updated_at="concat('2024-01-0', v + 1, ' 00:00:00')",
+        is_active="k % 4 <> 0",
+    ))
 
 
 def products_raw(spark: SparkSession, folder: str) -> DataFrame:
-    return star_table(spark, folder, "part").select(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        _text(" ", F.col("p_name"), " ").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.when(_every("p_partkey", 25), -1.0).otherwise(F.col("p_retailprice")).alias("price"),
-        F.when(_every("p_partkey", 30), F.lit(None))
-        .otherwise((F.col("p_partkey") % 11).cast("int") - 1).alias("stock_quantity"),
-        F.lit("2024-02-03 04:05:06").cast("timestamp").alias("created_at"),
-    )
-
-
-def _moment_text(column: str) -> Column:
-    return F.col(column).cast("string")
+    return star_table(spark, folder, "part").select(named(
+        product_id="string(p_partkey)",
+        product_name="concat(' ', p_name, ' ')",
+        category="p_type",
+        price="if(p_partkey % 25 = 0, -1.0D, p_retailprice)",
+        stock_quantity="if(p_partkey % 30 = 0, NULL, int(p_partkey % 11) - 1)",
+        created_at="timestamp('2024-02-03 04:05:06')",
+    ))
 
 
 def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
     """One sale per line item.  Each side is shaped before the join, so that the
     order's texts are made once per order."""
-    order_date = F.when(_every("o_orderkey", 101), "not a date").otherwise(_moment_text("o_orderdate"))
-    orders = star_table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        _text(" ", F.col("o_orderstatus"), " ").alias("status"),
-        order_date.alias("order_date"),
-    )
-    lines = star_table(spark, folder, "lineitem").select(
-        "l_orderkey",
-        _text(F.col("l_orderkey"), "-", F.col("l_linenumber")).alias("order_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.when(_every("l_orderkey", 97), 0.0).otherwise(F.col("l_extendedprice")).alias("total_amount"),
-    )
-    return lines.join(orders, "l_orderkey").select(
-        "order_id", "customer_id", "product_id", "quantity", "total_amount", "status", "order_date"
-    )
+    orders = star_table(spark, folder, "orders").select(named(
+        l_orderkey="o_orderkey",
+        customer_id="string(o_custkey)",
+        status="concat(' ', o_orderstatus, ' ')",
+        order_date="if(o_orderkey % 101 = 0, 'not a date', string(o_orderdate))",
+    ))
+    lines = star_table(spark, folder, "lineitem").select(named(
+        l_orderkey="l_orderkey",
+        order_id="concat(l_orderkey, '-', l_linenumber)",
+        product_id="string(l_partkey)",
+        quantity="bigint(l_quantity)",
+        total_amount="if(l_orderkey % 97 = 0, 0.0D, l_extendedprice)",
+    ))
+    return lines.join(orders, "l_orderkey").select(*RAW_SALES.fieldNames())
 
 
 def payments_raw(spark: SparkSession, folder: str) -> DataFrame:
     """One payment per order."""
-    return star_table(spark, folder, "orders").select(
-        F.col("o_orderkey").cast("string").alias("payment_id"),
-        F.when(_every("o_orderkey", 89), F.lit(None)).otherwise(_moment_text("o_orderdate")).alias("payment_date"),
-        _moment_text("o_orderdate").alias("created_at"),
-        F.when(_every("o_orderkey", 83), -5.0).otherwise(F.col("o_totalprice")).alias("amount"),
-        _text(" ", F.col("o_orderpriority")).alias("payment_method"),
-        F.col("o_orderstatus").alias("status"),
-        (F.col("o_orderkey") % 12 + 1).cast("int").alias("total_installments"),
-    )
+    return star_table(spark, folder, "orders").select(named(
+        payment_id="string(o_orderkey)",
+        payment_date="if(o_orderkey % 89 = 0, NULL, string(o_orderdate))",
+        created_at="string(o_orderdate)",
+        amount="if(o_orderkey % 83 = 0, -5.0D, o_totalprice)",
+        payment_method="concat(' ', o_orderpriority)",
+        status="o_orderstatus",
+        total_installments="int(o_orderkey % 12) + 1",
+    ))
 
 
 RAW_VIEWS = {

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retail_strata import schemas
+from retail_strata.functions import quoted
 from retail_strata.operators import business
 from retail_strata.operators.incremental import high_water_mark, newer_than, newest_stamp
 from retail_strata.operators.latest import latest_per_key
@@ -38,16 +39,12 @@ RUN_STAMPS = ("ingestion_timestamp", "ingestion_date", "processing_timestamp")
 
 def comparable(df: DataFrame) -> DataFrame:
     """Plain types only, and nothing that depends on when the query ran."""
-
-    def plain(field: T.StructField):
-        column = F.col(field.name)
-        if isinstance(field.dataType, T.DecimalType):
-            return column.cast("double").alias(field.name)
-        if isinstance(field.dataType, T.TimestampType):
-            return column.cast("timestamp_ntz").alias(field.name)
-        return column
-
-    return df.select([plain(f) for f in df.schema.fields if f.name not in RUN_STAMPS])
+    plain = {T.DecimalType: "double", T.TimestampType: "timestamp_ntz"}
+    kinds = {f.name: plain.get(type(f.dataType)) for f in df.schema.fields if f.name not in RUN_STAMPS}
+    return df.selectExpr(*[
+        f"CAST({quoted(name)} AS {kind}) AS {quoted(name)}" if kind else quoted(name)
+        for name, kind in kinds.items()
+    ])
 
 
 def _scratch_layers(spark: SparkSession, purpose: str) -> Layers:
