@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from retail_strata.operators.lineage import count_rows, stamp_ingestion
-from retail_strata.plans.tables import ENTITIES, Layers
+from retail_strata.plans.side_by_side import side_by_side
+from retail_strata.plans.tables import ENTITIES, Entity, Layers
 from retail_strata.sources.readers import READERS
 from retail_strata.sources.writers import append_parquet
 
@@ -41,13 +42,14 @@ def ingest_file(
 def ingest_all(
     spark: SparkSession, layers: Layers, run_id: str, stamp: Column | None = None
 ) -> list[StageResult]:
-    """Customers, products, sales and payments, in that order."""
-    return [
-        ingest_file(
+    """Customers, products, sales and payments."""
+
+    def ingest(e: Entity) -> StageResult:
+        return ingest_file(
             spark, layers, e.raw_format, e.raw_file, e.bronze_table, run_id, e.raw_schema, stamp
         )
-        for e in ENTITIES
-    ]
+
+    return side_by_side(spark, ingest, ENTITIES)
 
 
 def read_bronze(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:

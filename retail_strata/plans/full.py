@@ -13,7 +13,7 @@ from retail_strata.plans.bronze import StageResult, ingest_all
 from retail_strata.plans.feeds import write_feeds
 from retail_strata.plans.gold import aggregate_all
 from retail_strata.plans.silver import refine_all
-from retail_strata.plans.tables import ENTITIES, GOLD_TABLES, Layers
+from retail_strata.plans.tables import ENTITIES, GOLD_SCHEMAS, Layers
 from retail_strata.sources.readers import read_if_exists
 
 
@@ -27,7 +27,7 @@ def existing_tables(spark: SparkSession, layers: Layers) -> dict[str, dict[str,
     paths = {
         "bronze": {e.bronze_table: (layers.bronze, e.bronze_schema) for e in ENTITIES},
         "silver": {e.silver_table: (layers.silver, e.silver_schema) for e in ENTITIES},
-        "gold": {table: (layers.gold, None) for table in GOLD_TABLES},
+        "gold": {table: (layers.gold, schema) for table, schema in GOLD_SCHEMAS.items()},
     }
     found = {
         layer: {t: read_if_exists(spark, f"{root}/{t}", schema) for t, (root, schema) in tables.items()}

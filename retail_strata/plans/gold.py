@@ -6,8 +6,9 @@ from retail_strata.operators import business
 from retail_strata.operators.cleanse import latest_customers
 from retail_strata.operators.lineage import count_rows, stamp_processing
 from retail_strata.plans.bronze import StageResult
+from retail_strata.plans.side_by_side import side_by_side
 from retail_strata.plans.silver import read_silver
-from retail_strata.plans.tables import GOLD_TABLES, Layers
+from retail_strata.plans.tables import GOLD_SCHEMAS, Layers
 from retail_strata.sources.writers import overwrite_parquet, spread_for_write
 
 
@@ -25,7 +26,7 @@ def build_gold(
     customers, sales = silver["silver_customers"], silver["silver_sales"]
     if dedup_scope == "table":
         customers = latest_customers(customers)
-    summary, metrics, performance, payments = GOLD_TABLES
+    summary, metrics, performance, payments = GOLD_SCHEMAS
     return {
         summary: (business.sales_summary(sales), ()),
         metrics: (business.customer_metrics(customers, sales), ("state",)),
@@ -41,15 +42,20 @@ def aggregate_all(
 ) -> list[StageResult]:
     """Overwrite the four gold tables.  The partitioned ones are not sorted before
     the write, which would not keep the order; sort when reading."""
-    results = []
-    for table, (frame, by) in build_gold(spark, layers, dedup_scope).items():
+    frames = build_gold(spark, layers, dedup_scope)
+
+    def overwrite(table: str) -> StageResult:
+        frame, by = frames[table]
         path, written = f"{layers.gold}/{table}", Observation(f"{table} written")
-        laid_out = spread_for_write(frame, by) if by else frame
-        stamped = stamp_processing(laid_out, stamp=stamp)
+        stamped = stamp_processing(spread_for_write(frame, by) if by else frame, stamp=stamp)
         overwrite_parquet(count_rows(stamped, written), path, by)
-        results.append(StageResult(table, path, {"written": written.get["rows"]}))
-    return results
+        return StageResult(table, path, {"written": written.get["rows"]})
+
+    return side_by_side(spark, overwrite, frames)
 
 
 def read_gold(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
-    return {table: spark.read.parquet(f"{layers.gold}/{table}") for table in GOLD_TABLES}
+    return {
+        table: spark.read.schema(schema).parquet(f"{layers.gold}/{table}")
+        for table, schema in GOLD_SCHEMAS.items()
+    }

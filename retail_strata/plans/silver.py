@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from retail_strata.operators.incremental import high_water_mark, newer_than
 from retail_strata.operators.lineage import count_rows, stamp_processing
 from retail_strata.plans.bronze import StageResult
+from retail_strata.plans.side_by_side import side_by_side
 from retail_strata.plans.tables import ENTITIES, Entity, Layers
 from retail_strata.sources.readers import read_if_exists, read_parquet
 from retail_strata.sources.writers import append_parquet, spread_for_write
@@ -39,7 +40,11 @@ def refine_all(
     spark: SparkSession, layers: Layers, run_id: str, stamp: Column | None = None
 ) -> list[StageResult]:
     """All four entities; those without new rows are left out of the result."""
-    results = [refine_entity(spark, layers, entity, run_id, stamp) for entity in ENTITIES]
+
+    def refine(entity: Entity) -> StageResult | None:
+        return refine_entity(spark, layers, entity, run_id, stamp)
+
+    results = side_by_side(spark, refine, ENTITIES)
     return [result for result in results if result is not None]
 
 

@@ -66,7 +66,9 @@ PAYMENTS = Entity(
 )
 
 ENTITIES = (CUSTOMERS, PRODUCTS, SALES, PAYMENTS)
-GOLD_TABLES = (
-    "gold_sales_summary", "gold_customer_metrics",
-    "gold_product_performance", "gold_payment_analysis",
-)
+GOLD_SCHEMAS = {
+    "gold_sales_summary": schemas.GOLD_SALES_SUMMARY,
+    "gold_customer_metrics": schemas.GOLD_CUSTOMER_METRICS,
+    "gold_product_performance": schemas.GOLD_PRODUCT_PERFORMANCE,
+    "gold_payment_analysis": schemas.GOLD_PAYMENT_ANALYSIS,
+}

@@ -71,3 +71,24 @@ SILVER_PAYMENTS = _evolve(
     BRONZE_PAYMENTS, PROCESSING_STAMPS,
     payment_date=_STAMP, created_at=_STAMP, amount=MONEY,
 )
+
+_REVENUE, _MEAN = T.DecimalType(20, 2), T.DecimalType(11, 2)
+_GOLD_STAMP = _struct(processing_timestamp=_STAMP)
+
+GOLD_SALES_SUMMARY = _evolve(_struct(
+    order_year=_INT, order_month=_INT, status=_STRING, total_orders=_LONG, unique_customers=_LONG,
+    total_revenue=_REVENUE, total_quantity=_LONG, avg_order_value=_MEAN, max_order_value=MONEY,
+    min_order_value=MONEY,
+), _GOLD_STAMP)
+GOLD_CUSTOMER_METRICS = _evolve(_struct(
+    customer_id=_STRING, name=_STRING, email=_STRING, city=_STRING, state=_STRING, total_orders=_LONG,
+    total_spent=_REVENUE, avg_order_value=_MEAN, last_order_date=_STAMP, first_order_date=_STAMP,
+), _GOLD_STAMP)
+GOLD_PRODUCT_PERFORMANCE = _evolve(_struct(
+    product_id=_STRING, product_name=_STRING, category=_STRING, price=MONEY, stock_quantity=_INT,
+    total_orders=_LONG, total_quantity_sold=_LONG, total_revenue=_REVENUE, avg_sale_value=_MEAN,
+), _GOLD_STAMP)
+GOLD_PAYMENT_ANALYSIS = _evolve(_struct(
+    payment_method=_STRING, status=_STRING, total_transactions=_LONG, total_amount=_REVENUE,
+    avg_transaction_value=_MEAN, avg_installments=_DOUBLE,
+), _GOLD_STAMP)
