@@ -172,13 +172,17 @@ def _labelled(column: str, label: str, body: str) -> str:
     return f"select '{label}' as {column}, * from ({body})"
 
 
-_PLAIN = {"products": "price", "sales": "total_amount", "payments": "amount"}
+# Money as double, days as their midnight.
+_PLAIN = {
+    "customers": "cast(birth_date as timestamp) as birth_date",
+    "products": f"{_double('price')} as price",
+    "sales": f"{_double('total_amount')} as total_amount",
+    "payments": f"{_double('amount')} as amount",
+}
 
 
 def _silver(entity: str) -> str:
-    money = _PLAIN.get(entity)
-    columns = f"* replace ({_double(money)} as {money})" if money else "*"
-    return f"select {columns} from silver_{entity}"
+    return f"select * replace ({_PLAIN[entity]}) from silver_{entity}"
 
 
 def _bronze(entity: str, raw_format: str, run_id: str = "run-1") -> str:
@@ -313,7 +317,7 @@ ORACLES: dict[str, str] = {
     "filter_project": "select c_custkey, c_name, c_acctbal from customer where c_acctbal > 5000",
     "lineage_stamp": """
         select o_orderkey, o_orderstatus, timestamp '2024-05-06 07:08:09' as ingestion_timestamp,
-          'run-1' as ingestion_id, 'orders.parquet' as source_file, date '2024-05-06' as ingestion_date
+          'run-1' as ingestion_id, 'orders.parquet' as source_file, timestamp '2024-05-06 00:00:00' as ingestion_date
         from orders""",
     "high_water_mark": "select max(ts) as mark from events",
     "incremental_filter": "select * from events where ts > timestamp '2024-01-20 00:00:00'",
@@ -325,6 +329,10 @@ ORACLES: dict[str, str] = {
         where place = 1""",
     **{f"silver_{e}": _over(_silver(e)) for e in _ENTITIES},
     **{g: _over(f"select * from {g}") for g in _GOLD},
+    "gold_customer_metrics_two_runs": _over(
+        "select * from gold_customer_metrics union all select * from gold_customer_metrics"
+    ),
+    "gold_customer_metrics_newest": _over("select * from gold_customer_metrics"),
     "stream_silver_products": _over(_two_silver_runs("products", "csv")),
     "stream_silver_sales": _over(_two_silver_runs("sales", "json")),
     "stream_silver_payments": _over(_two_silver_runs("payments", "parquet")),

@@ -7,7 +7,7 @@ from retail_strata.operators.lineage import count_rows, stamp_processing
 from retail_strata.plans.bronze import StageResult
 from retail_strata.plans.side_by_side import side_by_side
 from retail_strata.plans.tables import ENTITIES, Entity, Layers
-from retail_strata.sources.readers import read_if_exists, read_parquet
+from retail_strata.sources.readers import read_if_exists, read_parquet, written_by_stream
 from retail_strata.sources.writers import append_parquet, spread_for_write
 
 
@@ -22,6 +22,8 @@ def refine_entity(
     refinement see the files listed when bronze was opened.
     """
     path = f"{layers.silver}/{entity.silver_table}"
+    if written_by_stream(spark, path):
+        raise ValueError(f"{path} is fed by a stream; go on with the stream")
     mark = high_water_mark(read_if_exists(spark, path, entity.silver_schema))
     bronze = read_parquet(spark, f"{layers.bronze}/{entity.bronze_table}", entity.bronze_schema)
     fresh = newer_than(bronze, mark)

@@ -1,7 +1,7 @@
 """One query per operator, over a folder of star-schema tables.
 
-Results leave out run stamps and give money as double and instants without a
-zone, so that they compare with any SQL engine.  A query that exercises a sink
+Results leave out run stamps and give money as double, instants without a zone
+and days as their midnight, so that they compare with any SQL engine.  A query that exercises a sink
 writes to the shared scratch folder and returns what it reads back.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from retail_strata import schemas
 from retail_strata.functions import quoted
 from retail_strata.operators import business
+from retail_strata.operators.cleanse import latest_customers
 from retail_strata.operators.incremental import high_water_mark, newer_than, newest_stamp
 from retail_strata.operators.latest import latest_per_key
 from retail_strata.operators.lineage import stamp_ingestion
@@ -39,7 +40,7 @@ RUN_STAMPS = ("ingestion_timestamp", "ingestion_date", "processing_timestamp")
 
 def comparable(df: DataFrame) -> DataFrame:
     """Plain types only, and nothing that depends on when the query ran."""
-    plain = {T.DecimalType: "double", T.TimestampType: "timestamp_ntz"}
+    plain = {T.DecimalType: "double", T.TimestampType: "timestamp_ntz", T.DateType: "timestamp_ntz"}
     kinds = {f.name: plain.get(type(f.dataType)) for f in df.schema.fields if f.name not in RUN_STAMPS}
     return df.selectExpr(*[
         f"CAST({quoted(name)} AS {kind}) AS {quoted(name)}" if kind else quoted(name)
@@ -80,6 +81,31 @@ def gold_payment_analysis(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(business.payment_analysis(_refined(PAYMENTS, spark, folder)))
 
 
+def _customers_over_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver customers after the same raw file was ingested and refined twice."""
+    layers = _scratch_layers(spark, "customers-two-runs")
+    raw_views.write_raw_file(spark, folder, layers, CUSTOMERS)
+    for run_id in ("run-1", "run-2"):
+        ingest_file(
+            spark, layers, CUSTOMERS.raw_format, CUSTOMERS.raw_file, CUSTOMERS.bronze_table, run_id,
+            CUSTOMERS.raw_schema,
+        )
+        refine_entity(spark, layers, CUSTOMERS, run_id)
+    return read_parquet(spark, f"{layers.silver}/{CUSTOMERS.silver_table}", CUSTOMERS.silver_schema)
+
+
+def gold_customer_metrics_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Deduplication by batch: one gold row per customer and run."""
+    customers = _customers_over_two_runs(spark, folder)
+    return comparable(business.customer_metrics(customers, _refined(SALES, spark, folder)))
+
+
+def gold_customer_metrics_newest(spark: SparkSession, folder: str) -> DataFrame:
+    """Deduplication by table: one gold row per customer, whatever the runs."""
+    customers = latest_customers(_customers_over_two_runs(spark, folder))
+    return comparable(business.customer_metrics(customers, _refined(SALES, spark, folder)))
+
+
 # Scans and sinks.
 
 
@@ -140,7 +166,8 @@ def lineage_stamp(spark: SparkSession, folder: str) -> DataFrame:
     orders = star_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
     moment = F.lit("2024-05-06 07:08:09").cast("timestamp")
     stamped = stamp_ingestion(orders, "run-1", "orders.parquet", moment)
-    return stamped.withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp_ntz"))
+    plain = {c: F.col(c).cast("timestamp_ntz") for c in ("ingestion_timestamp", "ingestion_date")}
+    return stamped.withColumns(plain)
 
 
 def high_water_mark_of_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -291,6 +318,8 @@ QUERIES: dict[str, Query] = {
     "silver_payments": partial(_silver, PAYMENTS),
     "gold_sales_summary": gold_sales_summary,
     "gold_customer_metrics": gold_customer_metrics,
+    "gold_customer_metrics_two_runs": gold_customer_metrics_two_runs,
+    "gold_customer_metrics_newest": gold_customer_metrics_newest,
     "gold_product_performance": gold_product_performance,
     "gold_payment_analysis": gold_payment_analysis,
     "stream_silver_products": partial(stream_silver, PRODUCTS),

@@ -36,6 +36,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def written_by_stream(spark: SparkSession, path: str) -> bool:
+    """Whether a stream wrote the table.  Readers then see only the files in the
+    stream's own log, so batch appends to such a table would stay invisible."""
+    return path_exists(spark, f"{path}/_spark_metadata")
+
+
 def read_if_exists(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """The table, or None when there is none yet: no such path or, without a schema
     to read an empty folder by, no data file in it.  Any other failure is raised."""

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from retail_strata.operators.lineage import stamp_processing
 from retail_strata.plans.tables import CUSTOMERS, Entity, Layers
+from retail_strata.sources.readers import path_exists, written_by_stream
 from retail_strata.sources.writers import spread_for_write
 
 
@@ -18,13 +19,16 @@ def start_silver_stream(
 ) -> StreamingQuery:
     """Refine the bronze files not seen yet, append them to silver, and stop.
 
-    For products, sales and payments.  Customers need the newest row per key of
+    For products, sales and payments, into a table no batch job writes.  Customers need the newest row per key of
     a whole batch, which a stream does not offer: use the batch job for them.
     ``files_per_batch`` bounds the size of a micro-batch, and so what is lost
     when one has to be run again.
     """
     if entity is CUSTOMERS:
         raise ValueError("customers are deduplicated: use refine_entity")
+    path = f"{layers.silver}/{entity.silver_table}"
+    if path_exists(spark, path) and not written_by_stream(spark, path):
+        raise ValueError(f"{path} holds batch appends, which a stream would hide; use refine_entity")
     reader = spark.readStream.schema(entity.bronze_schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -36,5 +40,5 @@ def start_silver_stream(
         .partitionBy(*entity.silver_partitions)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(f"{layers.silver}/{entity.silver_table}")
+        .start(path)
     )

@@ -13,7 +13,8 @@ from retail_strata.plans.bronze import ingest_all, ingest_file
 from retail_strata.plans.full import bronze_report, existing_tables, layer_report, new_run_id, run_all
 from retail_strata.plans.gold import aggregate_all, build_gold, read_gold
 from retail_strata.plans.silver import read_silver, refine_all, refine_entity
-from retail_strata.plans.tables import CUSTOMERS, PAYMENTS, PRODUCTS, SALES, Layers
+from retail_strata.plans.side_by_side import side_by_side
+from retail_strata.plans.tables import CUSTOMERS, GOLD_SCHEMAS, PAYMENTS, PRODUCTS, SALES, Layers
 from retail_strata.sources import readers, writers
 from retail_strata.sources.scratch import scratch_folder
 from retail_strata.streaming.silver_stream import start_silver_stream
@@ -55,6 +56,9 @@ def test_two_runs_with_nothing_new_then_again_then_an_update(spark, folder):
     metrics = read_gold(spark, layers)["gold_customer_metrics"]
     assert sorted((r.name, r.total_orders) for r in metrics.collect()) == [("Ana", 2), ("Ana B", 2)]
     aggregate_all(spark, layers, dedup_scope="table")
+    for table, schema in GOLD_SCHEMAS.items():
+        written = {f.name: f.dataType for f in spark.read.parquet(f"{layers.gold}/{table}").schema}
+        assert written == {f.name: f.dataType for f in schema}
     metrics = read_gold(spark, layers)["gold_customer_metrics"]
     assert [(r.name, r.total_orders) for r in metrics.collect()] == [("Ana B", 2)]
     with pytest.raises(ValueError):
@@ -202,6 +206,34 @@ def test_stream_takes_each_file_once(spark, folder, entity):
             assert read_silver_table(spark, layers, entity).count() == expected
 
 
+def test_one_silver_table_takes_a_stream_or_batches_not_both(spark, folder):
+    layers = Layers.under(folder)
+    write_raw(spark, layers)
+    ingest_all(spark, layers, "one")
+    start_silver_stream(spark, layers, SALES, "s", f"{folder}/checkpoint").awaitTermination()
+    with pytest.raises(ValueError, match="stream"):
+        refine_entity(spark, layers, SALES, "b")
+    refine_entity(spark, layers, PAYMENTS, "b")
+    with pytest.raises(ValueError, match="batch"):
+        start_silver_stream(spark, layers, PAYMENTS, "s", f"{folder}/other")
+
+
+def test_one_failing_table_lets_the_others_finish(spark):
+    done = []
+
+    def work(item):
+        if item == 2:
+            raise RuntimeError("second")
+        done.append(item)
+        return item * 10
+
+    assert side_by_side(spark, work, [1, 3]) == [10, 30]
+    with pytest.raises(RuntimeError, match="second"):
+        side_by_side(spark, work, [1, 2, 3])
+    assert sorted(done) == [1, 1, 3, 3]
+    assert side_by_side(spark, work, []) == []
+
+
 def test_no_stream_for_customers(spark, folder):
     with pytest.raises(ValueError):
         start_silver_stream(spark, Layers.under(folder), CUSTOMERS, "r", f"{folder}/c")
