@@ -77,6 +77,30 @@ def test_a_batch_that_is_all_rejected_is_read_again(spark, folder):
     assert high_water_mark(silver) is None
 
 
+def test_empty_silver_gives_empty_gold(spark, folder):
+    layers = Layers.under(folder)
+    write_raw(
+        spark, layers, customers=[{"email": None}], products=[{"price": None}], sales=[{"quantity": 0}],
+        payments=[{"amount": 0.0}],
+    )
+    ingest_all(spark, layers, "one")
+    assert [s.rows for s in refine_all(spark, layers, "one")] == [{"read": 1, "written": 0}] * 4
+    assert [s.rows for s in aggregate_all(spark, layers, "table")] == [{"written": 0}] * 4
+    assert set(counts(read_gold(spark, layers)).values()) == {0}
+    write_raw(spark, layers)
+    ingest_all(spark, layers, "two")
+    refine_all(spark, layers, "two")
+    aggregate_all(spark, layers)
+    assert set(counts(read_gold(spark, layers)).values()) == {1}
+
+
+def test_empty_raw_files(spark, folder):
+    layers = Layers.under(folder)
+    write_raw(spark, layers, customers=(), products=(), sales=(), payments=())
+    assert [s.rows for s in ingest_all(spark, layers, "one")] == [{"written": 0}] * 4
+    assert refine_all(spark, layers, "one") == []
+
+
 def test_bronze_stamped_before_silver_ran_is_not_skipped(spark, folder):
     layers = Layers.under(folder)
     write_raw(spark, layers)
