@@ -1,22 +1,31 @@
-"""Ids of the tokenizers library, as little-endian unsigned 32-bit bytes (the byte order
-of every machine Spark runs on)."""
+"""Ids of the tokenizers library, as little-endian unsigned 32-bit bytes.
 
+Texts are worked on some megabytes at a time: all are cut into pre-tokens, the library's
+model sees each distinct one once, and the ids are put together with numpy.  Texts with
+a special token, double white space or letters on which Unicode versions may differ go
+through the whole library.
+"""
+
+import gc
 import os
-from array import array
+import re
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
-from retail_strata.llm.common import space_chunks
+import numpy as np
+import pyarrow as pa
 
-MAX_CACHED = 1_000_000
-LONGEST_CACHED = 40
-TOGETHER = 256
+from retail_strata.llm.token_counts import byte_symbols
 
+TOGETHER = 8_000_000  # characters
+# Fixed value: how byte-level vocabularies cut a text, for texts that are ``SIMPLE``.
+PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s")
+NOT_SIMPLE = re.compile(r"[^\x00-\x1b\x20-ɏ]|[ª²³¹º¼½¾]|\s\s|<\|")
+NOT_SIMPLE_ASCII = re.compile(r"[\x1c-\x1f]|\s\s|<\|")
 
-class ByteTokens:
-    """Encodes texts chunk by chunk.  The library runs once per new chunk; a full memory
-    is emptied, so it never holds much more than ``MAX_CACHED`` short chunks."""
 
+class ByteTokens:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -24,28 +33,58 @@ class ByteTokens:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.symbols = {byte: symbol for symbol, byte in byte_symbols().items()}
 
     def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
         """Ids of each text, without added special tokens, ``end`` appended."""
-        encoded = []
-        for at in range(0, len(texts), TOGETHER):
-            encoded += self._some(texts[at : at + TOGETHER], end)
+        encoded: list[bytes] = [b""] * len(texts)
+        for group in _groups(texts):
+            simple = [i for i in group if _is_simple(texts[i])]
+            gc.disable()  # millions of short-lived strings, and no cycles
+            try:
+                ids_of_simple = self._together([texts[i] for i in simple])
+            finally:
+                gc.enable()
+            for i, ids in zip(simple, ids_of_simple):
+                encoded[i] = ids + end
+            others = sorted(set(group).difference(simple))
+            found = self.library.encode_batch_fast([texts[i] for i in others], add_special_tokens=False)
+            for i, one in zip(others, found):
+                encoded[i] = np.array(one.ids, dtype="<u4").tobytes() + end
         return encoded
 
-    def _some(self, texts: list[str], end: bytes) -> list[bytes]:
-        known = self.known
-        if len(known) > MAX_CACHED:
-            known.clear()
-        cut = [space_chunks(text) for text in texts]
-        new = list(set(chain.from_iterable(cut)).difference(known))
-        for chunk, ids in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            known[chunk] = array("I", ids.ids).tobytes()
-        joined = [b"".join(map(known.__getitem__, chunks)) + end for chunks in cut]
-        for chunk in new:
-            if len(chunk) > LONGEST_CACHED:
-                del known[chunk]
-        return joined
+    def _together(self, texts: list[str]) -> list[bytes]:
+        cut = [PRE_TOKENS.findall(text) for text in texts]
+        words = pa.array(chain.from_iterable(cut), type=pa.string()).dictionary_encode()
+        symbols = [w.encode().decode("latin-1").translate(self.symbols) for w in words.dictionary.to_pylist()]
+        of_word = [[token.id for token in self.library.model.tokenize(s)] for s in symbols]
+        counts = np.fromiter(map(len, of_word), dtype=np.int64, count=len(of_word))
+        flat = np.fromiter(chain.from_iterable(of_word), dtype="<u4", count=counts.sum())
+        firsts = np.cumsum(counts) - counts
+        code = words.indices.to_numpy()
+        lengths = counts[code]
+        ends = np.cumsum(lengths)
+        ids = flat[np.repeat(firsts[code] - ends + lengths, lengths) + np.arange(lengths.sum())].tobytes()
+        text_ends = np.concatenate([[0], ends])[np.cumsum([len(c) for c in cut], dtype=np.int64)] if cut else []
+        starts = [0, *text_ends[:-1]]
+        return [ids[4 * a : 4 * b] for a, b in zip(starts, text_ends)]
+
+
+def _is_simple(text: str) -> bool:
+    return not (NOT_SIMPLE_ASCII if text.isascii() else NOT_SIMPLE).search(text)
+
+
+def _groups(texts: list[str]) -> Iterator[list[int]]:
+    """Places of consecutive texts of at most ``TOGETHER`` characters, one at least."""
+    group, characters = [], 0
+    for i, text in enumerate(texts):
+        if group and characters + len(text) > TOGETHER:
+            yield group
+            group, characters = [], 0
+        group.append(i)
+        characters += len(text)
+    if group:
+        yield group
 
 
 @lru_cache(maxsize=2)
