@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from retail_strata.llm.common import whole_text
 from retail_strata.llm.language import held_out, predict_languages, train_languages
+from retail_strata.llm.ngram_join import ngram_join
 from retail_strata.llm.packing import pack
 from retail_strata.llm.secrets import find_secrets, span_text, train_secrets
 from retail_strata.llm.spot_signatures import common_words, fingerprint, likeness, signatures, with_next
@@ -60,6 +61,10 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join(table(spark, folder, "documents"), words=4, percent=85)
+
+
 def op7_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", whole_text().alias("text"))
     anchors = common_words(docs)
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
+    "op6_ngram_join": op6_ngram_join,
     "op7_spot_signatures": op7_spot_signatures,
     "op9_word_bpe": op9_word_bpe,
 }
