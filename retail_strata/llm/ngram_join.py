@@ -28,8 +28,9 @@ from retail_strata.llm.common import whole_text, workers_find_package, written
 from retail_strata.llm.components import components
 from retail_strata.llm.shingles import groups, packed, shingle_sets, unpacked
 
-SLOTS = 1 << 16
-LEVELS = 4
+SLOTS = 1 << 18
+LEVELS = 6
+STAR_MATCHES = 4  # shared prefix shingles that make comparing with a representative worthwhile
 VERIFY_COST = 4.0  # of a candidate, in postings looked at
 MAX_BROADCAST = 500_000  # rows of one number
 
@@ -52,9 +53,7 @@ def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
         total = np.zeros(SLOTS, dtype=np.int64)
         for batch in batches:
             for _, shingles in _sets_of(batch, words):
-                total += np.bincount((shingles % SLOTS).astype(np.int64), minlength=SLOTS) if len(shingles) > 4096 else 0
-                if len(shingles) <= 4096:
-                    np.add.at(total, (shingles % SLOTS).astype(np.int64), 1)
+                np.add.at(total, (shingles % SLOTS).astype(np.int64), 1)
         slots = np.flatnonzero(total)
         yield pd.DataFrame({"slot": slots, "n": total[slots]})
 
@@ -184,11 +183,19 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int =
             mixed = listed.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"))
             mixed = written(mixed.filter("x <> y").select("shingle"), "ngram-mixed")
             listed = listed.join(mixed, "shingle", "left_semi")
-        drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("representative"))
-        first = written(listed.groupBy("shingle").agg(F.min(drawn).alias("r")).select("shingle", "r.representative"), "ngram-first")
-        pairs = listed.join(first, "shingle").filter("node <> representative")
-        pairs = pairs.select(F.least("node", "representative").alias("a"), F.greatest("node", "representative").alias("b"))
-        new = verified(texts, classes, pairs.distinct(), words, percent)
+        drawn = F.struct(
+            F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("representative"), F.col("n").alias("size")
+        )
+        first = written(listed.groupBy("shingle").agg(F.min(drawn).alias("r")).select("shingle", "r.representative", "r.size"), "ngram-first")
+        pairs = listed.join(first, "shingle").filter(
+            f"node <> representative AND least(n, size) * 100 >= greatest(n, size) * {percent}"
+        )
+        prefix = F.least("n", "size") - F.ceil(F.least("n", "size") * percent / 100) + 1
+        pairs = pairs.groupBy(
+            F.least("node", "representative").alias("a"), F.greatest("node", "representative").alias("b")
+        ).agg(F.count(F.lit(1)).alias("met"), F.max(prefix).alias("prefix"))
+        pairs = pairs.filter(F.col("met") >= F.least("prefix", F.lit(STAR_MATCHES))).select("a", "b")
+        new = verified(texts, classes, pairs, words, percent)
         links = new if links is None else links.union(new)
         found = written(components(links, "ngram"), "ngram-components")
 
