@@ -1,14 +1,15 @@
 """Jaccard self-join of word-shingle sets by adaptive multi-match prefixes.
 
-Shingles are ordered from rare to frequent by a sketch of their counts over all rows.
+Shingles are ordered from rare to frequent, as their words' counts over all rows have it.
 Two sets that reach the threshold share at least l of the first n - o + l shingles, for
 every l, where o is the overlap a set of n needs.  Each set takes the l that its
 estimated candidates make cheapest; longer prefixes ask for more shared shingles.
 
 Rows with equal sets are one class and are worked on once.  Classes are first compared
-with one representative of each prefix shingle and put together where they match, so
-that a large group of near copies is found by a linear number of comparisons.  Then
-all pairs that are still apart and share enough of their prefixes are verified.
+with a few representatives of each prefix shingle and put together where they match,
+then those left over with members of the largest group, so that a large group of near
+copies takes a linear number of comparisons.  Last, all pairs that are still apart and
+share enough of their prefixes are verified.
 No link between classes of different components remains unseen.
 
 Null texts and texts without words have empty sets and are linked with nothing.  Rows
@@ -26,41 +27,65 @@ from pyspark.sql import functions as F
 
 from retail_strata.llm.common import whole_text, workers_find_package, written
 from retail_strata.llm.components import components
-from retail_strata.llm.shingles import groups, packed, shingle_sets, unpacked
+from retail_strata.llm.shingles import groups, packed, shingle_sets, unpacked, word_hashes
 
 SLOTS = 1 << 18
 LEVELS = 6
+DRAWS = 4  # representatives of a list
 STAR_MATCHES = 4  # shared prefix shingles that make comparing with a representative worthwhile
 VERIFY_COST = 4.0  # of a candidate, in postings looked at
 MAX_BROADCAST = 500_000  # rows of one number
 
 
-def _sets_of(batch: pd.DataFrame, words: int) -> Iterator[tuple[object, np.ndarray]]:
+def _sets_of(batch: pd.DataFrame, words: int, weigh=None) -> Iterator[tuple]:
     texts = list(batch["text"])
     keys = list(batch["doc_id"])
     for part in groups(texts):
-        yield from zip(keys[part], shingle_sets(texts[part], words))
+        yield from zip(keys[part], shingle_sets(texts[part], words, weigh))
 
 
 def _set_id(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
-    """How often shingles of each of ``SLOTS`` slots occur, over all rows."""
+def slot_counts(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often words, and shingles of the sets, of each of ``SLOTS`` slots occur, over
+    all rows.  The driver gets these two arrays, whatever the input."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(SLOTS, dtype=np.int64)
+        totals = np.zeros((2, SLOTS), dtype=np.int64)
         for batch in batches:
-            for _, shingles in _sets_of(batch, words):
-                np.add.at(total, (shingles % SLOTS).astype(np.int64), 1)
-        slots = np.flatnonzero(total)
-        yield pd.DataFrame({"slot": slots, "n": total[slots]})
+            texts = list(batch["text"])
+            for part in groups(texts):
+                hashes, _ = word_hashes(texts[part])
+                shingles = np.concatenate(shingle_sets(texts[part], words))
+                for total, seen in zip(totals, (hashes, shingles)):
+                    total += np.bincount((seen % SLOTS).astype(np.int64), minlength=SLOTS)
+        kind, slot = np.nonzero(totals)
+        yield pd.DataFrame({"kind": kind, "slot": slot, "n": totals[kind, slot]})
 
-    slots = docs.mapInPandas(counted, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(SLOTS, dtype=np.int64)
-    counts[slots["slot"].to_numpy()] = slots["n"].to_numpy()
-    return counts
+    slots = docs.mapInPandas(counted, "kind int, slot int, n bigint").groupBy("kind", "slot")
+    slots = slots.agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros((2, SLOTS), dtype=np.int64)
+    counts[slots["kind"].to_numpy(), slots["slot"].to_numpy()] = slots["n"].to_numpy()
+    return counts[0], counts[1]
+
+
+class Rarity:
+    """Estimated number of sets that hold a shingle, as a logarithm: what its words'
+    frequencies make likely, or what its slot holds beyond chance, if that is more."""
+
+    def __init__(self, words: np.ndarray, shingles: np.ndarray):
+        total = max(int(words.sum()), 1)
+        mean = shingles.mean()
+        self.log_words, self.of_word = np.log(total), np.log(np.maximum(words, 1) / total)
+        self.of_slot = np.log(np.maximum(shingles - mean - 5 * np.sqrt(mean), 1.0))
+
+    def weigh(self, hashes: np.ndarray) -> np.ndarray:
+        return self.of_word[(hashes % SLOTS).astype(np.int64)]
+
+    def estimate(self, shingles: np.ndarray, word_sums: np.ndarray) -> np.ndarray:
+        return np.maximum(word_sums + self.log_words, self.of_slot[(shingles % SLOTS).astype(np.int64)])
 
 
 def least_overlap(n, percent: int):
@@ -68,13 +93,13 @@ def least_overlap(n, percent: int):
     return -(-n * percent // 100)
 
 
-def _prefix(shingles: np.ndarray, counts: np.ndarray, percent: int) -> tuple[int, np.ndarray]:
-    """The level with the least estimated cost, and the shingles of the longest prefix."""
+def _prefix(shingles: np.ndarray, often: np.ndarray, percent: int) -> tuple[int, np.ndarray]:
+    """The level with the least estimated cost, and the shingles of the longest prefix.
+    ``often`` is the logarithm of how many sets are likely to hold each shingle."""
     n = len(shingles)
     base = n - least_overlap(n, percent)
-    often = counts[(shingles % SLOTS).astype(np.int64)]
     order = np.lexsort((shingles, often))[: base + LEVELS]
-    looked_at = np.cumsum(np.maximum(often[order] - counts.mean(), 1.0))
+    looked_at = np.cumsum(1.0 + np.exp(np.minimum(often[order], 60.0)))
     levels = range(1, min(LEVELS, len(order) - base) + 1)
     level = min(levels, key=lambda k: looked_at[base + k - 1] * (1 + VERIFY_COST / k))
     return level, shingles[order]
@@ -83,13 +108,15 @@ def _prefix(shingles: np.ndarray, counts: np.ndarray, percent: int) -> tuple[int
 def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Rows (``doc_id``, ``set_id``, ``n``) and classes (``node``, ``set_id``, ``n``,
     ``level``, ``prefix``), one for each distinct set that is not empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, words))
+    shared = docs.sparkSession.sparkContext.broadcast(Rarity(*slot_counts(docs, words)))
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rarity = shared.value
         for batch in batches:
             rows = []
-            for key, shingles in _sets_of(batch, words):
-                level, prefix = _prefix(shingles, shared.value, percent) if len(shingles) else (0, shingles)
+            for key, (shingles, sums) in _sets_of(batch, words, rarity.weigh):
+                often = rarity.estimate(shingles, sums)
+                level, prefix = _prefix(shingles, often, percent) if len(shingles) else (0, shingles)
                 rows.append((key, _set_id(shingles), len(shingles), level, packed(prefix)))
             out = pd.DataFrame(rows, columns=["doc_id", "set_id", "n", "level", "prefix"])
             out["doc_id"] = pd.array([None if pd.isna(k) else int(k) for k in out["doc_id"]], dtype="Int64")
@@ -130,10 +157,8 @@ def _only(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     return df.join(F.broadcast(keys) if few else keys, on, "left_semi")
 
 
-def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) of classes whose sets reach the threshold exactly."""
-    pairs = written(pairs, "ngram-pairs")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """``node`` and ``shingles`` of the classes named, from one more pass over the texts."""
     wanted = written(classes.select("node", "set_id").join(nodes, "node", "left_semi"), "ngram-wanted")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,8 +168,13 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
 
     found = _only(docs.mapInPandas(sets, "set_id binary, shingles binary"), wanted.select("set_id"), "set_id")
     found = found.groupBy("set_id").agg(F.any_value("shingles").alias("shingles"))
-    found = written(wanted.join(found, "set_id").select("node", "shingles"), "ngram-sets")
-    left, right = (found.toDF(x, f"{x}_set") for x in "ab")
+    return written(wanted.join(found, "set_id").select("node", "shingles"), "ngram-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) of classes whose sets reach the threshold exactly."""
+    pairs = written(pairs, "ngram-pairs")
+    left, right = (sets.toDF(x, f"{x}_set") for x in "ab")
 
     def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -159,12 +189,65 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
     return written(joined.mapInPandas(reach, "a bigint, b bigint"), "ngram-links")
 
 
-def _with_component(postings: DataFrame, found: DataFrame) -> DataFrame:
+def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Postings with their ``component``, of lists that hold more than one, and the
+    ``largest`` component of each list."""
     named = found.toDF("node", "component")
-    return postings.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    listed = shared.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    listed = written(listed, "ngram-listed")
+    sizes = listed.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.groupBy("shingle").agg(
+        F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("kinds")
+    ).filter("kinds > 1").select("shingle", F.col("top.component").alias("largest"))
+    return written(listed.join(written(largest, "ngram-largest"), "shingle"), "ngram-apart")
+
+
+def _star_pairs(apart: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Members of each list with ``DRAWS`` members of its largest component; ones that
+    meet in several lists and have matching sizes."""
+    drawn = [
+        F.min(F.when(F.expr("component = largest"), F.struct(
+            F.xxhash64("node", F.lit(turn * DRAWS + i)).alias("h"),
+            F.col("node").alias("other"), F.col("n").alias("size"),
+        ))).alias(f"draw{i}") for i in range(DRAWS)
+    ]
+    first = apart.groupBy("shingle").agg(*drawn)
+    first = first.select("shingle", F.explode(F.array_distinct(F.array(*[f"draw{i}" for i in range(DRAWS)]))).alias("r"))
+    first = written(first.select("shingle", "r.other", "r.size"), "ngram-first")
+    outside = apart.filter("component <> largest") if turn else apart
+    met = outside.join(first, "shingle").filter(
+        f"node <> other AND least(n, size) * 100 >= greatest(n, size) * {percent}"
+    )
+    prefix = F.least("n", "size") - F.ceil(F.least("n", "size") * percent / 100) + 1
+    pairs = met.groupBy(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).agg(
+        F.count(F.lit(1)).alias("met"), F.max(prefix).alias("prefix")
+    )
+    return pairs.filter(F.col("met") >= F.least("prefix", F.lit(STAR_MATCHES))).select("a", "b")
+
+
+def _remaining_pairs(apart: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that share as many prefix shingles as the level
+    asked for: in each list, members of smaller components meet all others."""
+    x, y = apart.filter("component <> largest").alias("x"), apart.alias("y")
+    # The level of the pair: the higher one, as far as both prefixes go.
+    level = (
+        "least(greatest(x.level, y.level), ceil(x.n * {p} / 100), ceil(y.n * {p} / 100))".format(p=percent)
+    )
+    joined = x.join(y, F.expr(
+        "x.shingle = y.shingle AND x.component <> y.component"
+        " AND (y.component = y.largest OR x.node < y.node)"
+        f" AND least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {percent}"
+        f" AND greatest(x.at, y.at) <= {level}"
+    ))
+    pairs = joined.select(
+        F.expr("least(x.node, y.node)").alias("a"), F.expr("greatest(x.node, y.node)").alias("b"),
+        F.expr(level).alias("level"),
+    )
+    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.any_value("level").alias("level"))
+    return pairs.filter("met >= level").select("a", "b")
 
 
-def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 2) -> DataFrame:
+def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 3) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row: sets of ``words``-word
     shingles are linked from a Jaccard similarity of ``percent`` hundredths."""
     workers_find_package(docs.sparkSession)
@@ -173,53 +256,25 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int =
     postings = _postings(classes, percent)
     met = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter("met > 1").select("shingle")
     shared = written(postings.join(written(met, "ngram-met"), "shingle", "left_semi"), "ngram-postings")
-
-    links = None
-    found = None
+    # A class that shares fewer shingles than its level has no link.  A very small set
+    # may meet another whose prefix ends before that level.
+    able = shared.groupBy("node").agg(
+        F.count(F.lit(1)).alias("met"), F.any_value("level").alias("level"), F.any_value("n").alias("n")
+    ).filter(f"met >= level OR n * {percent} < 100 * {2 * LEVELS}").select("node")
+    able = written(able, "ngram-able")
+    shared = written(shared.join(able, "node", "left_semi"), "ngram-postings")
+    sets = _sets(texts, classes, able, words)
+
+    links = found = None
     for turn in range(rounds):
-        listed = shared.filter("at = 1")
-        if found is not None:
-            listed = _with_component(listed, found)
-            mixed = listed.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-            mixed = written(mixed.filter("x <> y").select("shingle"), "ngram-mixed")
-            listed = listed.join(mixed, "shingle", "left_semi")
-        drawn = F.struct(
-            F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("representative"), F.col("n").alias("size")
-        )
-        first = written(listed.groupBy("shingle").agg(F.min(drawn).alias("r")).select("shingle", "r.representative", "r.size"), "ngram-first")
-        pairs = listed.join(first, "shingle").filter(
-            f"node <> representative AND least(n, size) * 100 >= greatest(n, size) * {percent}"
-        )
-        prefix = F.least("n", "size") - F.ceil(F.least("n", "size") * percent / 100) + 1
-        pairs = pairs.groupBy(
-            F.least("node", "representative").alias("a"), F.greatest("node", "representative").alias("b")
-        ).agg(F.count(F.lit(1)).alias("met"), F.max(prefix).alias("prefix"))
-        pairs = pairs.filter(F.col("met") >= F.least("prefix", F.lit(STAR_MATCHES))).select("a", "b")
-        new = verified(texts, classes, pairs, words, percent)
+        if found is None:
+            apart = shared.withColumns({"component": F.col("node"), "largest": F.col("node")})
+        else:
+            apart = _apart(shared, found)
+        new = _verified(_star_pairs(apart, turn, percent), sets, percent)
         links = new if links is None else links.union(new)
         found = written(components(links, "ngram"), "ngram-components")
-
-    # What is still apart: in each list, members of smaller components meet all others.
-    listed = written(_with_component(shared, found), "ngram-listed")
-    sizes = listed.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("shingle").agg(
-        F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("kinds")
-    ).filter("kinds > 1").select("shingle", F.col("top.component").alias("largest"))
-    mixed = written(listed.join(written(largest, "ngram-largest"), "shingle"), "ngram-apart")
-    x, y = mixed.filter("component <> largest").alias("x"), mixed.alias("y")
-    level = F.least("x.level", "y.level")
-    apart = x.join(y, F.expr(
-        "x.shingle = y.shingle AND x.component <> y.component"
-        " AND (y.component = y.largest OR x.node < y.node)"
-        f" AND least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {percent}"
-        " AND greatest(x.at, y.at) <= least(x.level, y.level)"
-    ))
-    pairs = apart.select(
-        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), level.alias("level")
-    )
-    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.any_value("level").alias("level"))
-    pairs = pairs.filter("met >= level").select("a", "b")
-    links = links.union(verified(texts, classes, pairs, words, percent))
+    links = links.union(_verified(_remaining_pairs(_apart(shared, found), percent), sets, percent))
     found = written(components(links, "ngram"), "ngram-components")
 
     named = classes.select("set_id", "node").join(found.toDF("node", "component"), "node", "left")

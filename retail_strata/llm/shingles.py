@@ -57,20 +57,25 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(total + np.uint64(n))
 
 
-def shingle_sets(texts: list[str], n: int) -> list[np.ndarray]:
+def shingle_sets(texts: list[str], n: int, weigh=None) -> list:
     """Sorted distinct shingle hashes of each text; with fewer words than n, the whole
-    sequence is one; without words the set is empty."""
+    sequence is one; without words the set is empty.  With ``weigh``, a number for each
+    word hash, each set comes with the sums of its shingles' words' numbers."""
     hashes, bounds = word_hashes(texts)
     grams = gram_hashes(hashes, n) & MASK
+    if weigh is not None:
+        before = np.concatenate([[0.0], np.cumsum(weigh(hashes))])
     sets = []
     for a, b in zip(bounds[:-1], bounds[1:]):
-        count = b - a
-        if count >= n:
-            sets.append(np.unique(grams[a : b - n + 1]))
-        elif count:
-            sets.append(gram_hashes(hashes[a:b], count) & MASK)
-        else:
-            sets.append(grams[:0])
+        long = min(n, b - a)  # words in a shingle
+        own = grams[a : b - n + 1] if long == n else gram_hashes(hashes[a:b], long) & MASK if long else grams[:0]
+        if weigh is None:
+            sets.append(np.unique(own))
+            continue
+        own, first = np.unique(own, return_index=True)
+        # In steps of 1/1024, so that rounding of the running sum does not tell copies apart.
+        sums = np.round((before[a + first + long] - before[a + first]) * 1024) / 1024
+        sets.append((own, sums))
     return sets
 
 
