@@ -1,9 +1,9 @@
 """Jaccard self-join of word-shingle sets by adaptive multi-match prefixes.
 
-Shingles are ordered from rare to frequent, as their words' counts over all rows have it.
-Two sets that reach the threshold share at least l of the first n - o + l shingles, for
-every l, where o is the overlap a set of n needs.  Each set takes the l that its
-estimated candidates make cheapest; longer prefixes ask for more shared shingles.
+Shingles are ordered from rare to frequent, as counts over all rows have it.  Two sets
+that reach the threshold share at least l of the first n - o + l shingles, for every l,
+where o is the overlap a set of n needs.  Each set takes the l that its estimated
+candidates make cheapest; longer prefixes ask for more shared shingles.
 
 Rows with equal sets are one class and are worked on once.  Classes are first compared
 with a few representatives of each prefix shingle and put together where they match,
@@ -30,10 +30,10 @@ from retail_strata.llm.components import components
 from retail_strata.llm.shingles import groups, packed, shingle_sets, unpacked, word_hashes
 
 SLOTS = 1 << 18
-LEVELS = 6
+LEVELS = range(4, 33)
 DRAWS = 4  # representatives of a list
 STAR_MATCHES = 4  # shared prefix shingles that make comparing with a representative worthwhile
-VERIFY_COST = 4.0  # of a candidate, in postings looked at
+VERIFY_COST = 12.0  # of a candidate, in postings looked at
 MAX_BROADCAST = 500_000  # rows of one number
 
 
@@ -93,21 +93,21 @@ def least_overlap(n, percent: int):
     return -(-n * percent // 100)
 
 
-def _prefix(shingles: np.ndarray, often: np.ndarray, percent: int) -> tuple[int, np.ndarray]:
-    """The level with the least estimated cost, and the shingles of the longest prefix.
+def _prefix(shingles: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray:
+    """The shingles of the prefix whose level has the least estimated cost.
     ``often`` is the logarithm of how many sets are likely to hold each shingle."""
     n = len(shingles)
     base = n - least_overlap(n, percent)
-    order = np.lexsort((shingles, often))[: base + LEVELS]
+    order = np.lexsort((shingles, often))[: base + max(LEVELS)]
     looked_at = np.cumsum(1.0 + np.exp(np.minimum(often[order], 60.0)))
-    levels = range(1, min(LEVELS, len(order) - base) + 1)
+    levels = [k for k in LEVELS if base + k <= n] or [n - base]
     level = min(levels, key=lambda k: looked_at[base + k - 1] * (1 + VERIFY_COST / k))
-    return level, shingles[order]
+    return shingles[order[: base + level]]
 
 
 def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Rows (``doc_id``, ``set_id``, ``n``) and classes (``node``, ``set_id``, ``n``,
-    ``level``, ``prefix``), one for each distinct set that is not empty."""
+    ``length`` and ``prefix``), one for each distinct set that is not empty."""
     shared = docs.sparkSession.sparkContext.broadcast(Rarity(*slot_counts(docs, words)))
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -116,39 +116,32 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
             rows = []
             for key, (shingles, sums) in _sets_of(batch, words, rarity.weigh):
                 often = rarity.estimate(shingles, sums)
-                level, prefix = _prefix(shingles, often, percent) if len(shingles) else (0, shingles)
-                rows.append((key, _set_id(shingles), len(shingles), level, packed(prefix)))
-            out = pd.DataFrame(rows, columns=["doc_id", "set_id", "n", "level", "prefix"])
+                prefix = _prefix(shingles, often, percent) if len(shingles) else shingles
+                rows.append((key, _set_id(shingles), len(shingles), len(prefix), packed(prefix)))
+            out = pd.DataFrame(rows, columns=["doc_id", "set_id", "n", "length", "prefix"])
             out["doc_id"] = pd.array([None if pd.isna(k) else int(k) for k in out["doc_id"]], dtype="Int64")
             yield out
 
-    kinds = "doc_id bigint, set_id binary, n bigint, level int, prefix binary"
+    kinds = "doc_id bigint, set_id binary, n bigint, length int, prefix binary"
     rows = written(docs.mapInPandas(prefixes, kinds), "ngram-rows")
     classes = rows.filter("n > 0").groupBy("set_id").agg(
-        F.any_value("n").alias("n"), F.any_value("level").alias("level"), F.any_value("prefix").alias("prefix")
+        F.any_value("n").alias("n"), F.any_value("length").alias("length"), F.any_value("prefix").alias("prefix")
     )
     classes = classes.withColumn("node", F.monotonically_increasing_id())
     return rows.select("doc_id", "set_id", "n"), written(classes, "ngram-classes")
 
 
-def _postings(classes: DataFrame, percent: int) -> DataFrame:
-    """One row per class and prefix shingle, ``at`` being the least level that has it."""
-    base = (F.col("n") - F.ceil(F.col("n") * percent / 100)).cast("int")
+def _postings(classes: DataFrame) -> DataFrame:
+    """One row per class and prefix shingle; ``length`` is the prefix's."""
 
     def exploded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            shingles = [unpacked(p) for p in batch["prefix"]]
-            sizes = np.array([len(s) for s in shingles], dtype=np.int64)
-            place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            repeat = lambda name: np.repeat(batch[name].to_numpy(), sizes)
-            yield pd.DataFrame({
-                "shingle": np.concatenate(shingles).astype(np.int64) if len(shingles) else [],
-                "node": repeat("node"), "n": repeat("n"), "level": repeat("level"),
-                "at": np.maximum(place - repeat("base") + 1, 1),
-            })
+            sizes = batch["length"].to_numpy()
+            rows = {name: np.repeat(batch[name].to_numpy(), sizes) for name in ("node", "n", "length")}
+            yield pd.DataFrame({"shingle": unpacked(b"".join(batch["prefix"])).astype(np.int64), **rows})
 
-    kinds = "shingle bigint, node bigint, n bigint, level int, at int"
-    return classes.select("node", "n", "level", "prefix", base.alias("base")).mapInPandas(exploded, kinds)
+    kinds = "shingle bigint, node bigint, n bigint, length int"
+    return classes.select("node", "n", "length", "prefix").mapInPandas(exploded, kinds)
 
 
 def _only(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
@@ -226,41 +219,37 @@ def _star_pairs(apart: DataFrame, turn: int, percent: int) -> DataFrame:
 
 
 def _remaining_pairs(apart: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share as many prefix shingles as the level
-    asked for: in each list, members of smaller components meet all others."""
+    """All pairs of different components that share enough prefix shingles: in each list,
+    members of smaller components meet all others.  A pair that reaches the threshold
+    overlaps by so much, of which no more lies beyond the prefixes than is left there."""
     x, y = apart.filter("component <> largest").alias("x"), apart.alias("y")
-    # The level of the pair: the higher one, as far as both prefixes go.
-    level = (
-        "least(greatest(x.level, y.level), ceil(x.n * {p} / 100), ceil(y.n * {p} / 100))".format(p=percent)
-    )
     joined = x.join(y, F.expr(
         "x.shingle = y.shingle AND x.component <> y.component"
         " AND (y.component = y.largest OR x.node < y.node)"
         f" AND least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {percent}"
-        f" AND greatest(x.at, y.at) <= {level}"
     ))
+    overlap = f"ceil((x.n + y.n) * {percent} / {100 + percent})"
     pairs = joined.select(
         F.expr("least(x.node, y.node)").alias("a"), F.expr("greatest(x.node, y.node)").alias("b"),
-        F.expr(level).alias("level"),
+        F.expr(f"{overlap} - greatest(x.n - x.length, y.n - y.length)").alias("need"),
     )
-    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.any_value("level").alias("level"))
-    return pairs.filter("met >= level").select("a", "b")
+    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.any_value("need").alias("need"))
+    return pairs.filter("met >= need").select("a", "b")
 
 
-def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 3) -> DataFrame:
+def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 2) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row: sets of ``words``-word
     shingles are linked from a Jaccard similarity of ``percent`` hundredths."""
     workers_find_package(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
     rows, classes = _classes(texts, words, percent)
-    postings = _postings(classes, percent)
+    postings = _postings(classes)
     met = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter("met > 1").select("shingle")
     shared = written(postings.join(written(met, "ngram-met"), "shingle", "left_semi"), "ngram-postings")
-    # A class that shares fewer shingles than its level has no link.  A very small set
-    # may meet another whose prefix ends before that level.
-    able = shared.groupBy("node").agg(
-        F.count(F.lit(1)).alias("met"), F.any_value("level").alias("level"), F.any_value("n").alias("n")
-    ).filter(f"met >= level OR n * {percent} < 100 * {2 * LEVELS}").select("node")
+    # A class that shares fewer shingles than the lowest level has no link, unless it or
+    # one that it may meet is too small for that level.
+    able = shared.groupBy("node").agg(F.count(F.lit(1)).alias("met"), F.any_value("n").alias("n"))
+    able = able.filter(f"met >= {min(LEVELS)} OR n < {2 * min(LEVELS)}").select("node")
     able = written(able, "ngram-able")
     shared = written(shared.join(able, "node", "left_semi"), "ngram-postings")
     sets = _sets(texts, classes, able, words)

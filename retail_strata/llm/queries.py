@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_strata.llm.common import whole_text
+from retail_strata.llm.embedding_links import embedding_links
 from retail_strata.llm.language import held_out, predict_languages, train_languages
 from retail_strata.llm.ngram_join import ngram_join
 from retail_strata.llm.packing import pack
@@ -94,6 +95,11 @@ def op9_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
+    linked = embedding_links(table(spark, folder, "embeddings"))
+    return linked.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_token_counts": op2_token_counts,
@@ -103,5 +109,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_ngram_join": op6_ngram_join,
     "op7_spot_signatures": op7_spot_signatures,
     "op9_word_bpe": op9_word_bpe,
+    "op10_embedding_links": op10_embedding_links,
 }
 ORACLES: dict[str, str] = {}
