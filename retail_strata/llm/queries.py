@@ -13,6 +13,7 @@ from retail_strata.llm.ngram_join import ngram_join
 from retail_strata.llm.packing import pack
 from retail_strata.llm.secrets import find_secrets, span_text, train_secrets
 from retail_strata.llm.spot_signatures import common_words, fingerprint, likeness, signatures, with_next
+from retail_strata.llm.suffix_dedup import deduplicated
 from retail_strata.llm.token_counts import count_tokens
 from retail_strata.llm.token_files import read_tokens, write_tokens
 from retail_strata.llm.word_bpe import encode_decode
@@ -86,6 +87,12 @@ def op7_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a repeated passage, with what is left of their texts."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return deduplicated(docs).filter("repeats IS NOT NULL")
+
+
 def op9_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
     coded = encode_decode(table(spark, folder, "documents"), WORD_BPE)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -108,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_ngram_join": op6_ngram_join,
     "op7_spot_signatures": op7_spot_signatures,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_word_bpe": op9_word_bpe,
     "op10_embedding_links": op10_embedding_links,
 }
