@@ -106,7 +106,7 @@ def _prefix(shingles: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray
 
 
 def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (``doc_id``, ``set_id``, ``n``) and classes (``node``, ``set_id``, ``n``,
+    """Rows (``doc_id``, ``body``, ``set_id``, ``n``) and classes (``node``, ``set_id``, ``n``,
     ``length`` and ``prefix``), one for each distinct set that is not empty."""
     shared = docs.sparkSession.sparkContext.broadcast(Rarity(*slot_counts(docs, words)))
 
@@ -114,21 +114,21 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
         rarity = shared.value
         for batch in batches:
             rows = []
-            for key, (shingles, sums) in _sets_of(batch, words, rarity.weigh):
+            for body, (key, (shingles, sums)) in zip(batch["body"], _sets_of(batch, words, rarity.weigh)):
                 often = rarity.estimate(shingles, sums)
                 prefix = _prefix(shingles, often, percent) if len(shingles) else shingles
-                rows.append((key, _set_id(shingles), len(shingles), len(prefix), packed(prefix)))
-            out = pd.DataFrame(rows, columns=["doc_id", "set_id", "n", "length", "prefix"])
+                rows.append((key, body, _set_id(shingles), len(shingles), len(prefix), packed(prefix)))
+            out = pd.DataFrame(rows, columns=["doc_id", "body", "set_id", "n", "length", "prefix"])
             out["doc_id"] = pd.array([None if pd.isna(k) else int(k) for k in out["doc_id"]], dtype="Int64")
             yield out
 
-    kinds = "doc_id bigint, set_id binary, n bigint, length int, prefix binary"
+    kinds = "doc_id bigint, body bigint, set_id binary, n bigint, length int, prefix binary"
     rows = written(docs.mapInPandas(prefixes, kinds), "ngram-rows")
     classes = rows.filter("n > 0").groupBy("set_id").agg(
         F.any_value("n").alias("n"), F.any_value("length").alias("length"), F.any_value("prefix").alias("prefix")
     )
     classes = classes.withColumn("node", F.monotonically_increasing_id())
-    return rows.select("doc_id", "set_id", "n"), written(classes, "ngram-classes")
+    return rows.select("doc_id", "body", "set_id", "n"), written(classes, "ngram-classes")
 
 
 def _postings(classes: DataFrame) -> DataFrame:
@@ -237,11 +237,12 @@ def _remaining_pairs(apart: DataFrame, percent: int) -> DataFrame:
     return pairs.filter("met >= need").select("a", "b")
 
 
-def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 2) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of every row: sets of ``words``-word
-    shingles are linked from a Jaccard similarity of ``percent`` hundredths."""
+def _placed(docs: DataFrame, words: int, percent: int, rounds: int) -> DataFrame:
+    """``doc_id``, ``body`` (hash of the text), ``n`` and ``component`` of every row."""
     workers_find_package(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+    texts = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"), F.xxhash64(whole_text()).alias("body")
+    )
     rows, classes = _classes(texts, words, percent)
     postings = _postings(classes)
     met = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter("met > 1").select("shingle")
@@ -268,8 +269,32 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int =
 
     named = classes.select("set_id", "node").join(found.toDF("node", "component"), "node", "left")
     named = named.select("set_id", F.coalesce("component", "node").alias("component"))
-    placed = written(rows.join(named, "set_id", "left"), "ngram-placed")
+    return written(rows.join(named, "set_id", "left").drop("set_id"), "ngram-placed")
+
+
+def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 2) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every row: sets of ``words``-word
+    shingles are linked from a Jaccard similarity of ``percent`` hundredths."""
+    placed = _placed(docs, words, percent, rounds)
     smallest = placed.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return placed.join(written(smallest, "ngram-smallest"), "component", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 2) -> DataFrame:
+    """The rows of ``docs`` that stay when each component keeps its smallest ``doc_id``
+    (nulls last, then the smaller hash of the text), one row of equal ones."""
+    placed = _placed(docs, words, percent, rounds).filter("component IS NOT NULL")
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "body")
+    first = written(placed.groupBy("component").agg(F.min(key).alias("first")), "ngram-first")
+    gone = placed.join(first, "component").filter(key != F.col("first"))
+    gone = written(gone.select("doc_id", "body").distinct(), "ngram-gone").toDF("_doc_id", "_body")
+    same = F.expr("CAST(doc_id AS bigint) <=> _doc_id AND xxhash64(coalesce(text, '')) = _body")
+    kept = docs.join(gone, same, "left_anti")
+    repeated = placed.groupBy("doc_id", "body").count().filter("count > 1").drop("count")
+    repeated = written(repeated, "ngram-repeated").toDF("_doc_id", "_body")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, same, "left_anti").union(once)
