@@ -29,7 +29,7 @@ from retail_strata.llm.common import whole_text, workers_find_package, written
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 SHARE_STEPS = 1_000_000
-MAX_CACHED = 400_000
+MAX_CACHED = 150_000
 LONGEST_CACHED = 40
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 START = "▁"
@@ -132,7 +132,7 @@ def word_scores(pieces: Pieces, probability: np.ndarray, words: list[str]) -> di
     return scores
 
 
-def _by_length(words: list[str], cells: int = 200_000) -> Iterator[list[str]]:
+def _by_length(words: list[str], cells: int = 100_000) -> Iterator[list[str]]:
     """Words of equal length together, as many as keep the lattice small."""
     by_length: dict[int, list[str]] = {}
     for word in words:
@@ -283,8 +283,8 @@ def predict_languages(docs: DataFrame, model: LanguageModel, keep: list[str] | N
     def predicted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predictor = Predictor(shared.value)
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.iloc[at : at + 512]
+            for at in range(0, len(batch), 256):
+                part = batch.iloc[at : at + 256]
                 names, scores = predictor.predict(list(part["_body"]))
                 yield part.drop(columns="_body").assign(lang_pred=names, score=scores)
 

@@ -5,10 +5,10 @@ that reach the threshold share at least l of the first n - o + l shingles, for e
 where o is the overlap a set of n needs.  Each set takes the l that its estimated
 candidates make cheapest; longer prefixes ask for more shared shingles.
 
-Rows with equal sets are one class and are worked on once.  Classes are first compared
-with a few representatives of each prefix shingle and put together where they match,
-then those left over with members of the largest group, so that a large group of near
-copies takes a linear number of comparisons.  Last, all pairs that are still apart and
+Rows with equal sets are one class and are worked on once.  Classes of long lists are
+first compared with a few representatives of each list and put together where they
+match, then those left over with members of the largest group, so that a large group of
+near copies takes a linear number of comparisons.  Last, all pairs that are still apart and
 share enough of their prefixes are verified.
 No link between classes of different components remains unseen.
 
@@ -31,6 +31,7 @@ from retail_strata.llm.shingles import groups, packed, shingle_sets, unpacked, w
 
 SLOTS = 1 << 18
 LEVELS = range(4, 33)
+LONG_LIST = 16  # members from which a list is worth representatives
 DRAWS = 4  # representatives of a list
 STAR_MATCHES = 4  # shared prefix shingles that make comparing with a representative worthwhile
 VERIFY_COST = 12.0  # of a candidate, in postings looked at
@@ -153,6 +154,8 @@ def _only(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
 def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """``node`` and ``shingles`` of the classes named, from one more pass over the texts."""
     wanted = written(classes.select("node", "set_id").join(nodes, "node", "left_semi"), "ngram-wanted")
+    if wanted.isEmpty():
+        return wanted.select("node", F.col("set_id").alias("shingles"))
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -164,9 +167,12 @@ def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) ->
     return written(wanted.join(found, "set_id").select("node", "shingles"), "ngram-sets")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) of classes whose sets reach the threshold exactly."""
-    pairs = written(pairs, "ngram-pairs")
     left, right = (sets.toDF(x, f"{x}_set") for x in "ab")
 
     def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -247,24 +253,23 @@ def _placed(docs: DataFrame, words: int, percent: int, rounds: int) -> DataFrame
     postings = _postings(classes)
     met = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter("met > 1").select("shingle")
     shared = written(postings.join(written(met, "ngram-met"), "shingle", "left_semi"), "ngram-postings")
-    # A class that shares fewer shingles than the lowest level has no link, unless it or
-    # one that it may meet is too small for that level.
-    able = shared.groupBy("node").agg(F.count(F.lit(1)).alias("met"), F.any_value("n").alias("n"))
-    able = able.filter(f"met >= {min(LEVELS)} OR n < {2 * min(LEVELS)}").select("node")
-    able = written(able, "ngram-able")
-    shared = written(shared.join(able, "node", "left_semi"), "ngram-postings")
-    sets = _sets(texts, classes, able, words)
-
-    links = found = None
+    links = found = sets = None
+    long_lists = shared.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter(f"met >= {LONG_LIST}").select("shingle")
+    long_lists = written(shared.join(written(long_lists, "ngram-long"), "shingle", "left_semi"), "ngram-long-lists")
     for turn in range(rounds):
         if found is None:
-            apart = shared.withColumns({"component": F.col("node"), "largest": F.col("node")})
+            apart = long_lists.withColumns({"component": F.col("node"), "largest": F.col("node")})
         else:
-            apart = _apart(shared, found)
-        new = _verified(_star_pairs(apart, turn, percent), sets, percent)
+            apart = _apart(long_lists, found)
+        pairs = written(_star_pairs(apart, turn, percent), "ngram-pairs")
+        more = _sets(texts, classes, _ends(pairs) if sets is None else _ends(pairs).join(sets, "node", "left_anti"), words)
+        sets = more if sets is None else sets.union(more)
+        new = _verified(pairs, sets, percent)
         links = new if links is None else links.union(new)
         found = written(components(links, "ngram"), "ngram-components")
-    links = links.union(_verified(_remaining_pairs(_apart(shared, found), percent), sets, percent))
+    pairs = written(_remaining_pairs(_apart(shared, found), percent), "ngram-pairs")
+    sets = sets.union(_sets(texts, classes, _ends(pairs).join(sets, "node", "left_anti"), words))
+    links = links.union(_verified(pairs, sets, percent))
     found = written(components(links, "ngram"), "ngram-components")
 
     named = classes.select("set_id", "node").join(found.toDF("node", "component"), "node", "left")

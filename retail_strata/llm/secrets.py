@@ -12,6 +12,7 @@ only the fixed patterns find anything.  Positions are code points, end exclusive
 """
 
 from dataclasses import dataclass
+from functools import reduce
 from math import log
 
 from pyspark.sql import Column, DataFrame
@@ -20,12 +21,14 @@ from pyspark.sql import functions as F
 from retail_strata.llm.common import whole_text
 
 # The patterns of the base kinds, in the order in which they are listed.
-# For the last two, a longer least length finds the same runs as a check afterwards.
+# For the last two, a longer least length and starting at a run's start find the same
+# runs as a check afterwards.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-BASE = (("assign", ASSIGN, 8), ("access", r"AKIA[A-Z0-9]{12,}", 0), ("hex", r"[0-9a-f]{32,}", 0))
+BASE = (("assign", ASSIGN, 8), ("access", r"AKIA[A-Z0-9]{12,}", 0), ("hex", r"(?<![0-9a-f])[0-9a-f]{32,}+", 0))
 KINDS = ("assign", "access", "hex", "random")
 
-KEY_RUN = r"[A-Za-z0-9+/_=-]{16,}"
+KEY_RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
+KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")  # in any text that ASSIGN matches
 WORD = r"[A-Za-z][A-Za-z0-9_]{3,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 STEP = 256
@@ -56,8 +59,9 @@ def _before(lengths: Column) -> Column:
 SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,value:string>"
 
 
-def _spans(text: Column, pattern: str, rank: int, least: int, group: int = 0) -> Column:
-    """Spans of the matches of a pattern whose value (a group) is long enough."""
+def _spans(text: Column, pattern: str, rank: int, least: int, group: int = 0, only: Column | None = None) -> Column:
+    """Spans of the matches of a pattern whose value (a group) is long enough.  ``only``
+    is a cheaper condition without which there is no match."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     gaps = F.split(text, pattern, -1)
@@ -74,12 +78,19 @@ def _spans(text: Column, pattern: str, rank: int, least: int, group: int = 0) ->
         )
 
     kept = F.filter(made(_before(through)), lambda s: s["value"].isNotNull() & (F.length(s["value"]) >= least))
-    return F.when(F.size(whole) > 0, kept).otherwise(F.array().cast(f"array<{SPAN}>"))
+    some = F.size(whole) > 0
+    return F.when(some if only is None else only & some, kept).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def base_spans(text: Column) -> list[Column]:
     """Spans of each base kind."""
-    return [_spans(text, pattern, i, least, 2 if least else 0) for i, (_, pattern, least) in enumerate(BASE)]
+    low = F.lower(text)
+    keyword = reduce(lambda a, b: a | b, [F.contains(low, F.lit(k)) for k in KEYWORDS])
+    only = (keyword, F.contains(text, F.lit("AKIA")), None)
+    return [
+        _spans(text, pattern, i, least, 2 if least else 0, condition)
+        for i, ((_, pattern, least), condition) in enumerate(zip(BASE, only))
+    ]
 
 
 @dataclass(frozen=True)
@@ -99,7 +110,7 @@ def _pairs(strings: Column) -> Column:
     return F.flatten(F.transform(F.filter(strings, lambda s: F.length(s).between(2, 4096)), inner))
 
 
-def train_secrets(docs: DataFrame, sample_docs: int = 20_000, threshold: float = 1.0) -> SecretModel:
+def train_secrets(docs: DataFrame, sample_docs: int = 4000, threshold: float = 1.0) -> SecretModel:
     """Train on about ``sample_docs`` documents, chosen by a hash of their text.  What
     reaches the driver is one count per pair of characters and label."""
     total = docs.count()

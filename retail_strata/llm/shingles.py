@@ -79,7 +79,7 @@ def shingle_sets(texts: list[str], n: int, weigh=None) -> list:
     return sets
 
 
-def groups(texts: list[str], together: int = 2_000_000):
+def groups(texts: list[str], together: int = 500_000):
     """Slices of texts of about ``together`` characters, one text at least."""
     start = characters = 0
     for i, text in enumerate(texts):

@@ -25,7 +25,7 @@ from retail_strata.llm.common import space_chunks, whole_text, workers_find_pack
 PRE_TOKENS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-MAX_CACHED = 400_000
+MAX_CACHED = 200_000
 LONGEST_CACHED = 64
 NONE = np.iinfo(np.int64).max
 

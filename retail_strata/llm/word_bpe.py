@@ -30,7 +30,7 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 SPACES = regex.compile(f"[{SPACE}]+")
 SEPARATORS = regex.compile("[\x1c-\x1f]")  # white space to str.split alone
-MAX_CACHED = 400_000
+MAX_CACHED = 200_000
 LONGEST_CACHED = 40
 CHUNK = 256
 
