@@ -18,7 +18,7 @@ import pyarrow as pa
 
 from retail_strata.llm.token_counts import byte_symbols
 
-TOGETHER = 6_000_000  # characters
+TOGETHER = 4_000_000  # characters
 # Fixed value: how byte-level vocabularies cut a text, for texts that are ``SIMPLE``.
 PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s")
 NOT_SIMPLE = re.compile(r"[^\x00-\x1b\x20-ɏ]|[ª²³¹º¼½¾]|\s\s|<\|")

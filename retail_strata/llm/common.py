@@ -14,9 +14,16 @@ TWO_SPACES = re.compile(r"\s\s")
 BEFORE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
 
+ROWS_PER_BATCH = 2000
+
+
 def workers_find_package(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the driver found it."""
+    """Let Python workers import this package wherever the driver found it, and hand
+    them whole texts a few thousand at a time, as they live beside the executor's heap."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ROWS_PER_BATCH:
+        spark.conf.set(rows, str(ROWS_PER_BATCH))
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

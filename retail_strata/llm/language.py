@@ -132,7 +132,7 @@ def word_scores(pieces: Pieces, probability: np.ndarray, words: list[str]) -> di
     return scores
 
 
-def _by_length(words: list[str], cells: int = 100_000) -> Iterator[list[str]]:
+def _by_length(words: list[str], cells: int = 50_000) -> Iterator[list[str]]:
     """Words of equal length together, as many as keep the lattice small."""
     by_length: dict[int, list[str]] = {}
     for word in words:
