@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from retail_strata.llm.common import whole_text, workers_find_package, written
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = re.compile(r"[^\W\d_]{1,48}")
 UNKNOWN = "und"
 SHARE_STEPS = 1_000_000
 MAX_CACHED = 150_000
