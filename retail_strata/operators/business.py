@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from retail_strata.functions import named
 from retail_strata.functions.measures import mean
-from retail_strata.operators.hot_keys import SLICE, find_hot_keys, left_join_unique
+from retail_strata.operators.hot_keys import SLICE, find_hot_keys, left_join_unique, slices_of
 
 
 def sales_summary(sales: DataFrame) -> DataFrame:
@@ -58,8 +58,7 @@ def turnover_per_product(sales: DataFrame) -> DataFrame:
 
 
 def product_performance(
-    products: DataFrame, sales: DataFrame, ranked: bool = True,
-    slices: int = 256, min_hot_rows: int = 1_000_000,
+    products: DataFrame, sales: DataFrame, ranked: bool = True, slices: int | None = None,
 ) -> DataFrame:
     """Every silver product row with its turnover; null measures without a sale.
 
@@ -69,7 +68,8 @@ def product_performance(
     rows of equal or no revenue into several sort ranges.
     """
     offer = products.select("product_id", "product_name", "category", "price", "stock_quantity")
-    hot = find_hot_keys(offer, "product_id", slices, min_hot_rows)
+    slices = slices_of(offer) if slices is None else slices
+    hot = find_hot_keys(offer, "product_id", slices)
     joined = left_join_unique(offer, turnover_per_product(sales), "product_id", hot, slices)
     if ranked:
         joined = joined.sort(F.col("total_revenue").desc_nulls_last(), "product_id", SLICE)

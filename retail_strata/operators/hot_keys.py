@@ -6,27 +6,28 @@ from pyspark.sql import functions as F
 SLICE = "_slice"
 
 
-def find_hot_keys(df: DataFrame, key: str, slices: int = 256, min_rows: int = 1_000_000) -> list:
-    """Keys with more than ``1/slices`` of all rows, so fewer than ``slices`` of them.
+def slices_of(df: DataFrame) -> int:
+    """As many as the session has shuffle partitions, which grow with its data."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    A key of at most ``min_rows`` rows is never worth splitting, so a small table
-    is settled by its row count alone, which Parquet answers from the footers.
-    """
+
+def find_hot_keys(df: DataFrame, key: str, slices: int) -> list:
+    """Keys with more than ``1/slices`` of all rows, so fewer than ``slices`` of them,
+    at any size of the table."""
     total = df.count()
-    if total <= min_rows:
-        return []
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    heavy = counts.filter(F.col("rows") > max(total // slices, min_rows))
+    heavy = counts.filter(F.col("rows") * slices > total)
     return [row[0] for row in heavy.select(key).collect()]
 
 
 def _is_hot(key: str, hot: list) -> Column:
-    named = F.col(key).isin([k for k in hot if k is not None])
-    return F.coalesce(named, F.lit(None in hot))
+    """Written so that it is the same in both ANSI modes, where null IN () differs."""
+    named = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(False))
+    return named | (F.col(key).isNull() & F.lit(None in hot))
 
 
 def left_join_unique(
-    left: DataFrame, right: DataFrame, key: str, hot: list, slices: int = 256
+    left: DataFrame, right: DataFrame, key: str, hot: list, slices: int
 ) -> DataFrame:
     """``left`` LEFT JOIN ``right``, where ``right`` has one row per key.
 

@@ -9,6 +9,19 @@ def newest_stamp(df: DataFrame, column: str = "ingestion_timestamp") -> DataFram
     return df.agg(F.max(column).alias("mark"))
 
 
+def batch_high_water_mark(silver: DataFrame | None) -> int | None:
+    """Newest bronze stamp of the batches silver has taken, in microseconds, or None.
+
+    A batch's bound stands in each of its rows: rows that lost a deduplication or were
+    rejected count as taken, though none of their own stamps is in silver.  Rows of a
+    table written before the bound was kept have their own stamp.
+    """
+    if silver is None:
+        return None
+    bound = F.coalesce("batch_mark", "ingestion_timestamp")
+    return high_water_mark(silver.select(bound.alias("batch_mark")), "batch_mark")
+
+
 def high_water_mark(silver: DataFrame | None, column: str = "ingestion_timestamp") -> int | None:
     """Newest bronze stamp carried in silver, in microseconds since 1970, or None.
 

@@ -1,8 +1,9 @@
 """Bronze -> silver: take what is new, refine it, append it."""
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from retail_strata.operators.incremental import high_water_mark, newer_than
+from retail_strata.operators.incremental import batch_high_water_mark, newer_than
 from retail_strata.operators.lineage import count_rows, stamp_processing
 from retail_strata.plans.bronze import StageResult
 from retail_strata.plans.side_by_side import side_by_side
@@ -24,13 +25,15 @@ def refine_entity(
     path = f"{layers.silver}/{entity.silver_table}"
     if written_by_stream(spark, path):
         raise ValueError(f"{path} is fed by a stream; go on with the stream")
-    mark = high_water_mark(read_if_exists(spark, path, entity.silver_schema))
+    mark = batch_high_water_mark(read_if_exists(spark, path, entity.silver_schema))
     bronze = read_parquet(spark, f"{layers.bronze}/{entity.bronze_table}", entity.bronze_schema)
     fresh = newer_than(bronze, mark)
-    read = fresh.count()
+    newest = F.max(F.unix_micros("ingestion_timestamp"))
+    read, bound = fresh.agg(F.count(F.lit(1)), newest).first()
     if read == 0:
         return None
     refined = stamp_processing(entity.refine(fresh), run_id, stamp)
+    refined = refined.withColumn("batch_mark", F.timestamp_micros(F.lit(bound)))
     written = Observation(f"{entity.name} written")
     laid_out = count_rows(spread_for_write(refined, entity.silver_partitions), written)
     append_parquet(laid_out, path, by=entity.silver_partitions)

@@ -35,7 +35,7 @@ from retail_strata.streaming.silver_stream import start_silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-RUN_STAMPS = ("ingestion_timestamp", "ingestion_date", "processing_timestamp")
+RUN_STAMPS = ("ingestion_timestamp", "ingestion_date", "processing_timestamp", "batch_mark")
 
 
 def comparable(df: DataFrame) -> DataFrame:

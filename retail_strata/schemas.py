@@ -41,7 +41,7 @@ INGESTION_STAMPS = _struct(
     ingestion_timestamp=_STAMP, ingestion_id=_STRING, source_file=_STRING, ingestion_date=_DATE,
 )
 
-PROCESSING_STAMPS = _struct(processing_timestamp=_STAMP, processing_id=_STRING)
+PROCESSING_STAMPS = _struct(processing_timestamp=_STAMP, processing_id=_STRING, batch_mark=_STAMP)
 
 
 def _evolve(base: T.StructType, *more: T.StructType, **changed: T.DataType) -> T.StructType:

@@ -29,7 +29,9 @@ def start_silver_stream(
     path = f"{layers.silver}/{entity.silver_table}"
     if path_exists(spark, path) and not written_by_stream(spark, path):
         raise ValueError(f"{path} holds batch appends, which a stream would hide; use refine_entity")
-    reader = spark.readStream.schema(entity.bronze_schema)
+    # Files are taken whatever their age: the source would pass over those much older
+    # than the newest one, and a restored or late file may be.
+    reader = spark.readStream.schema(entity.bronze_schema).option("maxFileAge", "36500d")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     fresh = reader.parquet(f"{layers.bronze}/{entity.bronze_table}")

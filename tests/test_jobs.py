@@ -270,10 +270,10 @@ def test_scratch_lies_in_the_shared_folder(spark):
 
 
 def test_literal_rows_round_trip(spark, folder):
-    staff = spark.createDataFrame(
-        [(1, "João", 25), (2, "Maria", 30), (3, "Pedro", 28), (4, "Ana", 35), (5, "Carlos", 42)], ["id", "nome", "idade"]
+    tools = spark.createDataFrame(
+        [("drill", 4.5), ("ladder", 12.0), ("rope", 2.25), ("saw", 9.75)], ["tool", "kilos"]
     )
-    writers.overwrite_parquet(staff, folder + "/staff")
-    older = readers.read_parquet(spark, folder + "/staff").filter("idade > 28").select("nome", "idade")
+    writers.overwrite_parquet(tools, folder + "/tools")
+    older = readers.read_parquet(spark, folder + "/tools").filter("kilos BETWEEN 3 AND 10").select("tool", "kilos")
     writers.overwrite_parquet(older, folder + "/older")
-    assert sorted(r.idade for r in readers.read_parquet(spark, folder + "/older").collect()) == [30, 35, 42]
+    assert sorted(r.tool for r in readers.read_parquet(spark, folder + "/older").collect()) == ["drill", "saw"]

@@ -37,9 +37,8 @@ def bag(df):
 
 
 def test_hot_keys_are_found(spark, skewed):
-    assert set(find_hot_keys(skewed, "k", slices=8, min_rows=100)) == {"hot", None}
-    assert find_hot_keys(skewed, "k", slices=2, min_rows=100) == []
-    assert find_hot_keys(skewed, "k") == []
+    assert set(find_hot_keys(skewed, "k", slices=8)) == {"hot", None}
+    assert find_hot_keys(skewed, "k", slices=2) == []
 
 
 @pytest.mark.parametrize("hot", [[], ["hot"], [None], ["hot", None], ["absent"]])
@@ -61,7 +60,7 @@ def test_product_performance_with_hot_products(spark):
     offer = [{"product_id": "hot"}] * 50 + [{"product_id": None}] * 50 + [{"product_id": f"p{i}"} for i in range(20)]
     products = cleanse.refine_products(rows.products(spark, *offer))
     sales = cleanse.refine_sales(rows.sales(spark, {"product_id": "hot"}, {"product_id": "p3", "total_amount": 99.0}))
-    split = business.product_performance(products, sales, slices=4, min_hot_rows=10).collect()
+    split = business.product_performance(products, sales, slices=4).collect()
     plain = business.product_performance(products, sales).collect()
     assert Counter(map(tuple, split)) == Counter(map(tuple, plain)) and len(split) == 120
     assert [r.total_revenue for r in split] == [r.total_revenue for r in plain]
