@@ -138,3 +138,13 @@ def test_without_adaptive_execution_rows_stay_where_they_are(spark):
         assert "Exchange" not in plan(writers.spread_for_write(spark.range(5), ("id",)))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_null_alone_is_split_too(spark, either_ansi):
+    from pyspark.sql import functions as F
+
+    nulls = spark.range(2000).select(F.lit(None).cast("string").alias("k"))
+    measures = spark.createDataFrame([("a", 1)], "k string, m int")
+    sizes = left_join_unique(nulls, measures, "k", [None], slices=8).groupBy(SLICE).count().collect()
+    counts = [r["count"] for r in sizes]
+    assert len(counts) == 8 and sum(counts) == 2000 and max(counts) < 300
