@@ -30,7 +30,7 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 SPACES = regex.compile(f"[{SPACE}]+")
 SEPARATORS = regex.compile("[\x1c-\x1f]")  # white space to str.split alone
-MAX_CACHED = 200_000
+MAX_CACHED = 500_000
 LONGEST_CACHED = 40
 CHUNK = 256
 
@@ -69,6 +69,7 @@ class WordBpe:
         self.added_pattern = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
         self.tokens = {i: t for t, i in self.vocabulary.items()} | {i: t for t, i in self.added.items()}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
 
     def _merge(self, symbols: list[str]) -> list[str]:
         rank = self.rank
@@ -109,6 +110,14 @@ class WordBpe:
             for token in self._merge([*window, self.symbol_of[last] + self.end]):
                 yield self.vocabulary[token]
 
+    def _word(self, word: str) -> tuple[int, ...]:
+        ids = self.words.get(word)
+        if ids is None:
+            ids = tuple(self.stream(iter(word.encode())))
+            if len(word) <= LONGEST_CACHED:
+                self.words[word] = ids
+        return ids
+
     def _chunk(self, chunk: str) -> tuple[int, ...]:
         """Ids of text without white space."""
         ids: list[int] = []
@@ -120,12 +129,13 @@ class WordBpe:
             # Letter by letter: lower-casing a whole word would make a final sigma of one.
             text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
             for word in WORDS.findall(text):
-                ids.extend(self.stream(iter(word.encode())))
+                ids.extend(self._word(word))
         return tuple(ids)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         if len(self.known) > MAX_CACHED:
             self.known.clear()
+            self.words.clear()
         known = self.known
         cut = [SPACES.split(t) if SEPARATORS.search(t) else t.split() for t in texts]
         new = list(set(chain.from_iterable(cut)).difference(known))
