@@ -309,6 +309,14 @@ ORACLES: dict[str, str] = {
     "ingest_json_sales": _over(_bronze("sales", "json")),
     "ingest_csv": _over(_bronze("products", "csv")),
     "ingest_parquet": _over(_bronze("payments", "parquet")),
+    "ingest_parquet_native": _over(_two_silver_runs("payments", "parquet")),
+    "ingest_dirty": """
+        select case when kind = 1 then null else id end as order_id,
+          case when kind in (1, 2) then null else cast(3 as bigint) end as quantity,
+          case kind when 1 then '{"order_id":"' || id || '", oops'
+            when 2 then '{"order_id":"' || id || '","quantity":"two"}'
+            when 3 then '{"order_id":"' || id || '","quantity":3,"coupon":"x"}' end as raw_record
+        from (select cast(o_orderkey as varchar) as id, o_orderkey % 10 as kind from orders)""",
     "partition_roundtrip": _over(_silver("sales")),
     "append_history": _over(
         " union all ".join(_bronze("payments", "parquet", f"run-{n}") for n in (1, 2))
@@ -322,6 +330,10 @@ ORACLES: dict[str, str] = {
     "high_water_mark": "select max(ts) as mark from events",
     "incremental_filter": "select * from events where ts > timestamp '2024-01-20 00:00:00'",
     "incremental_runs": _over(_two_silver_runs("payments", "parquet")),
+    "incremental_late_versions": _over(
+        "select *, 'ingest-1' as ingestion_id, 'customers.json' as source_file, "
+        f"'refine-1' as processing_id from ({_silver('customers')})"
+    ),
     "dedup_latest": """
         select * exclude (place) from (
           select *, row_number() over (partition by user_id order by ts desc, event_id desc) as place
@@ -329,6 +341,11 @@ ORACLES: dict[str, str] = {
         where place = 1""",
     **{f"silver_{e}": _over(_silver(e)) for e in _ENTITIES},
     **{g: _over(f"select * from {g}") for g in _GOLD},
+    "gold_product_performance_skewed": _over(_GOLD["gold_product_performance"].replace("from silver_sales", """
+          from (select * replace (case quantity % 3 when 0 then '7' when 1 then null else product_id end
+              as product_id) from silver_sales)""")),
+    **{f"job_{g}": _over(f"select * from {g}") for g in _GOLD},
+    "job_retry": _over("select * from gold_sales_summary"),
     "gold_customer_metrics_two_runs": _over(
         "select * from gold_customer_metrics union all select * from gold_customer_metrics"
     ),

@@ -3,12 +3,14 @@
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from retail_strata.operators.lineage import count_rows, stamp_ingestion
 from retail_strata.plans.side_by_side import side_by_side
 from retail_strata.plans.tables import ENTITIES, Entity, Layers
-from retail_strata.sources.readers import READERS
+from retail_strata.schemas import INGESTION_STAMPS
+from retail_strata.sources.readers import RAW_RECORD, READERS, read_if_exists, read_parquet
 from retail_strata.sources.writers import append_parquet
 
 
@@ -27,6 +29,7 @@ def ingest_file(
 ) -> StageResult:
     """Append one raw file to a bronze table, partitioned by ingestion date; earlier
     runs stay.  ``raw_format`` is json, csv or parquet; without a schema it is inferred.
+    With one, records that it does not hold in full stay as text in ``raw_record``.
 
     One pass and no shuffle: the rows are counted while they are written.  A run
     has one ingestion date, so every task writes to one partition folder.
@@ -39,12 +42,26 @@ def ingest_file(
     return StageResult(table, path, {"written": written.get["rows"]})
 
 
+def holds_run(spark: SparkSession, path: str, run_id: str) -> bool:
+    """Whether the bronze table has rows of the run.  The id is constant within a file,
+    so files of other runs are passed over by their footers."""
+    table = read_if_exists(spark, path, INGESTION_STAMPS)
+    return table is not None and not table.filter(F.col("ingestion_id") == run_id).isEmpty()
+
+
 def ingest_all(
     spark: SparkSession, layers: Layers, run_id: str, stamp: Column | None = None
 ) -> list[StageResult]:
-    """Customers, products, sales and payments."""
+    """Customers, products, sales and payments.
+
+    If one fails, the others are still appended.  A table that already holds the run is
+    left as it is, so repeating the ingestion under its ``run_id`` completes it.
+    """
 
     def ingest(e: Entity) -> StageResult:
+        path = f"{layers.bronze}/{e.bronze_table}"
+        if holds_run(spark, path, run_id):
+            return StageResult(e.bronze_table, path, {"written": 0})
         return ingest_file(
             spark, layers, e.raw_format, e.raw_file, e.bronze_table, run_id, e.raw_schema, stamp
         )
@@ -57,3 +74,10 @@ def read_bronze(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
         e.bronze_table: spark.read.schema(e.bronze_schema).parquet(f"{layers.bronze}/{e.bronze_table}")
         for e in ENTITIES
     }
+
+
+def read_unheld(spark: SparkSession, layers: Layers, entity: Entity) -> DataFrame:
+    """Bronze rows whose typed columns do not hold the whole raw record, with its text."""
+    schema = StructType(list(entity.bronze_schema.fields)).add(RAW_RECORD, "string")
+    rows = read_parquet(spark, f"{layers.bronze}/{entity.bronze_table}", schema)
+    return rows.filter(F.col(RAW_RECORD).isNotNull())

@@ -68,14 +68,20 @@ def run_all(
     spark: SparkSession, layers: Layers, run_id: str | None = None,
     regenerate: bool = False, dedup_scope: str = "batch",
 ) -> RunResult:
-    """Every stage in order.  An exception in a stage ends the run there; a failing
-    report only warns.  ``regenerate`` writes new raw customers, products and sales."""
+    """Every stage in order.  An exception in a stage ends the run there and carries its
+    id in a note: repeated under that ``run_id``, the run goes on where it ended and takes
+    nothing twice.  A failing report only warns.  ``regenerate`` writes new raw customers,
+    products and sales."""
     run_id = run_id or new_run_id()
     if regenerate:
         write_feeds(spark, layers)
-    stages = ingest_all(spark, layers, run_id)
-    stages += refine_all(spark, layers, run_id)
-    stages += aggregate_all(spark, layers, dedup_scope)
+    try:
+        stages = ingest_all(spark, layers, run_id)
+        stages += refine_all(spark, layers, run_id)
+        stages += aggregate_all(spark, layers, dedup_scope)
+    except Exception as error:
+        error.add_note(f"to complete this run, repeat it with run_id={run_id!r}")
+        raise
     try:
         report = layer_report(spark, layers)
     except PySparkException as error:

@@ -1,4 +1,6 @@
-"""Silver -> gold: recompute the four business tables."""
+"""Silver -> gold: recompute the business tables, all four or some of them."""
+
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -7,42 +9,54 @@ from retail_strata.operators.cleanse import latest_customers
 from retail_strata.operators.lineage import count_rows, stamp_processing
 from retail_strata.plans.bronze import StageResult
 from retail_strata.plans.side_by_side import side_by_side
-from retail_strata.plans.silver import read_silver
-from retail_strata.plans.tables import GOLD_SCHEMAS, Layers
+from retail_strata.plans.tables import CUSTOMERS, GOLD_SCHEMAS, PAYMENTS, PRODUCTS, SALES, Entity, Layers
+from retail_strata.sources.readers import read_parquet
 from retail_strata.sources.writers import overwrite_parquet, spread_for_write
 
+SUMMARY, METRICS, PERFORMANCE, PAYMENT_ANALYSIS = GOLD_SCHEMAS
+PARTITIONS = {SUMMARY: (), METRICS: ("state",), PERFORMANCE: ("category",), PAYMENT_ANALYSIS: ()}
 
-def build_gold(
-    spark: SparkSession, layers: Layers, dedup_scope: str = "batch"
-) -> dict[str, tuple[DataFrame, tuple[str, ...]]]:
-    """Each gold table with its partition columns.
+
+def build_table(spark: SparkSession, layers: Layers, table: str, dedup_scope: str = "batch") -> DataFrame:
+    """One gold table from the silver tables it needs.
 
     Silver may hold a customer once per run.  ``dedup_scope="batch"`` keeps one
     gold row for each of them; ``"table"`` keeps the newest version only.
     """
     if dedup_scope not in ("batch", "table"):
         raise ValueError(f"dedup_scope is 'batch' or 'table', not {dedup_scope!r}")
-    silver = read_silver(spark, layers)
-    customers, sales = silver["silver_customers"], silver["silver_sales"]
-    if dedup_scope == "table":
-        customers = latest_customers(customers)
-    summary, metrics, performance, payments = GOLD_SCHEMAS
-    return {
-        summary: (business.sales_summary(sales), ()),
-        metrics: (business.customer_metrics(customers, sales), ("state",)),
-        performance: (
-            business.product_performance(silver["silver_products"], sales, ranked=False), ("category",)
-        ),
-        payments: (business.payment_analysis(silver["silver_payments"]), ()),
-    }
+
+    def silver(entity: Entity) -> DataFrame:
+        return read_parquet(spark, f"{layers.silver}/{entity.silver_table}", entity.silver_schema)
+
+    if table == SUMMARY:
+        return business.sales_summary(silver(SALES))
+    if table == METRICS:
+        customers = silver(CUSTOMERS)
+        if dedup_scope == "table":
+            customers = latest_customers(customers)
+        return business.customer_metrics(customers, silver(SALES))
+    if table == PERFORMANCE:
+        return business.product_performance(silver(PRODUCTS), silver(SALES), ranked=False)
+    if table == PAYMENT_ANALYSIS:
+        return business.payment_analysis(silver(PAYMENTS))
+    raise ValueError(f"no gold table {table!r}")
+
+
+def build_gold(
+    spark: SparkSession, layers: Layers, dedup_scope: str = "batch", tables: Iterable[str] = tuple(GOLD_SCHEMAS)
+) -> dict[str, tuple[DataFrame, tuple[str, ...]]]:
+    """Each gold table, or those named, with its partition columns."""
+    return {table: (build_table(spark, layers, table, dedup_scope), PARTITIONS[table]) for table in tables}
 
 
 def aggregate_all(
-    spark: SparkSession, layers: Layers, dedup_scope: str = "batch", stamp: Column | None = None
+    spark: SparkSession, layers: Layers, dedup_scope: str = "batch", stamp: Column | None = None,
+    tables: Iterable[str] = tuple(GOLD_SCHEMAS),
 ) -> list[StageResult]:
-    """Overwrite the four gold tables.  The partitioned ones are not sorted before
-    the write, which would not keep the order; sort when reading."""
-    frames = build_gold(spark, layers, dedup_scope)
+    """Overwrite the gold tables, or those named.  The partitioned ones are not sorted
+    before the write, which would not keep the order; sort when reading."""
+    frames = build_gold(spark, layers, dedup_scope, tables)
 
     def overwrite(table: str) -> StageResult:
         frame, by = frames[table]

@@ -8,12 +8,13 @@ writes to the shared scratch folder and returns what it reads back.
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retail_strata import schemas
-from retail_strata.functions import quoted
+from retail_strata.functions import columns, quoted
 from retail_strata.operators import business
 from retail_strata.operators.cleanse import latest_customers
 from retail_strata.operators.incremental import high_water_mark, newer_than, newest_stamp
@@ -27,10 +28,10 @@ from retail_strata.plans.full import bronze_report, layer_report, run_all
 from retail_strata.plans.gold import aggregate_all, read_gold
 from retail_strata.plans.raw_views import RAW_VIEWS, star_table
 from retail_strata.plans.silver import read_silver, refine_all, refine_entity
-from retail_strata.plans.tables import CUSTOMERS, PAYMENTS, PRODUCTS, SALES, Entity, Layers
-from retail_strata.sources.readers import read_parquet
+from retail_strata.plans.tables import CUSTOMERS, GOLD_SCHEMAS, PAYMENTS, PRODUCTS, SALES, Entity, Layers
+from retail_strata.sources.readers import RAW_RECORD, read_parquet
 from retail_strata.sources.scratch import scratch_folder
-from retail_strata.sources.writers import append_parquet, overwrite_parquet, spread_for_write
+from retail_strata.sources.writers import append_parquet, overwrite_parquet, spread_for_write, write_json_lines
 from retail_strata.streaming.silver_stream import start_silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +78,13 @@ def gold_product_performance(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(business.product_performance(products, sales))
 
 
+def gold_product_performance_skewed(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of all sales are of one product and a third of none."""
+    products, sales = (_refined(e, spark, folder) for e in (PRODUCTS, SALES))
+    hot = F.expr("CASE quantity % 3 WHEN 0 THEN '7' WHEN 1 THEN NULL ELSE product_id END")
+    return comparable(business.product_performance(products, sales.withColumn("product_id", hot)))
+
+
 def gold_payment_analysis(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(business.payment_analysis(_refined(PAYMENTS, spark, folder)))
 
@@ -118,13 +126,52 @@ def _ingested(entity: Entity, spark: SparkSession, folder: str) -> DataFrame:
     return comparable(read_parquet(spark, result.path, entity.bronze_schema))
 
 
+def ingest_parquet_native(spark: SparkSession, folder: str) -> DataFrame:
+    """Payments with timestamp, decimal and long columns, then with the declared types:
+    two appends to one bronze table, each refined into silver."""
+    layers = _scratch_layers(spark, "parquet-native")
+    declared = raw_views.payments_raw(spark, folder)
+    native = declared.withColumns(columns(
+        payment_date="timestamp(payment_date)", amount="CAST(amount AS decimal(12,2))",
+        total_installments="bigint(total_installments)",
+    ))
+    for turn, payments in (("1", native), ("2", declared)):
+        overwrite_parquet(payments, f"{layers.raw}/{PAYMENTS.raw_file}")
+        ingest_file(
+            spark, layers, "parquet", PAYMENTS.raw_file, PAYMENTS.bronze_table,
+            f"ingest-{turn}", PAYMENTS.raw_schema,
+        )
+        refine_entity(spark, layers, PAYMENTS, f"refine-{turn}")
+    silver = read_parquet(spark, f"{layers.silver}/{PAYMENTS.silver_table}", PAYMENTS.silver_schema)
+    return comparable(silver)
+
+
+def ingest_dirty(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales with broken lines, cells of another type and an unknown field: bronze keeps
+    the text of each."""
+    layers = _scratch_layers(spark, "ingest-dirty")
+    lines = star_table(spark, folder, "orders").selectExpr(
+        """concat('{"order_id":"', o_orderkey, CASE o_orderkey % 10
+             WHEN 1 THEN '", oops'
+             WHEN 2 THEN '","quantity":"two"}'
+             WHEN 3 THEN '","quantity":3,"coupon":"x"}'
+             ELSE '","quantity":3}' END) AS value"""
+    )
+    lines.write.text(f"{layers.raw}/{SALES.raw_file}")
+    made = ingest_file(
+        spark, layers, "json", SALES.raw_file, SALES.bronze_table, "run-1", SALES.raw_schema
+    )
+    bronze = read_parquet(spark, made.path, T.StructType([*SALES.bronze_schema.fields]).add(RAW_RECORD, "string"))
+    return bronze.select("order_id", "quantity", RAW_RECORD)
+
+
 def partition_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_folder(spark, "partition-roundtrip")
     keys = ("order_year", "order_month")
     append_parquet(spread_for_write(_refined(SALES, spark, folder), keys), path, keys)
     kinds = {f.name: f for f in schemas.SILVER_SALES.fields}
-    columns = [*schemas.RAW_SALES.fieldNames(), *keys]
-    return comparable(read_parquet(spark, path, T.StructType([kinds[c] for c in columns])))
+    names = [*schemas.RAW_SALES.fieldNames(), *keys]
+    return comparable(read_parquet(spark, path, T.StructType([kinds[name] for name in names])))
 
 
 def append_history(spark: SparkSession, folder: str) -> DataFrame:
@@ -203,6 +250,24 @@ def incremental_runs(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(silver)
 
 
+def incremental_late_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest versions are ingested first and older ones second, some of them valid
+    behind an invalid newer one.  The first silver run takes both, the next two nothing."""
+    layers = _scratch_layers(spark, "late-versions")
+    versions = raw_views.customers_raw(spark, folder)
+    older = F.expr("bigint(customer_id) % 20 = 0 AND updated_at = '2024-01-01 00:00:00'")
+    for turn, part in (("1", versions.filter(~older)), ("2", versions.filter(older))):
+        write_json_lines(part, f"{layers.raw}/{CUSTOMERS.raw_file}")
+        ingest_file(
+            spark, layers, "json", CUSTOMERS.raw_file, CUSTOMERS.bronze_table,
+            f"ingest-{turn}", CUSTOMERS.raw_schema,
+        )
+    for turn in ("1", "2", "3"):
+        refine_entity(spark, layers, CUSTOMERS, f"refine-{turn}")
+    silver = read_parquet(spark, f"{layers.silver}/{CUSTOMERS.silver_table}", CUSTOMERS.silver_schema)
+    return comparable(silver)
+
+
 def dedup_latest(spark: SparkSession, folder: str) -> DataFrame:
     """Newest event of each user."""
     return latest_per_key(star_table(spark, folder, "events"), ["user_id"], ["ts", "event_id"])
@@ -255,6 +320,28 @@ def job_gold_counts(spark: SparkSession, folder: str) -> DataFrame:
     return row_counts(read_gold(spark, layers))
 
 
+def job_gold(table: str, spark: SparkSession, folder: str) -> DataFrame:
+    """A gold table as the whole run wrote it."""
+    layers, _ = _run(spark, folder, f"job-{table}")
+    return comparable(read_gold(spark, layers)[table])
+
+
+def job_retry(spark: SparkSession, folder: str) -> DataFrame:
+    """The first run fails as payments are missing, when the other tables are ingested;
+    repeated under its id it gives what one clean run gives."""
+    layers = _scratch_layers(spark, "job-retry")
+    for entity in (CUSTOMERS, PRODUCTS, SALES):
+        raw_views.write_raw_file(spark, folder, layers, entity)
+    try:
+        run_all(spark, layers, "run-1")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    raw_views.write_raw_file(spark, folder, layers, PAYMENTS)
+    run_all(spark, layers, "run-1")
+    return comparable(read_gold(spark, layers)["gold_sales_summary"])
+
+
 def layer_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     layers, _ = _run(spark, folder, "layer-row-counts")
     return layer_report(spark, layers)
@@ -303,6 +390,8 @@ QUERIES: dict[str, Query] = {
     "ingest_json_sales": partial(_ingested, SALES),
     "ingest_csv": partial(_ingested, PRODUCTS),
     "ingest_parquet": partial(_ingested, PAYMENTS),
+    "ingest_parquet_native": ingest_parquet_native,
+    "ingest_dirty": ingest_dirty,
     "partition_roundtrip": partition_roundtrip,
     "append_history": append_history,
     "overwrite_partitioned": overwrite_partitioned,
@@ -311,6 +400,7 @@ QUERIES: dict[str, Query] = {
     "high_water_mark": high_water_mark_of_events,
     "incremental_filter": incremental_filter,
     "incremental_runs": incremental_runs,
+    "incremental_late_versions": incremental_late_versions,
     "dedup_latest": dedup_latest,
     "silver_customers": partial(_silver, CUSTOMERS),
     "silver_products": partial(_silver, PRODUCTS),
@@ -321,6 +411,7 @@ QUERIES: dict[str, Query] = {
     "gold_customer_metrics_two_runs": gold_customer_metrics_two_runs,
     "gold_customer_metrics_newest": gold_customer_metrics_newest,
     "gold_product_performance": gold_product_performance,
+    "gold_product_performance_skewed": gold_product_performance_skewed,
     "gold_payment_analysis": gold_payment_analysis,
     "stream_silver_products": partial(stream_silver, PRODUCTS),
     "stream_silver_sales": partial(stream_silver, SALES),
@@ -328,6 +419,8 @@ QUERIES: dict[str, Query] = {
     "job_bronze_counts": job_bronze_counts,
     "job_silver_counts": job_silver_counts,
     "job_gold_counts": job_gold_counts,
+    **{f"job_{table}": partial(job_gold, table) for table in GOLD_SCHEMAS},
+    "job_retry": job_retry,
     "layer_row_counts": layer_row_counts,
     "ingestion_report": report_of_ingestions,
     "stage_counters": stage_counters,

@@ -1,33 +1,115 @@
-"""Scans.  Malformed input follows Spark's permissive mode: a broken JSON line
-gives a row of nulls and a bad CSV cell a null, which the silver checks reject."""
+"""Scans.
+
+With a declared schema, a raw record that the typed columns cannot hold in full is kept
+as text in ``raw_record``, which is null otherwise.  A broken line, a bad cell or an
+unknown column thus costs typed values, which the silver checks may reject, but never
+the record.
+"""
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from retail_strata.functions import quoted
+
+RAW_RECORD = "raw_record"
+_UNPARSED = "_unparsed_record"
+
+
+def _with_text(schema: T.StructType, *names: str) -> T.StructType:
+    return T.StructType([*schema.fields, *[T.StructField(name, T.StringType()) for name in names]])
+
+
+def _inferred(spark: SparkSession, path: str, kind: str, **options) -> DataFrame | None:
+    """The files by their own schema; None for a folder without a data file."""
+    try:
+        return spark.read.options(**options).format(kind).load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
 
-def read_json_lines(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(path)
+
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """JSON Lines.  With a schema, the lines that are no object, have a value of another
+    type or a field that is not declared stay in ``raw_record``."""
+    if schema is None:
+        return spark.read.json(path)
+    lines = spark.read.text(path).filter(F.col("value").rlike(r"\S"))
+    known = schema.fieldNames()
+    more = F.exists(F.json_object_keys("value"), lambda key: ~key.isin(known))
+    record = F.from_json("value", _with_text(schema, _UNPARSED), {"columnNameOfCorruptRecord": _UNPARSED})
+    unheld = F.col(f"r.{_UNPARSED}").isNotNull() | F.coalesce(more, F.lit(True))
+    return lines.select("value", record.alias("r")).select(
+        *[F.col(f"r.{quoted(name)}") for name in known], F.when(unheld, F.col("value")).alias(RAW_RECORD)
+    )
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header line.  With a schema the header is checked against it,
-    so a file with reordered columns fails instead of loading into the wrong ones."""
-    reader = spark.read.option("header", True)
+    so a file with reordered columns fails instead of loading into the wrong ones.
+
+    Columns that follow the declared ones go to ``raw_record`` as JSON; lines with a
+    bad cell or another number of cells as they are.
+    """
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.option("enforceSchema", False).schema(schema).csv(path)
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    header = _inferred(spark, path, "csv", header=True)
+    named = [] if header is None else header.columns
+    declared = [name.lower() for name in schema.fieldNames()]
+    agrees = [name.lower() for name in named[: len(declared)]] == declared
+    more = named[len(declared):] if agrees else []
+    rows = (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", _UNPARSED)
+        .schema(_with_text(schema, *more, _UNPARSED))
+        .csv(path)
+    )
+    record = F.col(_UNPARSED)
+    if more:
+        cells = F.to_json(F.struct(*[F.col(quoted(name)) for name in more]))
+        record = F.coalesce(record, F.nullif(cells, F.lit("{}")))
+    return rows.select(*schema.fieldNames(), record.alias(RAW_RECORD))
 
 
-def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet with its partition directories.  A schema fixes the types of the
     partition columns, which are otherwise guessed from the directory names."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 
 
-READERS = {"json": read_json_lines, "csv": read_csv, "parquet": read_parquet}
+def read_raw_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet by its own types, given in the declared ones.
+
+    Where a value does not survive the change of type, or the files have columns that
+    are not declared, ``raw_record`` holds the row as JSON.  A missing column fails.
+    """
+    if schema is None:
+        return read_parquet(spark, path)
+    own = _inferred(spark, path, "parquet")
+    if own is None:
+        own = read_parquet(spark, path, schema)
+    kinds = {f.name.lower(): f.dataType for f in own.schema.fields}
+    missing = [f.name for f in schema.fields if f.name.lower() not in kinds]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    held = F.lit(len(kinds) == len(schema.fields))
+    for field in schema.fields:
+        kind = kinds[field.name.lower()]
+        if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+            held = F.lit(False)
+        elif kind != field.dataType:
+            value = F.col(quoted(field.name))
+            held = held & value.try_cast(field.dataType).try_cast(kind).eqNullSafe(value)
+    record = F.to_json(F.struct(*[F.col(quoted(name)) for name in own.columns]))
+    typed = [F.col(quoted(f.name)).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    return own.select(*typed, F.when(~held, record).alias(RAW_RECORD))
+
+
+READERS = {"json": read_json_lines, "csv": read_csv, "parquet": read_raw_parquet}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -42,14 +124,9 @@ def written_by_stream(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_spark_metadata")
 
 
-def read_if_exists(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The table, or None when there is none yet: no such path or, without a schema
     to read an empty folder by, no data file in it.  Any other failure is raised."""
     if not path_exists(spark, path):
         return None
-    try:
-        return read_parquet(spark, path, schema)
-    except AnalysisException as error:
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return None
-        raise
+    return _inferred(spark, path, "parquet") if schema is None else read_parquet(spark, path, schema)
