@@ -188,6 +188,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return written(joined.mapInPandas(reach, "a bigint, b bigint"), "ngram-links")
 
 
+def _joined(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components of the links and of those ``found`` before."""
+    if found is not None:
+        links = links.union(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
+    return written(components(links, "ngram"), "ngram-components")
+
+
 def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
     """Postings with their ``component``, of lists that hold more than one, and the
     ``largest`` component of each list."""
@@ -253,7 +260,7 @@ def _placed(docs: DataFrame, words: int, percent: int, rounds: int) -> DataFrame
     postings = _postings(classes)
     met = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter("met > 1").select("shingle")
     shared = written(postings.join(written(met, "ngram-met"), "shingle", "left_semi"), "ngram-postings")
-    links = found = sets = None
+    found = sets = None
     long_lists = shared.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter(f"met >= {LONG_LIST}").select("shingle")
     long_lists = written(shared.join(written(long_lists, "ngram-long"), "shingle", "left_semi"), "ngram-long-lists")
     for turn in range(rounds):
@@ -264,13 +271,10 @@ def _placed(docs: DataFrame, words: int, percent: int, rounds: int) -> DataFrame
         pairs = written(_star_pairs(apart, turn, percent), "ngram-pairs")
         more = _sets(texts, classes, _ends(pairs) if sets is None else _ends(pairs).join(sets, "node", "left_anti"), words)
         sets = more if sets is None else sets.union(more)
-        new = _verified(pairs, sets, percent)
-        links = new if links is None else links.union(new)
-        found = written(components(links, "ngram"), "ngram-components")
+        found = _joined(found, _verified(pairs, sets, percent))
     pairs = written(_remaining_pairs(_apart(shared, found), percent), "ngram-pairs")
     sets = sets.union(_sets(texts, classes, _ends(pairs).join(sets, "node", "left_anti"), words))
-    links = links.union(_verified(pairs, sets, percent))
-    found = written(components(links, "ngram"), "ngram-components")
+    found = _joined(found, _verified(pairs, sets, percent))
 
     named = classes.select("set_id", "node").join(found.toDF("node", "component"), "node", "left")
     named = named.select("set_id", F.coalesce("component", "node").alias("component"))
