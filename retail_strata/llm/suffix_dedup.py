@@ -3,15 +3,17 @@
 Only suffixes at content-selected positions are kept: the least hash of ``GRAM`` words
 in every window of starts, so that any passage of ``least_words`` words has one in the
 same place wherever it occurs.  Suffixes whose first ``GRAM`` words occur once are
-dropped.  The others are sorted, each is compared with its neighbour and with the
-earliest document of the run of matches it stands in, and a match is extended word by
-word to the right and to the left.  Matches of at least ``least_words`` words between
-different documents are repeats; the document with the larger key (``doc_id``, nulls
-last, then a hash of the text) loses its copy, so that every passage stays somewhere.
-
-Suffixes of one key are one run in one task, which holds two of them at a time.  A key
-with more than ``HOT`` suffixes is dealt over several runs, and what is left of each
-meets in a second round.
+dropped.  Each of the others stands for the passages of exactly ``least_words`` words
+that select it, one for every number of words to its left.  Suffixes are sorted by
+their first words, then their passages by hash, so that all copies of a passage stand
+together whatever sorts around them.  A passage in different documents is a repeat;
+all but the one with the smallest key (``doc_id``, nulls last, then a hash of the text)
+lose their copies, so that every passage stays somewhere.  Longer repeats are their
+passages put together.
+
+A task holds the suffixes of one key, ``HOT`` at most, and one batch.  A key with more is
+dealt over several tasks and compared batch by batch; the first document of each
+passage there goes on to a second round, dealt by passage.
 
 Words are runs of characters that are no ASCII white space, A-Z in lower case.  Null
 texts have none.  Rows with equal ``doc_id`` and text count as one document, and all of
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_strata.llm.common import whole_text, workers_find_package, written
@@ -33,19 +35,34 @@ GRAM = 30
 HOT = 2000
 WORDS = re.compile(r"[^\t-\r ]+")
 MAX_BITS = 27
-RECORD = "key bigint, doc_id bigint, body bigint, pos int, before binary, after binary"
-FOUND = f"{RECORD}, first int, last int, cut boolean, carried boolean"
+RECORD = "key bigint, none boolean, doc bigint, body bigint, start int, passages binary"
+FOUND = "none boolean, doc bigint, body bigint, first int, last int, cut boolean, carried boolean, key bigint, passage bigint"
 
 
 def selected(grams: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the least hash (the first of equals) of every window of starts."""
+    """Position of the least hash (the first of equals) for every window of starts."""
     window = min(window, len(grams))
     least = np.lib.stride_tricks.sliding_window_view(grams, window).argmin(axis=1)
-    return np.unique(least + np.arange(len(least)))
+    return least + np.arange(len(least))
+
+
+def _edges(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before; the first one does."""
+    new = np.zeros(len(columns[0]), dtype=bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
+def _ends(first: np.ndarray, n: int) -> np.ndarray:
+    """The last place of each of the groups of n rows that begin at ``first``."""
+    return np.append(first[1:], n)[: len(first)] - 1
 
 
 def _suffixes(texts: list[str], least_words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(place of the text, its word hashes, positions, keys) of texts that are long enough."""
+    """(place of the text, its word hashes, for each suffix the first passage that
+    selects it, keys) of texts that are long enough."""
     for part in groups(texts):
         hashes, bounds = word_hashes(texts[part])
         grams = gram_hashes(hashes, GRAM)
@@ -53,7 +70,8 @@ def _suffixes(texts: list[str], least_words: int) -> Iterator[tuple[int, np.ndar
             if b - a >= least_words:
                 own = grams[a : b - GRAM + 1]
                 at = selected(own, least_words - GRAM + 1)
-                yield part.start + i, hashes[a:b], at, own[at].view(np.int64)
+                first = np.flatnonzero(_edges(at))
+                yield part.start + i, hashes[a:b], first, own[at[first]].view(np.int64)
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
@@ -71,14 +89,13 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
 
 
 def _records(docs: DataFrame, least_words: int) -> DataFrame:
-    """The suffixes that share their first words with another, with the words around
-    them that can decide whether a match is long enough, nearest first, and how many
+    """The suffixes that share their first words with another, with the hashes of their
+    passages (the first begins at word ``start``, each next one word later), and how many
     suffixes have the ``key``."""
-    reach = least_words - GRAM
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [k for _, _, _, k in _suffixes(list(batch["text"]), least_words)]
+            found = [k for *_, k in _suffixes(list(batch["text"]), least_words)]
             yield pd.DataFrame({"key": np.concatenate(found) if found else np.zeros(0, np.int64)})
 
     counts = docs.mapInPandas(keys, "key bigint").groupBy("key").agg(F.count(F.lit(1)).alias("members"))
@@ -90,121 +107,88 @@ def _records(docs: DataFrame, least_words: int) -> DataFrame:
         size = np.uint64(len(bitmap) * 32 - 1)
         for batch in batches:
             rows = []
-            ids, bodies = list(batch["doc_id"]), list(batch["body"])
-            for i, words, at, key in _suffixes(list(batch["text"]), least_words):
+            names = list(zip(batch["none"], batch["doc"], batch["body"]))
+            for i, words, first, key in _suffixes(list(batch["text"]), least_words):
                 slot = key.view(np.uint64) & size
                 set_bit = bitmap[(slot >> np.uint64(5)).astype(np.int64)] >> (slot & np.uint64(31)).astype(np.uint32) & 1
-                short = (words >> np.uint64(32)).astype("<u4")
-                for pos, k in zip(at[set_bit == 1], key[set_bit == 1]):
-                    end = pos + GRAM
-                    rows.append((
-                        k, ids[i], bodies[i], pos, short[max(0, pos - reach) : pos][::-1].tobytes(),
-                        short[end : end + reach].tobytes(),
-                    ))
-            out = pd.DataFrame(rows, columns=["key", "doc_id", "body", "pos", "before", "after"])
-            out["doc_id"] = pd.array([None if pd.isna(k) else int(k) for k in out["doc_id"]], dtype="Int64")
-            yield out
+                on = np.flatnonzero(set_bit)
+                if not len(on):
+                    continue
+                passages = gram_hashes(words, least_words)
+                last = _ends(first, len(passages))
+                for k, a, b in zip(key[on].tolist(), first[on].tolist(), last[on].tolist()):
+                    rows.append((k, *names[i], a, passages[a : b + 1].tobytes()))
+            yield pd.DataFrame(rows, columns=["key", "none", "doc", "body", "start", "passages"])
 
     return written(docs.mapInPandas(around, RECORD).join(counts, "key"), "suffix-records")
 
 
-def _common(a: bytes, b: bytes) -> int:
-    """Equal words at the start of two contexts."""
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n // 4
-    return next(i // 4 for i in range(0, n, 4) if a[i : i + 4] != b[i : i + 4])
-
-
-class _Scan:
-    """Sorted suffixes, one after another.  ``owner`` is the smallest document of the
-    current run of matches; ``shown`` how far its copy has been reported."""
-
-    def __init__(self, least_words: int):
-        self.need = least_words - GRAM
-        self.group = self.last = self.owner = None
-        self.shown = (-1, -1)
-        self.carry = False
-        self.rows: list[tuple] = []
-
-    @staticmethod
-    def _order(record) -> tuple:
-        return (record.doc_id is None, record.doc_id or 0, record.body)
-
-    def _match(self, a, b) -> tuple[int, int] | None:
-        if a is None or self._order(a) == self._order(b):
-            return None
-        left, right = _common(a.before, b.before), _common(a.after, b.after)
-        return (left, right) if left + right >= self.need else None
-
-    def _report(self, record, match: tuple[int, int], cut: bool) -> None:
-        self.rows.append((
-            None, record.doc_id, record.body, record.pos, None, None,
-            record.pos - match[0], record.pos + GRAM + match[1], cut, False,
-        ))
-
-    def _end_run(self) -> None:
-        if self.carry and self.owner is not None:
-            o = self.owner
-            self.rows.append((o.key, o.doc_id, o.body, o.pos, o.before, o.after, None, None, None, True))
-
-    def feed(self, record, group: tuple, carry: bool) -> None:
-        if group != self.group:
-            self._end_run()
-            self.group, self.carry, self.last, self.owner, self.shown = group, carry, None, None, (-1, -1)
-        with_owner = self._match(self.owner, record)
-        with_last = None if self.last is self.owner else self._match(self.last, record)
-        if with_last:
-            first, second = sorted((self.last, record), key=self._order)
-            self._report(first, with_last, cut=False)
-            self._report(second, with_last, cut=True)
-        if with_owner and self._order(record) < self._order(self.owner):
-            self._report(self.owner, with_owner, cut=True)
-            self._report(record, with_owner, cut=False)
-            self.owner, self.shown = record, with_owner
-        elif with_owner:
-            self._report(record, with_owner, cut=True)
-            if with_owner[0] > self.shown[0] or with_owner[1] > self.shown[1]:
-                self._report(self.owner, with_owner, cut=False)
-                self.shown = tuple(map(max, self.shown, with_owner))
-        elif with_last:
-            self._end_run()
-            self.owner, self.shown = min(self.last, record, key=self._order), with_last
-        elif self.owner is None or self._order(self.owner) != self._order(record):
-            self._end_run()
-            self.owner, self.shown = record, (-1, -1)
-        self.last = record
-
-    def take(self) -> pd.DataFrame:
-        names = [kind.split()[0] for kind in FOUND.split(", ")]
-        out = pd.DataFrame(self.rows, columns=names)
-        for name in ("key", "doc_id", "first", "last"):
-            out[name] = pd.array(out[name].tolist(), dtype="Int64")
-        self.rows = []
-        return out
-
-
-def _compared(records: DataFrame, least_words: int, salted: bool) -> DataFrame:
-    parts = F.ceil(F.col("members") / HOT) if salted else F.lit(1)
-    salt = F.pmod(F.xxhash64("doc_id", "body"), parts).cast("int")
-    dealt = records.withColumns({"salt": salt, "carry": F.lit(salted) & (F.col("members") > HOT)})
-    dealt = dealt.repartition("key", "salt").sortWithinPartitions("key", "salt", "after", "doc_id", "body", "pos")
+def _met(records: pd.DataFrame, least_words: int) -> pd.DataFrame:
+    """Repeats among some suffixes.  Of a hot key, the first document of each passage is
+    ``carried``, as it may meet a smaller one elsewhere."""
+    passage = np.frombuffer(b"".join(records["passages"]), dtype=np.int64)
+    sizes = records["passages"].str.len().to_numpy(dtype=np.int64) // 8
+    row = np.repeat(np.arange(len(records)), sizes)
+    start = records["start"].to_numpy()[row] + np.arange(len(row)) - (np.cumsum(sizes) - sizes)[row]
+    key, hot = records["key"].to_numpy()[row], (records["members"] > HOT).to_numpy()[row]
+    none, doc, body = (records[c].to_numpy() for c in ("none", "doc", "body"))
+    order = np.lexsort((body, doc, none))
+    place = np.empty(len(records), dtype=np.int64)
+    place[order] = np.cumsum(_edges(none[order], doc[order], body[order]))
+    place = place[row]
+
+    by = np.lexsort((start, place, passage, key))
+    new = _edges(key[by], passage[by])
+    first = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    owner, other = place[by][first][group], place[by][_ends(first, len(by))][group]
+    repeated, cut, again = (np.zeros(len(by), dtype=bool) for _ in range(3))
+    repeated[by], cut[by] = owner != other, owner != place[by]
+    again[by] = ~_edges(key[by], passage[by], place[by], start[by])
+
+    # Neighbouring passages of a suffix with one fate are one span.
+    fate = repeated + cut.astype(np.int8)
+    begin = np.flatnonzero(_edges(row, fate))
+    end = _ends(begin, len(row))
+    told = fate[begin] > 0
+    begin, end = begin[told], end[told]
+    kept = np.flatnonzero(hot & ~cut & ~again)
+    at, last = np.concatenate([begin, kept]), np.concatenate([end, kept])
+    return pd.DataFrame({
+        "none": none[row[at]], "doc": doc[row[at]], "body": body[row[at]],
+        "first": start[at], "last": start[last] + least_words, "cut": cut[at],
+        "carried": np.arange(len(at)) >= len(begin), "key": key[at], "passage": passage[at],
+    })
+
+
+def _compared(records: DataFrame, least_words: int) -> DataFrame:
+    salt = F.pmod(F.xxhash64("doc", "body"), F.ceil(F.col("members") / HOT)).cast("int")
+    dealt = records.withColumn("salt", salt)
+    dealt = dealt.repartition("key", "salt").sortWithinPartitions("key", "salt").drop("salt")
 
     def scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scan = _Scan(least_words)
+        held = None
         for batch in batches:
-            batch["doc_id"] = pd.Series([None if pd.isna(k) else int(k) for k in batch["doc_id"]], dtype=object)
-            for record in batch.itertuples():
-                scan.feed(record, (record.key, record.salt), record.carry)
-            if scan.rows:
-                yield scan.take()
-        scan._end_run()
-        if scan.rows:
-            yield scan.take()
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if len(rows):
+                # The last key may go on in the next batch.  A hot one meets again later.
+                going_on = (rows["key"] == rows["key"].iloc[-1]) & (rows["members"] <= HOT)
+                held = rows[going_on]
+                yield _met(rows[~going_on], least_words)
+        if held is not None:
+            yield _met(held, least_words)
 
     return written(dealt.mapInPandas(scanned, FOUND), "suffix-found")
 
 
+def _carried(found: DataFrame) -> DataFrame:
+    """The second round, a few rows a passage: dealt by passage, not by key."""
+    same = Window.partitionBy("key", "passage")
+    name = F.struct("none", "doc", "body")
+    met = found.filter("carried").withColumns({"owner": F.min(name).over(same), "other": F.max(name).over(same)})
+    return met.filter("owner != other").withColumn("cut", name != F.col("owner"))
+
+
 def _with_key(docs: DataFrame) -> DataFrame:
     """Rows with the ``body`` hash that tells texts of one ``doc_id`` apart."""
     return docs.withColumn("body", F.xxhash64(whole_text()))
@@ -214,13 +198,16 @@ def repeated_passages(docs: DataFrame, least_words: int = 50) -> DataFrame:
     """``doc_id``, ``body`` (hash of the text) and ``passages``: from word ``first`` up to
     word ``last``, and whether that copy is to be ``cut``; documents with repeats only."""
     workers_find_package(docs.sparkSession)
-    texts = _with_key(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")))
-    records = _records(texts, least_words)
-    found = _compared(records, least_words, salted=True)
-    left = found.filter("carried").select("key", "doc_id", "body", "pos", "before", "after")
-    again = _compared(left.withColumn("members", F.lit(1)), least_words, salted=False)
-    spans = found.union(again).filter("NOT carried").select("doc_id", "body", "first", "last", "cut").distinct()
-    return spans.groupBy("doc_id", "body").agg(F.collect_list(F.struct("first", "last", "cut")).alias("passages"))
+    doc_id = F.col("doc_id").cast("bigint")
+    texts = _with_key(docs.select(
+        doc_id.isNull().alias("none"), F.coalesce(doc_id, F.lit(0)).cast("bigint").alias("doc"), whole_text().alias("text")
+    ))
+    found = _compared(_records(texts, least_words), least_words)
+    columns = ["none", "doc", "body", "first", "last", "cut"]
+    spans = found.filter("NOT carried").select(*columns).union(_carried(found).select(*columns))
+    passages = F.collect_set(F.struct("first", "last", "cut")).alias("passages")
+    named = spans.groupBy("none", "doc", "body").agg(passages)
+    return named.select(F.when(~F.col("none"), F.col("doc")).alias("doc_id"), "body", "passages")
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
