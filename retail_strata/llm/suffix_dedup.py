@@ -36,7 +36,7 @@ HOT = 2000
 WORDS = re.compile(r"[^\t-\r ]+")
 MAX_BITS = 27
 RECORD = "key bigint, none boolean, doc bigint, body bigint, start int, passages binary"
-FOUND = "none boolean, doc bigint, body bigint, first int, last int, cut boolean, carried boolean, key bigint, passage bigint"
+FOUND = "none boolean, doc bigint, body bigint, first int, last int, cut boolean, key bigint, passage bigint, starts array<int>"
 
 
 def selected(grams: np.ndarray, window: int) -> np.ndarray:
@@ -124,8 +124,8 @@ def _records(docs: DataFrame, least_words: int) -> DataFrame:
 
 
 def _met(records: pd.DataFrame, least_words: int) -> pd.DataFrame:
-    """Repeats among some suffixes.  Of a hot key, the first document of each passage is
-    ``carried``, as it may meet a smaller one elsewhere."""
+    """Repeats among some suffixes; and of a hot key, for each passage its first document
+    and where it ``starts`` there, as it may meet a smaller one elsewhere."""
     passage = np.frombuffer(b"".join(records["passages"]), dtype=np.int64)
     sizes = records["passages"].str.len().to_numpy(dtype=np.int64) // 8
     row = np.repeat(np.arange(len(records)), sizes)
@@ -152,13 +152,19 @@ def _met(records: pd.DataFrame, least_words: int) -> pd.DataFrame:
     end = _ends(begin, len(row))
     told = fate[begin] > 0
     begin, end = begin[told], end[told]
-    kept = np.flatnonzero(hot & ~cut & ~again)
-    at, last = np.concatenate([begin, kept]), np.concatenate([end, kept])
-    return pd.DataFrame({
+    # One row a passage that is carried, however often its document holds it.
+    kept = by[(hot & ~cut & ~again)[by]]
+    split = np.flatnonzero(_edges(key[kept], passage[kept]))
+    one = kept[split]
+    at, last = np.concatenate([begin, one]), np.concatenate([end, one])
+    out = pd.DataFrame({
         "none": none[row[at]], "doc": doc[row[at]], "body": body[row[at]],
         "first": start[at], "last": start[last] + least_words, "cut": cut[at],
-        "carried": np.arange(len(at)) >= len(begin), "key": key[at], "passage": passage[at],
+        "key": key[at], "passage": passage[at],
     })
+    starts = np.split(start[kept].astype(np.int32), split[1:])[: len(one)]
+    out["starts"] = pd.Series([None] * len(begin) + starts, dtype=object)
+    return out
 
 
 def _compared(records: DataFrame, least_words: int) -> DataFrame:
@@ -181,12 +187,14 @@ def _compared(records: DataFrame, least_words: int) -> DataFrame:
     return written(dealt.mapInPandas(scanned, FOUND), "suffix-found")
 
 
-def _carried(found: DataFrame) -> DataFrame:
-    """The second round, a few rows a passage: dealt by passage, not by key."""
+def _carried(found: DataFrame, least_words: int) -> DataFrame:
+    """The second round: dealt by passage, not by key; a row a passage and batch."""
     same = Window.partitionBy("key", "passage")
     name = F.struct("none", "doc", "body")
-    met = found.filter("carried").withColumns({"owner": F.min(name).over(same), "other": F.max(name).over(same)})
-    return met.filter("owner != other").withColumn("cut", name != F.col("owner"))
+    met = found.filter("starts IS NOT NULL")
+    met = met.withColumns({"owner": F.min(name).over(same), "other": F.max(name).over(same)}).filter("owner != other")
+    first = met.select("none", "doc", "body", F.explode("starts").alias("first"), (name != F.col("owner")).alias("cut"))
+    return first.withColumn("last", F.col("first") + least_words)
 
 
 def _with_key(docs: DataFrame) -> DataFrame:
@@ -204,7 +212,7 @@ def repeated_passages(docs: DataFrame, least_words: int = 50) -> DataFrame:
     ))
     found = _compared(_records(texts, least_words), least_words)
     columns = ["none", "doc", "body", "first", "last", "cut"]
-    spans = found.filter("NOT carried").select(*columns).union(_carried(found).select(*columns))
+    spans = found.filter("starts IS NULL").select(*columns).union(_carried(found, least_words).select(*columns))
     passages = F.collect_set(F.struct("first", "last", "cut")).alias("passages")
     named = spans.groupBy("none", "doc", "body").agg(passages)
     return named.select(F.when(~F.col("none"), F.col("doc")).alias("doc_id"), "body", "passages")

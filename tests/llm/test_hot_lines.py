@@ -4,7 +4,9 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from retail_strata.llm import suffix_dedup as sd
 from retail_strata.llm.suffix_dedup import deduplicated
 
 LINE = [f"line{i}" for i in range(45)]
@@ -36,3 +38,29 @@ def test_matches_that_need_the_left_context(spark, count):
         old = table.text[b].split(" ")
         assert out.text[a] == table.text[a]
         assert out.text[b].split() == old[: 30 - before] + old[75 + after :]
+
+
+def carried(spark, texts: list[str]) -> pd.DataFrame:
+    """Rows of the second round: how many of each key and of each passage."""
+    docs = spark.createDataFrame(pd.DataFrame({"doc": range(len(texts)), "text": texts}))
+    docs = sd._with_key(docs.withColumn("none", F.lit(False)))
+    found = sd._compared(sd._records(docs, 50), 50).filter("starts IS NOT NULL").select("key", "passage").toPandas()
+    return found.groupby("key").size().max(), found.groupby(["key", "passage"]).size().max()
+
+
+def test_second_round_of_a_hot_key_is_dealt_by_passage(spark):
+    table, _ = documents(2, 3000)
+    of_key, of_passage = carried(spark, list(table.text))
+    assert of_key >= 3000
+    assert of_passage <= 4
+
+
+def test_a_line_many_times_in_each_document(spark):
+    line = " ".join(f"line{i}" for i in range(10))
+    texts = [f"own{i} " + " ".join([line] * 60) for i in range(100)]
+    _, of_passage = carried(spark, texts)
+    assert of_passage <= 10  # one for each batch and chunk, not for each of the 55 places
+    out = deduplicated(spark.createDataFrame(pd.DataFrame({"doc_id": range(100), "text": texts}))).toPandas()
+    left = dict(zip(out.doc_id, out.text))
+    assert left[0] == texts[0]
+    assert all(left[i].strip() == f"own{i}" for i in range(1, 100))
