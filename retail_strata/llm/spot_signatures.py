@@ -4,8 +4,9 @@ The most frequent short words of the collection are the anchors.  Each occurrenc
 anchor gives a signature: the anchor and the next ``chain`` words that are no anchors.
 A document's fingerprint is the sorted set of its signatures' hashes; a document
 without any uses its words instead.  Two fingerprints are compared by Jaccard
-similarity, which cannot exceed the ratio of their lengths; sets are partitioned by
-length on that ground, and pairs whose lengths rule out a likeness are not intersected.
+similarity, which cannot exceed the ratio of their lengths: with a threshold, pairs
+whose lengths rule out a likeness are not intersected.  Pairs are given; there is no
+search for likely ones and no partition by length.
 
 Only Spark's own functions are used.  A null text is empty; the fingerprint of a text
 without words is empty, and equal only to another empty one (likeness 1).  Repeated
