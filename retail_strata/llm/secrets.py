@@ -3,11 +3,15 @@
 Two character Markov models, of random strings and of ordinary identifiers, give the
 logarithm of a likelihood ratio for every pair of neighbouring characters.  They are
 trained from labelled samples: the values that the fixed patterns find, and the other
-words of the same texts.  A run of key characters whose mean ratio per pair reaches a
-threshold is a secret, unless it touches one found by a fixed pattern.
+words of the same texts.  What fixed patterns leave of a run of key characters is a
+secret as a whole if its mean ratio per pair reaches a threshold.  If not, its stretches
+of ``LEAST`` characters and more that do are: each goes from where the sum of ratios above
+the threshold leaves zero to its highest point, and ends when the sum is back at zero or
+has fallen by ``DROP``.  Pairs with a separator, which ordinary words do not have, count
+as a ratio of zero there.
 
 Only Spark's own functions are used.  A null text is empty and has no span; a run of
-digits alone is no secret; equal rows give equal results; with no text to learn from
+digits alone, or a stretch without a letter, is no secret; equal rows give equal results; with no text to learn from
 only the fixed patterns find anything.  Positions are code points, end exclusive.
 """
 
@@ -31,6 +35,8 @@ KEY_RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+"
 KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")  # in any text that ASSIGN matches
 WORD = r"[A-Za-z][A-Za-z0-9_]{3,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
+LEAST = 16
+DROP = 10.0
 STEP = 256
 SHARE_STEPS = 1_000_000
 
@@ -143,19 +149,64 @@ def train_secrets(docs: DataFrame, sample_docs: int = 4000, threshold: float = 1
     )
 
 
-def _mean_ratio(string: Column, model: SecretModel) -> Column:
-    """Mean log-likelihood ratio over the pairs of a string of key characters."""
-    ratios = F.lit(list(model.ratios))
-    places = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    start = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum"))
-    walked = F.aggregate(
-        F.filter(places, lambda p: p >= 0), start,
-        lambda state, p: F.struct(
-            p.alias("last"),
-            (state["sum"] + F.when(state["last"] >= 0, F.get(ratios, state["last"] * len(ALPHABET) + p)).otherwise(0.0)).alias("sum"),
+PLACES = "array<struct<start:bigint,end:bigint>>"
+
+
+def _parts(run: Column, fixed: Column) -> Column:
+    """Places in the text of what base spans, by start, leave of a run."""
+    place = lambda start, end: F.array(F.struct(start.alias("start"), end.alias("end")))
+    left = F.aggregate(
+        F.filter(fixed, lambda s: (s["start"] < run["end"]) & (run["start"] < s["end"])),
+        F.struct(run["start"].alias("at"), F.array().cast(PLACES).alias("parts")),
+        lambda state, s: F.struct(
+            F.greatest(state["at"], s["end"]).alias("at"),
+            F.when(s["start"] > state["at"], F.concat(state["parts"], place(state["at"], s["start"])))
+            .otherwise(state["parts"]).alias("parts"),
         ),
+        lambda state: F.concat(state["parts"], place(state["at"], run["end"])),
+    )
+    return F.filter(left, lambda p: p["end"] - p["start"] >= LEAST)
+
+
+def _random_places(string: Column, model: SecretModel) -> Column:
+    """Places of the secrets in a string of key characters."""
+    ratios, size = model.ratios, len(ALPHABET)
+    plain = [c.isalnum() or c == "_" for c in ALPHABET]
+    above = [
+        (r if plain[i // size] and plain[i % size] else 0.0) - model.threshold for i, r in enumerate(ratios)
+    ]
+    n = F.length(string).cast("bigint")
+    places = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    pairs = F.zip_with(
+        F.slice(places, F.lit(1), F.length(string) - 1), F.slice(places, F.lit(2), F.length(string) - 1),
+        lambda a, b: a * size + b,
+    )
+    total = F.aggregate(pairs, F.lit(0.0), lambda t, p: t + F.get(F.lit(list(ratios)), p))
+    whole = ~string.rlike("^[0-9]+$") & (total / (n - 1) >= model.threshold)
+
+    def state(at, first, last, sum_, best, out):
+        named = {"at": at, "first": first, "last": last, "sum": sum_, "best": best, "out": out}
+        return F.struct(*[c.alias(name) for name, c in named.items()])
+
+    def told(s):
+        one = F.array(F.struct(s["first"].alias("start"), s["last"].alias("end")))
+        return F.when(s["last"] - s["first"] >= LEAST, F.concat(s["out"], one)).otherwise(s["out"])
+
+    def step(s, gain):
+        after = s["sum"] + gain
+        at = s["at"] + 1  # of the pair's second character
+        return F.when((after <= 0) | (after < s["best"] - DROP), state(at, at, at + 1, F.lit(0.0), F.lit(0.0), told(s))).when(
+            after > s["best"], state(at, s["first"], at + 1, after, after, s["out"])
+        ).otherwise(state(at, s["first"], s["last"], after, s["best"], s["out"]))
+
+    zero = F.lit(0).cast("bigint")
+    begin = state(zero, zero, zero + 1, F.lit(0.0), F.lit(0.0), F.array().cast(PLACES))
+    stretches = F.aggregate(F.transform(pairs, lambda p: F.get(F.lit(above), p)), begin, step, told)
+    lettered = F.filter(
+        stretches,
+        lambda p: F.substring(string, (p["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int")).rlike("[A-Za-z]"),
     )
-    return walked["sum"] / F.greatest(F.length(string) - 1, F.lit(1))
+    return F.when(whole, F.array(F.struct(zero.alias("start"), n.alias("end")))).otherwise(lettered)
 
 
 def find_secrets(docs: DataFrame, model: SecretModel) -> DataFrame:
@@ -168,14 +219,22 @@ def find_secrets(docs: DataFrame, model: SecretModel) -> DataFrame:
     fixed = F.concat("assign", "access", "hex")
     if not model.ratios:
         return base.withColumn("spans", F.array_sort(fixed)).drop("_text", "_runs")
-    random = F.filter(
-        "_runs",
-        lambda run: ~run["value"].rlike("^[0-9]+$")
-        & ~F.exists(F.col("_fixed"), lambda s: (s["start"] < run["end"]) & (run["start"] < s["end"]))
-        & (_mean_ratio(run["value"], model) >= model.threshold),
-    )
+    cut = lambda value, start, end: F.substring(value, (start + 1).cast("int"), (end - start).cast("int"))
+
+    def secrets(run: Column) -> Column:
+        def of_part(part: Column) -> Column:
+            value = cut(run["value"], part["start"] - run["start"], part["end"] - run["start"])
+            return F.transform(_random_places(value, model), lambda p: F.struct(
+                (part["start"] + p["start"]).alias("start"), F.lit(len(BASE)).alias("rank"),
+                (part["start"] + p["end"]).alias("end"), F.lit(KINDS[-1]).alias("kind"),
+                cut(value, p["start"], p["end"]).alias("value"),
+            ))
+
+        return F.flatten(F.transform(_parts(run, F.col("_fixed")), of_part))
+
+    random = F.flatten(F.transform("_runs", secrets))
     random = F.when(F.size("_runs") > 0, random).otherwise(F.array().cast(f"array<{SPAN}>"))
-    found = base.withColumn("_fixed", fixed).withColumn("spans", F.array_sort(F.concat("_fixed", random)))
+    found = base.withColumn("_fixed", F.array_sort(fixed)).withColumn("spans", F.array_sort(F.concat("_fixed", random)))
     return found.drop("_text", "_runs", "_fixed")
 
 
