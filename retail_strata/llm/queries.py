@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retail_strata.llm.alignment import align_tokenizers
 from retail_strata.llm.common import whole_text
 from retail_strata.llm.embedding_links import embedding_links
+from retail_strata.llm.hard_negatives import hard_negatives
 from retail_strata.llm.language import held_out, predict_languages, train_languages
+from retail_strata.llm.mixing import mix
 from retail_strata.llm.ngram_join import ngram_join
 from retail_strata.llm.packing import pack
 from retail_strata.llm.secrets import find_secrets, span_text, train_secrets
@@ -107,6 +110,26 @@ def op10_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
     return linked.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokenizers(table(spark, folder, "documents"), BYTE_BPE, PIECES)
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Components become whole numbers; those of 2^22 and more leave their row out."""
+    rows = table(spark, folder, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>"))
+    small = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float(1 << 22)))
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (bigint(label) + 1) % 10 ELSE bigint(label) END")
+    return hard_negatives(rows.filter(small).select(
+        "vec_id", label.alias("label"), F.coalesce(F.col("vec_id") % 50 == 0, F.lit(False)).alias("anchor"),
+        F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x)).alias("vector"),
+    ))
+
+
+def op13_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_token_counts": op2_token_counts,
@@ -118,5 +141,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_word_bpe": op9_word_bpe,
     "op10_embedding_links": op10_embedding_links,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_source_mix": op13_source_mix,
+}
+ORACLES: dict[str, str] = {
+    "op12_hard_negatives": """
+        with rows as (
+          select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+          from embeddings
+          where label is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scored as (
+          select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+            cast(list_dot_product(a.v, b.v) as bigint) as score
+          from rows a, rows b where a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+        positives as (
+          select anchor_id, other_id as positive_id, score as positive_score from (
+            select *, row_number() over (partition by anchor_id order by score desc, other_id) as place
+            from scored where same)
+          where place <= 5)
+        select anchor_id, positive_id, cast(place as integer) as rank, negative_id, positive_score, negative_score
+        from (
+          select p.*, n.other_id as negative_id, n.score as negative_score,
+            row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.other_id) as place
+          from positives p join scored n on p.anchor_id = n.anchor_id and not n.same
+            and 50 * p.positive_score <= 100 * n.score and 100 * n.score <= 95 * p.positive_score)
+        where place <= 3""",
 }
-ORACLES: dict[str, str] = {}
