@@ -12,6 +12,10 @@ from retail_strata.functions.measures import mean
 from retail_strata.operators.hot_keys import SLICE, find_hot_keys, left_join_unique, slices_of
 
 
+PROFILE = ["customer_id", "name", "email", "city", "state"]
+OFFER = ["product_id", "product_name", "category", "price", "stock_quantity"]
+
+
 def sales_summary(sales: DataFrame) -> DataFrame:
     """Orders, customers and revenue per month and status, in that order.  The
     distinct count is spread by customer before it is added up per month."""
@@ -44,8 +48,7 @@ def customer_metrics(customers: DataFrame, sales: DataFrame) -> DataFrame:
     Silver holds a customer at most once per run, so no key can be hot on the
     customer side, and the sales side has one row per customer by then.
     """
-    profile = customers.select("customer_id", "name", "email", "city", "state")
-    return profile.join(spending_per_customer(sales), "customer_id", "left")
+    return customers.select(*PROFILE).join(spending_per_customer(sales), "customer_id", "left")
 
 
 def turnover_per_product(sales: DataFrame) -> DataFrame:
@@ -67,7 +70,7 @@ def product_performance(
     and unsold last; product id and slice as further keys let Spark cut the many
     rows of equal or no revenue into several sort ranges.
     """
-    offer = products.select("product_id", "product_name", "category", "price", "stock_quantity")
+    offer = products.select(*OFFER)
     slices = slices_of(offer) if slices is None else slices
     hot = find_hot_keys(offer, "product_id", slices)
     joined = left_join_unique(offer, turnover_per_product(sales), "product_id", hot, slices)

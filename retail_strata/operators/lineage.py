@@ -36,3 +36,13 @@ def count_rows(df: DataFrame, counter: Observation) -> DataFrame:
     the generated code in two and has every row copied.
     """
     return df.observe(counter, F.count(F.lit(1)).alias("rows"))
+
+
+def observe_ingestion(stamped: DataFrame, seen: Observation) -> DataFrame:
+    """Count the rows that are written and note their first and last stamps and dates."""
+    micros = F.unix_micros("ingestion_timestamp")
+    return stamped.observe(
+        seen, F.count(F.lit(1)).alias("rows_written"),
+        F.min(micros).alias("first_micros"), F.max(micros).alias("last_micros"),
+        F.min("ingestion_date").alias("first_date"), F.max("ingestion_date").alias("last_date"),
+    )

@@ -191,14 +191,18 @@ def _bronze(entity: str, raw_format: str, run_id: str = "run-1") -> str:
     )
 
 
-def _two_silver_runs(entity: str, raw_format: str) -> str:
+def _silver_runs(entity: str, raw_format: str, turns) -> str:
     return " union all ".join(
         f"select *, 'ingest-{turn}' as ingestion_id, '{entity}.{raw_format}' as source_file, "
         f"'refine-{turn}' as processing_id from ({_silver(entity)})"
-        for turn in (1, 2)
+        for turn in turns
     )
 
 
+def _two_silver_runs(entity: str, raw_format: str) -> str:
+    return _silver_runs(entity, raw_format, (1, 2))
+
+
 # Feeds -----------------------------------------------------------------------
 
 
@@ -334,6 +338,8 @@ ORACLES: dict[str, str] = {
         "select *, 'ingest-1' as ingestion_id, 'customers.json' as source_file, "
         f"'refine-1' as processing_id from ({_silver('customers')})"
     ),
+    "run_log_resume": _over(_two_silver_runs("payments", "parquet")),
+    "incremental_overlapping_runs": _over(_silver_runs("payments", "parquet", (1, 2, 3))),
     "dedup_latest": """
         select * exclude (place) from (
           select *, row_number() over (partition by user_id order by ts desc, event_id desc) as place
@@ -345,6 +351,7 @@ ORACLES: dict[str, str] = {
           from (select * replace (case quantity % 3 when 0 then '7' when 1 then null else product_id end
               as product_id) from silver_sales)""")),
     **{f"job_{g}": _over(f"select * from {g}") for g in _GOLD},
+    **{g.replace("gold_", "gold_incremental_", 1): _over(f"select * from {g}") for g in _GOLD},
     "job_retry": _over("select * from gold_sales_summary"),
     "gold_customer_metrics_two_runs": _over(
         "select * from gold_customer_metrics union all select * from gold_customer_metrics"

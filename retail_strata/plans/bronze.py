@@ -1,4 +1,4 @@
-"""Raw files -> bronze: read, stamp, append."""
+"""Raw files -> bronze: read, stamp, append, log."""
 
 from dataclasses import dataclass
 
@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from retail_strata.operators.lineage import count_rows, stamp_ingestion
+from retail_strata.operators.lineage import observe_ingestion, stamp_ingestion
+from retail_strata.plans.run_log import RunLog, adopt
 from retail_strata.plans.side_by_side import side_by_side
 from retail_strata.plans.tables import ENTITIES, Entity, Layers
 from retail_strata.schemas import INGESTION_STAMPS
@@ -23,6 +24,16 @@ class StageResult:
     rows: dict[str, int]
 
 
+def bronze_log(spark: SparkSession, layers: Layers, table: str) -> RunLog:
+    """The table's run log, written first for a table that was filled without one."""
+    log = RunLog(spark, layers.bronze, table)
+    if not log.exists():
+        filled = read_if_exists(spark, f"{layers.bronze}/{table}", INGESTION_STAMPS)
+        if filled is not None:
+            adopt(spark, log, filled)
+    return log
+
+
 def ingest_file(
     spark: SparkSession, layers: Layers, raw_format: str, source_file: str, table: str,
     run_id: str, schema: StructType | None = None, stamp: Column | None = None,
@@ -32,21 +43,48 @@ def ingest_file(
     With one, records that it does not hold in full stay as text in ``raw_record``.
 
     One pass and no shuffle: the rows are counted while they are written.  A run
-    has one ingestion date, so every task writes to one partition folder.
+    has one ingestion date, so every task writes to one partition folder.  Silver takes
+    the rows once their end is in the run log.
     """
     raw = READERS[raw_format](spark, f"{layers.raw}/{source_file}", schema)
-    written = Observation(f"{table} written")
-    stamped = stamp_ingestion(raw, run_id, source_file, stamp)
-    path = f"{layers.bronze}/{table}"
-    append_parquet(count_rows(stamped, written), path, by=("ingestion_date",))
-    return StageResult(table, path, {"written": written.get["rows"]})
-
-
-def holds_run(spark: SparkSession, path: str, run_id: str) -> bool:
-    """Whether the bronze table has rows of the run.  The id is constant within a file,
-    so files of other runs are passed over by their footers."""
-    table = read_if_exists(spark, path, INGESTION_STAMPS)
-    return table is not None and not table.filter(F.col("ingestion_id") == run_id).isEmpty()
+    path, log = f"{layers.bronze}/{table}", bronze_log(spark, layers, table)
+    attempt = log.start(run_id, [{"ingestion_id": run_id, "source_file": source_file}])
+    written = _append(stamp_ingestion(raw, run_id, source_file, stamp), path)
+    log.finish(attempt, run_id, [{"ingestion_id": run_id, "source_file": source_file, **written}])
+    return StageResult(table, path, {"written": written["rows_written"]})
+
+
+def _append(stamped: DataFrame, path: str) -> dict:
+    seen = Observation(f"{path} written")
+    append_parquet(observe_ingestion(stamped, seen), path, by=("ingestion_date",))
+    return seen.get
+
+
+def resume_ingestion(
+    spark: SparkSession, layers: Layers, entity: Entity, run_id: str, attempt: str
+) -> StageResult | None:
+    """Complete an ingestion that broke off: append the raw records that are not there
+    yet, if some are, and write its end.  None when nothing of it had landed."""
+    path, log = f"{layers.bronze}/{entity.bronze_table}", RunLog(spark, layers.bronze, entity.bronze_table)
+    named = {"ingestion_id": run_id, "source_file": entity.raw_file}
+    raw = READERS[entity.raw_format](spark, f"{layers.raw}/{entity.raw_file}", entity.raw_schema)
+    schema = StructType([*raw.schema.fields, *INGESTION_STAMPS.fields])
+    table = read_if_exists(spark, path, schema)
+    landed = None if table is None else table.filter(
+        (F.col("ingestion_id") == run_id) & (F.col("source_file") == entity.raw_file)
+    )
+    if landed is None or landed.isEmpty():
+        log.abandon(attempt, run_id, [named])
+        return None
+    micros = landed.agg(F.max(F.unix_micros("ingestion_timestamp"))).first()[0]
+    missing = raw.exceptAll(landed.select(*raw.columns))
+    added = _append(stamp_ingestion(missing, run_id, entity.raw_file, F.timestamp_micros(F.lit(micros))), path)
+    whole = Observation(f"{path} of {run_id}")
+    observe_ingestion(read_parquet(spark, path, schema).filter(
+        (F.col("ingestion_id") == run_id) & (F.col("source_file") == entity.raw_file)
+    ), whole).write.format("noop").mode("overwrite").save()
+    log.finish(attempt, run_id, [{**named, **whole.get}])
+    return StageResult(entity.bronze_table, path, {"written": added["rows_written"]})
 
 
 def ingest_all(
@@ -54,14 +92,22 @@ def ingest_all(
 ) -> list[StageResult]:
     """Customers, products, sales and payments.
 
-    If one fails, the others are still appended.  A table that already holds the run is
-    left as it is, so repeating the ingestion under its ``run_id`` completes it.
+    If one fails, the others are still appended.  A table whose log has the run's end is
+    left as it is and one it broke off in is completed, so repeating the ingestion under
+    its ``run_id`` completes it and takes nothing twice.
     """
 
     def ingest(e: Entity) -> StageResult:
         path = f"{layers.bronze}/{e.bronze_table}"
-        if holds_run(spark, path, run_id):
-            return StageResult(e.bronze_table, path, {"written": 0})
+        log = bronze_log(spark, layers, e.bronze_table)
+        if log.exists():
+            if log.has_finished(run_id):
+                return StageResult(e.bronze_table, path, {"written": 0})
+            for broken in log.broken_off():
+                if broken.run_id == run_id:
+                    done = resume_ingestion(spark, layers, e, run_id, broken.attempt)
+                    if done is not None:
+                        return done
         return ingest_file(
             spark, layers, e.raw_format, e.raw_file, e.bronze_table, run_id, e.raw_schema, stamp
         )

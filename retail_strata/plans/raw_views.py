@@ -97,10 +97,14 @@ RAW_VIEWS = {
 }
 
 
-def write_raw_file(spark: SparkSession, folder: str, layers: Layers, entity: Entity) -> None:
+def write_raw(rows: DataFrame, layers: Layers, entity: Entity) -> None:
     """The raw file of one entity, in the format its job reads."""
     writers = {"json": write_json_lines, "csv": write_csv, "parquet": overwrite_parquet}
-    writers[entity.raw_format](RAW_VIEWS[entity.name](spark, folder), f"{layers.raw}/{entity.raw_file}")
+    writers[entity.raw_format](rows, f"{layers.raw}/{entity.raw_file}")
+
+
+def write_raw_file(spark: SparkSession, folder: str, layers: Layers, entity: Entity) -> None:
+    write_raw(RAW_VIEWS[entity.name](spark, folder), layers, entity)
 
 
 def write_raw_files(spark: SparkSession, folder: str, layers: Layers) -> None:

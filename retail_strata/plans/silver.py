@@ -1,44 +1,116 @@
-"""Bronze -> silver: take what is new, refine it, append it."""
+"""Bronze -> silver: take what is new, refine it, append it, log it."""
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from retail_strata.operators.incremental import batch_high_water_mark, newer_than
+from retail_strata.operators.incremental import batch_high_water_mark
 from retail_strata.operators.lineage import count_rows, stamp_processing
-from retail_strata.plans.bronze import StageResult
+from retail_strata.operators.run_log import rows_of
+from retail_strata.plans.bronze import StageResult, bronze_log
+from retail_strata.plans.run_log import RunLog, as_frame, days_of, ingestion_keys, waiting
 from retail_strata.plans.side_by_side import side_by_side
 from retail_strata.plans.tables import ENTITIES, Entity, Layers
 from retail_strata.sources.readers import read_if_exists, read_parquet, written_by_stream
 from retail_strata.sources.writers import append_parquet, spread_for_write
 
 
+def silver_log(spark: SparkSession, layers: Layers, entity: Entity) -> RunLog:
+    """The table's run log, written first for a table that was filled without one: what
+    its mark says it took."""
+    log = RunLog(spark, layers.silver, entity.silver_table)
+    if not log.exists():
+        path = f"{layers.silver}/{entity.silver_table}"
+        mark = batch_high_water_mark(read_if_exists(spark, path, entity.silver_schema))
+        if mark is not None:
+            taken = [i for i in waiting(bronze_log(spark, layers, entity.bronze_table), log) if i["last_micros"] <= mark]
+            if taken:
+                log.finish(log.start("adopted", taken), "adopted", taken)
+    return log
+
+
+def bronze_rows(spark: SparkSession, layers: Layers, entity: Entity, ingestions: list[dict]) -> DataFrame:
+    """Bronze rows of the given ingestions; only the partitions of their dates are opened."""
+    bronze = read_parquet(spark, f"{layers.bronze}/{entity.bronze_table}", entity.bronze_schema)
+    ids = sorted({i["ingestion_id"] for i in ingestions})
+    bronze = bronze.filter(F.col("ingestion_date").isin(days_of(ingestions)) & F.col("ingestion_id").isin(ids))
+    return rows_of(bronze, as_frame(spark, ingestions))
+
+
+def silver_batch(
+    spark: SparkSession, layers: Layers, entity: Entity, run_id: str, ingestions: list[dict],
+    stamp: Column | None = None,
+) -> DataFrame:
+    """The silver rows of a batch: the same ones whenever the batch is made again."""
+    refined = entity.refine(bronze_rows(spark, layers, entity, ingestions))
+    bound = max(i["last_micros"] for i in ingestions)
+    stamped = stamp_processing(refined, run_id, stamp)
+    return stamped.withColumn("batch_mark", F.timestamp_micros(F.lit(bound)))
+
+
+def _append(batch: DataFrame, path: str, entity: Entity) -> int:
+    written = Observation(f"{entity.name} written")
+    laid_out = count_rows(spread_for_write(batch, entity.silver_partitions), written)
+    append_parquet(laid_out, path, by=entity.silver_partitions)
+    return written.get["rows"]
+
+
+def _complete(
+    spark: SparkSession, layers: Layers, entity: Entity, log: RunLog, stamp: Column | None
+) -> None:
+    """End the attempts that broke off.  Their rows are looked for by the ingestions they
+    took; what is missing of a batch that has landed in part is made again and appended."""
+    broken: dict[str, list] = {}
+    for entry in log.broken_off():
+        broken.setdefault(entry.attempt, []).append(entry)
+    path = f"{layers.silver}/{entity.silver_table}"
+    for attempt, entries in broken.items():
+        run_id, ingestions = entries[0].run_id, ingestion_keys(entries)
+        silver = read_if_exists(spark, path, entity.silver_schema)
+        landed = None if silver is None else rows_of(silver, as_frame(spark, ingestions))
+        if landed is None or landed.isEmpty():
+            log.abandon(attempt, run_id, ingestions)
+            continue
+        names = [f.name for f in entity.silver_schema.fields if f.name not in ("processing_timestamp", "processing_id")]
+        # An empty partition value reads back as null.
+        kinds = dict(silver_batch(spark, layers, entity, run_id, ingestions, stamp).dtypes)
+        empty = {p: F.nullif(F.col(p), F.lit("")) for p in entity.silver_partitions if kinds[p] == "string"}
+        whole = silver_batch(spark, layers, entity, run_id, ingestions, stamp).withColumns(empty).select(*names)
+        missing = stamp_processing(whole.exceptAll(landed.select(*names)), run_id, stamp)
+        there = landed.count()
+        written = there + _append(missing, path, entity)
+        log.finish(attempt, run_id, [{**i, "rows_written": written} for i in ingestions])
+
+
 def refine_entity(
     spark: SparkSession, layers: Layers, entity: Entity, run_id: str, stamp: Column | None = None
 ) -> StageResult | None:
-    """Refine the bronze rows newer than silver's mark; None when there are none.
+    """Refine the bronze ingestions that silver has not taken; None when there are none.
 
-    If every new row is rejected, silver and its mark stay as they are and the
-    next run reads the same rows again.  Counting the new rows reads the stamp
-    column alone, or only file footers on a first run; both the count and the
-    refinement see the files listed when bronze was opened.
+    What waits is told by the run logs of both layers: neither silver nor bronze's
+    history is opened, and an ingestion counts as taken by its own key, whenever it was
+    stamped and whenever it landed.  An attempt that broke off is completed first, under
+    its own id.  One silver run a table at a time.
+
+    If every new row is rejected, silver and its log stay as they are and the next run
+    reads the same rows again.
     """
     path = f"{layers.silver}/{entity.silver_table}"
     if written_by_stream(spark, path):
         raise ValueError(f"{path} is fed by a stream; go on with the stream")
-    mark = batch_high_water_mark(read_if_exists(spark, path, entity.silver_schema))
-    bronze = read_parquet(spark, f"{layers.bronze}/{entity.bronze_table}", entity.bronze_schema)
-    fresh = newer_than(bronze, mark)
-    newest = F.max(F.unix_micros("ingestion_timestamp"))
-    read, bound = fresh.agg(F.count(F.lit(1)), newest).first()
-    if read == 0:
+    source, log = bronze_log(spark, layers, entity.bronze_table), silver_log(spark, layers, entity)
+    if not source.exists():  # fails as any missing table does
+        read_parquet(spark, f"{layers.bronze}/{entity.bronze_table}", entity.bronze_schema)
+    if log.exists():
+        _complete(spark, layers, entity, log, stamp)
+    ingestions = waiting(source, log)
+    if not ingestions:
         return None
-    refined = stamp_processing(entity.refine(fresh), run_id, stamp)
-    refined = refined.withColumn("batch_mark", F.timestamp_micros(F.lit(bound)))
-    written = Observation(f"{entity.name} written")
-    laid_out = count_rows(spread_for_write(refined, entity.silver_partitions), written)
-    append_parquet(laid_out, path, by=entity.silver_partitions)
-    rows = {"read": read, "written": written.get["rows"]}
-    return StageResult(entity.silver_table, path, rows)
+    attempt = log.start(run_id, ingestions)
+    written = _append(silver_batch(spark, layers, entity, run_id, ingestions, stamp), path, entity)
+    end = log.finish if written else log.abandon
+    end(attempt, run_id, [{**i, "rows_written": written} for i in ingestions])
+    read = sum(i["rows_read"] for i in ingestions)
+    return StageResult(entity.silver_table, path, {"read": read, "written": written})
 
 
 def refine_all(

@@ -22,12 +22,14 @@ from retail_strata.operators.latest import latest_per_key
 from retail_strata.operators.lineage import stamp_ingestion
 from retail_strata.operators.reports import row_counts
 from retail_strata.plans import raw_views
-from retail_strata.plans.bronze import StageResult, ingest_all, ingest_file, read_bronze
+from retail_strata.plans.bronze import StageResult, bronze_log, ingest_all, ingest_file, read_bronze
 from retail_strata.plans.feeds import feed_customers, feed_products, feed_sales
 from retail_strata.plans.full import bronze_report, layer_report, run_all
 from retail_strata.plans.gold import aggregate_all, read_gold
+from retail_strata.plans.gold_increments import fold_entity, incremental_gold
 from retail_strata.plans.raw_views import RAW_VIEWS, star_table
-from retail_strata.plans.silver import read_silver, refine_all, refine_entity
+from retail_strata.plans.run_log import waiting
+from retail_strata.plans.silver import read_silver, refine_all, refine_entity, silver_batch, silver_log
 from retail_strata.plans.tables import CUSTOMERS, GOLD_SCHEMAS, PAYMENTS, PRODUCTS, SALES, Entity, Layers
 from retail_strata.sources.readers import RAW_RECORD, read_parquet
 from retail_strata.sources.scratch import scratch_folder
@@ -53,6 +55,10 @@ def _scratch_layers(spark: SparkSession, purpose: str) -> Layers:
     return Layers.under(scratch_folder(spark, purpose))
 
 
+def _silver_table(spark: SparkSession, layers: Layers, entity: Entity) -> DataFrame:
+    return read_parquet(spark, f"{layers.silver}/{entity.silver_table}", entity.silver_schema)
+
+
 # Silver and gold, straight from the raw views.
 
 
@@ -268,6 +274,45 @@ def incremental_late_versions(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(silver)
 
 
+def run_log_resume(spark: SparkSession, folder: str) -> DataFrame:
+    """A silver run ends after a part of its rows and before the end of its log entry.  The
+    next run completes it under its own id and then takes the ingestion that came since."""
+    layers = _scratch_layers(spark, "run-log-resume")
+    overwrite_parquet(raw_views.payments_raw(spark, folder), f"{layers.raw}/{PAYMENTS.raw_file}")
+
+    def ingest(run_id: str) -> None:
+        ingest_file(
+            spark, layers, "parquet", PAYMENTS.raw_file, PAYMENTS.bronze_table, run_id, PAYMENTS.raw_schema
+        )
+
+    ingest("ingest-1")
+    log = silver_log(spark, layers, PAYMENTS)
+    batch = waiting(bronze_log(spark, layers, PAYMENTS.bronze_table), log)
+    log.start("refine-1", batch)
+    part = silver_batch(spark, layers, PAYMENTS, "refine-1", batch).filter("crc32(payment_id) % 3 = 0")
+    append_parquet(part, f"{layers.silver}/{PAYMENTS.silver_table}", PAYMENTS.silver_partitions)
+    ingest("ingest-2")
+    for run_id in ("refine-2", "refine-3"):
+        refine_entity(spark, layers, PAYMENTS, run_id)
+    return comparable(_silver_table(spark, layers, PAYMENTS))
+
+
+def incremental_overlapping_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Three ingestions of one table: the second is stamped before the first and lands
+    after silver took it, the third has the same stamp as the second.  None is hidden,
+    none is taken twice."""
+    layers = _scratch_layers(spark, "overlapping-runs")
+    overwrite_parquet(raw_views.payments_raw(spark, folder), f"{layers.raw}/{PAYMENTS.raw_file}")
+    for turn, stamp in (("1", "2024-05-06 12:00:00"), ("2", "2024-05-05 10:00:00"), ("3", "2024-05-05 10:00:00")):
+        ingest_file(
+            spark, layers, "parquet", PAYMENTS.raw_file, PAYMENTS.bronze_table, f"ingest-{turn}",
+            PAYMENTS.raw_schema, F.lit(stamp).cast("timestamp"),
+        )
+        for run_id in (f"refine-{turn}", f"idle-{turn}"):
+            refine_entity(spark, layers, PAYMENTS, run_id)
+    return comparable(_silver_table(spark, layers, PAYMENTS))
+
+
 def dedup_latest(spark: SparkSession, folder: str) -> DataFrame:
     """Newest event of each user."""
     return latest_per_key(star_table(spark, folder, "events"), ["user_id"], ["ts", "event_id"])
@@ -362,6 +407,36 @@ def report_of_ingestions(spark: SparkSession, folder: str) -> DataFrame:
     return bronze_report(spark, layers)
 
 
+def _in_three_batches(spark: SparkSession, folder: str, purpose: str, entities, after) -> Layers:
+    """A third of each raw view at a time, by key: ingested, refined, and ``after`` called."""
+    layers = _scratch_layers(spark, purpose)
+    for turn in range(3):
+        for entity in entities:
+            whole = RAW_VIEWS[entity.name](spark, folder)
+            part = whole.filter(F.pmod(F.crc32(whole.columns[0]), F.lit(3)) == turn)
+            raw_views.write_raw(part, layers, entity)
+            ingest_file(
+                spark, layers, entity.raw_format, entity.raw_file, entity.bronze_table, f"ingest-{turn}",
+                entity.raw_schema,
+            )
+            refine_entity(spark, layers, entity, f"refine-{turn}")
+        after(layers)
+    return layers
+
+
+def gold_incremental(table: str, spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches, each folded into the states of gold when it is there."""
+    needed = {"gold_sales_summary": (SALES,), "gold_customer_metrics": (CUSTOMERS, SALES),
+              "gold_product_performance": (PRODUCTS, SALES), "gold_payment_analysis": (PAYMENTS,)}[table]
+
+    def fold(layers: Layers) -> None:
+        for entity in needed:
+            fold_entity(spark, layers, entity)
+
+    layers = _in_three_batches(spark, folder, f"incremental-{table}", needed, fold)
+    return comparable(incremental_gold(spark, layers, table))
+
+
 # Feeds, sized by the given tables.
 
 
@@ -401,6 +476,8 @@ QUERIES: dict[str, Query] = {
     "incremental_filter": incremental_filter,
     "incremental_runs": incremental_runs,
     "incremental_late_versions": incremental_late_versions,
+    "run_log_resume": run_log_resume,
+    "incremental_overlapping_runs": incremental_overlapping_runs,
     "dedup_latest": dedup_latest,
     "silver_customers": partial(_silver, CUSTOMERS),
     "silver_products": partial(_silver, PRODUCTS),
@@ -420,6 +497,7 @@ QUERIES: dict[str, Query] = {
     "job_silver_counts": job_silver_counts,
     "job_gold_counts": job_gold_counts,
     **{f"job_{table}": partial(job_gold, table) for table in GOLD_SCHEMAS},
+    **{f"gold_incremental_{t.removeprefix('gold_')}": partial(gold_incremental, t) for t in GOLD_SCHEMAS},
     "job_retry": job_retry,
     "layer_row_counts": layer_row_counts,
     "ingestion_report": report_of_ingestions,

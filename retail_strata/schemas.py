@@ -44,6 +44,14 @@ INGESTION_STAMPS = _struct(
 PROCESSING_STAMPS = _struct(processing_timestamp=_STAMP, processing_id=_STRING, batch_mark=_STAMP)
 
 
+#: Stamps as microseconds since 1970: the same in every session time zone.
+RUN_LOG = _struct(
+    attempt=_STRING, run_id=_STRING, state=_STRING, ingestion_id=_STRING, source_file=_STRING,
+    first_micros=_LONG, last_micros=_LONG, first_date=_DATE, last_date=_DATE, rows_read=_LONG,
+    rows_written=_LONG, logged_micros=_LONG,
+)
+
+
 def _evolve(base: T.StructType, *more: T.StructType, **changed: T.DataType) -> T.StructType:
     """``base`` with some types replaced, then new and extra columns appended."""
     kinds = {f.name: f.dataType for f in base.fields}
