@@ -127,6 +127,16 @@ def source_targets(classes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), mos
     return placed.withColumn("target", target).drop("cap")
 
 
+def _round(last: bool):
+    """One node of the tree: the open shares of its buckets settled together."""
+    names = [field.split(" ")[0] for field in OPEN.split(", ")]
+
+    def together(group: pd.DataFrame) -> pd.DataFrame:
+        return _rounded(group, last)[names]
+
+    return together
+
+
 def _tree(first: DataFrame, largest: int, seed: int) -> DataFrame:
     """``source_no``, ``bucket`` and ``share`` of the open classes, one a bucket, settled
     in rounds of ``FAN`` buckets each; every round is a written table."""
@@ -136,12 +146,8 @@ def _tree(first: DataFrame, largest: int, seed: int) -> DataFrame:
         level, nodes = level + 1, -(-nodes // FAN)
         last = nodes <= 1
         placed = waiting.withColumn("node", F.expr(f"node div {FAN}")).withColumn("draw", _draw(seed + level))
-        names = [field.split(" ")[0] for field in OPEN.split(", ")]
-
-        def together(group: pd.DataFrame, last: bool = last, names: list[str] = names) -> pd.DataFrame:
-            return _rounded(group, last)[names]
-
-        rounded = written(placed.groupBy("source_no", "node").applyInPandas(together, OPEN), f"mix-round-{level}")
+        rounded = placed.groupBy("source_no", "node").applyInPandas(_round(last), OPEN)
+        rounded = written(rounded, f"mix-round-{level}")
         done.append(rounded.filter("share = 0 OR share = 1"))
         if last:
             break
