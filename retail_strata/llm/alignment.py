@@ -21,17 +21,17 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, groupby
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_strata.llm.byte_tokens import ByteTokens
+from retail_strata.llm.byte_tokens import ByteTokens, gathered
 from retail_strata.llm.common import workers_find_package, written
-from retail_strata.llm.token_counts import byte_symbols
 
 HEAVY = 131_072
 TOGETHER = 400_000  # characters
@@ -57,6 +57,7 @@ class Pieces:
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
         self.bytes = [self._bytes(p) for p in pieces]
+        self.length = np.array(list(map(len, self.bytes)), dtype=np.int64)
         self.by_words = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
 
     @staticmethod
@@ -64,52 +65,75 @@ class Pieces:
         byte = BYTE_PIECE.fullmatch(piece)
         return bytes([int(byte[1], 16)]) if byte else piece.replace(SPACE, " ").encode()
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of each text; None where their bytes are not those of a space and the text."""
         plain = [self.by_words and not (t[:1] == " " or t[-1:] == " " or "  " in t or SPACE in t) for t in texts]
-        cut = [t.split(" ") for t, is_plain in zip(texts, plain) if is_plain]
-        words = pa.array(chain.from_iterable(cut), type=pa.string()).dictionary_encode()
-        of_word = self.library.encode(words.dictionary.to_pylist(), num_threads=1) if len(words) else []
-        code = words.indices.to_numpy()
-        flat, ends = _gathered(of_word, code)
-        text_ends = np.concatenate([[0], ends])[np.cumsum([0, *map(len, cut)])]
-        by_words = iter(np.split(flat, text_ends[1:-1])) if cut else iter(())
-        others = iter(self.library.encode([t for t, is_plain in zip(texts, plain) if not is_plain], num_threads=1))
-        return [next(by_words) if is_plain else np.array(next(others), dtype=np.int64) for is_plain in plain]
-
-
-def _gathered(lists: list[list[int]], code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The lists in the order of ``code``, one after another, and where each ends."""
-    counts = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-    flat = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=counts.sum())
-    firsts = np.cumsum(counts) - counts
-    lengths = counts[code]
-    ends = np.cumsum(lengths)
-    return flat[np.repeat(firsts[code] - ends + lengths, lengths) + np.arange(lengths.sum())], ends
+        by_words = iter(self._by_words([t for t, is_plain in zip(texts, plain) if is_plain]))
+        whole = [t for t, is_plain in zip(texts, plain) if not is_plain]
+        others = iter(list(map(self._checked, whole, self.library.encode(whole, num_threads=1))))
+        return [next(by_words) if is_plain else next(others) for is_plain in plain]
+
+    def _checked(self, text: str, ids: list[int]) -> np.ndarray | None:
+        same = b"".join(map(self.bytes.__getitem__, ids)) == (" " + text).encode()
+        return np.array(ids, dtype=np.int64) if same else None
+
+    def _by_words(self, texts: list[str]) -> list[np.ndarray | None]:
+        if not texts:
+            return []
+        parts = pc.split_pattern(pa.array(texts, type=pa.large_string()), " ")
+        starts = parts.offsets.to_numpy()
+        words = parts.flatten().dictionary_encode()
+        code, distinct = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        of_word = self.library.encode(distinct, num_threads=1)
+        offsets = np.cumsum([0, *map(len, of_word)], dtype=np.int64)
+        ids = np.fromiter(chain.from_iterable(of_word), dtype=np.int64, count=offsets[-1])
+        # All bytes in one comparison; the words that break it are looked for if some do.
+        broken = np.zeros(len(distinct), dtype=bool)
+        spaced = [(" " + word).encode() for word in distinct]
+        ends = np.concatenate([[0], np.cumsum(self.length[ids])])[offsets[1:]]
+        same_ends = (ends == np.cumsum(list(map(len, spaced)))).all()
+        if not (same_ends and b"".join(map(self.bytes.__getitem__, ids.tolist())) == b"".join(spaced)):
+            broken = np.array([self._checked(w, found) is None for w, found in zip(distinct, of_word)])
+        flat, ends = gathered(ids, offsets, code)
+        text_ends = np.concatenate([[0], ends])[starts]
+        lost = np.add.reduceat(broken[code].astype(np.int64), starts[:-1]) > 0
+        return [None if gone else flat[a:b] for gone, a, b in zip(lost, text_ends[:-1], text_ends[1:])]
 
 
 class Aligner:
     def __init__(self, byte_path: str, piece_path: str):
         self.a, self.b = ByteTokens(byte_path), Pieces(piece_path)
         self.a.library.encode_special_tokens = True  # their strings are plain text
-        byte_of = byte_symbols()
         size = self.a.library.get_vocab_size(with_added_tokens=True)
-        entries = [self.a.library.id_to_token(i) for i in range(size)]
-        self.a_bytes = [b"" if t is None else bytes(byte_of.get(c, 0) for c in t) for t in entries]
-        self.a_length, self.b_length = (np.array(list(map(len, x)), dtype=np.int64) for x in (self.a_bytes, self.b.bytes))
+        entries = [self.a.library.id_to_token(i) or "" for i in range(size)]
+        self.a_length = np.array(list(map(len, entries)), dtype=np.int64)  # a character for each byte
+        self.b_length = self.b.length
+        self.a_digits, self.b_digits = Digits(len(self.a_length)), Digits(len(self.b_length))
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both; none where the bytes do not come out as they went in."""
+        """Ids of both; none where the bytes do not come out as they went in.  A's tokens
+        are cut out of the text's bytes, less those without an entry, so that they are
+        the same bytes if they are as many."""
         spaced = [" " + t for t in texts]
         found = []
         for text, a, b in zip(spaced, self.a.encode(spaced), self.b.encode(texts)):
-            a, whole = np.frombuffer(a, dtype="<u4").astype(np.int64), text.encode()
-            same = all(
-                b"".join(map(table.__getitem__, ids.tolist())) == whole for table, ids in ((self.a_bytes, a), (self.b.bytes, b))
-            )
-            found.append((a, b) if same and text != " " else (a[:0], b[:0]))
+            a = np.frombuffer(a, dtype="<u4").astype(np.int64)
+            same = b is not None and text != " " and self.a_length[a].sum() == len(text.encode())
+            found.append((a, b) if same else (a[:0], a[:0]))
         return found
 
 
+class Digits:
+    """Decimal digits of every id, as rows of bytes with room for a sign behind them."""
+
+    def __init__(self, size: int):
+        texts = [str(i).encode() for i in range(size)]
+        self.length = np.array(list(map(len, texts)), dtype=np.int64)
+        self.width = int(self.length.max()) + 1
+        padded = b"".join(t.ljust(self.width) for t in texts)
+        self.rows = np.frombuffer(padded, dtype=np.uint8).reshape(size, self.width)
+
+
 def components(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each token of A and of B the place of its component's last token, A's tokens
     counted first.  Both lists of ends are ascending and end alike."""
@@ -124,31 +148,58 @@ def components(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.n
         after = jumped
 
 
-def _groups_text(a: np.ndarray, b: np.ndarray, label_a: np.ndarray, label_b: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``"""
-    sides = (
-        [",".join(str(i) for _, i in part) for _, part in groupby(zip(label.tolist(), ids.tolist()), lambda x: x[0])]
-        for label, ids in ((label_a, a), (label_b, b))
-    )
-    return ";".join(map("|".join, zip(*sides)))
-
-
-def align(ids: list[tuple[np.ndarray, np.ndarray]], length_a: np.ndarray, length_b: np.ndarray) -> list[tuple]:
-    """For each text: labels of A's tokens, of B's tokens, and the places (in A, in B)
-    of tokens that end together.  All texts are worked on in one array."""
-    a, b = (np.concatenate([pair[i] for pair in ids]) if ids else np.zeros(0, np.int64) for i in (0, 1))
-    ends_a, ends_b = np.cumsum(length_a[a]), np.cumsum(length_b[b])
+def group_texts(
+    a: np.ndarray, b: np.ndarray, label_a: np.ndarray, label_b: np.ndarray, last_of_text: np.ndarray,
+    digits_a: Digits, digits_b: Digits,
+) -> tuple[bytes, np.ndarray]:
+    """``a1,a2|b1;a3|b2,b3`` for all texts one after another, and where each token of B
+    ends in it.  A token's place follows from the tokens of both sides before it."""
+    groups, of_b = np.unique(label_b, return_inverse=True)
+    of_a = np.searchsorted(groups, label_a)
+    many_a, many_b = (np.bincount(x, minlength=len(groups)) for x in (of_a, of_b))
+    place_a = np.arange(len(a)) + (np.cumsum(many_b) - many_b)[of_a]
+    place_b = np.arange(len(b)) + np.cumsum(many_a)[of_b]
+    width = max(digits_a.width, digits_b.width)
+    rows, length = np.zeros((len(a) + len(b), width), dtype=np.uint8), np.zeros(len(a) + len(b), dtype=np.int64)
+    for place, ids, digits in ((place_a, a, digits_a), (place_b, b, digits_b)):
+        rows[place, : digits.width] = digits.rows[ids]
+        length[place] = digits.length[ids]
+    sign = np.full(len(rows), ord(","), dtype=np.uint8)
+    sign[place_a[np.cumsum(many_a) - 1]] = ord("|")
+    sign[place_b[np.cumsum(many_b) - 1]] = ord(";")
+    rows[np.arange(len(rows)), length] = sign
+    length += 1
+    length[place_b[last_of_text]] -= 1
+    text = rows[np.arange(width) < length[:, None]].tobytes()
+    return text, np.cumsum(length)[place_b]
+
+
+def align(ids: list[tuple[np.ndarray, np.ndarray]], both: Aligner) -> list[tuple]:
+    """For each text: its groups, the linked ids of A and of B, and the digest of its
+    groups.  All texts are worked on in one array."""
+    size_b = np.array([len(b) for _, b in ids], dtype=np.int64)
+    a, b = (np.concatenate([np.zeros(0, np.int64), *[pair[i] for pair in ids]]) for i in (0, 1))
+    if not len(a):
+        return [(0, a, b, "")] * len(ids)
+    ends_a, ends_b = np.cumsum(both.a_length[a]), np.cumsum(both.b_length[b])
     label_a, label_b = components(ends_a, ends_b)
-    _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-    last_a, last_b = np.cumsum([len(x) for x, _ in ids]), np.cumsum([len(x) for _, x in ids])
-    cuts = np.searchsorted(at_a, last_a, "left")
-    out = []
-    for i, (one_a, one_b) in enumerate(ids):
-        from_a, from_b, from_link = last_a[i] - len(one_a), last_b[i] - len(one_b), cuts[i - 1] if i else 0
-        out.append((
-            label_a[from_a : last_a[i]], label_b[from_b : last_b[i]],
-            at_a[from_link : cuts[i]] - from_a, at_b[from_link : cuts[i]] - from_b,
-        ))
+    cover = np.searchsorted(ends_a, ends_b, "left")
+    at_b = np.flatnonzero(ends_a[cover] == ends_b)
+    linked_a, linked_b = a[cover[at_b]], b[at_b]
+    last_b = np.cumsum(size_b)
+    text, text_ends = group_texts(a, b, label_a, label_b, last_b[size_b > 0] - 1, both.a_digits, both.b_digits)
+    group = np.concatenate([[0], np.cumsum(label_b[1:] != label_b[:-1])])
+    cuts = np.concatenate([[0], np.searchsorted(at_b, last_b, "left")])
+    out, before = [], 0
+    for i, n in enumerate(size_b.tolist()):
+        if not n:
+            out.append((0, a[:0], b[:0], ""))
+            continue
+        last, links = last_b[i] - 1, slice(cuts[i], cuts[i + 1])
+        end = int(text_ends[last])
+        digest = hashlib.sha256(text[before:end]).hexdigest()
+        out.append((int(group[last] - group[last - n + 1]) + 1, linked_a[links], linked_b[links], digest))
+        before = end
     return out
 
 
@@ -173,13 +224,11 @@ def _first_pass(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
         for batch in batches:
             for part in _portions(batch):
                 ids, rows = both.encode(part["text"].tolist()), []
-                for (a, b), (label_a, label_b, at_a, at_b) in zip(ids, align(ids, both.a_length, both.b_length)):
-                    text = _groups_text(a, b, label_a, label_b)
-                    pairs, n = np.unique(a[at_a] << 32 | b[at_b], return_counts=True)
+                for (a, b), (groups, linked_a, linked_b, digest) in zip(ids, align(ids, both)):
+                    pairs, n = np.unique(linked_a << 32 | linked_b, return_counts=True)
                     rows.append((
-                        len(a), len(b), len(np.unique(label_b)), len(at_a),
-                        hashlib.sha256(text.encode()).hexdigest() if len(a) else "",
-                        (pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32), n.astype(np.int32),
+                        len(a), len(b), groups, len(linked_a), digest, (pairs >> 32).astype(np.int32),
+                        (pairs & 0xFFFFFFFF).astype(np.int32), n.astype(np.int32),
                     ))
                 names = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "a", "b", "n"]
                 out = pd.DataFrame(rows, columns=names, index=part.index)

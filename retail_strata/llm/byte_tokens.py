@@ -1,24 +1,29 @@
 """Ids of the tokenizers library, as little-endian unsigned 32-bit bytes.
 
-Texts are worked on some megabytes at a time: all are cut into pre-tokens, the library's
-model sees each distinct one once, and the ids are put together with numpy.  Texts with
-a special token, double white space or letters on which Unicode versions may differ go
+Texts are worked on a million characters at a time: all are cut at single spaces, each
+distinct word is cut into pre-tokens, the library's model sees each of those once, the
+ids of words are remembered, up to a bound, and put together with numpy.  Texts with a
+special token, double white space or letters on which Unicode versions may differ go
 through the whole library.
 """
 
 import gc
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from retail_strata.llm.token_counts import byte_symbols
 
-TOGETHER = 4_000_000  # characters
+TOGETHER = 1_000_000  # characters
+MAX_KNOWN = 200_000  # words
+SEPARATOR = "\x1f"  # in no text that is worked on in parts, and a pre-token of its own
 # Fixed value: how byte-level vocabularies cut a text, for texts that are ``SIMPLE``.
 PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s")
 NOT_SIMPLE = re.compile(r"[^\x00-\x1b\x20-ɏ]|[ª²³¹º¼½¾]|\s\s|<\|")
@@ -34,6 +39,12 @@ class ByteTokens:
         self.library.no_truncation()
         self.library.no_padding()
         self.symbols = {byte: symbol for symbol, byte in byte_symbols().items()}
+        self._forget()
+
+    def _forget(self) -> None:
+        """No word is known: place by word, and the ids at each place."""
+        self.known: dict[str, int] = {}
+        self.ids, self.offsets = array("I"), array("q", [0])
 
     def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
         """Ids of each text, without added special tokens, ``end`` appended."""
@@ -54,20 +65,62 @@ class ByteTokens:
         return encoded
 
     def _together(self, texts: list[str]) -> list[bytes]:
-        cut = [PRE_TOKENS.findall(text) for text in texts]
-        words = pa.array(chain.from_iterable(cut), type=pa.string()).dictionary_encode()
-        symbols = [w.encode().decode("latin-1").translate(self.symbols) for w in words.dictionary.to_pylist()]
-        of_word = [[token.id for token in self.library.model.tokenize(s)] for s in symbols]
-        counts = np.fromiter(map(len, of_word), dtype=np.int64, count=len(of_word))
-        flat = np.fromiter(chain.from_iterable(of_word), dtype="<u4", count=counts.sum())
-        firsts = np.cumsum(counts) - counts
-        code = words.indices.to_numpy()
-        lengths = counts[code]
-        ends = np.cumsum(lengths)
-        ids = flat[np.repeat(firsts[code] - ends + lengths, lengths) + np.arange(lengths.sum())].tobytes()
-        text_ends = np.concatenate([[0], ends])[np.cumsum([len(c) for c in cut], dtype=np.int64)] if cut else []
-        starts = [0, *text_ends[:-1]]
-        return [ids[4 * a : 4 * b] for a, b in zip(starts, text_ends)]
+        if not texts:
+            return []
+        parts = pc.split_pattern(pa.array(texts, type=pa.large_string()), " ")
+        starts = parts.offsets.to_numpy()
+        words = parts.flatten().dictionary_encode()
+        code = words.indices.to_numpy().astype(np.int64)
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        # A text's first word has no space before it and is a case of its own.
+        unspaced, code_of_first = np.unique(code[starts[:-1]], return_inverse=True)
+        code[starts[:-1]] = len(distinct) + code_of_first
+        places = self._places([" " + word for word in distinct] + [distinct[i] for i in unspaced.tolist()])
+        flat, offsets = np.frombuffer(self.ids, dtype=np.uint32), np.frombuffer(self.offsets, dtype=np.int64)
+        ids, ends = gathered(flat, offsets, places[code])
+        raw = ids.astype("<u4").tobytes()
+        text_ends = np.concatenate([[0], ends])[starts]
+        return [raw[4 * a : 4 * b] for a, b in zip(text_ends[:-1], text_ends[1:])]
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Where the ids of each word stand; those of new ones are put there first."""
+        if len(self.known) > MAX_KNOWN:
+            self._forget()
+        known = self.known
+        new = [word for word in words if word not in known]
+        if new:
+            cut = PRE_TOKENS.findall(SEPARATOR.join(new))
+            pre_tokens = pa.array(cut, type=pa.large_string()).dictionary_encode()
+            distinct = pre_tokens.dictionary.to_numpy(zero_copy_only=False).tolist()
+            of_pre_token = self._model(distinct)
+            code = pre_tokens.indices.to_numpy()
+            flat, ends = gathered(
+                np.fromiter(chain.from_iterable(of_pre_token), dtype=np.uint32),
+                np.cumsum([0, *map(len, of_pre_token)], dtype=np.int64), code,
+            )
+            between = np.flatnonzero(code == distinct.index(SEPARATOR)) if SEPARATOR in distinct else code[:0]
+            word_ends = np.append(np.concatenate([[0], ends])[between], len(flat)) + len(self.ids)
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            self.ids.frombytes(flat.astype(np.uint32).tobytes())
+            self.offsets.frombytes(word_ends.astype(np.int64).tobytes())
+        return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def _model(self, pre_tokens: list[str]) -> list[list[int]]:
+        """The library's ids of each; none of the separator."""
+        text = SEPARATOR.join(p for p in pre_tokens if p != SEPARATOR)
+        symbols = text.encode().decode("latin-1").translate(self.symbols).split(self.symbols[ord(SEPARATOR)])
+        tokenize = self.library.model.tokenize
+        found = iter([[token.id for token in tokenize(s)] for s in symbols])
+        return [[] if p == SEPARATOR else next(found) for p in pre_tokens]
+
+
+def gathered(flat: np.ndarray, offsets: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists ``flat[offsets[c] : offsets[c + 1]]`` for each c of ``code``, one after
+    another, and where each ends."""
+    lengths = np.diff(offsets)[code]
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(offsets[code] - ends + lengths, lengths) + np.arange(total)], ends
 
 
 def _is_simple(text: str) -> bool:
