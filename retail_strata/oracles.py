@@ -203,6 +203,69 @@ def _two_silver_runs(entity: str, raw_format: str) -> str:
     return _silver_runs(entity, raw_format, (1, 2))
 
 
+# Rejects: what each row of an entity fails, in the order of its checks.
+_FAILS = {
+    "customers": """
+        select * exclude (place), concat_ws(',', case when place > 1 then 'older_version' end,
+          case when not coalesce(contains(email, '@'), false) then 'email' end,
+          case when cpf is null then 'cpf' end) as reject_reasons
+        from (
+          select *, row_number() over (partition by customer_id
+            order by updated_at desc nulls last, email desc nulls last) as place
+          from (
+            select * replace (trim(name) as name, lower(trim(email)) as email,
+              regexp_replace(phone, '[^0-9]', '', 'g') as phone,
+              regexp_replace(cpf, '[^0-9]', '', 'g') as cpf, upper(trim(state)) as state,
+              cast(try_cast(birth_date as date) as timestamp) as birth_date,
+              try_cast(created_at as timestamp) as created_at, try_cast(updated_at as timestamp) as updated_at)
+            from customers_raw))""",
+    "products": """
+        select * replace (cast(price as double) as price),
+          case when stock_quantity > 0 then true else false end as is_available,
+          concat_ws(',', case when not coalesce(price > 0, false) then 'price' end,
+            case when not coalesce(stock_quantity >= 0, false) then 'stock_quantity' end,
+            case when product_name is null then 'product_name' end) as reject_reasons
+        from (
+          select * replace (trim(product_name) as product_name, trim(category) as category,
+            try_cast(price as decimal(10,2)) as price)
+          from products_raw)""",
+    "sales": """
+        select * replace (cast(total_amount as double) as total_amount),
+          cast(year(order_date) as integer) as order_year, cast(month(order_date) as integer) as order_month,
+          concat_ws(',', case when not coalesce(total_amount > 0, false) then 'total_amount' end,
+            case when not coalesce(quantity > 0, false) then 'quantity' end,
+            case when order_date is null then 'order_date' end) as reject_reasons
+        from (
+          select * replace (try_cast(order_date as timestamp) as order_date,
+            try_cast(total_amount as decimal(10,2)) as total_amount, lower(trim(status)) as status)
+          from sales_raw)""",
+    "payments": """
+        select * replace (cast(amount as double) as amount),
+          concat_ws(',', case when not coalesce(amount > 0, false) then 'amount' end,
+            case when payment_date is null then 'payment_date' end) as reject_reasons
+        from (
+          select * replace (try_cast(payment_date as timestamp) as payment_date,
+            try_cast(created_at as timestamp) as created_at, try_cast(amount as decimal(10,2)) as amount,
+            lower(trim(payment_method)) as payment_method, lower(trim(status)) as status)
+          from payments_raw)""",
+}
+_FORMATS = {"customers": "json", "products": "csv", "sales": "json", "payments": "parquet"}
+
+
+def _rejects(entity: str) -> str:
+    return (
+        f"select *, 'ingest-1' as ingestion_id, '{entity}.{_FORMATS[entity]}' as source_file, "
+        f"'refine-1' as processing_id from ({_FAILS[entity]}) where reject_reasons <> ''"
+    )
+
+
+def _buyers(level: str, period: str) -> str:
+    return (
+        f"select '{level}' as level, order_year, cast({period} as integer) as period, "
+        "count(distinct customer_id) as customers from silver_sales group by all"
+    )
+
+
 # Feeds -----------------------------------------------------------------------
 
 
@@ -321,6 +384,14 @@ ORACLES: dict[str, str] = {
             when 2 then '{"order_id":"' || id || '","quantity":"two"}'
             when 3 then '{"order_id":"' || id || '","quantity":3,"coupon":"x"}' end as raw_record
         from (select cast(o_orderkey as varchar) as id, o_orderkey % 10 as kind from orders)""",
+    "ingest_json_arrays": _over(_bronze("sales", "json")),
+    "ingest_parquet_mixed": _over(_silver_runs("payments", "parquet", (1,))),
+    "replay_unheld": _over(f"""
+        select * exclude (broken) replace (case when broken then 'refine-after-1' else 'refine-1' end as processing_id),
+          case when broken then 'replay-1' else 'ingest-1' end as ingestion_id,
+          case when broken then 'replay' else 'sales.json' end as source_file
+        from (select *, '' as processing_id, quantity % 4 = 0 as broken
+          from ({_silver("sales")}))"""),
     "partition_roundtrip": _over(_silver("sales")),
     "append_history": _over(
         " union all ".join(_bronze("payments", "parquet", f"run-{n}") for n in (1, 2))
@@ -357,6 +428,19 @@ ORACLES: dict[str, str] = {
         "select * from gold_customer_metrics union all select * from gold_customer_metrics"
     ),
     "gold_customer_metrics_newest": _over("select * from gold_customer_metrics"),
+    # Over batches, an older valid version comes in where a newer one was rejected.
+    "customers_current": _over(f"""
+        select * exclude (reject_reasons, place), 'customers.json' as source_file from (
+          select *, row_number() over (partition by customer_id order by updated_at desc nulls last) as place
+          from ({_FAILS['customers']}) where reject_reasons in ('', 'older_version'))
+        where place = 1"""),
+    "distinct_customers_rollup": _over(" union all ".join([
+        _buyers("month", "order_month"), _buyers("quarter", "(order_month + 2) // 3"), _buyers("year", "1"),
+    ])),
+    **{f"silver_rejects_{e}": _over(_rejects(e)) for e in _ENTITIES},
+    "stream_silver_customers": _over(
+        "select * exclude (processing_id) from (" + _two_silver_runs("customers", "json") + ")"
+    ),
     "stream_silver_products": _over(_two_silver_runs("products", "csv")),
     "stream_silver_sales": _over(_two_silver_runs("sales", "json")),
     "stream_silver_payments": _over(_two_silver_runs("payments", "parquet")),

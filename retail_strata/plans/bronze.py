@@ -49,12 +49,13 @@ def ingest_file(
     raw = READERS[raw_format](spark, f"{layers.raw}/{source_file}", schema)
     path, log = f"{layers.bronze}/{table}", bronze_log(spark, layers, table)
     attempt = log.start(run_id, [{"ingestion_id": run_id, "source_file": source_file}])
-    written = _append(stamp_ingestion(raw, run_id, source_file, stamp), path)
+    written = append_stamped(stamp_ingestion(raw, run_id, source_file, stamp), path)
     log.finish(attempt, run_id, [{"ingestion_id": run_id, "source_file": source_file, **written}])
     return StageResult(table, path, {"written": written["rows_written"]})
 
 
-def _append(stamped: DataFrame, path: str) -> dict:
+def append_stamped(stamped: DataFrame, path: str) -> dict:
+    """Append to bronze; the rows written with their first and last stamps and dates."""
     seen = Observation(f"{path} written")
     append_parquet(observe_ingestion(stamped, seen), path, by=("ingestion_date",))
     return seen.get
@@ -78,7 +79,7 @@ def resume_ingestion(
         return None
     micros = landed.agg(F.max(F.unix_micros("ingestion_timestamp"))).first()[0]
     missing = raw.exceptAll(landed.select(*raw.columns))
-    added = _append(stamp_ingestion(missing, run_id, entity.raw_file, F.timestamp_micros(F.lit(micros))), path)
+    added = append_stamped(stamp_ingestion(missing, run_id, entity.raw_file, F.timestamp_micros(F.lit(micros))), path)
     whole = Observation(f"{path} of {run_id}")
     observe_ingestion(read_parquet(spark, path, schema).filter(
         (F.col("ingestion_id") == run_id) & (F.col("source_file") == entity.raw_file)

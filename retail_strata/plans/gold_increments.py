@@ -10,11 +10,10 @@ simply made again.
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from retail_strata.operators.business import OFFER, PROFILE
 from retail_strata.operators.hot_keys import SLICE, find_hot_keys, left_join_unique, slices_of
-from retail_strata.operators.lineage import count_rows
 from retail_strata.operators.partials import (
     PAYMENTS_BY_METHOD, SALES_BY_CUSTOMER, SALES_BY_MONTH, SALES_BY_PRODUCT, buyers_of_month, merged_summary,
 )
@@ -23,6 +22,7 @@ from retail_strata.plans.run_log import RunLog, as_frame, ingestion_keys
 from retail_strata.plans.side_by_side import side_by_side
 from retail_strata.plans.silver import silver_log
 from retail_strata.plans.tables import CUSTOMERS, ENTITIES, GOLD_SCHEMAS, PAYMENTS, PRODUCTS, SALES, Entity, Layers
+from retail_strata.sources.readers import read_parquet
 from retail_strata.sources.writers import overwrite_parquet
 
 SUMMARY, METRICS, PERFORMANCE, PAYMENT_ANALYSIS = GOLD_SCHEMAS
@@ -43,41 +43,39 @@ HOUR = 3600 * 1_000_000
 
 
 def silver_batches(spark: SparkSession, layers: Layers, entity: Entity) -> dict[str, list[dict]]:
-    """The ingestions of every finished silver attempt that wrote rows."""
+    """The ingestions of every finished silver attempt, and when it started."""
     log = silver_log(spark, layers, entity).entries()
+    begun = {r.attempt: r.logged_micros for r in of_state(log, STARTED).collect()}
     batches: dict[str, list[dict]] = {}
     for entry in of_state(log, FINISHED).collect():
-        batches.setdefault(entry.attempt, []).append(entry.asDict())
+        started = begun.get(entry.attempt, 0)
+        batches.setdefault(entry.attempt, []).append({**entry.asDict(), "started_micros": started})
     return batches
 
 
-def rows_of_batch(spark: SparkSession, layers: Layers, entity: Entity, batch: list[dict], pruned: bool = True) -> DataFrame:
-    """Silver rows of one batch.  Files older than the batch are not opened; without
-    ``pruned`` all are, for files whose times say nothing (copies, compacted tables)."""
-    reader = spark.read.schema(entity.silver_schema)
-    if pruned:
-        started = min(i["started_micros"] for i in batch) - HOUR
-        moment = datetime.fromtimestamp(max(started, 0) // 1_000_000, UTC).strftime("%Y-%m-%dT%H:%M:%S")
-        reader = reader.option("modifiedAfter", moment).option("timeZone", "UTC")
-    silver = reader.parquet(f"{layers.silver}/{entity.silver_table}")
-    return rows_of(silver, as_frame(spark, ingestion_keys(batch)))
+def rows_of_batch(spark: SparkSession, layers: Layers, entity: Entity, batch: list[dict]) -> DataFrame:
+    """Silver rows of one batch.  Files written before the batch began are not opened;
+    where that does not give the rows the log counted, as after a copy of the table or
+    an adoption, all are."""
+    since = max(min(i["started_micros"] for i in batch) - HOUR, 0) // 1_000_000
+    moment = datetime.fromtimestamp(since, UTC).strftime("%Y-%m-%dT%H:%M:%S")
+    path, reader = f"{layers.silver}/{entity.silver_table}", spark.read.schema(entity.silver_schema)
+    keys = as_frame(spark, ingestion_keys(batch))
+    rows = rows_of(reader.option("modifiedAfter", moment).option("timeZone", "UTC").parquet(path), keys)
+    if rows.count() != batch[0]["rows_written"]:
+        rows = rows_of(read_parquet(spark, path, entity.silver_schema), keys)
+    return rows
 
 
 def fold_entity(spark: SparkSession, layers: Layers, entity: Entity) -> int:
     """States of the batches that have none; how many there were."""
     log = RunLog(spark, layers.gold, f"states_{entity.name}")
     done = {r.attempt for r in of_state(log.entries(), FINISHED).select("attempt").distinct().collect()}
-    begun = {r.attempt: r.logged_micros for r in of_state(silver_log(spark, layers, entity).entries(), STARTED).collect()}
     fresh = {a: b for a, b in silver_batches(spark, layers, entity).items() if a not in done}
     for attempt, batch in fresh.items():
-        batch = [{**i, "started_micros": begun.get(attempt, 0)} for i in batch]
+        rows = rows_of_batch(spark, layers, entity, batch)
         for name, state in STATES[entity.name].items():
-            for pruned in (True, False):
-                seen = Observation(f"{name} of {attempt}")
-                rows = count_rows(rows_of_batch(spark, layers, entity, batch, pruned), seen)
-                overwrite_parquet(state(rows), f"{layers.gold}/states/{name}/batch={attempt}")
-                if seen.get["rows"] == batch[0]["rows_written"]:
-                    break
+            overwrite_parquet(state(rows), f"{layers.gold}/states/{name}/batch={attempt}")
         log.finish(attempt, batch[0]["run_id"], batch)
     return len(fresh)
 

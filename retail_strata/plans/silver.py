@@ -2,16 +2,19 @@
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
+from retail_strata.operators.checks import REASONS, reason_counts
 from retail_strata.operators.incremental import batch_high_water_mark
 from retail_strata.operators.lineage import count_rows, stamp_processing
-from retail_strata.operators.run_log import rows_of
+from retail_strata.operators.run_log import STARTED, rows_of
 from retail_strata.plans.bronze import StageResult, bronze_log
 from retail_strata.plans.run_log import RunLog, as_frame, days_of, ingestion_keys, waiting
 from retail_strata.plans.side_by_side import side_by_side
 from retail_strata.plans.tables import ENTITIES, Entity, Layers
+from retail_strata.sources.literals import literal_rows
 from retail_strata.sources.readers import read_if_exists, read_parquet, written_by_stream
-from retail_strata.sources.writers import append_parquet, spread_for_write
+from retail_strata.sources.writers import append_parquet, overwrite_parquet, spread_for_write
 
 
 def silver_log(spark: SparkSession, layers: Layers, entity: Entity) -> RunLog:
@@ -81,8 +84,39 @@ def _complete(
         log.finish(attempt, run_id, [{**i, "rows_written": written} for i in ingestions])
 
 
+def _judged_batch(
+    spark: SparkSession, layers: Layers, entity: Entity, run_id: str, ingestions: list[dict],
+    stamp: Column | None, attempt: str,
+) -> tuple[DataFrame, dict[str, int]]:
+    """The silver rows of a batch by way of a table of all its rows, written in one pass
+    with what each failed, and the counts by reason."""
+    rows = entity.judge(bronze_rows(spark, layers, entity, ingestions))
+    bound = max(i["last_micros"] for i in ingestions)
+    rows = stamp_processing(rows, run_id, stamp).withColumn("batch_mark", F.timestamp_micros(F.lit(bound)))
+    seen = Observation(f"{entity.name} judged")
+    rows = rows.observe(seen, *reason_counts(entity.rules)).withColumn("rejected", F.size(REASONS) > 0)
+    path = f"{layers.silver}/judged/{entity.silver_table}/attempt={attempt}"
+    overwrite_parquet(rows, path, ("rejected",))
+    accepted = read_parquet(spark, f"{path}/rejected=false", rows.drop("rejected").schema) if seen.get["accepted"] else (
+        rows.limit(0).drop("rejected")
+    )
+    return accepted.select(*entity.silver_schema.fieldNames()), seen.get
+
+
+def read_rejects(spark: SparkSession, layers: Layers, entity: Entity) -> DataFrame:
+    """Rows that silver runs with ``keep_rejects`` left out, with what each failed."""
+    log = RunLog(spark, layers.silver, entity.silver_table).entries()
+    done = [r.attempt for r in log.filter(F.col("state") != STARTED).select("attempt").distinct().collect()]
+    schema = StructType([*entity.silver_schema.fields])
+    schema = schema.add(REASONS, ArrayType(StringType())).add("attempt", "string").add("rejected", "boolean")
+    rows = read_if_exists(spark, f"{layers.silver}/judged/{entity.silver_table}", schema)
+    rows = literal_rows(spark, schema, []) if rows is None else rows
+    return rows.filter(F.col("rejected") & F.col("attempt").isin(done)).drop("rejected", "attempt")
+
+
 def refine_entity(
-    spark: SparkSession, layers: Layers, entity: Entity, run_id: str, stamp: Column | None = None
+    spark: SparkSession, layers: Layers, entity: Entity, run_id: str, stamp: Column | None = None,
+    keep_rejects: bool = False,
 ) -> StageResult | None:
     """Refine the bronze ingestions that silver has not taken; None when there are none.
 
@@ -93,6 +127,10 @@ def refine_entity(
 
     If every new row is rejected, silver and its log stay as they are and the next run
     reads the same rows again.
+
+    ``keep_rejects`` writes all rows of the batch once, with the checks each failed, and
+    silver from those that failed none; the result then counts rows by reason, and rows
+    read are rows written and rows rejected.
     """
     path = f"{layers.silver}/{entity.silver_table}"
     if written_by_stream(spark, path):
@@ -106,11 +144,17 @@ def refine_entity(
     if not ingestions:
         return None
     attempt = log.start(run_id, ingestions)
-    written = _append(silver_batch(spark, layers, entity, run_id, ingestions, stamp), path, entity)
+    counts: dict[str, int] = {}
+    if keep_rejects:
+        batch, counts = _judged_batch(spark, layers, entity, run_id, ingestions, stamp, attempt)
+    else:
+        batch = silver_batch(spark, layers, entity, run_id, ingestions, stamp)
+    written = _append(batch, path, entity)
     end = log.finish if written else log.abandon
     end(attempt, run_id, [{**i, "rows_written": written} for i in ingestions])
     read = sum(i["rows_read"] for i in ingestions)
-    return StageResult(entity.silver_table, path, {"read": read, "written": written})
+    rejected = {name: rows for name, rows in counts.items() if name.startswith("rejected")}
+    return StageResult(entity.silver_table, path, {"read": read, "written": written, **rejected})
 
 
 def refine_all(

@@ -25,7 +25,7 @@ class Layers:
         return Layers(*(f"{base}/{layer}" for layer in ("raw", "bronze", "silver", "gold")))
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Entity:
     name: str
     raw_format: str
@@ -34,6 +34,8 @@ class Entity:
     silver_schema: StructType
     silver_partitions: tuple[str, ...]
     refine: Callable[[DataFrame], DataFrame]
+    judge: Callable[[DataFrame], DataFrame]
+    rules: dict[str, str]
 
     @property
     def raw_file(self) -> str:
@@ -50,19 +52,23 @@ class Entity:
 
 CUSTOMERS = Entity(
     "customers", "json", schemas.RAW_CUSTOMERS, schemas.BRONZE_CUSTOMERS,
-    schemas.SILVER_CUSTOMERS, ("state",), cleanse.refine_customers,
+    schemas.SILVER_CUSTOMERS, ("state",), cleanse.refine_customers, cleanse.judge_customers,
+    cleanse.CUSTOMER_RULES,
 )
 PRODUCTS = Entity(
     "products", "csv", schemas.RAW_PRODUCTS, schemas.BRONZE_PRODUCTS,
-    schemas.SILVER_PRODUCTS, ("category",), cleanse.refine_products,
+    schemas.SILVER_PRODUCTS, ("category",), cleanse.refine_products, cleanse.judge_products,
+    cleanse.PRODUCT_RULES,
 )
 SALES = Entity(
     "sales", "json", schemas.RAW_SALES, schemas.BRONZE_SALES,
-    schemas.SILVER_SALES, ("order_year", "order_month"), cleanse.refine_sales,
+    schemas.SILVER_SALES, ("order_year", "order_month"), cleanse.refine_sales, cleanse.judge_sales,
+    cleanse.SALES_RULES,
 )
 PAYMENTS = Entity(
     "payments", "parquet", schemas.RAW_PAYMENTS, schemas.BRONZE_PAYMENTS,
-    schemas.SILVER_PAYMENTS, ("payment_method",), cleanse.refine_payments,
+    schemas.SILVER_PAYMENTS, ("payment_method",), cleanse.refine_payments, cleanse.judge_payments,
+    cleanse.PAYMENT_RULES,
 )
 
 ENTITIES = (CUSTOMERS, PRODUCTS, SALES, PAYMENTS)

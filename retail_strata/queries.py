@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from retail_strata import schemas
 from retail_strata.functions import columns, quoted
 from retail_strata.operators import business
+from retail_strata.operators.checks import REASONS
 from retail_strata.operators.cleanse import latest_customers
 from retail_strata.operators.incremental import high_water_mark, newer_than, newest_stamp
 from retail_strata.operators.latest import latest_per_key
@@ -23,17 +24,21 @@ from retail_strata.operators.lineage import stamp_ingestion
 from retail_strata.operators.reports import row_counts
 from retail_strata.plans import raw_views
 from retail_strata.plans.bronze import StageResult, bronze_log, ingest_all, ingest_file, read_bronze
+from retail_strata.plans.buyers import Buyers
+from retail_strata.plans.current_customers import current_customers, merge_customers
 from retail_strata.plans.feeds import feed_customers, feed_products, feed_sales
 from retail_strata.plans.full import bronze_report, layer_report, run_all
 from retail_strata.plans.gold import aggregate_all, read_gold
 from retail_strata.plans.gold_increments import fold_entity, incremental_gold
 from retail_strata.plans.raw_views import RAW_VIEWS, star_table
+from retail_strata.plans.replay import repaired_json, replay_unheld
 from retail_strata.plans.run_log import waiting
-from retail_strata.plans.silver import read_silver, refine_all, refine_entity, silver_batch, silver_log
+from retail_strata.plans.silver import read_rejects, read_silver, refine_all, refine_entity, silver_batch, silver_log
 from retail_strata.plans.tables import CUSTOMERS, GOLD_SCHEMAS, PAYMENTS, PRODUCTS, SALES, Entity, Layers
 from retail_strata.sources.readers import RAW_RECORD, read_parquet
 from retail_strata.sources.scratch import scratch_folder
 from retail_strata.sources.writers import append_parquet, overwrite_parquet, spread_for_write, write_json_lines
+from retail_strata.streaming.customer_stream import start_customer_stream
 from retail_strata.streaming.silver_stream import start_silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,6 +176,53 @@ def ingest_dirty(spark: SparkSession, folder: str) -> DataFrame:
     return bronze.select("order_id", "quantity", RAW_RECORD)
 
 
+def ingest_json_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales as arrays, one line per order: every element is a record."""
+    layers = _scratch_layers(spark, "json-arrays")
+    sales = raw_views.sales_raw(spark, folder).withColumn("order_key", F.split("order_id", "-")[0])
+    lines = sales.groupBy("order_key").agg(F.to_json(F.collect_list(F.struct(*schemas.RAW_SALES.fieldNames()))).alias("value"))
+    lines.select("value").write.text(f"{layers.raw}/{SALES.raw_file}")
+    made = ingest_file(
+        spark, layers, "json", SALES.raw_file, SALES.bronze_table, "run-1", SALES.raw_schema
+    )
+    return comparable(read_parquet(spark, made.path, SALES.bronze_schema))
+
+
+def ingest_parquet_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """Payments in one folder whose writers chose int32, int64 and decimal columns."""
+    layers = _scratch_layers(spark, "parquet-mixed")
+    payments = raw_views.payments_raw(spark, folder)
+    kinds = (
+        {}, {"total_installments": "bigint(total_installments)", "amount": "CAST(amount AS decimal(12,2))"},
+        {"total_installments": "CAST(total_installments AS decimal(6,0))", "payment_date": "timestamp(payment_date)"},
+    )
+    for turn, changed in enumerate(kinds):
+        part = payments.filter(F.pmod(F.crc32("payment_id"), F.lit(len(kinds))) == turn)
+        part.withColumns(columns(**changed)).write.mode("append").parquet(f"{layers.raw}/{PAYMENTS.raw_file}")
+    ingest_file(
+        spark, layers, "parquet", PAYMENTS.raw_file, PAYMENTS.bronze_table, "ingest-1", PAYMENTS.raw_schema
+    )
+    refine_entity(spark, layers, PAYMENTS, "refine-1")
+    return comparable(_silver_table(spark, layers, PAYMENTS))
+
+
+def replay_kept_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales whose lines broke off are repaired and replayed twice; silver has every sale
+    once, and those it rejects stay out."""
+    layers = _scratch_layers(spark, "replay")
+    sales = raw_views.sales_raw(spark, folder)
+    line = F.to_json(F.struct(*schemas.RAW_SALES.fieldNames()))
+    broken = F.expr("if(quantity % 4 = 0, concat(left(v, length(v) - 1), ', oops'), v)")
+    sales.withColumn("v", line).select(broken.alias("value")).write.text(f"{layers.raw}/{SALES.raw_file}")
+    ingest_file(spark, layers, "json", SALES.raw_file, SALES.bronze_table, "ingest-1", SALES.raw_schema)
+    refine_entity(spark, layers, SALES, "refine-1")
+    repair = repaired_json(F.regexp_replace(RAW_RECORD, ", oops$", "}"), SALES)
+    for turn in ("1", "2"):
+        replay_unheld(spark, layers, SALES, repair, f"replay-{turn}")
+        refine_entity(spark, layers, SALES, f"refine-after-{turn}")
+    return comparable(_silver_table(spark, layers, SALES))
+
+
 def partition_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_folder(spark, "partition-roundtrip")
     keys = ("order_year", "order_month")
@@ -437,6 +489,57 @@ def gold_incremental(table: str, spark: SparkSession, folder: str) -> DataFrame:
     return comparable(incremental_gold(spark, layers, table))
 
 
+def customers_current(spark: SparkSession, folder: str) -> DataFrame:
+    """Newest versions after three batches: the newest rows first, then the older ones
+    and then all again, each merged into the parts it touches."""
+    layers = _scratch_layers(spark, "customers-current")
+    versions = raw_views.customers_raw(spark, folder)
+    older = F.expr("bigint(customer_id) % 20 = 0 AND updated_at = '2024-01-01 00:00:00'")
+    for turn, part in (("1", versions.filter(~older)), ("2", versions.filter(older)), ("3", versions)):
+        raw_views.write_raw(part, layers, CUSTOMERS)
+        ingest_file(
+            spark, layers, "json", CUSTOMERS.raw_file, CUSTOMERS.bronze_table, f"ingest-{turn}", CUSTOMERS.raw_schema
+        )
+        refine_entity(spark, layers, CUSTOMERS, f"refine-{turn}")
+        merge_customers(spark, layers, parts=8)
+    return comparable(current_customers(spark, layers)).drop("ingestion_id", "processing_id")
+
+
+def distinct_customers_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Buyers by month, quarter and year after three batches of sales."""
+    buyers = Buyers(spark, scratch_folder(spark, "buyers"))
+    sales = _refined(SALES, spark, folder)
+    for turn in range(3):
+        buyers.add(sales.filter(F.pmod(F.crc32("order_id"), F.lit(3)) == turn), f"batch-{turn}")
+    return buyers.rollup()
+
+
+def silver_rejects(entity: Entity, spark: SparkSession, folder: str) -> DataFrame:
+    """Every row that silver leaves out, typed, with the checks it fails."""
+    layers = _scratch_layers(spark, f"rejects-{entity.name}")
+    raw_views.write_raw_file(spark, folder, layers, entity)
+    ingest_file(
+        spark, layers, entity.raw_format, entity.raw_file, entity.bronze_table, "ingest-1", entity.raw_schema
+    )
+    refine_entity(spark, layers, entity, "refine-1", keep_rejects=True)
+    rejects = read_rejects(spark, layers, entity)
+    return comparable(rejects.withColumn(REASONS, F.array_join(REASONS, ",")))
+
+
+def stream_silver_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Ingestions of three days: the first two windows are over, the third still waits."""
+    layers = _scratch_layers(spark, "stream-customers")
+    checkpoint = scratch_folder(spark, "stream-customers-checkpoint")
+    raw_views.write_raw_file(spark, folder, layers, CUSTOMERS)
+    for turn, day in (("1", "2024-05-01"), ("2", "2024-05-02"), ("3", "2024-05-03")):
+        ingest_file(
+            spark, layers, "json", CUSTOMERS.raw_file, CUSTOMERS.bronze_table, f"ingest-{turn}",
+            CUSTOMERS.raw_schema, F.lit(f"{day} 12:30:00").cast("timestamp"),
+        )
+        start_customer_stream(spark, layers, f"refine-{turn}", checkpoint).awaitTermination()
+    return comparable(_silver_table(spark, layers, CUSTOMERS)).drop("processing_id")
+
+
 # Feeds, sized by the given tables.
 
 
@@ -467,6 +570,9 @@ QUERIES: dict[str, Query] = {
     "ingest_parquet": partial(_ingested, PAYMENTS),
     "ingest_parquet_native": ingest_parquet_native,
     "ingest_dirty": ingest_dirty,
+    "ingest_json_arrays": ingest_json_arrays,
+    "ingest_parquet_mixed": ingest_parquet_mixed,
+    "replay_unheld": replay_kept_records,
     "partition_roundtrip": partition_roundtrip,
     "append_history": append_history,
     "overwrite_partitioned": overwrite_partitioned,
@@ -490,6 +596,10 @@ QUERIES: dict[str, Query] = {
     "gold_product_performance": gold_product_performance,
     "gold_product_performance_skewed": gold_product_performance_skewed,
     "gold_payment_analysis": gold_payment_analysis,
+    "customers_current": customers_current,
+    "distinct_customers_rollup": distinct_customers_rollup,
+    **{f"silver_rejects_{e.name}": partial(silver_rejects, e) for e in (CUSTOMERS, PRODUCTS, SALES, PAYMENTS)},
+    "stream_silver_customers": stream_silver_customers,
     "stream_silver_products": partial(stream_silver, PRODUCTS),
     "stream_silver_sales": partial(stream_silver, SALES),
     "stream_silver_payments": partial(stream_silver, PAYMENTS),

@@ -6,7 +6,10 @@ unknown column thus costs typed values, which the silver checks may reject, but
 the record.
 """
 
-from pyspark.errors import AnalysisException
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,11 +35,16 @@ def _inferred(spark: SparkSession, path: str, kind: str, **options) -> DataFrame
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """JSON Lines.  With a schema, the lines that are no object, have a value of another
-    type or a field that is not declared stay in ``raw_record``."""
+    """JSON Lines.  A line that is an array of objects is as many records.  With a schema,
+    the records that are no object, have a value of another type or a field that is not
+    declared stay in ``raw_record``."""
     if schema is None:
         return spark.read.json(path)
     lines = spark.read.text(path).filter(F.col("value").rlike(r"\S"))
+    elements = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>"))
+    objects = F.forall(elements, lambda e: F.coalesce(F.ltrim(e).startswith("{"), F.lit(False)))
+    records = F.when(F.coalesce(objects, F.lit(False)), elements).otherwise(F.array("value"))
+    lines = lines.select(F.explode(records).alias("value"))
     known = schema.fieldNames()
     more = F.exists(F.json_object_keys("value"), lambda key: ~key.isin(known))
     record = F.from_json("value", _with_text(schema, _UNPARSED), {"columnNameOfCorruptRecord": _UNPARSED})
@@ -81,17 +89,55 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
+def _by_schema(spark: SparkSession, path: str) -> list[DataFrame]:
+    """The files of a folder, those of one schema together.
+
+    Footers are merged by Spark, all at once where they agree.  Where they do not, the
+    list of files is halved until each part agrees; parts with the same types are read
+    together, so the plan has one scan per schema, however the files are mixed.
+    """
+    def merged(files: list[str]) -> DataFrame:
+        reader = spark.read.option("mergeSchema", True)
+        return reader.parquet(*files) if files == [path] else reader.option("basePath", path).parquet(*files)
+
+    def agree(files: list[str]) -> T.StructType | None:
+        try:
+            return merged(files).schema
+        except (PySparkException, Py4JJavaError) as error:  # PySpark has no class for this one
+            if "CANNOT_MERGE_SCHEMAS" not in str(error):
+                raise
+            return None
+
+    if agree([path]) is not None:
+        return [merged([path])]
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    waiting = [sorted(r.path for r in listed.load(path).select("path").collect())]
+    groups: dict[str, list[str]] = {}
+    while waiting:
+        files = waiting.pop()
+        schema = agree(files)
+        if schema is None:
+            waiting += [files[: len(files) // 2], files[len(files) // 2 :]]
+        else:
+            groups.setdefault(schema.simpleString(), []).extend(files)
+    return [merged(files) for files in groups.values()]
+
+
 def read_raw_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet by its own types, given in the declared ones.
+    """Parquet by its own types, given in the declared ones; files of a folder may differ
+    in their types.
 
     Where a value does not survive the change of type, or the files have columns that
     are not declared, ``raw_record`` holds the row as JSON.  A missing column fails.
     """
     if schema is None:
         return read_parquet(spark, path)
-    own = _inferred(spark, path, "parquet")
-    if own is None:
-        own = read_parquet(spark, path, schema)
+    if _inferred(spark, path, "parquet") is None:
+        return _declared(read_parquet(spark, path, schema), path, schema)
+    return reduce(DataFrame.unionByName, [_declared(own, path, schema) for own in _by_schema(spark, path)])
+
+
+def _declared(own: DataFrame, path: str, schema: T.StructType) -> DataFrame:
     kinds = {f.name.lower(): f.dataType for f in own.schema.fields}
     missing = [f.name for f in schema.fields if f.name.lower() not in kinds]
     if missing:
