@@ -160,7 +160,7 @@ def _tree(first: DataFrame, largest: int, seed: int) -> DataFrame:
 
 def mixed_classes(
     docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: int = 13,
-    bucket_classes: int = 32_768,
+    bucket_classes: int = 4_096,
 ) -> DataFrame:
     """Classes with ``copies`` of every member and how many have one ``more``."""
     spark = docs.sparkSession
