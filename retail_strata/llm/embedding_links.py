@@ -26,6 +26,8 @@ from retail_strata.llm.components import components
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
+    """By the largest part first, so that no square overflows or vanishes."""
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 

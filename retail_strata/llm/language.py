@@ -6,7 +6,8 @@ forward algorithm; a text's is the product over its words (runs of letters, lowe
 case).  The piece probabilities are fitted by expectation maximisation over the words
 of a bounded sample of labelled rows: about ``docs_per_language`` documents of each
 language, chosen by a hash of their text.  Letters outside the vocabulary are spelt
-with its byte pieces.
+with its byte pieces.  Words of any length are scored whole, in memory that does not
+grow with them; those of more than ``LONG`` letters are left out of the fitting alone.
 
 Null texts and texts without a letter get ``und`` and score 0.  Ties go to the
 language that sorts first.  With nothing to learn from, every text gets ``und``.
@@ -26,11 +27,11 @@ from pyspark.sql import functions as F
 
 from retail_strata.llm.common import whole_text, workers_find_package, written
 
-LETTERS = re.compile(r"[^\W\d_]{1,48}")
 UNKNOWN = "und"
 SHARE_STEPS = 1_000_000
 MAX_CACHED = 150_000
-LONGEST_CACHED = 40
+LONG = 64
+AT_ONCE = 1024
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 START = "▁"
 
@@ -91,6 +92,17 @@ class Pieces:
         ]
 
 
+@lru_cache(maxsize=1)
+def _letters() -> re.Pattern:
+    """Runs of letters: word characters that are neither digits nor other numerals."""
+    numerals = [c for c in map(chr, range(128, 0x110000)) if c.isalnum() and not c.isalpha()]
+    return re.compile(r"[^\W\d_" + "".join(numerals) + "]+")
+
+
+def words_of(text: str) -> list[str]:
+    return _letters().findall(text.lower())
+
+
 @lru_cache(maxsize=2)
 def pieces_of(path: str) -> Pieces:
     """One per Python worker."""
@@ -123,8 +135,8 @@ def _forward(found, spelling, probability):
 
 def word_scores(pieces: Pieces, probability: np.ndarray, words: list[str]) -> dict[str, np.ndarray]:
     """Log-probability of each word in each language, all segmentations summed."""
-    scores = {}
-    for group in _by_length(words):
+    scores = {w: long_word_score(pieces, probability, w) for w in words if len(w) > LONG}
+    for group in _by_length([w for w in words if len(w) <= LONG]):
         marked = [START + w for w in group]
         found, _ = pieces.lattice(marked)
         _, scale, _ = _forward(found, pieces.spelt(marked), probability)
@@ -132,6 +144,35 @@ def word_scores(pieces: Pieces, probability: np.ndarray, words: list[str]) -> di
     return scores
 
 
+def long_word_score(pieces: Pieces, probability: np.ndarray, word: str) -> np.ndarray:
+    """The same sum for one word of any length, ``AT_ONCE`` letters at a time: the forward
+    sums of the last positions, as many as a piece is long, are carried over."""
+    marked, reach = START + word, pieces.longest
+    # Sums over the last ``reach`` positions, newest first, relative to the newest one.
+    window = np.zeros((reach, probability.shape[1]))
+    window[0] = 1.0
+    score = np.zeros(probability.shape[1])
+    for start in range(0, len(marked), AT_ONCE):
+        back = min(start, reach - 1)
+        part = marked[start - back : start + AT_ONCE]
+        found, _ = pieces.lattice([part])
+        spelt = {at: np.prod(probability[ids], axis=0) for _, at, ids in pieces.spelt([part])}
+        # Probability of the piece of k letters that ends at each position.
+        ends, k = np.arange(1, len(part) + 1)[:, None], np.arange(1, reach + 1)[None, :]
+        fits = (k <= ends) & (k < found.shape[1])
+        piece = np.where(fits, found[np.maximum(ends - k, 0), np.minimum(k, found.shape[1] - 1), 0], -1)
+        likely = probability[piece]
+        for end in range(back + 1, len(part) + 1):
+            total = (window * likely[end - 1]).sum(axis=0)
+            if end - 1 in spelt:
+                total = total + window[0] * spelt[end - 1]
+            total = np.maximum(total, 1e-300)
+            score += np.log(total)
+            window[1:] = window[:-1] / total
+            window[0] = 1.0
+    return score
+
+
 def _by_length(words: list[str], cells: int = 50_000) -> Iterator[list[str]]:
     """Words of equal length together, as many as keep the lattice small."""
     by_length: dict[int, list[str]] = {}
@@ -202,7 +243,7 @@ def train_languages(
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = pd.DataFrame({
-                "language": batch["language"], "word": [LETTERS.findall(t.lower()) for t in batch["body"]]
+                "language": batch["language"], "word": [[w for w in words_of(t) if len(w) <= LONG] for t in batch["body"]],
             }).explode("word").dropna()
             yield found.groupby(["language", "word"], as_index=False).size().rename(columns={"size": "n"})
 
@@ -248,7 +289,7 @@ class Predictor:
     def scores(self, texts: list[str]) -> list[np.ndarray | None]:
         if len(self.known) > MAX_CACHED:
             self.known, self.table = {}, self.table[:0]
-        cut = [LETTERS.findall(t.lower()) for t in texts]
+        cut = list(map(words_of, texts))
         new = sorted(set(chain.from_iterable(cut)).difference(self.known))
         kept = len(self.table)
         if new:
@@ -257,6 +298,9 @@ class Predictor:
             self.table = np.concatenate([self.table, np.array([learned[w] for w in new])])
         place = self.known.__getitem__
         sums = [self.table[list(map(place, ws))].sum(axis=0) if ws else None for ws in cut]
+        for word in new:
+            if len(word) > LONG:
+                del self.known[word]
         return sums
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:

@@ -30,9 +30,11 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 SPACES = regex.compile(f"[{SPACE}]+")
 SEPARATORS = regex.compile("[\x1c-\x1f]")  # white space to str.split alone
-MAX_CACHED = 500_000
+MAX_CACHED = 200_000
 LONGEST_CACHED = 40
 CHUNK = 256
+NO_RANK = 1 << 60
+BEYOND_LATIN = regex.compile("[^\x00-\u024f]")
 
 
 def sufficient_lookahead(merges: list[tuple[str, str]], length) -> int:
@@ -55,6 +57,7 @@ class WordBpe:
     """One vocabulary: encoder and decoder."""
 
     def __init__(self, path: str):
+        self.path, self.library = path, None
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         model = described["model"]
@@ -72,21 +75,17 @@ class WordBpe:
         self.words: dict[str, tuple[int, ...]] = {}
 
     def _merge(self, symbols: list[str]) -> list[str]:
-        rank = self.rank
-        while len(symbols) > 1:
-            ranked = [rank.get(pair, 1 << 60) for pair in zip(symbols, symbols[1:])]
-            lowest = min(ranked)
-            if lowest == 1 << 60:
-                break
-            merged, at = [], 0
-            while at < len(symbols):
-                if at < len(ranked) and ranked[at] == lowest:
-                    merged.append(symbols[at] + symbols[at + 1])
-                    at += 2
-                else:
-                    merged.append(symbols[at])
-                    at += 1
-            symbols = merged
+        """Applies the merges: always the earliest in the list, the leftmost of its kind."""
+        find, symbols = self.rank.get, list(symbols)
+        ranks = [find(pair, NO_RANK) for pair in zip(symbols, symbols[1:])]
+        while ranks and (lowest := min(ranks)) < NO_RANK:
+            at = ranks.index(lowest)
+            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = find((symbols[at - 1], symbols[at]), NO_RANK)
+            if at < len(ranks):
+                ranks[at] = find((symbols[at], symbols[at + 1]), NO_RANK)
         return symbols
 
     def stream(self, data: Iterator[int]) -> Iterator[int]:
@@ -125,6 +124,10 @@ class WordBpe:
             if part in self.added:
                 ids.append(self.added[part])
                 continue
+            if BEYOND_LATIN.search(part) and any(unicodedata.category(c) == "Cn" for c in part):
+                for word in self._words_of_library(part):
+                    ids.extend(self.stream(iter(word)))
+                continue
             text = unicodedata.normalize("NFC", part)
             # Letter by letter: lower-casing a whole word would make a final sigma of one.
             text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
@@ -132,6 +135,17 @@ class WordBpe:
                 ids.extend(self._word(word))
         return tuple(ids)
 
+    def _words_of_library(self, text: str) -> list[bytes]:
+        """The words, as bytes, of text with letters on which Unicode versions may differ:
+        lower case and cuts are the library's own."""
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        byte_of = byte_symbols()
+        cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes(byte_of[c] for c in word) for word, _ in cut]
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         if len(self.known) > MAX_CACHED:
             self.known.clear()
