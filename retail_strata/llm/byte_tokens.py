@@ -1,8 +1,9 @@
 """Ids of the tokenizers library, as little-endian unsigned 32-bit bytes.
 
 Texts are worked on a million characters at a time: all are cut at single spaces, each
-distinct word is cut into pre-tokens, the library's model sees each of those once, the
-ids of words are remembered, up to a bound, and put together with numpy.  Texts with a
+distinct word is cut into pre-tokens, the library's model sees each of those once, and the
+ids of words are put together with numpy.  Words and pre-tokens are remembered up to a
+bound.  Texts with a
 special token, double white space or letters on which Unicode versions may differ go
 through the whole library.
 """
@@ -13,7 +14,6 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from retail_strata.llm.token_counts import byte_symbols
 
 TOGETHER = 1_000_000  # characters
-MAX_KNOWN = 200_000  # words
+MAX_KNOWN, MAX_PRE_TOKENS = 100_000, 150_000
 SEPARATOR = "\x1f"  # in no text that is worked on in parts, and a pre-token of its own
 # Fixed value: how byte-level vocabularies cut a text, for texts that are ``SIMPLE``.
 PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s")
@@ -40,6 +40,7 @@ class ByteTokens:
         self.library.no_padding()
         self.symbols = {byte: symbol for symbol, byte in byte_symbols().items()}
         self._forget()
+        self.ids_of: dict[str, bytes] = {SEPARATOR: b""}
 
     def _forget(self) -> None:
         """No word is known: place by word, and the ids at each place."""
@@ -94,10 +95,8 @@ class ByteTokens:
             distinct = pre_tokens.dictionary.to_numpy(zero_copy_only=False).tolist()
             of_pre_token = self._model(distinct)
             code = pre_tokens.indices.to_numpy()
-            flat, ends = gathered(
-                np.fromiter(chain.from_iterable(of_pre_token), dtype=np.uint32),
-                np.cumsum([0, *map(len, of_pre_token)], dtype=np.int64), code,
-            )
+            ids = np.frombuffer(b"".join(of_pre_token), dtype=np.uint32)
+            flat, ends = gathered(ids, np.cumsum([0, *map(len, of_pre_token)], dtype=np.int64) // 4, code)
             between = np.flatnonzero(code == distinct.index(SEPARATOR)) if SEPARATOR in distinct else code[:0]
             word_ends = np.append(np.concatenate([[0], ends])[between], len(flat)) + len(self.ids)
             known.update(zip(new, range(len(known), len(known) + len(new))))
@@ -105,13 +104,16 @@ class ByteTokens:
             self.offsets.frombytes(word_ends.astype(np.int64).tobytes())
         return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
-    def _model(self, pre_tokens: list[str]) -> list[list[int]]:
+    def _model(self, pre_tokens: list[str]) -> list[bytes]:
         """The library's ids of each; none of the separator."""
-        text = SEPARATOR.join(p for p in pre_tokens if p != SEPARATOR)
-        symbols = text.encode().decode("latin-1").translate(self.symbols).split(self.symbols[ord(SEPARATOR)])
-        tokenize = self.library.model.tokenize
-        found = iter([[token.id for token in tokenize(s)] for s in symbols])
-        return [[] if p == SEPARATOR else next(found) for p in pre_tokens]
+        if len(self.ids_of) > MAX_PRE_TOKENS:
+            self.ids_of = {SEPARATOR: b""}
+        ids_of, tokenize = self.ids_of, self.library.model.tokenize
+        new = [p for p in pre_tokens if p not in ids_of]
+        symbols = SEPARATOR.join(new).encode().decode("latin-1").translate(self.symbols)
+        for pre_token, word in zip(new, symbols.split(self.symbols[ord(SEPARATOR)])):
+            ids_of[pre_token] = array("I", [token.id for token in tokenize(word)]).tobytes()
+        return list(map(ids_of.__getitem__, pre_tokens))
 
 
 def gathered(flat: np.ndarray, offsets: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
