@@ -428,6 +428,8 @@ ORACLES: dict[str, str] = {
         "select * from gold_customer_metrics union all select * from gold_customer_metrics"
     ),
     "gold_customer_metrics_newest": _over("select * from gold_customer_metrics"),
+    "compact_bronze": _over(" union all ".join(_bronze("payments", "parquet", f"ingest-{n}") for n in range(5))),
+    "gold_customer_metrics_bucketed": _over("select * from gold_customer_metrics"),
     # Over batches, an older valid version comes in where a newer one was rejected.
     "customers_current": _over(f"""
         select * exclude (reject_reasons, place), 'customers.json' as source_file from (

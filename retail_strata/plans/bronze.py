@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from retail_strata.operators.lineage import observe_ingestion, stamp_ingestion
+from retail_strata.plans.compaction import read_table
 from retail_strata.plans.run_log import RunLog, adopt
 from retail_strata.plans.side_by_side import side_by_side
 from retail_strata.plans.tables import ENTITIES, Entity, Layers
@@ -118,8 +119,7 @@ def ingest_all(
 
 def read_bronze(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
     return {
-        e.bronze_table: spark.read.schema(e.bronze_schema).parquet(f"{layers.bronze}/{e.bronze_table}")
-        for e in ENTITIES
+        e.bronze_table: read_table(spark, f"{layers.bronze}/{e.bronze_table}", e.bronze_schema) for e in ENTITIES
     }
 
 

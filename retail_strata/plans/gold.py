@@ -8,9 +8,9 @@ from retail_strata.operators import business
 from retail_strata.operators.cleanse import latest_customers
 from retail_strata.operators.lineage import count_rows, stamp_processing
 from retail_strata.plans.bronze import StageResult
+from retail_strata.plans.compaction import read_table
 from retail_strata.plans.side_by_side import side_by_side
 from retail_strata.plans.tables import CUSTOMERS, GOLD_SCHEMAS, PAYMENTS, PRODUCTS, SALES, Entity, Layers
-from retail_strata.sources.readers import read_parquet
 from retail_strata.sources.writers import overwrite_parquet, spread_for_write
 
 SUMMARY, METRICS, PERFORMANCE, PAYMENT_ANALYSIS = GOLD_SCHEMAS
@@ -27,7 +27,7 @@ def build_table(spark: SparkSession, layers: Layers, table: str, dedup_scope: st
         raise ValueError(f"dedup_scope is 'batch' or 'table', not {dedup_scope!r}")
 
     def silver(entity: Entity) -> DataFrame:
-        return read_parquet(spark, f"{layers.silver}/{entity.silver_table}", entity.silver_schema)
+        return read_table(spark, f"{layers.silver}/{entity.silver_table}", entity.silver_schema)
 
     if table == SUMMARY:
         return business.sales_summary(silver(SALES))

@@ -18,11 +18,11 @@ from retail_strata.operators.partials import (
     PAYMENTS_BY_METHOD, SALES_BY_CUSTOMER, SALES_BY_MONTH, SALES_BY_PRODUCT, buyers_of_month, merged_summary,
 )
 from retail_strata.operators.run_log import FINISHED, STARTED, of_state, rows_of
+from retail_strata.plans.compaction import read_table
 from retail_strata.plans.run_log import RunLog, as_frame, ingestion_keys
 from retail_strata.plans.side_by_side import side_by_side
 from retail_strata.plans.silver import silver_log
 from retail_strata.plans.tables import CUSTOMERS, ENTITIES, GOLD_SCHEMAS, PAYMENTS, PRODUCTS, SALES, Entity, Layers
-from retail_strata.sources.readers import read_parquet
 from retail_strata.sources.writers import overwrite_parquet
 
 SUMMARY, METRICS, PERFORMANCE, PAYMENT_ANALYSIS = GOLD_SCHEMAS
@@ -63,7 +63,7 @@ def rows_of_batch(spark: SparkSession, layers: Layers, entity: Entity, batch: li
     keys = as_frame(spark, ingestion_keys(batch))
     rows = rows_of(reader.option("modifiedAfter", moment).option("timeZone", "UTC").parquet(path), keys)
     if rows.count() != batch[0]["rows_written"]:
-        rows = rows_of(read_parquet(spark, path, entity.silver_schema), keys)
+        rows = rows_of(read_table(spark, path, entity.silver_schema), keys)
     return rows
 
 

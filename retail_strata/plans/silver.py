@@ -9,6 +9,7 @@ from retail_strata.operators.incremental import batch_high_water_mark
 from retail_strata.operators.lineage import count_rows, stamp_processing
 from retail_strata.operators.run_log import STARTED, rows_of
 from retail_strata.plans.bronze import StageResult, bronze_log
+from retail_strata.plans.compaction import read_table
 from retail_strata.plans.run_log import RunLog, as_frame, days_of, ingestion_keys, waiting
 from retail_strata.plans.side_by_side import side_by_side
 from retail_strata.plans.tables import ENTITIES, Entity, Layers
@@ -33,7 +34,7 @@ def silver_log(spark: SparkSession, layers: Layers, entity: Entity) -> RunLog:
 
 def bronze_rows(spark: SparkSession, layers: Layers, entity: Entity, ingestions: list[dict]) -> DataFrame:
     """Bronze rows of the given ingestions; only the partitions of their dates are opened."""
-    bronze = read_parquet(spark, f"{layers.bronze}/{entity.bronze_table}", entity.bronze_schema)
+    bronze = read_table(spark, f"{layers.bronze}/{entity.bronze_table}", entity.bronze_schema)
     ids = sorted({i["ingestion_id"] for i in ingestions})
     bronze = bronze.filter(F.col("ingestion_date").isin(days_of(ingestions)) & F.col("ingestion_id").isin(ids))
     return rows_of(bronze, as_frame(spark, ingestions))
@@ -171,6 +172,5 @@ def refine_all(
 
 def read_silver(spark: SparkSession, layers: Layers) -> dict[str, DataFrame]:
     return {
-        e.silver_table: spark.read.schema(e.silver_schema).parquet(f"{layers.silver}/{e.silver_table}")
-        for e in ENTITIES
+        e.silver_table: read_table(spark, f"{layers.silver}/{e.silver_table}", e.silver_schema) for e in ENTITIES
     }

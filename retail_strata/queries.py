@@ -25,6 +25,7 @@ from retail_strata.operators.reports import row_counts
 from retail_strata.plans import raw_views
 from retail_strata.plans.bronze import StageResult, bronze_log, ingest_all, ingest_file, read_bronze
 from retail_strata.plans.buyers import Buyers
+from retail_strata.plans.compaction import CompactedTable
 from retail_strata.plans.current_customers import current_customers, merge_customers
 from retail_strata.plans.feeds import feed_customers, feed_products, feed_sales
 from retail_strata.plans.full import bronze_report, layer_report, run_all
@@ -35,6 +36,7 @@ from retail_strata.plans.replay import repaired_json, replay_unheld
 from retail_strata.plans.run_log import waiting
 from retail_strata.plans.silver import read_rejects, read_silver, refine_all, refine_entity, silver_batch, silver_log
 from retail_strata.plans.tables import CUSTOMERS, GOLD_SCHEMAS, PAYMENTS, PRODUCTS, SALES, Entity, Layers
+from retail_strata.sources.bucketed import bucketed_tables
 from retail_strata.sources.readers import RAW_RECORD, read_parquet
 from retail_strata.sources.scratch import scratch_folder
 from retail_strata.sources.writers import append_parquet, overwrite_parquet, spread_for_write, write_json_lines
@@ -540,6 +542,39 @@ def stream_silver_customers(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(_silver_table(spark, layers, CUSTOMERS)).drop("processing_id")
 
 
+def compact_bronze(spark: SparkSession, folder: str) -> DataFrame:
+    """Four ingestions, compacted twice with one more between them: the same rows, fewer
+    files, and the ingestion that came after the first packing is there too."""
+    layers = _scratch_layers(spark, "compact-bronze")
+    raw_views.write_raw_file(spark, folder, layers, PAYMENTS)
+    table = CompactedTable(spark, f"{layers.bronze}/{PAYMENTS.bronze_table}", PAYMENTS.bronze_schema)
+    for turn in range(5):
+        if turn == 4:
+            table.compact(128 << 20, ("ingestion_date",))
+        ingest_file(
+            spark, layers, "parquet", PAYMENTS.raw_file, PAYMENTS.bronze_table, f"ingest-{turn}",
+            PAYMENTS.raw_schema, F.lit(f"2024-05-0{turn % 2 + 1} 10:00:00").cast("timestamp"),
+        )
+    done = table.compact(128 << 20, ("ingestion_date",))
+    if done.files_after > 2:
+        raise ValueError(f"{done.files_after} files are left of two partitions")
+    return comparable(table.read())
+
+
+def gold_customer_metrics_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """Customer metrics from silver tables bucketed by customer: sales are not shuffled."""
+    path = scratch_folder(spark, "bucketed")
+    database = f"strata_{path.rsplit('-', 1)[1]}"
+    customers, sales = (_refined(e, spark, folder) for e in (CUSTOMERS, SALES))
+    with bucketed_tables(spark, database, path) as tables:
+        tables.write("customers", customers, "customer_id", buckets=8)
+        tables.write("sales", sales, "customer_id", buckets=8)
+        metrics = business.customer_metrics(tables.read("customers"), tables.read("sales"))
+        result = f"{path}/metrics"
+        overwrite_parquet(metrics, result)
+    return comparable(read_parquet(spark, result))
+
+
 # Feeds, sized by the given tables.
 
 
@@ -596,6 +631,8 @@ QUERIES: dict[str, Query] = {
     "gold_product_performance": gold_product_performance,
     "gold_product_performance_skewed": gold_product_performance_skewed,
     "gold_payment_analysis": gold_payment_analysis,
+    "compact_bronze": compact_bronze,
+    "gold_customer_metrics_bucketed": gold_customer_metrics_bucketed,
     "customers_current": customers_current,
     "distinct_customers_rollup": distinct_customers_rollup,
     **{f"silver_rejects_{e.name}": partial(silver_rejects, e) for e in (CUSTOMERS, PRODUCTS, SALES, PAYMENTS)},

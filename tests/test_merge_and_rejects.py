@@ -1,6 +1,7 @@
 """Gold states, current customers, bitmaps, rejects, replay, mixed files, customer stream."""
 
 import re
+from datetime import date
 
 import duckdb
 import pytest
@@ -11,14 +12,16 @@ from retail_strata.operators.distinct_bitmaps import bitmaps, distinct_counts
 from retail_strata.operators.numbering import numbered
 from retail_strata.plans.bronze import ingest_file
 from retail_strata.plans.buyers import Buyers
+from retail_strata.plans.compaction import CompactedTable, packed, replaced_files
 from retail_strata.plans.current_customers import current_customers, merge_customers
 from retail_strata.plans.gold import build_table
 from retail_strata.plans.gold_increments import fold_batches, fold_entity, incremental_gold, rows_of_batch, silver_batches
 from retail_strata.plans.replay import repaired_json, replay_unheld, unheld_records
-from retail_strata.plans.silver import read_rejects, refine_entity
+from retail_strata.plans.silver import bronze_rows, read_rejects, refine_entity
 from retail_strata.plans.tables import CUSTOMERS, GOLD_SCHEMAS, PAYMENTS, PRODUCTS, SALES, Layers
 from retail_strata.schemas import RAW_SALES
 from retail_strata.sources import readers, writers
+from retail_strata.sources.bucketed import bucketed_tables
 from retail_strata.sources.versions import VersionedTable
 from retail_strata.streaming.customer_stream import start_customer_stream
 
@@ -222,3 +225,73 @@ def test_late_customers_in_the_stream(spark, folder):
     assert {r.customer_id: r.email for r in silver.collect()} == {"c1": "new@a.b", "3": "3@a.b", "4": "4@a.b"}
     with pytest.raises(ValueError, match="stream"):
         refine_entity(spark, layers, CUSTOMERS, "batch")
+
+
+def test_compaction_keeps_rows_and_what_comes_meanwhile(spark, folder):
+    path, by = f"{folder}/bronze", ("day",)
+    schema = "id bigint, text string, day string"
+    wide = spark.range(4000).selectExpr("id", "sha2(string(id), 512) AS text", "string(id % 2) AS day")
+    for part in range(6):
+        writers.append_parquet(wide.filter(f"id % 6 = {part}").coalesce(2), path, by)
+    table = CompactedTable(spark, path, spark.createDataFrame([], schema).schema)
+    before = table.files().count()
+    first = table.compact(1 << 20, by)
+    assert (first.files_before, first.files_after) == (before, 2) and before >= 12
+    writers.append_parquet(spark.range(4000, 4010).selectExpr("id", "'x' AS text", "'0' AS day"), path, by)
+    assert sorted(r.id for r in table.read().collect()) == list(range(4010))
+    # The second packing takes the staged files up as well; a third finds nothing to do.
+    assert table.compact(1 << 20, by).files_after == 2
+    assert table.compact(1 << 20, by).groups == 0
+    assert sorted(r.id for r in table.read().collect()) == list(range(4010))
+    assert {r.day for r in table.read().select("day").distinct().collect()} == {"0", "1"}
+    assert replaced_files(table).count() > before
+    # A staging folder without an entry is not read.
+    writers.append_parquet(wide, f"{path}_compact/data/group-left", by)
+    assert table.read().count() == 4010
+
+
+def test_files_are_packed_up_to_the_target(spark):
+    lengths = [10, 20, 30, 40, 45, 60, 100]
+    files = spark.createDataFrame([(f"p/{i}", n, "p") for i, n in enumerate(lengths)], "path string, length bigint, partition string")
+    groups = [sorted(int(p[2:]) for p in r.paths) for r in packed(files, 100).collect()]
+    assert sorted(groups) == [[0, 1, 2, 3]]  # 10 + 20 + 30 + 40 fill one; 45 would be alone; 60 and 100 are full
+
+
+def test_bucketed_sides_need_no_exchange(spark, folder):
+    from retail_strata.operators import business, cleanse
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with bucketed_tables(spark, "bucket_test", f"{folder}/b") as tables:
+            sales = cleanse.refine_sales(rows.sales(spark, {}, {"customer_id": "c2"}, {"customer_id": None}))
+            tables.write("sales", sales, "customer_id", 4)
+            tables.write("customers", cleanse.refine_customers(rows.customers(spark, {})), "customer_id", 4)
+            metrics = business.customer_metrics(tables.read("customers"), tables.read("sales"))
+            assert "Exchange" not in metrics._jdf.queryExecution().executedPlan().toString()
+            assert [(r.customer_id, r.total_orders) for r in metrics.collect()] == [("c1", 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_jobs_read_a_compacted_table_by_its_manifest(spark, folder):
+    layers = Layers.under(folder)
+    for turn in range(3):
+        ingest(spark, layers, PAYMENTS, rows.payments(spark, {"payment_id": f"p{turn}"}), f"in-{turn}", "2024-05-01")
+    bronze = CompactedTable(spark, f"{layers.bronze}/bronze_payments", PAYMENTS.bronze_schema)
+    assert bronze.compact(1 << 20, ("ingestion_date",)).files_after == 1
+    first = {"source_file": "payments.parquet", "first_date": date(2024, 5, 1), "last_date": date(2024, 5, 1)}
+    micros = {"first_micros": 1714521600000000, "last_micros": 1714521600000000, "rows_read": 1}
+    keys = [{"ingestion_id": f"in-{i}", **first, **micros} for i in range(3)]
+    files = bronze_rows(spark, layers, PAYMENTS, keys).select(F.input_file_name().alias("f")).distinct().collect()
+    assert len(files) == 1 and "_compact/data/group-" in files[0].f
+    assert refine_entity(spark, layers, PAYMENTS, "one").rows == {"read": 3, "written": 3}
+    silver = CompactedTable(spark, f"{layers.silver}/silver_payments", PAYMENTS.silver_schema)
+    ingest(spark, layers, PAYMENTS, rows.payments(spark, {"payment_id": "p3"}), "in-3", "2024-05-02")
+    refine_entity(spark, layers, PAYMENTS, "two")
+    silver.compact(1 << 20, ("payment_method",))
+    assert refine_entity(spark, layers, PAYMENTS, "idle") is None
+    whole = build_table(spark, layers, "gold_payment_analysis").collect()
+    assert [r.total_transactions for r in whole] == [4]
+    assert fold_entity(spark, layers, PAYMENTS) == 2
+    assert [r.total_transactions for r in incremental_gold(spark, layers, "gold_payment_analysis").collect()] == [4]
