@@ -22,6 +22,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retail_strata.functions import quoted
 from retail_strata.llm.common import whole_text
 
 # The patterns of the base kinds, in the order in which they are listed.
@@ -99,6 +100,9 @@ def base_spans(text: Column) -> list[Column]:
     ]
 
 
+RESULTS = ["assign", "access", "hex", "spans"]
+
+
 @dataclass(frozen=True)
 class SecretModel:
     """Log-likelihood ratio of each pair of characters, by the second's place in the
@@ -211,14 +215,21 @@ def _random_places(string: Column, model: SecretModel) -> Column:
 
 def find_secrets(docs: DataFrame, model: SecretModel) -> DataFrame:
     """All columns, with ``assign``, ``access``, ``hex`` (base spans by kind) and
-    ``spans`` (all of them and the random ones, by start, then kind)."""
+    ``spans`` (all of them and the random ones, by start, then kind).  A column of the
+    caller's with one of these names gives way."""
+    found = _found(docs.select(F.struct("*").alias("_row"), whole_text().alias("_text")), model)
+    own = [F.col(f"_row.{quoted(c)}") for c in docs.columns if c not in RESULTS]
+    return found.select(*own, *RESULTS)
+
+
+def _found(base: DataFrame, model: SecretModel) -> DataFrame:
+    """The results beside ``_row`` and ``_text``."""
     text = F.col("_text")
     runs = _spans(text, KEY_RUN, len(BASE), 0)
-    base = docs.select("*", whole_text().alias("_text"))
     base = base.withColumns(dict(zip(KINDS, base_spans(text))) | {"_runs": runs})
     fixed = F.concat("assign", "access", "hex")
     if not model.ratios:
-        return base.withColumn("spans", F.array_sort(fixed)).drop("_text", "_runs")
+        return base.withColumn("spans", F.array_sort(fixed))
     cut = lambda value, start, end: F.substring(value, (start + 1).cast("int"), (end - start).cast("int"))
 
     def secrets(run: Column) -> Column:
@@ -234,8 +245,7 @@ def find_secrets(docs: DataFrame, model: SecretModel) -> DataFrame:
 
     random = F.flatten(F.transform("_runs", secrets))
     random = F.when(F.size("_runs") > 0, random).otherwise(F.array().cast(f"array<{SPAN}>"))
-    found = base.withColumn("_fixed", F.array_sort(fixed)).withColumn("spans", F.array_sort(F.concat("_fixed", random)))
-    return found.drop("_text", "_runs", "_fixed")
+    return base.withColumn("_fixed", F.array_sort(fixed)).withColumn("spans", F.array_sort(F.concat("_fixed", random)))
 
 
 def span_text(spans: Column) -> Column:
@@ -244,7 +254,8 @@ def span_text(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, model: SecretModel, mark: str = "[SECRET]") -> DataFrame:
-    """The same rows with a mark in place of each secret; overlapping spans share one."""
+    """The same rows and columns with a mark in place of each secret; overlapping spans
+    share one."""
     empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
     merged = F.aggregate(
         "spans", empty,
@@ -260,11 +271,12 @@ def redact(docs: DataFrame, model: SecretModel, mark: str = "[SECRET]") -> DataF
         ).otherwise(F.concat(out, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))),
     )
     end = lambda i: F.when(i > 0, F.get(F.col("_cuts"), i - 1)["end"]).otherwise(F.lit(0).cast("bigint"))
-    stop = lambda i: F.coalesce(F.get(F.col("_cuts"), i)["start"], F.length("text").cast("bigint"))
+    stop = lambda i: F.coalesce(F.get(F.col("_cuts"), i)["start"], F.length("_text").cast("bigint"))
     kept = F.transform(
         F.sequence(F.lit(0), F.size("_cuts")),
-        lambda i: F.substring(F.col("text"), (end(i) + 1).cast("int"), (stop(i) - end(i)).cast("int")),
+        lambda i: F.substring(F.col("_text"), (end(i) + 1).cast("int"), (stop(i) - end(i)).cast("int")),
     )
-    found = find_secrets(docs, model).withColumn("_cuts", F.when(F.size("spans") > 0, merged))
-    text = F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(F.array_join(kept, mark))
-    return found.withColumn("text", text).select(*docs.columns)
+    found = _found(docs.select(F.struct("*").alias("_row"), whole_text().alias("_text")), model)
+    found = found.withColumn("_cuts", F.when(F.size("spans") > 0, merged))
+    text = F.when(F.col("_cuts").isNull(), F.col("_row.text")).otherwise(F.array_join(kept, mark))
+    return found.select(*[text.alias(c) if c == "text" else F.col(f"_row.{quoted(c)}") for c in docs.columns])

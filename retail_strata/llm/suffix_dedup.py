@@ -231,9 +231,12 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def deduplicated(docs: DataFrame, least_words: int = 50) -> DataFrame:
     """All columns of all rows, ``text`` without the copies that are cut, and ``repeats``
     and ``removed``: the passages found and those cut, as start:end in code points of
-    the old text, comma-joined (null where a document has none)."""
+    the old text, comma-joined (null where a document has none).  A column of the caller's
+    with one of these two names gives way."""
     found = repeated_passages(docs, least_words)
-    keyed = _with_key(docs).withColumn("_id", F.col("doc_id").cast("bigint"))
+    # Under names of our own in between, so that no column of the caller's meets ours.
+    aside = {c: "text" if c == "text" else f"_c{i}" for i, c in enumerate(docs.columns)}
+    keyed = _with_key(docs.toDF(*aside.values())).withColumn("_id", F.col(aside["doc_id"]).cast("bigint"))
     named = found.select(F.col("doc_id").alias("_other"), F.col("body").alias("_body"), "passages")
     joined = keyed.join(named, F.expr("_id <=> _other AND body = _body"), "left").drop("body", "_id", "_other", "_body")
 
@@ -258,5 +261,7 @@ def deduplicated(docs: DataFrame, least_words: int = 50) -> DataFrame:
                 removed.append(",".join(f"{a}:{b}" for a, b in gone))
             yield batch.drop(columns="passages").assign(text=texts, repeats=repeats, removed=removed)
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInPandas(cut, f"{kinds}, repeats string, removed string")
+    kinds = ", ".join(f"{aside[f.name]} {f.dataType.simpleString()}" for f in docs.schema.fields)
+    done = joined.mapInPandas(cut, f"{kinds}, repeats string, removed string")
+    own = [F.col(inner).alias(c) for c, inner in aside.items() if c not in ("repeats", "removed")]
+    return done.select(*own, "repeats", "removed")
