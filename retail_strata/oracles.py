@@ -399,7 +399,7 @@ ORACLES: dict[str, str] = {
     "overwrite_partitioned": "select * from customer",
     "filter_project": "select c_custkey, c_name, c_acctbal from customer where c_acctbal > 5000",
     "lineage_stamp": """
-        select o_orderkey, o_orderstatus, timestamp '2024-05-06 07:08:09' as ingestion_timestamp,
+        select *, timestamp '2024-05-06 07:08:09' as ingestion_timestamp,
           'run-1' as ingestion_id, 'orders.parquet' as source_file, timestamp '2024-05-06 00:00:00' as ingestion_date
         from orders""",
     "high_water_mark": "select max(ts) as mark from events",

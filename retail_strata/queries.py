@@ -270,7 +270,7 @@ def filter_project(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lineage_stamp(spark: SparkSession, folder: str) -> DataFrame:
-    orders = star_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    orders = comparable(star_table(spark, folder, "orders"))
     moment = F.lit("2024-05-06 07:08:09").cast("timestamp")
     stamped = stamp_ingestion(orders, "run-1", "orders.parquet", moment)
     plain = {c: F.col(c).cast("timestamp_ntz") for c in ("ingestion_timestamp", "ingestion_date")}
