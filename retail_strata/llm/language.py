@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from retail_strata.llm.common import whole_text, workers_find_package, written
 
+LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 SHARE_STEPS = 1_000_000
 MAX_CACHED = 150_000
@@ -92,15 +93,13 @@ class Pieces:
         ]
 
 
-@lru_cache(maxsize=1)
-def _letters() -> re.Pattern:
-    """Runs of letters: word characters that are neither digits nor other numerals."""
-    numerals = [c for c in map(chr, range(128, 0x110000)) if c.isalnum() and not c.isalpha()]
-    return re.compile(r"[^\W\d_" + "".join(numerals) + "]+")
-
-
 def words_of(text: str) -> list[str]:
-    return _letters().findall(text.lower())
+    """Runs of letters, in lower case.  Numerals that are no digits part them too; few
+    texts hold one, so they are looked for word by word."""
+    words = LETTERS.findall(text.lower())
+    if all(map(str.isalpha, words)):
+        return words
+    return [run for word in words for run in "".join(c if c.isalpha() else " " for c in word).split(" ") if run]
 
 
 @lru_cache(maxsize=2)
