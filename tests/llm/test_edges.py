@@ -31,7 +31,7 @@ def folders(spark, tmp_path_factory):
     return made
 
 
-DOCUMENT_QUERIES = [n for n in q.QUERIES if n != "op10_embedding_links"]
+DOCUMENT_QUERIES = [n for n in q.QUERIES if n not in ("op10_embedding_links", "op12_hard_negatives")]
 
 
 @pytest.mark.parametrize("name", DOCUMENT_QUERIES)
