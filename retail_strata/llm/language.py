@@ -31,7 +31,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 SHARE_STEPS = 1_000_000
 MAX_CACHED = 150_000
-LONG = 64
+LONG, VERY_LONG = 64, 8192
 AT_ONCE = 1024
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 START = "▁"
@@ -134,7 +134,19 @@ def _forward(found, spelling, probability):
 
 def word_scores(pieces: Pieces, probability: np.ndarray, words: list[str]) -> dict[str, np.ndarray]:
     """Log-probability of each word in each language, all segmentations summed."""
-    scores = {w: long_word_score(pieces, probability, w) for w in words if len(w) > LONG}
+    scores = {w: long_word_score(pieces, probability, w) for w in words if len(w) > VERY_LONG}
+    # Long words of like length together, filled up behind their ends with a letter of no
+    # piece; a word's total stands where it ends.
+    fills: dict[int, list[str]] = {}
+    for word in words:
+        if LONG < len(word) <= VERY_LONG:
+            fills.setdefault(len(word).bit_length(), []).append(word)
+    for group in chain.from_iterable(map(_alike, fills.values())):
+        longest = max(map(len, group))
+        found, _ = pieces.lattice([(START + w).ljust(longest + 1, "\0") for w in group])
+        with np.errstate(over="ignore", invalid="ignore"):  # behind the ends
+            _, scale, _ = _forward(found, pieces.spelt([START + w for w in group]), probability)
+        scores.update((w, scale[len(w) + 1, i]) for i, w in enumerate(group))
     for group in _by_length([w for w in words if len(w) <= LONG]):
         marked = [START + w for w in group]
         found, _ = pieces.lattice(marked)
@@ -143,6 +155,15 @@ def word_scores(pieces: Pieces, probability: np.ndarray, words: list[str]) -> di
     return scores
 
 
+def _alike(words: list[str], cells: int = 50_000) -> Iterator[list[str]]:
+    """Words in order of their length, as many as keep the lattice small."""
+    words = sorted(words, key=len)
+    while words:
+        step = max(1, cells // (len(words[-1]) + 1))
+        yield words[-step:]
+        del words[-step:]
+
+
 def long_word_score(pieces: Pieces, probability: np.ndarray, word: str) -> np.ndarray:
     """The same sum for one word of any length, ``AT_ONCE`` letters at a time: the forward
     sums of the last positions, as many as a piece is long, are carried over."""
