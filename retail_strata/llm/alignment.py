@@ -20,7 +20,6 @@ table gives an empty one.
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retail_strata.llm.byte_tokens import ByteTokens, gathered
-from retail_strata.llm.common import workers_find_package, written
+from retail_strata.llm.common import held_by_worker, workers_find_package, written
 
 HEAVY = 131_072
 TOGETHER = 400_000  # characters
@@ -203,10 +202,9 @@ def align(ids: list[tuple[np.ndarray, np.ndarray]], both: Aligner) -> list[tuple
     return out
 
 
-@lru_cache(maxsize=1)
 def aligner(byte_path: str, piece_path: str) -> Aligner:
     """One per Python worker."""
-    return Aligner(byte_path, piece_path)
+    return held_by_worker(Aligner, byte_path, piece_path)
 
 
 def _portions(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:

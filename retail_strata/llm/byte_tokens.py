@@ -13,12 +13,12 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from retail_strata.llm.common import held_by_worker
 from retail_strata.llm.token_counts import byte_symbols
 
 TOGETHER = 1_000_000  # characters
@@ -142,7 +142,6 @@ def _groups(texts: list[str]) -> Iterator[list[int]]:
         yield group
 
 
-@lru_cache(maxsize=2)
 def byte_tokens(path: str) -> ByteTokens:
     """One per Python worker."""
-    return ByteTokens(path)
+    return held_by_worker(ByteTokens, path)

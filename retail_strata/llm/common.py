@@ -1,8 +1,12 @@
 """Shared steps: written tables, Python on the workers, safe cutting of texts."""
 
+import ctypes
+import gc
 import re
+from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +18,34 @@ TWO_SPACES = re.compile(r"\s\s")
 BEFORE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
 
-ROWS_PER_BATCH = 2000
+ROWS_PER_BATCH = 1000
+
+_held: dict[tuple, object] = {}
+
+
+def held_by_worker(make: Callable, *arguments):
+    """``make(*arguments)``, made once in a Python process and kept until another is asked
+    for: workers serve stage after stage, and what one stage held is not beside the next."""
+    key = (make, *arguments)
+    if key not in _held:
+        release_models()
+        _held[key] = make(*arguments)
+    return _held[key]
+
+
+def release_models() -> None:
+    """What earlier stages left in this process goes back to the system."""
+    _held.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def workers_find_package(spark: SparkSession) -> None:
     """Let Python workers import this package wherever the driver found it, and hand
-    them whole texts a few thousand at a time, as they live beside the executor's heap."""
+    them whole texts a thousand at a time, as they live beside the executor's heap."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(rows)) <= ROWS_PER_BATCH:

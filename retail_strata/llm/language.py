@@ -17,7 +17,6 @@ Repeated rows are predicted row by row; other columns are dropped.
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -25,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retail_strata.llm.common import whole_text, workers_find_package, written
+from retail_strata.llm.common import held_by_worker, whole_text, workers_find_package, written
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -102,10 +101,9 @@ def words_of(text: str) -> list[str]:
     return [run for word in words for run in "".join(c if c.isalpha() else " " for c in word).split(" ") if run]
 
 
-@lru_cache(maxsize=2)
 def pieces_of(path: str) -> Pieces:
     """One per Python worker."""
-    return Pieces(path)
+    return held_by_worker(Pieces, path)
 
 
 def _forward(found, spelling, probability):

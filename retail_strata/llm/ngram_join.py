@@ -9,7 +9,9 @@ Rows with equal sets are one class and are worked on once.  Classes of long list
 first compared with a few representatives of each list and put together where they
 match, then those left over with members of the largest group, so that a large group of
 near copies takes a linear number of comparisons.  Last, all pairs that are still apart and
-share enough of their prefixes are verified.
+share enough of their prefixes are verified.  Lists of more than ``BLOCK`` members are
+dealt to blocks for that, whose prefixes are compared inside tasks: a row is made for a
+member and a block it meets, never for a pair that does not share enough.
 No link between classes of different components remains unseen.
 
 Null texts and texts without words have empty sets and are linked with nothing.  Rows
@@ -18,6 +20,7 @@ null.  Repeated rows are in one component; an empty table gives an empty one.
 """
 
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -25,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_strata.llm.common import whole_text, workers_find_package, written
+from retail_strata.llm.common import release_models, whole_text, workers_find_package, written
 from retail_strata.llm.components import components
 from retail_strata.llm.shingles import groups, packed, shingle_sets, unpacked, word_hashes
 
@@ -35,6 +38,9 @@ LONG_LIST = 16  # members from which a list is worth representatives
 DRAWS = 4  # representatives of a list
 STAR_MATCHES = 4  # shared prefix shingles that make comparing with a representative worthwhile
 VERIFY_COST = 12.0  # of a candidate, in postings looked at
+BLOCK = 256  # members of a list that are compared at once
+TOKENS_AT_ONCE = 8192  # prefix shingles of two blocks that are compared at once
+LOG_STEPS = 1024  # steps of a logarithm: whole numbers, whose sums are the same everywhere
 MAX_BROADCAST = 500_000  # rows of one number
 
 
@@ -54,6 +60,7 @@ def slot_counts(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     all rows.  The driver gets these two arrays, whatever the input."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_models()
         totals = np.zeros((2, SLOTS), dtype=np.int64)
         for batch in batches:
             texts = list(batch["text"])
@@ -79,14 +86,15 @@ class Rarity:
     def __init__(self, words: np.ndarray, shingles: np.ndarray):
         total = max(int(words.sum()), 1)
         mean = shingles.mean()
-        self.log_words, self.of_word = np.log(total), np.log(np.maximum(words, 1) / total)
+        self.log_words = np.log(total)
+        self.of_word = np.rint(np.log(np.maximum(words, 1) / total) * LOG_STEPS).astype(np.int64)
         self.of_slot = np.log(np.maximum(shingles - mean - 5 * np.sqrt(mean), 1.0))
 
     def weigh(self, hashes: np.ndarray) -> np.ndarray:
         return self.of_word[(hashes % SLOTS).astype(np.int64)]
 
     def estimate(self, shingles: np.ndarray, word_sums: np.ndarray) -> np.ndarray:
-        return np.maximum(word_sums + self.log_words, self.of_slot[(shingles % SLOTS).astype(np.int64)])
+        return np.maximum(word_sums / LOG_STEPS + self.log_words, self.of_slot[(shingles % SLOTS).astype(np.int64)])
 
 
 def least_overlap(n, percent: int):
@@ -132,16 +140,19 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
     return rows.select("doc_id", "body", "set_id", "n"), written(classes, "ngram-classes")
 
 
-def _postings(classes: DataFrame) -> DataFrame:
-    """One row per class and prefix shingle; ``length`` is the prefix's."""
+def _postings(classes: DataFrame, percent: int) -> DataFrame:
+    """One row per class and prefix shingle; ``length`` is the prefix's, and of two sets
+    that reach the threshold the rarest shared shingle is ``early`` in both prefixes."""
 
     def exploded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sizes = batch["length"].to_numpy()
             rows = {name: np.repeat(batch[name].to_numpy(), sizes) for name in ("node", "n", "length")}
+            place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            rows["early"] = place <= rows["n"] - least_overlap(rows["n"], percent)
             yield pd.DataFrame({"shingle": unpacked(b"".join(batch["prefix"])).astype(np.int64), **rows})
 
-    kinds = "shingle bigint, node bigint, n bigint, length int"
+    kinds = "shingle bigint, node bigint, n bigint, length int, early boolean"
     return classes.select("node", "n", "length", "prefix").mapInPandas(exploded, kinds)
 
 
@@ -231,10 +242,29 @@ def _star_pairs(apart: DataFrame, turn: int, percent: int) -> DataFrame:
     return pairs.filter(F.col("met") >= F.least("prefix", F.lit(STAR_MATCHES))).select("a", "b")
 
 
-def _remaining_pairs(apart: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share enough prefix shingles: in each list,
-    members of smaller components meet all others.  A pair that reaches the threshold
-    overlaps by so much, of which no more lies beyond the prefixes than is left there."""
+def _remaining_pairs(apart: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that share enough prefix shingles.  A pair that
+    reaches the threshold overlaps by so much, of which no more lies beyond the prefixes
+    than is left there."""
+    sizes = apart.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.count_if(F.expr("early AND component <> largest")).alias("outside"),
+        F.count_if(F.expr("early AND component = largest")).alias("inside"),
+    )
+    crowded = written(sizes.filter(F.col("members") > BLOCK), "ngram-crowded")
+    if crowded.isEmpty():
+        return _pairs_of_lists(apart.withColumn("crowded", F.lit(0)), percent)
+    dealt = written(apart.join(crowded, "shingle"), "ngram-dealt")
+    often = written(dealt.groupBy("node").agg(F.count(F.lit(1)).alias("crowded")), "ngram-often")
+    others = apart.join(crowded, "shingle", "left_anti").join(often, "node", "left")
+    others = others.withColumn("crowded", F.coalesce("crowded", F.lit(0)))
+    of_blocks = _pairs_of_blocks(dealt.filter("early"), classes, percent)
+    return _pairs_of_lists(others, percent).union(of_blocks).distinct()
+
+
+def _pairs_of_lists(apart: DataFrame, percent: int) -> DataFrame:
+    """In each list, members of smaller components meet all others.  ``crowded`` is how many
+    shingles of a prefix are in other lists, all of which may be shared."""
     x, y = apart.filter("component <> largest").alias("x"), apart.alias("y")
     joined = x.join(y, F.expr(
         "x.shingle = y.shingle AND x.component <> y.component"
@@ -244,12 +274,63 @@ def _remaining_pairs(apart: DataFrame, percent: int) -> DataFrame:
     overlap = f"ceil((x.n + y.n) * {percent} / {100 + percent})"
     pairs = joined.select(
         F.expr("least(x.node, y.node)").alias("a"), F.expr("greatest(x.node, y.node)").alias("b"),
-        F.expr(f"{overlap} - greatest(x.n - x.length, y.n - y.length)").alias("need"),
+        F.expr(f"{overlap} - greatest(x.n - x.length, y.n - y.length) - least(x.crowded, y.crowded)").alias("need"),
     )
     pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.any_value("need").alias("need"))
     return pairs.filter("met >= need").select("a", "b")
 
 
+def _pairs_of_blocks(dealt: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The same for long lists: a list's largest component and all others are dealt to
+    blocks by hash, and each block of others meets every block, prefixes in hand."""
+    outside, inside = (F.ceil(F.greatest(name, F.lit(1)) / BLOCK) for name in ("outside", "inside"))
+    hashed, other = F.xxhash64("node"), F.expr("component <> largest")
+    dealt = dealt.withColumns({
+        "own": F.when(other, F.pmod(hashed, outside)).otherwise(outside + F.pmod(hashed, inside)),
+        "met": F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(other, outside + inside).otherwise(outside) - 1)),
+    })
+    dealt = dealt.join(classes.select("node", "prefix"), "node")
+
+    def compared(key: tuple[Any, ...], group: pd.DataFrame) -> pd.DataFrame:
+        _, left, right = key
+        x, y = group[group["own"] == left], group[group["own"] == right]
+        good = _shared(list(x["prefix"]), list(y["prefix"]))
+        (a, a_n, a_length, a_part), (b, b_n, b_length, b_part) = (
+            [side[name].to_numpy() for name in ("node", "n", "length", "component")] for side in (x, y)
+        )
+        a, a_n, a_length, a_part = (column[:, None] for column in (a, a_n, a_length, a_part))
+        overlap = -(-(a_n + b_n) * percent // (100 + percent))
+        good = good >= overlap - np.maximum(a_n - a_length, b_n - b_length)
+        good &= (a_part != b_part) & (np.minimum(a_n, b_n) * 100 >= np.maximum(a_n, b_n) * percent)
+        a, b = np.broadcast_arrays(a, b)
+        a, b = a[good], b[good]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+    blocks = dealt.groupBy("shingle", F.least("own", "met").alias("left"), F.greatest("own", "met").alias("right"))
+    return blocks.applyInPandas(compared, "a bigint, b bigint")
+
+
+def _shared(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """How many shingles each of ``left`` has in common with each of ``right``."""
+    met = np.zeros((len(left), len(right)), dtype=np.float32)
+    sides = []
+    for packs in (left, right):
+        holder = np.repeat(np.arange(len(packs)), [len(p) // 6 for p in packs])
+        sides.append((unpacked(b"".join(packs)), holder))
+    common = np.intersect1d(sides[0][0], sides[1][0])
+    for at in range(0, len(common), TOKENS_AT_ONCE):
+        some = common[at : at + TOKENS_AT_ONCE]
+        held = []
+        for packs, (tokens, holder) in zip((left, right), sides):
+            place = np.minimum(np.searchsorted(some, tokens), len(some) - 1)
+            hit = some[place] == tokens
+            has = np.zeros((len(packs), len(some)), dtype=np.float32)
+            has[holder[hit], place[hit]] = 1
+            held.append(has)
+        met += held[0] @ held[1].T
+    return met
+
+
 def _placed(docs: DataFrame, words: int, percent: int, rounds: int) -> DataFrame:
     """``doc_id``, ``body`` (hash of the text), ``n`` and ``component`` of every row."""
     workers_find_package(docs.sparkSession)
@@ -257,7 +338,7 @@ def _placed(docs: DataFrame, words: int, percent: int, rounds: int) -> DataFrame
         F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"), F.xxhash64(whole_text()).alias("body")
     )
     rows, classes = _classes(texts, words, percent)
-    postings = _postings(classes)
+    postings = _postings(classes, percent)
     met = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter("met > 1").select("shingle")
     shared = written(postings.join(written(met, "ngram-met"), "shingle", "left_semi"), "ngram-postings")
     found = sets = None
@@ -272,7 +353,7 @@ def _placed(docs: DataFrame, words: int, percent: int, rounds: int) -> DataFrame
         more = _sets(texts, classes, _ends(pairs) if sets is None else _ends(pairs).join(sets, "node", "left_anti"), words)
         sets = more if sets is None else sets.union(more)
         found = _joined(found, _verified(pairs, sets, percent))
-    pairs = written(_remaining_pairs(_apart(shared, found), percent), "ngram-pairs")
+    pairs = written(_remaining_pairs(_apart(shared, found), classes, percent), "ngram-pairs")
     sets = sets.union(_sets(texts, classes, _ends(pairs).join(sets, "node", "left_anti"), words))
     found = _joined(found, _verified(pairs, sets, percent))
 

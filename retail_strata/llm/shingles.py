@@ -15,6 +15,7 @@ TABLE = bytes(
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 MASK = np.uint64((1 << 48) - 1)
+AT_ONCE = 1_000_000  # bytes
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -33,18 +34,35 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts, and where each text's begin (one more at the end)."""
+    """Hashes of all words of all texts, and where each text's begin (one more at the end).
+    About ``AT_ONCE`` bytes are worked on at a time, cut at a space."""
     bodies = [t.encode() for t in texts]
-    data = np.frombuffer(b" ".join([b"", *bodies, b""]).translate(TABLE), dtype=np.uint8)
+    text_starts = np.cumsum([1, *(len(b) + 1 for b in bodies)])
+    whole = b" ".join([b"", *bodies, b""]).translate(TABLE)
+    del bodies
+    hashes, starts, at = [], [], 0
+    while at < len(whole):
+        cut = whole.rfind(b" ", at + 1, at + AT_ONCE) if len(whole) - at > AT_ONCE else -1
+        cut = cut if cut > 0 else whole.find(b" ", at + AT_ONCE)
+        cut = cut if cut > 0 else len(whole) - 1
+        found, begins = _word_hashes(np.frombuffer(whole, dtype=np.uint8, count=cut + 1 - at, offset=at))
+        hashes.append(found)
+        starts.append(begins + at)
+        if cut == len(whole) - 1:
+            break
+        at = cut  # the space, once more
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), text_starts)
+
+
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and starts of the words of bytes that begin and end with a space."""
     inside = data != 32
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     starts, ends = edge[0::2], edge[1::2]
     up, down = _powers(1 << max(16, int(len(data)).bit_length()))
     # Sum of byte times base to the power of its distance from the word's end.
     sums = np.cumsum((data + np.uint64(1)) * down[: len(data)], dtype=np.uint64)
-    hashes = mixed((sums[ends - 1] - sums[starts - 1]) * up[ends - 1] + (ends - starts).astype(np.uint64))
-    text_starts = np.cumsum([1, *(len(b) + 1 for b in bodies)])
-    return hashes, np.searchsorted(starts, text_starts)
+    return mixed((sums[ends - 1] - sums[starts - 1]) * up[ends - 1] + (ends - starts).astype(np.uint64)), starts
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -59,12 +77,12 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 def shingle_sets(texts: list[str], n: int, weigh=None) -> list:
     """Sorted distinct shingle hashes of each text; with fewer words than n, the whole
-    sequence is one; without words the set is empty.  With ``weigh``, a number for each
-    word hash, each set comes with the sums of its shingles' words' numbers."""
+    sequence is one; without words the set is empty.  With ``weigh``, a whole number for
+    each word hash, each set comes with the sums of its shingles' words' numbers."""
     hashes, bounds = word_hashes(texts)
     grams = gram_hashes(hashes, n) & MASK
     if weigh is not None:
-        before = np.concatenate([[0.0], np.cumsum(weigh(hashes))])
+        before = np.concatenate([[0], np.cumsum(weigh(hashes))])
     sets = []
     for a, b in zip(bounds[:-1], bounds[1:]):
         long = min(n, b - a)  # words in a shingle
@@ -73,9 +91,7 @@ def shingle_sets(texts: list[str], n: int, weigh=None) -> list:
             sets.append(np.unique(own))
             continue
         own, first = np.unique(own, return_index=True)
-        # In steps of 1/1024, so that rounding of the running sum does not tell copies apart.
-        sums = np.round((before[a + first + long] - before[a + first]) * 1024) / 1024
-        sets.append((own, sums))
+        sets.append((own, before[a + first + long] - before[a + first]))
     return sets
 
 

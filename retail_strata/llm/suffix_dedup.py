@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_strata.llm.common import whole_text, workers_find_package, written
+from retail_strata.llm.common import release_models, whole_text, workers_find_package, written
 from retail_strata.llm.shingles import gram_hashes, groups, word_hashes
 
 GRAM = 30
@@ -94,6 +94,7 @@ def _records(docs: DataFrame, least_words: int) -> DataFrame:
     suffixes have the ``key``."""
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_models()
         for batch in batches:
             found = [k for *_, k in _suffixes(list(batch["text"]), least_words)]
             yield pd.DataFrame({"key": np.concatenate(found) if found else np.zeros(0, np.int64)})

@@ -11,7 +11,6 @@ other columns are kept out of the way and dropped.
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_strata.llm.common import space_chunks, whole_text, workers_find_package
+from retail_strata.llm.common import held_by_worker, space_chunks, whole_text, workers_find_package
 
 # Fixed value: how byte-level vocabularies cut a text before merging.
 PRE_TOKENS = regex.compile(
@@ -124,10 +123,9 @@ class TokenCounter:
         return totals
 
 
-@lru_cache(maxsize=2)
 def token_counter(path: str) -> TokenCounter:
     """One per Python worker."""
-    return TokenCounter(path)
+    return held_by_worker(TokenCounter, path)
 
 
 def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:

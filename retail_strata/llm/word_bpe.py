@@ -14,7 +14,6 @@ import codecs
 import json
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import pandas as pd
@@ -22,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_strata.llm.common import whole_text, workers_find_package
+from retail_strata.llm.common import held_by_worker, whole_text, workers_find_package
 from retail_strata.llm.token_counts import byte_symbols
 
 # The words of this kind of vocabulary, and the white space between them.
@@ -197,10 +196,9 @@ def decode(bpe: WordBpe, ids: list[int], spaced: bool = False) -> str:
     return "".join(map(machine.feed, ids)) + machine.finish()
 
 
-@lru_cache(maxsize=2)
 def word_bpe(path: str) -> WordBpe:
     """One per Python worker."""
-    return WordBpe(path)
+    return held_by_worker(WordBpe, path)
 
 
 def encode_decode(docs: DataFrame, tokenizer: str, spaced: bool = True) -> DataFrame:
