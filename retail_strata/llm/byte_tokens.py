@@ -26,8 +26,9 @@ MAX_KNOWN, MAX_PRE_TOKENS = 100_000, 150_000
 SEPARATOR = "\x1f"  # in no text that is worked on in parts, and a pre-token of its own
 # Fixed value: how byte-level vocabularies cut a text, for texts that are ``SIMPLE``.
 PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s")
-NOT_SIMPLE = re.compile(r"[^\x00-\x1b\x20-ɏ]|[ª²³¹º¼½¾]|\s\s|<\|")
-NOT_SIMPLE_ASCII = re.compile(r"[\x1c-\x1f]|\s\s|<\|")
+# Patterns that begin with a class are looked for without trying every place.
+NOT_SIMPLE = re.compile("[^\x00-\x1b\x20-\xa9\xab-\xb1\xb4-\xb8\xbb\xbf-ɏ]")
+TWO_SPACES = re.compile(r"[^\S ](?:\s|(?<=\s.))", re.DOTALL)  # one of them no plain space
 
 
 class ByteTokens:
@@ -126,7 +127,7 @@ def gathered(flat: np.ndarray, offsets: np.ndarray, code: np.ndarray) -> tuple[n
 
 
 def _is_simple(text: str) -> bool:
-    return not (NOT_SIMPLE_ASCII if text.isascii() else NOT_SIMPLE).search(text)
+    return not ("  " in text or "<|" in text or NOT_SIMPLE.search(text) or TWO_SPACES.search(text))
 
 
 def _groups(texts: list[str]) -> Iterator[list[int]]:
