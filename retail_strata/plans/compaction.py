@@ -34,11 +34,13 @@ MANIFEST = T.StructType([
 
 @dataclass(frozen=True)
 class Compaction:
-    """What one compaction did."""
+    """What one compaction did.  ``files_at_most`` follows from the lengths of the files
+    before: no packing by this target may leave more."""
 
     groups: int
     files_before: int
     files_after: int
+    files_at_most: int
 
 
 def table_files(spark: SparkSession, path: str, manifest: DataFrame | None = None) -> DataFrame:
@@ -69,6 +71,13 @@ def packed(files: DataFrame, target_bytes: int) -> DataFrame:
     return groups.filter(F.size("paths") > 1)
 
 
+def most_files(files: DataFrame, target_bytes: int) -> int:
+    """How many files packing may leave: one a partition, and two for every target's worth
+    of bytes in it, as files of half the target stay alone."""
+    held = files.groupBy("partition").agg(F.sum("length").alias("held"))
+    return held.agg(F.sum(F.expr(f"1 + 2 * held div {target_bytes}"))).first()[0] or 0
+
+
 class CompactedTable:
     """A table folder with its manifest and staging folders beside it, in ``<path>_compact``."""
 
@@ -103,9 +112,9 @@ class CompactedTable:
         """Pack the small files in use; ``by`` are the partition columns of the table."""
         before = self.files()
         groups = packed(before, target_bytes).collect()
-        counts = before.count()
+        counts, most = before.count(), most_files(before, target_bytes)
         if not groups:
-            return Compaction(0, counts, counts)
+            return Compaction(0, counts, counts, most)
         folder, paths = f"group-{uuid.uuid4().hex}", [p for g in groups for p in g.paths]
         rows = self._rows_of(paths)
         expected = rows.count()
@@ -123,7 +132,7 @@ class CompactedTable:
         now = int(time.time() * 1_000_000)
         entry = literal_rows(self.spark, MANIFEST, [[paths, folder, written, now]])
         append_parquet(entry.coalesce(1), f"{self.side}/manifest/entry-{uuid.uuid4().hex}")
-        return Compaction(len(groups), counts, self.files().count())
+        return Compaction(len(groups), counts, self.files().count(), most)
 
     def _rows_of(self, paths: list[str]) -> DataFrame:
         """The rows of some files, with where they come from.  A staging folder keeps the
