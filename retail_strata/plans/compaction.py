@@ -118,13 +118,14 @@ class CompactedTable:
         folder, paths = f"group-{uuid.uuid4().hex}", [p for g in groups for p in g.paths]
         rows = self._rows_of(paths)
         expected = rows.count()
-        # A group's files stay together: the rows of a file carry its group's number.
+        # A group's files stay together: the rows of a file carry its group's number, which
+        # is the number of the one task that writes them.
         numbered = [[p, i] for i, g in enumerate(groups) for p in g.paths]
         kinds = T.StructType([T.StructField("_path", T.StringType()), T.StructField("_group", T.IntegerType())])
         placed = rows.withColumn("_path", F.col("_metadata.file_path")).join(
             literal_rows(self.spark, kinds, numbered), "_path"
         )
-        spread = placed.repartition(len(groups), "_group").drop("_path", "_group")
+        spread = placed.repartitionById(len(groups), "_group").drop("_path", "_group")
         append_parquet(spread, f"{self.side}/data/{folder}", by)
         written = self.spark.read.schema(self.schema).parquet(f"{self.side}/data/{folder}").count()
         if written != expected:

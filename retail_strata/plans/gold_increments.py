@@ -11,6 +11,7 @@ from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from retail_strata.operators.business import OFFER, PROFILE
 from retail_strata.operators.hot_keys import SLICE, find_hot_keys, left_join_unique, slices_of
@@ -61,9 +62,14 @@ def rows_of_batch(spark: SparkSession, layers: Layers, entity: Entity, batch: li
     moment = datetime.fromtimestamp(since, UTC).strftime("%Y-%m-%dT%H:%M:%S")
     path, reader = f"{layers.silver}/{entity.silver_table}", spark.read.schema(entity.silver_schema)
     keys = as_frame(spark, ingestion_keys(batch))
-    rows = rows_of(reader.option("modifiedAfter", moment).option("timeZone", "UTC").parquet(path), keys)
+    # The stamps as constants, too: row groups of other batches are passed over by their statistics.
+    first, last = min(i["first_micros"] for i in batch), max(i["last_micros"] for i in batch)
+    stamps = F.col("ingestion_timestamp").between(*[F.timestamp_micros(F.lit(micros)) for micros in (first, last)])
+    taken = stamps & F.col("ingestion_id").isin(sorted({i["ingestion_id"] for i in batch}))
+    recent = reader.option("modifiedAfter", moment).option("timeZone", "UTC").parquet(path)
+    rows = rows_of(recent.filter(taken), keys)
     if rows.count() != batch[0]["rows_written"]:
-        rows = rows_of(read_table(spark, path, entity.silver_schema), keys)
+        rows = rows_of(read_table(spark, path, entity.silver_schema).filter(taken), keys)
     return rows
 
 
@@ -74,8 +80,11 @@ def fold_entity(spark: SparkSession, layers: Layers, entity: Entity) -> int:
     fresh = {a: b for a, b in silver_batches(spark, layers, entity).items() if a not in done}
     for attempt, batch in fresh.items():
         rows = rows_of_batch(spark, layers, entity, batch)
-        for name, state in STATES[entity.name].items():
-            overwrite_parquet(state(rows), f"{layers.gold}/states/{name}/batch={attempt}")
+
+        def write(name: str) -> None:
+            overwrite_parquet(STATES[entity.name][name](rows), f"{layers.gold}/states/{name}/batch={attempt}")
+
+        side_by_side(spark, write, STATES[entity.name])
         log.finish(attempt, batch[0]["run_id"], batch)
     return len(fresh)
 

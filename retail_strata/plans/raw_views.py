@@ -7,7 +7,7 @@ which rows carry a defect or a second version.
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_strata.functions import named
+from retail_strata.functions import columns, named
 from retail_strata.plans.tables import ENTITIES, Entity, Layers
 from retail_strata.schemas import RAW_SALES
 from retail_strata.sources.writers import overwrite_parquet, write_csv, write_json_lines
@@ -58,22 +58,23 @@ def products_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """One sale per line item.  Each side is shaped before the join, so that the
-    order's texts are made once per order."""
+    """One sale per line item.  The order's texts are made before the join, once per
+    order; a line's after it, so that its numbers are shuffled and not their texts."""
     orders = star_table(spark, folder, "orders").select(named(
         l_orderkey="o_orderkey",
         customer_id="string(o_custkey)",
         status="concat(' ', o_orderstatus, ' ')",
         order_date="if(o_orderkey % 101 = 0, 'not a date', string(o_orderdate))",
     ))
-    lines = star_table(spark, folder, "lineitem").select(named(
-        l_orderkey="l_orderkey",
+    numbers = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    lines = star_table(spark, folder, "lineitem").select(*numbers)
+    sales = lines.join(orders, "l_orderkey").withColumns(columns(
         order_id="concat(l_orderkey, '-', l_linenumber)",
         product_id="string(l_partkey)",
         quantity="bigint(l_quantity)",
         total_amount="if(l_orderkey % 97 = 0, 0.0D, l_extendedprice)",
     ))
-    return lines.join(orders, "l_orderkey").select(*RAW_SALES.fieldNames())
+    return sales.select(*RAW_SALES.fieldNames())
 
 
 def payments_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -97,10 +98,11 @@ RAW_VIEWS = {
 }
 
 
-def write_raw(rows: DataFrame, layers: Layers, entity: Entity) -> None:
-    """The raw file of one entity, in the format its job reads."""
+def write_raw(rows: DataFrame, layers: Layers, entity: Entity, by: tuple[str, ...] = (), within: str = "") -> None:
+    """The raw file of one entity, in the format its job reads; a folder for each value of
+    the columns ``by``, or only the folder ``within``."""
     writers = {"json": write_json_lines, "csv": write_csv, "parquet": overwrite_parquet}
-    writers[entity.raw_format](rows, f"{layers.raw}/{entity.raw_file}")
+    writers[entity.raw_format](rows, f"{layers.raw}/{entity.raw_file}{within}", by=by)
 
 
 def write_raw_file(spark: SparkSession, folder: str, layers: Layers, entity: Entity) -> None:

@@ -42,19 +42,23 @@ def bronze_rows(spark: SparkSession, layers: Layers, entity: Entity, ingestions:
 
 def silver_batch(
     spark: SparkSession, layers: Layers, entity: Entity, run_id: str, ingestions: list[dict],
-    stamp: Column | None = None,
+    stamp: Column | None = None, laid_out: bool = False,
 ) -> DataFrame:
-    """The silver rows of a batch: the same ones whenever the batch is made again."""
+    """The silver rows of a batch: the same ones whenever the batch is made again.
+    ``laid_out`` brings them together for the write first, so that the stamps, which are
+    the same in all rows, are not shuffled."""
     refined = entity.refine(bronze_rows(spark, layers, entity, ingestions))
+    if laid_out:
+        refined = spread_for_write(refined, entity.silver_partitions)
     bound = max(i["last_micros"] for i in ingestions)
     stamped = stamp_processing(refined, run_id, stamp)
     return stamped.withColumn("batch_mark", F.timestamp_micros(F.lit(bound)))
 
 
-def _append(batch: DataFrame, path: str, entity: Entity) -> int:
+def _append(batch: DataFrame, path: str, entity: Entity, laid_out: bool = False) -> int:
     written = Observation(f"{entity.name} written")
-    laid_out = count_rows(spread_for_write(batch, entity.silver_partitions), written)
-    append_parquet(laid_out, path, by=entity.silver_partitions)
+    rows = batch if laid_out else spread_for_write(batch, entity.silver_partitions)
+    append_parquet(count_rows(rows, written), path, by=entity.silver_partitions)
     return written.get["rows"]
 
 
@@ -149,8 +153,8 @@ def refine_entity(
     if keep_rejects:
         batch, counts = _judged_batch(spark, layers, entity, run_id, ingestions, stamp, attempt)
     else:
-        batch = silver_batch(spark, layers, entity, run_id, ingestions, stamp)
-    written = _append(batch, path, entity)
+        batch = silver_batch(spark, layers, entity, run_id, ingestions, stamp, laid_out=True)
+    written = _append(batch, path, entity, laid_out=not keep_rejects)
     end = log.finish if written else log.abandon
     end(attempt, run_id, [{**i, "rows_written": written} for i in ingestions])
     read = sum(i["rows_read"] for i in ingestions)

@@ -37,7 +37,7 @@ from retail_strata.plans.run_log import waiting
 from retail_strata.plans.silver import read_rejects, read_silver, refine_all, refine_entity, silver_batch, silver_log
 from retail_strata.plans.tables import CUSTOMERS, GOLD_SCHEMAS, PAYMENTS, PRODUCTS, SALES, Entity, Layers
 from retail_strata.sources.bucketed import bucketed_tables
-from retail_strata.sources.readers import RAW_RECORD, read_parquet
+from retail_strata.sources.readers import RAW_RECORD, path_exists, read_parquet
 from retail_strata.sources.scratch import scratch_folder
 from retail_strata.sources.writers import append_parquet, overwrite_parquet, spread_for_write, write_json_lines
 from retail_strata.streaming.customer_stream import start_customer_stream
@@ -464,14 +464,18 @@ def report_of_ingestions(spark: SparkSession, folder: str) -> DataFrame:
 def _in_three_batches(spark: SparkSession, folder: str, purpose: str, entities, after) -> Layers:
     """A third of each raw view at a time, by key: ingested, refined, and ``after`` called."""
     layers = _scratch_layers(spark, purpose)
+    for entity in entities:
+        whole = RAW_VIEWS[entity.name](spark, folder)
+        third = F.pmod(F.crc32(whole.columns[0]), F.lit(3))
+        raw_views.write_raw(whole.withColumn("third", third).filter("third IS NOT NULL"), layers, entity, ("third",))
+        for turn in range(3):  # a third without rows is an empty file
+            if not path_exists(spark, f"{layers.raw}/{entity.raw_file}/third={turn}"):
+                raw_views.write_raw(whole.limit(0), layers, entity, within=f"/third={turn}")
     for turn in range(3):
         for entity in entities:
-            whole = RAW_VIEWS[entity.name](spark, folder)
-            part = whole.filter(F.pmod(F.crc32(whole.columns[0]), F.lit(3)) == turn)
-            raw_views.write_raw(part, layers, entity)
             ingest_file(
-                spark, layers, entity.raw_format, entity.raw_file, entity.bronze_table, f"ingest-{turn}",
-                entity.raw_schema,
+                spark, layers, entity.raw_format, f"{entity.raw_file}/third={turn}", entity.bronze_table,
+                f"ingest-{turn}", entity.raw_schema,
             )
             refine_entity(spark, layers, entity, f"refine-{turn}")
         after(layers)

@@ -6,6 +6,7 @@ unknown column thus costs typed values, which the silver checks may reject, but
 the record.
 """
 
+import re
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -34,6 +35,13 @@ def _inferred(spark: SparkSession, path: str, kind: str, **options) -> DataFrame
         raise
 
 
+def _only_declared(names: list[str]) -> str:
+    """A pattern of flat objects without escapes whose keys are all among ``names``: sure of
+    those it matches, and cheaper than to look the keys up.  Other lines may be so, too."""
+    cell = r'"(?:%s)":(?:"[^"\\]*+"|-?[0-9][-+.0-9eE]*+|true|false|null)' % "|".join(map(re.escape, names))
+    return r"^\{%s(?:,%s){0,%d}+\}\z" % (cell, cell, 2 * len(names))
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """JSON Lines.  A line that is an array of objects is as many records.  With a schema,
     the records that are no object, have a value of another type or a field that is not
@@ -41,14 +49,15 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None
     if schema is None:
         return spark.read.json(path)
     lines = spark.read.text(path).filter(F.col("value").rlike(r"\S"))
-    elements = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>"))
+    array, elements = F.ltrim("value").startswith("["), F.from_json("value", "array<string>")
     objects = F.forall(elements, lambda e: F.coalesce(F.ltrim(e).startswith("{"), F.lit(False)))
-    records = F.when(F.coalesce(objects, F.lit(False)), elements).otherwise(F.array("value"))
+    records = F.when(array & F.coalesce(objects, F.lit(False)), elements).otherwise(F.array("value"))
     lines = lines.select(F.explode(records).alias("value"))
     known = schema.fieldNames()
     more = F.exists(F.json_object_keys("value"), lambda key: ~key.isin(known))
     record = F.from_json("value", _with_text(schema, _UNPARSED), {"columnNameOfCorruptRecord": _UNPARSED})
-    unheld = F.col(f"r.{_UNPARSED}").isNotNull() | F.coalesce(more, F.lit(True))
+    declared = F.col("value").rlike(_only_declared(known))
+    unheld = F.col(f"r.{_UNPARSED}").isNotNull() | (~declared & F.coalesce(more, F.lit(True)))
     return lines.select("value", record.alias("r")).select(
         *[F.col(f"r.{quoted(name)}") for name in known], F.when(unheld, F.col("value")).alias(RAW_RECORD)
     )

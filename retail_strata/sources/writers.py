@@ -28,14 +28,15 @@ def overwrite_parquet(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> Non
     writer.partitionBy(*by).parquet(path)
 
 
-def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).json(path)
+def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", by: tuple[str, ...] = ()) -> None:
+    df.write.mode(mode).partitionBy(*by).json(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", by: tuple[str, ...] = ()) -> None:
     """CSV with a header line; text keeps its outer spaces."""
     (
         df.write.mode(mode)
+        .partitionBy(*by)
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)

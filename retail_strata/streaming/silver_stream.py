@@ -35,9 +35,9 @@ def start_silver_stream(
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     fresh = reader.parquet(f"{layers.bronze}/{entity.bronze_table}")
-    refined = stamp_processing(entity.refine(fresh), run_id)
+    laid_out = spread_for_write(entity.refine(fresh), entity.silver_partitions)
     return (
-        spread_for_write(refined, entity.silver_partitions)
+        stamp_processing(laid_out, run_id)
         .writeStream.outputMode("append")
         .partitionBy(*entity.silver_partitions)
         .option("checkpointLocation", checkpoint)
