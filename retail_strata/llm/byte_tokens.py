@@ -1,10 +1,9 @@
 """Ids of the tokenizers library, as little-endian unsigned 32-bit bytes.
 
-Texts are worked on a million characters at a time: all are cut at single spaces, each
+Texts are worked on four million characters at a time: all are cut at single spaces, each
 distinct word is cut into pre-tokens, the library's model sees each of those once, and the
 ids of words are put together with numpy.  Words and pre-tokens are remembered up to a
-bound.  Texts with a
-special token, double white space or letters on which Unicode versions may differ go
+bound.  Texts with a special token, double white space or letters on which Unicode versions may differ go
 through the whole library.
 """
 
@@ -13,6 +12,8 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +22,12 @@ import pyarrow.compute as pc
 from retail_strata.llm.common import held_by_worker
 from retail_strata.llm.token_counts import byte_symbols
 
-TOGETHER = 1_000_000  # characters
-MAX_KNOWN, MAX_PRE_TOKENS = 100_000, 150_000
+TOGETHER = 4_000_000  # characters
+MAX_KNOWN, MAX_PRE_TOKENS = 200_000, 300_000
+ID = attrgetter("id")
 SEPARATOR = "\x1f"  # in no text that is worked on in parts, and a pre-token of its own
 # Fixed value: how byte-level vocabularies cut a text, for texts that are ``SIMPLE``.
-PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s")
+PRE_TOKENS = re.compile(r" ?[^\W\d_]+| ?\d+|'(?:s|t|re|ve|m|ll|d)| ?(?:[^\s\w]|_)+|\s")
 # Patterns that begin with a class are looked for without trying every place.
 NOT_SIMPLE = re.compile("[^\x00-\x1b\x20-\xa9\xab-\xb1\xb4-\xb8\xbb\xbf-ɏ]")
 TWO_SPACES = re.compile(r"[^\S ](?:\s|(?<=\s.))", re.DOTALL)  # one of them no plain space
@@ -40,14 +42,20 @@ class ByteTokens:
         self.library.no_truncation()
         self.library.no_padding()
         self.symbols = {byte: symbol for symbol, byte in byte_symbols().items()}
-        self._forget()
-        self.ids_of: dict[str, bytes] = {SEPARATOR: b""}
+        self._forget_words()
+        self._forget_pre_tokens()
 
-    def _forget(self) -> None:
-        """No word is known: place by word, and the ids at each place."""
-        self.known: dict[str, int] = {}
+    def _forget_words(self) -> None:
+        """No word is known: place by word, without and with the space before it, and the
+        ids at each place."""
+        self.known: dict[str, dict[str, int]] = {"": {}, " ": {}}
         self.ids, self.offsets = array("I"), array("q", [0])
 
+    def _forget_pre_tokens(self) -> None:
+        """The same for pre-tokens; the separator has no ids."""
+        self.pre_tokens: dict[str, int] = {SEPARATOR: 0}
+        self.pre_ids, self.pre_offsets = array("I"), array("q", [0, 0])
+
     def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
         """Ids of each text, without added special tokens, ``end`` appended."""
         encoded: list[bytes] = [b""] * len(texts)
@@ -77,44 +85,52 @@ class ByteTokens:
         # A text's first word has no space before it and is a case of its own.
         unspaced, code_of_first = np.unique(code[starts[:-1]], return_inverse=True)
         code[starts[:-1]] = len(distinct) + code_of_first
-        places = self._places([" " + word for word in distinct] + [distinct[i] for i in unspaced.tolist()])
+        if sum(map(len, self.known.values())) > MAX_KNOWN:
+            self._forget_words()
+        places = np.concatenate([
+            self._places(distinct, " "), self._places([distinct[i] for i in unspaced.tolist()], ""),
+        ])
         flat, offsets = np.frombuffer(self.ids, dtype=np.uint32), np.frombuffer(self.offsets, dtype=np.int64)
         ids, ends = gathered(flat, offsets, places[code])
         raw = ids.astype("<u4").tobytes()
         text_ends = np.concatenate([[0], ends])[starts]
         return [raw[4 * a : 4 * b] for a, b in zip(text_ends[:-1], text_ends[1:])]
 
-    def _places(self, words: list[str]) -> np.ndarray:
-        """Where the ids of each word stand; those of new ones are put there first."""
-        if len(self.known) > MAX_KNOWN:
-            self._forget()
-        known = self.known
+    def _places(self, words: list[str], space: str) -> np.ndarray:
+        """Where the ids of each word behind ``space`` stand; those of new ones are put there
+        first."""
+        known = self.known[space]
         new = [word for word in words if word not in known]
         if new:
-            cut = PRE_TOKENS.findall(SEPARATOR.join(new))
+            cut = PRE_TOKENS.findall(space + (SEPARATOR + space).join(new))
             pre_tokens = pa.array(cut, type=pa.large_string()).dictionary_encode()
             distinct = pre_tokens.dictionary.to_numpy(zero_copy_only=False).tolist()
             of_pre_token = self._model(distinct)
             code = pre_tokens.indices.to_numpy()
-            ids = np.frombuffer(b"".join(of_pre_token), dtype=np.uint32)
-            flat, ends = gathered(ids, np.cumsum([0, *map(len, of_pre_token)], dtype=np.int64) // 4, code)
+            flat, offsets = np.frombuffer(self.pre_ids, dtype=np.uint32), np.frombuffer(self.pre_offsets, dtype=np.int64)
+            flat, ends = gathered(flat, offsets, of_pre_token[code])
             between = np.flatnonzero(code == distinct.index(SEPARATOR)) if SEPARATOR in distinct else code[:0]
             word_ends = np.append(np.concatenate([[0], ends])[between], len(flat)) + len(self.ids)
-            known.update(zip(new, range(len(known), len(known) + len(new))))
+            first = len(self.offsets) - 1
+            known.update(zip(new, range(first, first + len(new))))
             self.ids.frombytes(flat.astype(np.uint32).tobytes())
             self.offsets.frombytes(word_ends.astype(np.int64).tobytes())
         return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
-    def _model(self, pre_tokens: list[str]) -> list[bytes]:
-        """The library's ids of each; none of the separator."""
-        if len(self.ids_of) > MAX_PRE_TOKENS:
-            self.ids_of = {SEPARATOR: b""}
-        ids_of, tokenize = self.ids_of, self.library.model.tokenize
-        new = [p for p in pre_tokens if p not in ids_of]
-        symbols = SEPARATOR.join(new).encode().decode("latin-1").translate(self.symbols)
-        for pre_token, word in zip(new, symbols.split(self.symbols[ord(SEPARATOR)])):
-            ids_of[pre_token] = array("I", [token.id for token in tokenize(word)]).tobytes()
-        return list(map(ids_of.__getitem__, pre_tokens))
+    def _model(self, pre_tokens: list[str]) -> np.ndarray:
+        """Where the library's ids of each stand."""
+        if len(self.pre_tokens) > MAX_PRE_TOKENS:
+            self._forget_pre_tokens()
+        known = self.pre_tokens
+        new = [p for p in pre_tokens if p not in known]
+        if new:
+            symbols = SEPARATOR.join(new).encode().decode("latin-1").translate(self.symbols)
+            found = list(map(self.library.model.tokenize, symbols.split(self.symbols[ord(SEPARATOR)])))
+            ends = np.cumsum(list(map(len, found)), dtype=np.int64) + len(self.pre_ids)
+            self.pre_ids.extend(map(ID, chain.from_iterable(found)))
+            self.pre_offsets.frombytes(ends.tobytes())
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+        return np.fromiter(map(known.__getitem__, pre_tokens), dtype=np.int64, count=len(pre_tokens))
 
 
 def gathered(flat: np.ndarray, offsets: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -26,6 +26,25 @@ class Coded(NamedTuple):
     escapes: bytes
 
 
+def _selectors(flat: np.ndarray, large: np.ndarray) -> np.ndarray:
+    """The narrowest width at which a whole word fits, for a word starting at each place."""
+    selector = np.zeros(flat.shape, dtype=np.int8)
+    widest = int(flat.max(initial=0)) if not large.any() else (1 << 60)
+    for s in range(len(WIDTHS), 0, -1):  # narrow widths last: they hold most
+        width, n = WIDTHS[s - 1], int(PER_WORD[s])
+        if s > 1 and widest >> WIDTHS[s - 2] == 0:
+            continue  # everything fits the next width, which holds more
+        fits = flat >> np.uint64(width) == 0
+        fits &= ~large
+        run = 1
+        while run < n:  # fits[i]: the ``run`` values from i on fit; behind the last, all do
+            step = min(run, n - run)
+            fits[:-step] &= fits[step:]
+            run += step
+        selector[fits] = s
+    return selector
+
+
 def encode(values: np.ndarray) -> Coded:
     """Code any number of unsigned 64-bit values; none give no words."""
     values = np.asarray(values, dtype=np.uint64)
@@ -41,13 +60,7 @@ def encode(values: np.ndarray) -> Coded:
     escapes = flat[large]
     flat[large] = np.arange(len(escapes), dtype=np.uint64)
 
-    selector = np.zeros(flat.shape, dtype=np.int8)
-    at = np.arange(len(flat))
-    for s in range(len(WIDTHS), 0, -1):  # narrow widths last: they hold most
-        width, n = WIDTHS[s - 1], PER_WORD[s]
-        bad = np.where(large | (flat >> np.uint64(width) > 0), at, len(flat) + n)
-        next_bad = np.minimum.accumulate(bad[::-1])[::-1]
-        selector[next_bad - at >= n] = s
+    selector = _selectors(flat, large)
 
     row = np.arange(blocks)
     length = np.minimum(count - row * BLOCK, BLOCK)
@@ -67,9 +80,11 @@ def encode(values: np.ndarray) -> Coded:
     chosen = selector[start].astype(np.int64)
     words = chosen.astype(np.uint64) << np.uint64(60)
     for s in np.unique(chosen):
-        here = chosen == s
+        here = np.flatnonzero(chosen == s)
+        first, word = start[here], words[here]
         for j in range(PER_WORD[s]):
-            words[here] |= flat[start[here] + j] << np.uint64(j * WIDTH_OF[s])
+            word |= flat[first + j] << np.uint64(j * WIDTH_OF[s])
+        words[here] = word
     starts = np.searchsorted(rows, np.arange(blocks))
     return Coded(count, words.astype("<u8").tobytes(), starts.astype("<u4").tobytes(), escapes.astype("<u8").tobytes())
 
