@@ -29,9 +29,10 @@ from retail_strata.llm.common import held_by_worker, whole_text, workers_find_pa
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 SHARE_STEPS = 1_000_000
-MAX_CACHED = 150_000
+MAX_CACHED = 300_000
 LONG, VERY_LONG = 64, 8192
 AT_ONCE = 1024
+FILTER_BITS = 20
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 START = "▁"
 
@@ -59,6 +60,9 @@ class Pieces:
         hashes = np.array([self._hash(p) for p in plain], dtype=np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], np.array(list(plain.values()))[order]
+        # By the first bits of a hash, whether a piece may have it: most substrings are none.
+        self.may_be = np.zeros(1 << FILTER_BITS, dtype=bool)
+        self.may_be[self.hashes >> np.uint64(64 - FILTER_BITS)] = True
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -78,9 +82,11 @@ class Pieces:
             value = np.zeros(len(words), dtype=np.uint64)
             for k in range(1, min(n - at, self.longest) + 1):
                 value = value * BASE + codes[:, at + k - 1] + np.uint64(1)
-                place = np.minimum(np.searchsorted(self.hashes, value), len(self.hashes) - 1)
-                hit = self.hashes[place] == value
-                found[at, k, hit] = self.ids[place[hit]]
+                maybe = np.flatnonzero(self.may_be[value >> np.uint64(64 - FILTER_BITS)])
+                wanted = value[maybe]
+                place = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+                hit = self.hashes[place] == wanted
+                found[at, k, maybe[hit]] = self.ids[place[hit]]
         return found, codes
 
     def spelt(self, words: list[str]) -> list[tuple[int, int, list[int]]]:
@@ -107,27 +113,24 @@ def pieces_of(path: str) -> Pieces:
 
 
 def _forward(found, spelling, probability):
-    """Forward sums, rescaled at each position, and the logarithm of each word's total.
-    ``probability`` is pieces by languages; -1 finds its last, zero, row."""
+    """Logarithms of the forward sums, which are 1 at each position by their scale, and what
+    is spelt.  ``probability`` is pieces by languages; -1 finds its last, zero, row."""
     n, _, count = found.shape
     languages = probability.shape[1]
-    alpha = np.zeros((n + 1, count, languages))
-    alpha[0] = 1.0
     scale = np.zeros((n + 1, count, languages))
     spell = np.zeros((n, count, languages))
     for w, at, ids in spelling:
         spell[at, w] = np.prod(probability[ids], axis=0)
     for end in range(1, n + 1):
-        total = alpha[end - 1] * (probability[found[end - 1, 1]] + spell[end - 1])
+        total = probability[found[end - 1, 1]] + spell[end - 1]
         gap = scale[end - 1]
         for k in range(2, min(end, found.shape[1] - 1) + 1):
-            piece = found[end - k, k]
-            if (piece >= 0).any():
-                total += alpha[end - k] * probability[piece] * np.exp(scale[end - k] - gap)
+            hit = np.flatnonzero(found[end - k, k] >= 0)
+            if len(hit):
+                total[hit] += probability[found[end - k, k, hit]] * np.exp(scale[end - k, hit] - gap[hit])
         total = np.maximum(total, 1e-300)
         scale[end] = gap + np.log(total)
-        alpha[end] = 1.0
-    return alpha, scale, spell
+    return scale, spell
 
 
 def word_scores(pieces: Pieces, probability: np.ndarray, words: list[str]) -> dict[str, np.ndarray]:
@@ -143,12 +146,12 @@ def word_scores(pieces: Pieces, probability: np.ndarray, words: list[str]) -> di
         longest = max(map(len, group))
         found, _ = pieces.lattice([(START + w).ljust(longest + 1, "\0") for w in group])
         with np.errstate(over="ignore", invalid="ignore"):  # behind the ends
-            _, scale, _ = _forward(found, pieces.spelt([START + w for w in group]), probability)
+            scale, _ = _forward(found, pieces.spelt([START + w for w in group]), probability)
         scores.update((w, scale[len(w) + 1, i]) for i, w in enumerate(group))
     for group in _by_length([w for w in words if len(w) <= LONG]):
         marked = [START + w for w in group]
         found, _ = pieces.lattice(marked)
-        _, scale, _ = _forward(found, pieces.spelt(marked), probability)
+        scale, _ = _forward(found, pieces.spelt(marked), probability)
         scores.update(zip(group, scale[-1]))
     return scores
 
@@ -210,7 +213,7 @@ def expected_pieces(pieces: Pieces, probability: np.ndarray, words: list[str], c
         marked = [START + w for w in group]
         found, _ = pieces.lattice(marked)
         spelling = pieces.spelt(marked)
-        _, scale, spell = _forward(found, spelling, probability)
+        scale, spell = _forward(found, spelling, probability)
         n = found.shape[0]
         weight = np.array([count_of[w] for w in group], dtype=float)
         # Share of all segmentations of a word with a cut at each position.
@@ -218,13 +221,13 @@ def expected_pieces(pieces: Pieces, probability: np.ndarray, words: list[str], c
         cut[n] = 1.0
         for end in range(n, 0, -1):
             for k in range(1, min(end, found.shape[1] - 1) + 1):
-                piece = found[end - k, k]
-                ratio = np.exp(scale[end - k, :, 0] - scale[end, :, 0])
-                share = cut[end] * probability[piece, 0] * ratio
-                np.add.at(uses, piece, share * weight)
-                cut[end - k] += share
-                if k == 1:
-                    cut[end - 1] += cut[end] * spell[end - 1, :, 0] * ratio
+                hit = np.flatnonzero(found[end - k, k] >= 0)
+                if len(hit):
+                    piece = found[end - k, k, hit]
+                    share = cut[end, hit] * probability[piece, 0] * np.exp(scale[end - k, hit, 0] - scale[end, hit, 0])
+                    np.add.at(uses, piece, share * weight[hit])
+                    cut[end - k, hit] += share
+            cut[end - 1] += cut[end] * spell[end - 1, :, 0] * np.exp(scale[end - 1, :, 0] - scale[end, :, 0])
         for w, at, ids in spelling:
             np.add.at(uses, ids, weight[w] * cut[at + 1, w])
     return uses[:-1]
