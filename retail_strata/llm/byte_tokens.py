@@ -3,7 +3,7 @@
 Texts are worked on four million characters at a time: all are cut at single spaces, each
 distinct word is cut into pre-tokens, the library's model sees each of those once, and the
 ids of words are put together with numpy.  Words and pre-tokens are remembered up to a
-bound.  Texts with a special token, double white space or letters on which Unicode versions may differ go
+bound; beyond it, the words of the latest texts stay.  Texts with a special token, double white space or letters on which Unicode versions may differ go
 through the whole library.
 """
 
@@ -12,7 +12,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 from operator import attrgetter
 
 import numpy as np
@@ -23,7 +23,7 @@ from retail_strata.llm.common import held_by_worker
 from retail_strata.llm.token_counts import byte_symbols
 
 TOGETHER = 4_000_000  # characters
-MAX_KNOWN, MAX_PRE_TOKENS = 200_000, 300_000
+MAX_KNOWN, MAX_PRE_TOKENS = 400_000, 400_000
 ID = attrgetter("id")
 SEPARATOR = "\x1f"  # in no text that is worked on in parts, and a pre-token of its own
 # Fixed value: how byte-level vocabularies cut a text, for texts that are ``SIMPLE``.
@@ -85,12 +85,16 @@ class ByteTokens:
         # A text's first word has no space before it and is a case of its own.
         unspaced, code_of_first = np.unique(code[starts[:-1]], return_inverse=True)
         code[starts[:-1]] = len(distinct) + code_of_first
+        firsts = [distinct[i] for i in unspaced.tolist()]
+        places = np.concatenate([self._places(distinct, " "), self._places(firsts, "")])
+        flat, offsets = np.frombuffer(self.ids, dtype=np.uint32), np.frombuffer(self.offsets, dtype=np.int64)
         if sum(map(len, self.known.values())) > MAX_KNOWN:
+            kept, ends = gathered(flat, offsets, places)
             self._forget_words()
-        places = np.concatenate([
-            self._places(distinct, " "), self._places([distinct[i] for i in unspaced.tolist()], ""),
-        ])
-        flat, offsets = np.frombuffer(self.ids, dtype=np.uint32), np.frombuffer(self.offsets, dtype=np.int64)
+            self.ids.frombytes(kept.tobytes())
+            self.offsets.frombytes(ends.astype(np.int64).tobytes())
+            self.known[" "].update(zip(distinct, range(len(distinct))))
+            self.known[""].update(zip(firsts, range(len(distinct), len(places))))
         ids, ends = gathered(flat, offsets, places[code])
         raw = ids.astype("<u4").tobytes()
         text_ends = np.concatenate([[0], ends])[starts]
@@ -100,8 +104,9 @@ class ByteTokens:
         """Where the ids of each word behind ``space`` stand; those of new ones are put there
         first."""
         known = self.known[space]
-        new = [word for word in words if word not in known]
-        if new:
+        places, unknown = _looked_up(known, words)
+        if len(unknown):
+            new = [words[i] for i in unknown.tolist()]
             cut = PRE_TOKENS.findall(space + (SEPARATOR + space).join(new))
             pre_tokens = pa.array(cut, type=pa.large_string()).dictionary_encode()
             distinct = pre_tokens.dictionary.to_numpy(zero_copy_only=False).tolist()
@@ -112,25 +117,34 @@ class ByteTokens:
             between = np.flatnonzero(code == distinct.index(SEPARATOR)) if SEPARATOR in distinct else code[:0]
             word_ends = np.append(np.concatenate([[0], ends])[between], len(flat)) + len(self.ids)
             first = len(self.offsets) - 1
+            places[unknown] = np.arange(first, first + len(new))
             known.update(zip(new, range(first, first + len(new))))
             self.ids.frombytes(flat.astype(np.uint32).tobytes())
             self.offsets.frombytes(word_ends.astype(np.int64).tobytes())
-        return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+        return places
 
     def _model(self, pre_tokens: list[str]) -> np.ndarray:
         """Where the library's ids of each stand."""
         if len(self.pre_tokens) > MAX_PRE_TOKENS:
             self._forget_pre_tokens()
         known = self.pre_tokens
-        new = [p for p in pre_tokens if p not in known]
-        if new:
+        places, unknown = _looked_up(known, pre_tokens)
+        if len(unknown):
+            new = [pre_tokens[i] for i in unknown.tolist()]
             symbols = SEPARATOR.join(new).encode().decode("latin-1").translate(self.symbols)
             found = list(map(self.library.model.tokenize, symbols.split(self.symbols[ord(SEPARATOR)])))
             ends = np.cumsum(list(map(len, found)), dtype=np.int64) + len(self.pre_ids)
             self.pre_ids.extend(map(ID, chain.from_iterable(found)))
             self.pre_offsets.frombytes(ends.tobytes())
+            places[unknown] = np.arange(len(known), len(known) + len(new))
             known.update(zip(new, range(len(known), len(known) + len(new))))
-        return np.fromiter(map(known.__getitem__, pre_tokens), dtype=np.int64, count=len(pre_tokens))
+        return places
+
+
+def _looked_up(known: dict[str, int], names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each of different names, and which of them have none."""
+    numbers = np.fromiter(map(known.get, names, repeat(-1)), dtype=np.int64, count=len(names))
+    return numbers, np.flatnonzero(numbers < 0)
 
 
 def gathered(flat: np.ndarray, offsets: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -34,7 +34,7 @@ def _selectors(flat: np.ndarray, large: np.ndarray) -> np.ndarray:
         width, n = WIDTHS[s - 1], int(PER_WORD[s])
         if s > 1 and widest >> WIDTHS[s - 2] == 0:
             continue  # everything fits the next width, which holds more
-        fits = flat >> np.uint64(width) == 0
+        fits = flat < np.uint64(1 << width)
         fits &= ~large
         run = 1
         while run < n:  # fits[i]: the ``run`` values from i on fit; behind the last, all do
@@ -45,6 +45,33 @@ def _selectors(flat: np.ndarray, large: np.ndarray) -> np.ndarray:
     return selector
 
 
+def _word_starts(selector: np.ndarray, count: int, blocks: int) -> np.ndarray:
+    """Where words start, ascending: each block's first place, and from each place the one
+    behind its word.  Blocks go side by side, eight words a step; those between follow."""
+    rows = np.arange(blocks) * (BLOCK + SLACK)
+    ends = rows + np.minimum(count - np.arange(blocks) * BLOCK, BLOCK)
+    after = np.arange(len(selector)) + PER_WORD[selector]
+    for end, row in zip(ends.tolist(), rows.tolist()):
+        after[end : row + BLOCK + SLACK] = np.arange(end, row + BLOCK + SLACK)  # stays there
+    jumps = [after]
+    for _ in range(3):
+        jumps.append(jumps[-1][jumps[-1]])
+    eighth = jumps.pop()
+    place, picked = rows, []
+    while len(place):
+        picked.append(place)
+        place = eighth[place]
+        place = place[eighth[place] != place]
+    starts = np.zeros(len(selector), dtype=bool)
+    places = np.concatenate(picked)
+    for jump in reversed(jumps):
+        places = np.concatenate([places, jump[places]])
+    starts[places] = True
+    for end, row in zip(ends.tolist(), rows.tolist()):
+        starts[end : row + BLOCK + SLACK] = False
+    return np.flatnonzero(starts)
+
+
 def encode(values: np.ndarray) -> Coded:
     """Code any number of unsigned 64-bit values; none give no words."""
     values = np.asarray(values, dtype=np.uint64)
@@ -62,28 +89,18 @@ def encode(values: np.ndarray) -> Coded:
 
     selector = _selectors(flat, large)
 
-    row = np.arange(blocks)
-    length = np.minimum(count - row * BLOCK, BLOCK)
-    place = np.zeros(blocks, dtype=np.int64)
-    picked_row, picked_place = [], []
-    while len(row):
-        picked_row.append(row)
-        picked_place.append(place)
-        place = place + PER_WORD[selector[row * (BLOCK + SLACK) + place]]
-        left = place < length
-        row, place, length = row[left], place[left], length[left]
     if not blocks:
         return Coded(0, b"", b"", b"")
-    rows, places = np.concatenate(picked_row), np.concatenate(picked_place)
-    order = np.lexsort((places, rows))
-    rows, start = rows[order], rows[order] * (BLOCK + SLACK) + places[order]
+    start = _word_starts(selector, count, blocks)
+    rows = start // (BLOCK + SLACK)
     chosen = selector[start].astype(np.int64)
     words = chosen.astype(np.uint64) << np.uint64(60)
     for s in np.unique(chosen):
         here = np.flatnonzero(chosen == s)
-        first, word = start[here], words[here]
+        place, word = start[here], words[here]
         for j in range(PER_WORD[s]):
-            word |= flat[first + j] << np.uint64(j * WIDTH_OF[s])
+            word |= flat[place] << np.uint64(j * WIDTH_OF[s])
+            place += 1
         words[here] = word
     starts = np.searchsorted(rows, np.arange(blocks))
     return Coded(count, words.astype("<u8").tobytes(), starts.astype("<u4").tobytes(), escapes.astype("<u8").tobytes())
@@ -103,12 +120,15 @@ def decode(coded: Coded) -> np.ndarray:
     out = np.zeros(len(starts) * (BLOCK + SLACK), dtype=np.uint64)
     data = words & DATA
     for s in np.unique(selector):
-        here = selector == s
+        here = np.flatnonzero(selector == s)
+        to, held = place[here], data[here]
         if s == 0:
-            out[place[here]] = escapes[data[here].astype(np.int64)]
+            out[to] = escapes[held.astype(np.int64)]
             continue
-        width = int(WIDTH_OF[s])
-        mask = np.uint64((1 << width) - 1)
-        for j in range(PER_WORD[s]):
-            out[place[here] + j] = (data[here] >> np.uint64(j * width)) & mask
+        width = np.uint64(WIDTH_OF[s])
+        mask = np.uint64((1 << int(width)) - 1)
+        for _ in range(PER_WORD[s]):
+            out[to] = held & mask
+            to += 1
+            held >>= width
     return out.reshape(len(starts), BLOCK + SLACK)[:, :BLOCK].ravel()[: coded.count]
