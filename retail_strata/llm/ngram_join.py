@@ -9,9 +9,10 @@ Rows with equal sets are one class and are worked on once.  Classes of long list
 first compared with a few representatives of each list and put together where they
 match, then those left over with members of the largest group, so that a large group of
 near copies takes a linear number of comparisons.  Last, all pairs that are still apart and
-share enough of their prefixes are verified.  Lists of more than ``BLOCK`` members are
+share enough of their prefixes are looked at.  Lists of more than ``BLOCK`` members are
 dealt to blocks for that, whose prefixes are compared inside tasks: a row is made for a
-member and a block it meets, never for a pair that does not share enough.
+member and a block it meets, never for a pair that does not share enough.  Pairs are told
+apart by sketches first, a bit or two a shingle; whole sets are read only for those left.
 No link between classes of different components remains unseen.
 
 Null texts and texts without words have empty sets and are linked with nothing.  Rows
@@ -25,7 +26,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_strata.llm.common import release_models, whole_text, workers_find_package, written
@@ -114,9 +115,27 @@ def _prefix(shingles: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray
     return shingles[order[: base + level]]
 
 
+def _sketch(shingles: np.ndarray) -> bytes:
+    """Whether an odd number of the shingles has each of the last bits: of two sets, at
+    least as many shingles differ as these bits."""
+    bits = 1 << max(6, len(shingles).bit_length())
+    seen = np.bincount((shingles % bits).astype(np.int64), minlength=bits)
+    return np.packbits((seen & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _differing(left: bytes, right: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded to the other's length."""
+    short, long = sorted((left, right), key=len)
+    folded, bits = int.from_bytes(long, "little"), 8 * len(long)
+    while bits > 8 * len(short):
+        bits //= 2
+        folded = (folded >> bits) ^ (folded & ((1 << bits) - 1))
+    return (folded ^ int.from_bytes(short, "little")).bit_count()
+
+
 def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Rows (``doc_id``, ``body``, ``set_id``, ``n``) and classes (``node``, ``set_id``, ``n``,
-    ``length`` and ``prefix``), one for each distinct set that is not empty."""
+    ``length``, ``prefix`` and ``sketch``), one for each distinct set that is not empty."""
     shared = docs.sparkSession.sparkContext.broadcast(Rarity(*slot_counts(docs, words)))
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,15 +145,16 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
             for body, (key, (shingles, sums)) in zip(batch["body"], _sets_of(batch, words, rarity.weigh)):
                 often = rarity.estimate(shingles, sums)
                 prefix = _prefix(shingles, often, percent) if len(shingles) else shingles
-                rows.append((key, body, _set_id(shingles), len(shingles), len(prefix), packed(prefix)))
-            out = pd.DataFrame(rows, columns=["doc_id", "body", "set_id", "n", "length", "prefix"])
+                found = _set_id(shingles), len(shingles), len(prefix), packed(prefix), _sketch(shingles)
+                rows.append((key, body, *found))
+            out = pd.DataFrame(rows, columns=["doc_id", "body", "set_id", "n", "length", "prefix", "sketch"])
             out["doc_id"] = pd.array([None if pd.isna(k) else int(k) for k in out["doc_id"]], dtype="Int64")
             yield out
 
-    kinds = "doc_id bigint, body bigint, set_id binary, n bigint, length int, prefix binary"
+    kinds = "doc_id bigint, body bigint, set_id binary, n bigint, length int, prefix binary, sketch binary"
     rows = written(docs.mapInPandas(prefixes, kinds), "ngram-rows")
     classes = rows.filter("n > 0").groupBy("set_id").agg(
-        F.any_value("n").alias("n"), F.any_value("length").alias("length"), F.any_value("prefix").alias("prefix")
+        *[F.any_value(name).alias(name) for name in ("n", "length", "prefix", "sketch")]
     )
     classes = classes.withColumn("node", F.monotonically_increasing_id())
     return rows.select("doc_id", "body", "set_id", "n"), written(classes, "ngram-classes")
@@ -182,6 +202,23 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
 
+def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) that may reach the threshold by their sketches."""
+    left, right = (classes.select(
+        F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch")
+    ) for x in "ab")
+
+    def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            total = batch["a_n"] + batch["b_n"]
+            most = total - 2 * -(-total * percent // (100 + percent))
+            apart = [_differing(*sketches) for sketches in zip(batch["a_sketch"], batch["b_sketch"])]
+            yield batch.loc[np.array(apart, dtype=np.int64) <= most.to_numpy(), ["a", "b"]]
+
+    joined = pairs.join(left, "a").join(right, "b")
+    return joined.mapInPandas(close, "a bigint, b bigint")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) of classes whose sets reach the threshold exactly."""
     left, right = (sets.toDF(x, f"{x}_set") for x in "ab")
@@ -206,11 +243,18 @@ def _joined(found: DataFrame | None, links: DataFrame) -> DataFrame:
     return written(components(links, "ngram"), "ngram-components")
 
 
-def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
+def _apart(shared: DataFrame, found: DataFrame, crowds: DataFrame | None = None) -> DataFrame:
     """Postings with their ``component``, of lists that hold more than one, and the
-    ``largest`` component of each list."""
-    named = found.toDF("node", "component")
-    listed = shared.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    ``largest`` component of each list; ``crowded`` is how many of the node's other lists
+    are long, as ``crowds`` counts them."""
+    marks = found.toDF("node", "component")
+    if crowds is None:
+        marks = marks.withColumn("crowded", F.lit(0).cast("bigint"))
+    else:
+        marks = written(marks.join(crowds, "node", "full"), "ngram-marks")
+    listed = shared.join(marks, "node", "left").withColumns({
+        "component": F.coalesce("component", "node"), "crowded": F.coalesce("crowded", F.lit(0).cast("bigint")),
+    })
     listed = written(listed, "ngram-listed")
     sizes = listed.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("shingle").agg(
@@ -246,20 +290,16 @@ def _remaining_pairs(apart: DataFrame, classes: DataFrame, percent: int) -> Data
     """All pairs of different components that share enough prefix shingles.  A pair that
     reaches the threshold overlaps by so much, of which no more lies beyond the prefixes
     than is left there."""
-    sizes = apart.groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("members"),
+    long = apart.filter(F.col("met") > BLOCK)
+    if long.isEmpty():
+        return _pairs_of_lists(apart, percent)
+    sizes = long.groupBy("shingle").agg(
         F.count_if(F.expr("early AND component <> largest")).alias("outside"),
         F.count_if(F.expr("early AND component = largest")).alias("inside"),
     )
-    crowded = written(sizes.filter(F.col("members") > BLOCK), "ngram-crowded")
-    if crowded.isEmpty():
-        return _pairs_of_lists(apart.withColumn("crowded", F.lit(0)), percent)
-    dealt = written(apart.join(crowded, "shingle"), "ngram-dealt")
-    often = written(dealt.groupBy("node").agg(F.count(F.lit(1)).alias("crowded")), "ngram-often")
-    others = apart.join(crowded, "shingle", "left_anti").join(often, "node", "left")
-    others = others.withColumn("crowded", F.coalesce("crowded", F.lit(0)))
-    of_blocks = _pairs_of_blocks(dealt.filter("early"), classes, percent)
-    return _pairs_of_lists(others, percent).union(of_blocks).distinct()
+    dealt = written(long.filter("early").join(written(sizes, "ngram-crowded"), "shingle"), "ngram-dealt")
+    of_blocks = _pairs_of_blocks(dealt, classes, percent)
+    return _pairs_of_lists(apart.filter(F.col("met") <= BLOCK), percent).union(of_blocks).distinct()
 
 
 def _pairs_of_lists(apart: DataFrame, percent: int) -> DataFrame:
@@ -285,7 +325,7 @@ def _pairs_of_blocks(dealt: DataFrame, classes: DataFrame, percent: int) -> Data
     blocks by hash, and each block of others meets every block, prefixes in hand."""
     outside, inside = (F.ceil(F.greatest(name, F.lit(1)) / BLOCK) for name in ("outside", "inside"))
     hashed, other = F.xxhash64("node"), F.expr("component <> largest")
-    dealt = dealt.withColumns({
+    dealt = dealt.drop("met").withColumns({
         "own": F.when(other, F.pmod(hashed, outside)).otherwise(outside + F.pmod(hashed, inside)),
         "met": F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(other, outside + inside).otherwise(outside) - 1)),
     })
@@ -339,21 +379,22 @@ def _placed(docs: DataFrame, words: int, percent: int, rounds: int) -> DataFrame
     )
     rows, classes = _classes(texts, words, percent)
     postings = _postings(classes, percent)
-    met = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter("met > 1").select("shingle")
-    shared = written(postings.join(written(met, "ngram-met"), "shingle", "left_semi"), "ngram-postings")
+    met = F.count(F.lit(1)).over(Window.partitionBy("shingle"))
+    shared = written(postings.withColumn("met", met).filter("met > 1"), "ngram-postings")
     found = sets = None
-    long_lists = shared.groupBy("shingle").agg(F.count(F.lit(1)).alias("met")).filter(f"met >= {LONG_LIST}").select("shingle")
-    long_lists = written(shared.join(written(long_lists, "ngram-long"), "shingle", "left_semi"), "ngram-long-lists")
+    long_lists = written(shared.filter(F.col("met") >= LONG_LIST), "ngram-long-lists")
     for turn in range(rounds):
         if found is None:
             apart = long_lists.withColumns({"component": F.col("node"), "largest": F.col("node")})
         else:
             apart = _apart(long_lists, found)
-        pairs = written(_star_pairs(apart, turn, percent), "ngram-pairs")
+        pairs = written(_alike(_star_pairs(apart, turn, percent), classes, percent), "ngram-pairs")
         more = _sets(texts, classes, _ends(pairs) if sets is None else _ends(pairs).join(sets, "node", "left_anti"), words)
         sets = more if sets is None else sets.union(more)
         found = _joined(found, _verified(pairs, sets, percent))
-    pairs = written(_remaining_pairs(_apart(shared, found), classes, percent), "ngram-pairs")
+    crowds = shared.filter(F.col("met") > BLOCK).groupBy("node").agg(F.count(F.lit(1)).alias("crowded"))
+    apart = _apart(shared, found, crowds)
+    pairs = written(_alike(_remaining_pairs(apart, classes, percent), classes, percent), "ngram-pairs")
     sets = sets.union(_sets(texts, classes, _ends(pairs).join(sets, "node", "left_anti"), words))
     found = _joined(found, _verified(pairs, sets, percent))
 
