@@ -2,9 +2,9 @@
 
 Texts are worked on four million characters at a time: all are cut at single spaces, each
 distinct word is cut into pre-tokens, the library's model sees each of those once, and the
-ids of words are put together with numpy.  Words and pre-tokens are remembered up to a
-bound; beyond it, the words of the latest texts stay.  Texts with a special token, double white space or letters on which Unicode versions may differ go
-through the whole library.
+ids of words are put together with numpy.  Words are remembered up to a bound; beyond it,
+those of the latest texts stay.  Texts with a special token, double white space or letters
+on which Unicode versions may differ go through the whole library.
 """
 
 import gc
@@ -12,7 +12,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 from operator import attrgetter
 
 import numpy as np
@@ -23,14 +23,42 @@ from retail_strata.llm.common import held_by_worker
 from retail_strata.llm.token_counts import byte_symbols
 
 TOGETHER = 4_000_000  # characters
-MAX_KNOWN, MAX_PRE_TOKENS = 400_000, 400_000
+MAX_KNOWN, MODEL_AT_ONCE = 400_000, 8_000
 ID = attrgetter("id")
 SEPARATOR = "\x1f"  # in no text that is worked on in parts, and a pre-token of its own
-# Fixed value: how byte-level vocabularies cut a text, for texts that are ``SIMPLE``.
+# Fixed value: how byte-level vocabularies cut a text, for texts that are not ``NOT_SIMPLE``.
 PRE_TOKENS = re.compile(r" ?[^\W\d_]+| ?\d+|'(?:s|t|re|ve|m|ll|d)| ?(?:[^\s\w]|_)+|\s")
-# Patterns that begin with a class are looked for without trying every place.
-NOT_SIMPLE = re.compile("[^\x00-\x1b\x20-\xa9\xab-\xb1\xb4-\xb8\xbb\xbf-ɏ]")
-TWO_SPACES = re.compile(r"[^\S ](?:\s|(?<=\s.))", re.DOTALL)  # one of them no plain space
+# One pass of Arrow's regular expressions: a special token, a letter on which Unicode
+# versions may differ, or two white spaces, with the white spaces of the other letters.
+NOT_SIMPLE = (
+    "  |<\\||[^\x00-\x1b\x20-\xa9\xab-\xb1\xb4-\xb8\xbb\xbf-ɏ]"
+    "|[\t-\r\x85\xa0][\t-\r \x85\xa0]| [\t-\r\x85\xa0]"
+)
+
+
+class Remembered:
+    """Different words and the ids of each, as Arrow and numpy arrays: a tenth of what a
+    dictionary of Python strings takes."""
+
+    def __init__(self) -> None:
+        self.words = pa.array([], type=pa.large_string())
+        self.ids, self.offsets = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """The place of each of different words, -1 for those that are not known."""
+        if not len(self.words):
+            return np.full(len(words), -1, dtype=np.int64)
+        return pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+
+    def add(self, words: pa.Array, ids: np.ndarray, ends: np.ndarray) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.offsets = np.concatenate([self.offsets, ends + len(self.ids)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def keep(self, words: pa.Array, places: np.ndarray) -> None:
+        """Only these, which stand at ``places``."""
+        ids, ends = gathered(self.ids, self.offsets, places)
+        self.words, self.ids, self.offsets = words, ids, np.concatenate([[0], ends])
 
 
 class ByteTokens:
@@ -42,109 +70,86 @@ class ByteTokens:
         self.library.no_truncation()
         self.library.no_padding()
         self.symbols = {byte: symbol for symbol, byte in byte_symbols().items()}
-        self._forget_words()
-        self._forget_pre_tokens()
-
-    def _forget_words(self) -> None:
-        """No word is known: place by word, without and with the space before it, and the
-        ids at each place."""
-        self.known: dict[str, dict[str, int]] = {"": {}, " ": {}}
-        self.ids, self.offsets = array("I"), array("q", [0])
+        self.known = {space: Remembered() for space in ("", " ")}  # without and with a space before them
 
-    def _forget_pre_tokens(self) -> None:
-        """The same for pre-tokens; the separator has no ids."""
-        self.pre_tokens: dict[str, int] = {SEPARATOR: 0}
-        self.pre_ids, self.pre_offsets = array("I"), array("q", [0, 0])
-
-    def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array, end: bytes = b"") -> list[bytes]:
         """Ids of each text, without added special tokens, ``end`` appended."""
-        encoded: list[bytes] = [b""] * len(texts)
-        for group in _groups(texts):
-            simple = [i for i in group if _is_simple(texts[i])]
-            gc.disable()  # millions of short-lived strings, and no cycles
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, type=pa.large_string())
+        texts = texts.cast(pa.large_string())
+        encoded: list[bytes] = []
+        for first, size in _groups(texts):
+            group = texts.slice(first, size)
+            odd = pc.match_substring_regex(group, NOT_SIMPLE)
+            gc.disable()  # many short-lived strings, and no cycles
             try:
-                ids_of_simple = self._together([texts[i] for i in simple])
+                simple = iter(self._together(group.filter(pc.invert(odd))))
             finally:
                 gc.enable()
-            for i, ids in zip(simple, ids_of_simple):
-                encoded[i] = ids + end
-            others = sorted(set(group).difference(simple))
-            found = self.library.encode_batch_fast([texts[i] for i in others], add_special_tokens=False)
-            for i, one in zip(others, found):
-                encoded[i] = np.array(one.ids, dtype="<u4").tobytes() + end
+            found = self.library.encode_batch_fast(group.filter(odd).to_pylist(), add_special_tokens=False)
+            others = (np.array(one.ids, dtype="<u4").tobytes() for one in found)
+            encoded += [next(others if is_odd else simple) + end for is_odd in odd.to_pylist()]
         return encoded
 
-    def _together(self, texts: list[str]) -> list[bytes]:
-        if not texts:
+    def _together(self, texts: pa.Array) -> list[bytes]:
+        if not len(texts):
             return []
-        parts = pc.split_pattern(pa.array(texts, type=pa.large_string()), " ")
+        parts = pc.split_pattern(texts, " ")
         starts = parts.offsets.to_numpy()
         words = parts.flatten().dictionary_encode()
-        code = words.indices.to_numpy().astype(np.int64)
-        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        distinct, code = words.dictionary, words.indices.to_numpy().astype(np.int64)
+        del parts, words
         # A text's first word has no space before it and is a case of its own.
         unspaced, code_of_first = np.unique(code[starts[:-1]], return_inverse=True)
         code[starts[:-1]] = len(distinct) + code_of_first
-        firsts = [distinct[i] for i in unspaced.tolist()]
-        places = np.concatenate([self._places(distinct, " "), self._places(firsts, "")])
-        flat, offsets = np.frombuffer(self.ids, dtype=np.uint32), np.frombuffer(self.offsets, dtype=np.int64)
-        if sum(map(len, self.known.values())) > MAX_KNOWN:
-            kept, ends = gathered(flat, offsets, places)
-            self._forget_words()
-            self.ids.frombytes(kept.tobytes())
-            self.offsets.frombytes(ends.astype(np.int64).tobytes())
-            self.known[" "].update(zip(distinct, range(len(distinct))))
-            self.known[""].update(zip(firsts, range(len(distinct), len(places))))
-        ids, ends = gathered(flat, offsets, places[code])
+        spaced, unspaced = self._lists(distinct, " "), self._lists(distinct.take(pa.array(unspaced)), "")
+        flat = np.concatenate([spaced[0], unspaced[0]])
+        offsets = np.concatenate([spaced[1], unspaced[1][1:] + len(spaced[0])])
+        ids, ends = gathered(flat, offsets, code)
         raw = ids.astype("<u4").tobytes()
         text_ends = np.concatenate([[0], ends])[starts]
         return [raw[4 * a : 4 * b] for a, b in zip(text_ends[:-1], text_ends[1:])]
 
-    def _places(self, words: list[str], space: str) -> np.ndarray:
-        """Where the ids of each word behind ``space`` stand; those of new ones are put there
-        first."""
+    def _lists(self, words: pa.Array, space: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different words behind ``space``, one after another, and where those
+        of each start and the last end.  New words are remembered."""
         known = self.known[space]
-        places, unknown = _looked_up(known, words)
-        if len(unknown):
-            new = [words[i] for i in unknown.tolist()]
-            cut = PRE_TOKENS.findall(space + (SEPARATOR + space).join(new))
-            pre_tokens = pa.array(cut, type=pa.large_string()).dictionary_encode()
-            distinct = pre_tokens.dictionary.to_numpy(zero_copy_only=False).tolist()
-            of_pre_token = self._model(distinct)
-            code = pre_tokens.indices.to_numpy()
-            flat, offsets = np.frombuffer(self.pre_ids, dtype=np.uint32), np.frombuffer(self.pre_offsets, dtype=np.int64)
-            flat, ends = gathered(flat, offsets, of_pre_token[code])
-            between = np.flatnonzero(code == distinct.index(SEPARATOR)) if SEPARATOR in distinct else code[:0]
-            word_ends = np.append(np.concatenate([[0], ends])[between], len(flat)) + len(self.ids)
-            first = len(self.offsets) - 1
-            places[unknown] = np.arange(first, first + len(new))
-            known.update(zip(new, range(first, first + len(new))))
-            self.ids.frombytes(flat.astype(np.uint32).tobytes())
-            self.offsets.frombytes(word_ends.astype(np.int64).tobytes())
-        return places
-
-    def _model(self, pre_tokens: list[str]) -> np.ndarray:
-        """Where the library's ids of each stand."""
-        if len(self.pre_tokens) > MAX_PRE_TOKENS:
-            self._forget_pre_tokens()
-        known = self.pre_tokens
-        places, unknown = _looked_up(known, pre_tokens)
+        places = known.places(words)
+        unknown = np.flatnonzero(places < 0)
         if len(unknown):
-            new = [pre_tokens[i] for i in unknown.tolist()]
-            symbols = SEPARATOR.join(new).encode().decode("latin-1").translate(self.symbols)
-            found = list(map(self.library.model.tokenize, symbols.split(self.symbols[ord(SEPARATOR)])))
-            ends = np.cumsum(list(map(len, found)), dtype=np.int64) + len(self.pre_ids)
-            self.pre_ids.extend(map(ID, chain.from_iterable(found)))
-            self.pre_offsets.frombytes(ends.tobytes())
-            places[unknown] = np.arange(len(known), len(known) + len(new))
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-        return places
-
-
-def _looked_up(known: dict[str, int], names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The number of each of different names, and which of them have none."""
-    numbers = np.fromiter(map(known.get, names, repeat(-1)), dtype=np.int64, count=len(names))
-    return numbers, np.flatnonzero(numbers < 0)
+            places[unknown] = np.arange(len(known.words), len(known.words) + len(unknown))
+            new = words.take(pa.array(unknown))
+            known.add(new, *self._cut(new, space))
+        if len(known.words) > MAX_KNOWN:
+            known.keep(words, places)
+            return known.ids, known.offsets
+        flat, ends = gathered(known.ids, known.offsets, places)
+        return flat, np.concatenate([[0], ends])
+
+    def _cut(self, words: pa.Array, space: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words behind ``space`` and where those of each end, by their pre-tokens."""
+        cut = PRE_TOKENS.findall(space + (SEPARATOR + space).join(_strings(words)))
+        pre_tokens = pa.array(cut, type=pa.large_string()).dictionary_encode()
+        del cut
+        distinct, code = _strings(pre_tokens.dictionary), pre_tokens.indices.to_numpy()
+        flat, ends = gathered(*self._model(distinct), code)
+        between = np.flatnonzero(code == distinct.index(SEPARATOR)) if SEPARATOR in distinct else code[:0]
+        return flat, np.append(ends[between], len(flat))
+
+    def _model(self, pre_tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of each, and where they start and end; the separator has none."""
+        tokenize, between = self.library.model.tokenize, self.symbols[ord(SEPARATOR)]
+        ids, lengths = array("I"), array("q")
+        for first in range(0, len(pre_tokens), MODEL_AT_ONCE):
+            some = SEPARATOR.join(["" if p == SEPARATOR else p for p in pre_tokens[first : first + MODEL_AT_ONCE]])
+            found = list(map(tokenize, some.encode().decode("latin-1").translate(self.symbols).split(between)))
+            ids.extend(map(ID, chain.from_iterable(found)))
+            lengths.extend(map(len, found))
+        return np.frombuffer(ids, dtype=np.uint32), np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
+def _strings(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()
 
 
 def gathered(flat: np.ndarray, offsets: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,21 +161,17 @@ def gathered(flat: np.ndarray, offsets: np.ndarray, code: np.ndarray) -> tuple[n
     return flat[np.repeat(offsets[code] - ends + lengths, lengths) + np.arange(total)], ends
 
 
-def _is_simple(text: str) -> bool:
-    return not ("  " in text or "<|" in text or NOT_SIMPLE.search(text) or TWO_SPACES.search(text))
-
-
-def _groups(texts: list[str]) -> Iterator[list[int]]:
-    """Places of consecutive texts of at most ``TOGETHER`` characters, one at least."""
-    group, characters = [], 0
-    for i, text in enumerate(texts):
-        if group and characters + len(text) > TOGETHER:
-            yield group
-            group, characters = [], 0
-        group.append(i)
-        characters += len(text)
-    if group:
-        yield group
+def _groups(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """First place and number of consecutive texts of at most ``TOGETHER`` characters, one
+    at least."""
+    first, characters = 0, 0
+    for i, length in enumerate(pc.utf8_length(texts).to_pylist()):
+        if i > first and characters + length > TOGETHER:
+            yield first, i - first
+            first, characters = i, 0
+        characters += length
+    if len(texts) > first:
+        yield first, len(texts) - first
 
 
 def byte_tokens(path: str) -> ByteTokens:

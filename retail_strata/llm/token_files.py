@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,11 @@ FILE_SCHEMA = (
     "shard int, block int, before bigint, doc_ids array<bigint>, lengths array<bigint>, "
     "count bigint, words binary, block_starts binary, escapes binary"
 )
+FILE_ARROW = pa.schema({
+    "shard": pa.int32(), "block": pa.int32(), "before": pa.int64(), "doc_ids": pa.list_(pa.int64()),
+    "lengths": pa.list_(pa.int64()), "count": pa.int64(), "words": pa.binary(), "block_starts": pa.binary(),
+    "escapes": pa.binary(),
+})
 
 
 def _block(shard: int, block: int, before: int, docs: list[tuple]) -> dict:
@@ -46,27 +52,26 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
     workers_find_package(spark)
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, before = TaskContext.get().partitionId(), 0, 0
         tokens, held, held_ids = byte_tokens(tokenizer), [], 0
         for batch in batches:
             rows = []
-            keys = [None if pd.isna(key) else int(key) for key in batch["doc_id"]]
-            for key, ids in zip(keys, tokens.encode(list(batch["text"]), end)):
+            for key, ids in zip(batch["doc_id"].to_pylist(), tokens.encode(batch["text"], end)):
                 if held and held_ids + len(ids) // 4 > BLOCK_IDS:
                     rows.append(_block(shard, block, before, held))
                     block, before, held, held_ids = block + 1, before + held_ids, [], 0
                 held.append((key, ids))
                 held_ids += len(ids) // 4
             if rows:
-                yield pd.DataFrame(rows)
+                yield pa.RecordBatch.from_pylist(rows, schema=FILE_ARROW)
         if held:
-            yield pd.DataFrame([_block(shard, block, before, held)])
+            yield pa.RecordBatch.from_pylist([_block(shard, block, before, held)], schema=FILE_ARROW)
 
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
     ordered = ordered.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInPandas(blocks, FILE_SCHEMA).write.parquet(path)
+    ordered.mapInArrow(blocks, FILE_SCHEMA).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
