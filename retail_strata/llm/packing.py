@@ -15,7 +15,7 @@ packed row by row; an empty table gives no piece; other columns are ignored.
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +27,10 @@ PIECES = (
     "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "
     "sequence_id bigint, offset bigint"
 )
+PIECES_ARROW = pa.schema({
+    "doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary(), "doc_tokens": pa.int64(),
+    "sequence_id": pa.int64(), "offset": pa.int64(),
+})
 PER_TASK = 1 << 40
 
 
@@ -103,12 +107,10 @@ class Packer:
     def finish(self) -> None:
         self._pour(last=True)
 
-    def take(self) -> pd.DataFrame:
-        names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-        out = pd.DataFrame(self.rows, columns=names)
-        out["doc_id"] = pd.array([None if pd.isna(k) else int(k) for k in out["doc_id"]], dtype="Int64")
+    def take(self) -> pa.RecordBatch:
+        columns = [pa.array(values, type=kind) for values, kind in zip(zip(*self.rows), PIECES_ARROW.types)]
         self.rows = []
-        return out
+        return pa.RecordBatch.from_arrays(columns, schema=PIECES_ARROW)
 
 
 def pack(
@@ -118,11 +120,11 @@ def pack(
     workers_find_package(docs.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(TaskContext.get().partitionId() * PER_TASK, size, max_open)
         tokens = byte_tokens(tokenizer)
         for batch in batches:
-            for key, ids in zip(batch["doc_id"], tokens.encode(list(batch["text"]), end)):
+            for key, ids in zip(batch["doc_id"].to_pylist(), tokens.encode(batch["text"], end)):
                 packer.add(key, ids)
                 if len(packer.rows) >= 4096:
                     yield packer.take()
@@ -131,4 +133,4 @@ def pack(
             yield packer.take()
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    return texts.mapInPandas(pieces, PIECES)
+    return texts.mapInArrow(pieces, PIECES)
