@@ -15,6 +15,7 @@ digits alone, or a stretch without a letter, is no secret; equal rows give equal
 only the fixed patterns find anything.  Positions are code points, end exclusive.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from math import log
@@ -42,9 +43,16 @@ STEP = 256
 SHARE_STEPS = 1_000_000
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once: lambdas are interpreted, and work out
+    whatever expression they hold again for every element and at every mention."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _before(lengths: Column) -> Column:
     """Sum of the earlier lengths for each place of an array, in two levels, so that an
-    array of n costs n times ``STEP`` rather than n times n."""
+    array of n costs n times ``STEP`` rather than n times n.  ``lengths`` is mentioned in
+    lambdas: a column or a lambda's own variable."""
     add = lambda total, x: total + x
     zero = F.lit(0).cast("bigint")
     n = F.size(lengths)
@@ -52,15 +60,18 @@ def _before(lengths: Column) -> Column:
         F.sequence(F.lit(0), F.greatest(F.ceil(n / STEP).cast("int") - 1, F.lit(0))),
         lambda b: F.aggregate(F.slice(lengths, b * STEP + 1, F.lit(STEP)), zero, add),
     )
-    earlier = F.transform(
-        F.sequence(F.lit(0), F.size(blocks) - 1), lambda b: F.aggregate(F.slice(blocks, F.lit(1), b), zero, add)
-    )
 
-    def at(i: Column) -> Column:
-        b = F.floor(i / STEP).cast("int")
-        return F.get(earlier, b) + F.aggregate(F.slice(lengths, b * STEP + 1, i - b * STEP), zero, add)
+    def sums(earlier: Column) -> Column:
+        def at(i: Column) -> Column:
+            b = F.floor(i / STEP).cast("int")
+            return F.get(earlier, b) + F.aggregate(F.slice(lengths, b * STEP + 1, i - b * STEP), zero, add)
 
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), at)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(F.sequence(F.lit(0), n - 1), at)
+
+    earlier = _once(blocks, lambda found: F.transform(
+        F.sequence(F.lit(0), F.size(found) - 1), lambda b: F.aggregate(F.slice(found, F.lit(1), b), zero, add)
+    ))
+    return F.when(n > 0, _once(earlier, sums)).otherwise(F.array().cast("array<bigint>"))
 
 
 SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,value:string>"
@@ -69,24 +80,25 @@ SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,value:string>"
 def _spans(text: Column, pattern: str, rank: int, least: int, group: int = 0, only: Column | None = None) -> Column:
     """Spans of the matches of a pattern whose value (a group) is long enough.  ``only``
     is a cheaper condition without which there is no match."""
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    gaps = F.split(text, pattern, -1)
-    # Gap, match, gap, match, ...: the end of match i lies after gaps and matches up to i.
-    through = F.zip_with(gaps, whole, lambda g, m: (F.length(g) + F.coalesce(F.length(m), F.lit(0))).cast("bigint"))
-
-    def made(ends: Column) -> Column:
-        return F.transform(
-            F.arrays_zip(ends.alias("before"), through.alias("here"), whole.alias("match"), value.alias("value")),
+    none = F.array().cast(f"array<{SPAN}>")
+
+    def kept(whole: Column) -> Column:
+        value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+        gaps = F.split(text, pattern, -1)
+        # Gap, match, gap, match, ...: the end of match i lies after gaps and matches up to i.
+        through = F.zip_with(gaps, whole, lambda g, m: (F.length(g) + F.coalesce(F.length(m), F.lit(0))).cast("bigint"))
+        made = _once(through, lambda here: F.transform(
+            F.arrays_zip(_before(here).alias("before"), here.alias("here"), whole.alias("match"), value.alias("value")),
             lambda x: F.struct(
                 (x["before"] + x["here"] - F.length(x["match"])).alias("start"), F.lit(rank).alias("rank"),
                 (x["before"] + x["here"]).alias("end"), F.lit(KINDS[rank]).alias("kind"), x["value"].alias("value"),
             ),
-        )
+        ))
+        spans = F.filter(made, lambda s: s["value"].isNotNull() & (F.length(s["value"]) >= least))
+        return F.when(F.size(whole) > 0, spans).otherwise(none)
 
-    kept = F.filter(made(_before(through)), lambda s: s["value"].isNotNull() & (F.length(s["value"]) >= least))
-    some = F.size(whole) > 0
-    return F.when(some if only is None else only & some, kept).otherwise(F.array().cast(f"array<{SPAN}>"))
+    found = _once(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), kept)
+    return found if only is None else F.when(only, found).otherwise(none)
 
 
 def base_spans(text: Column) -> list[Column]:
@@ -173,20 +185,16 @@ def _parts(run: Column, fixed: Column) -> Column:
 
 
 def _random_places(string: Column, model: SecretModel) -> Column:
-    """Places of the secrets in a string of key characters."""
+    """Places of the secrets in a string (a lambda's own variable) of key characters."""
     ratios, size = model.ratios, len(ALPHABET)
     plain = [c.isalnum() or c == "_" for c in ALPHABET]
     above = [
         (r if plain[i // size] and plain[i % size] else 0.0) - model.threshold for i, r in enumerate(ratios)
     ]
     n = F.length(string).cast("bigint")
-    places = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    pairs = F.zip_with(
-        F.slice(places, F.lit(1), F.length(string) - 1), F.slice(places, F.lit(2), F.length(string) - 1),
-        lambda a, b: a * size + b,
-    )
-    total = F.aggregate(pairs, F.lit(0.0), lambda t, p: t + F.get(F.lit(list(ratios)), p))
-    whole = ~string.rlike("^[0-9]+$") & (total / (n - 1) >= model.threshold)
+    whole = lambda pairs: ~string.rlike("^[0-9]+$") & (F.aggregate(
+        pairs, F.lit(0.0), lambda t, p: t + F.get(F.lit(list(ratios)), p)
+    ) / (n - 1) >= model.threshold)
 
     def state(at, first, last, sum_, best, out):
         named = {"at": at, "first": first, "last": last, "sum": sum_, "best": best, "out": out}
@@ -205,12 +213,19 @@ def _random_places(string: Column, model: SecretModel) -> Column:
 
     zero = F.lit(0).cast("bigint")
     begin = state(zero, zero, zero + 1, F.lit(0.0), F.lit(0.0), F.array().cast(PLACES))
-    stretches = F.aggregate(F.transform(pairs, lambda p: F.get(F.lit(above), p)), begin, step, told)
-    lettered = F.filter(
-        stretches,
+    lettered = lambda pairs: F.filter(
+        F.aggregate(F.transform(pairs, lambda p: F.get(F.lit(above), p)), begin, step, told),
         lambda p: F.substring(string, (p["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int")).rlike("[A-Za-z]"),
     )
-    return F.when(whole, F.array(F.struct(zero.alias("start"), n.alias("end")))).otherwise(lettered)
+    found = lambda pairs: F.when(
+        whole(pairs), F.array(F.struct(zero.alias("start"), n.alias("end")))
+    ).otherwise(lettered(pairs))
+    places = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    pairs = _once(places, lambda at: F.zip_with(
+        F.slice(at, F.lit(1), F.length(string) - 1), F.slice(at, F.lit(2), F.length(string) - 1),
+        lambda a, b: a * size + b,
+    ))
+    return _once(pairs, found)
 
 
 def find_secrets(docs: DataFrame, model: SecretModel) -> DataFrame:
@@ -234,12 +249,12 @@ def _found(base: DataFrame, model: SecretModel) -> DataFrame:
 
     def secrets(run: Column) -> Column:
         def of_part(part: Column) -> Column:
-            value = cut(run["value"], part["start"] - run["start"], part["end"] - run["start"])
-            return F.transform(_random_places(value, model), lambda p: F.struct(
+            whole = cut(run["value"], part["start"] - run["start"], part["end"] - run["start"])
+            return _once(whole, lambda value: F.transform(_random_places(value, model), lambda p: F.struct(
                 (part["start"] + p["start"]).alias("start"), F.lit(len(BASE)).alias("rank"),
                 (part["start"] + p["end"]).alias("end"), F.lit(KINDS[-1]).alias("kind"),
                 cut(value, p["start"], p["end"]).alias("value"),
-            ))
+            )))
 
         return F.flatten(F.transform(_parts(run, F.col("_fixed")), of_part))
 
