@@ -6,6 +6,8 @@ import re
 from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ BEFORE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
 
 ROWS_PER_BATCH = 1000
+CELLS = 4096  # numbers in a row of those that make up an array
 
 _held: dict[tuple, object] = {}
 
@@ -60,6 +63,23 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def gathered(cells: DataFrame, size: int, kind: str) -> np.ndarray:
+    """An array of ``size`` numbers on the driver: ``value`` at each ``place`` there is a
+    row for, one at most, and 0 elsewhere.  The numbers come as bytes, ``CELLS`` a row: as
+    rows of their own they would take the driver some fifty times the array."""
+
+    def together(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        block = np.zeros(CELLS, dtype=kind)
+        block[group["place"].to_numpy() % CELLS] = group["value"].to_numpy()
+        return pd.DataFrame({"block": key, "numbers": [block.tobytes()]})
+
+    blocks = cells.withColumn("block", F.expr(f"place div {CELLS}")).groupBy("block")
+    array = np.zeros(-(-size // CELLS) * CELLS, dtype=kind)
+    for block, numbers in blocks.applyInPandas(together, "block bigint, numbers binary").collect():
+        array[block * CELLS : (block + 1) * CELLS] = np.frombuffer(numbers, dtype=kind)
+    return array[:size]
+
+
 def whole_text(column: str = "text"):
     """Null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_strata.llm.common import release_models, whole_text, workers_find_package, written
+from retail_strata.llm.common import gathered, release_models, whole_text, workers_find_package, written
 from retail_strata.llm.components import components
 from retail_strata.llm.shingles import groups, packed, shingle_sets, unpacked, word_hashes
 
@@ -70,14 +70,12 @@ def slot_counts(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
                 shingles = np.concatenate(shingle_sets(texts[part], words))
                 for total, seen in zip(totals, (hashes, shingles)):
                     total += np.bincount((seen % SLOTS).astype(np.int64), minlength=SLOTS)
-        kind, slot = np.nonzero(totals)
-        yield pd.DataFrame({"kind": kind, "slot": slot, "n": totals[kind, slot]})
-
-    slots = docs.mapInPandas(counted, "kind int, slot int, n bigint").groupBy("kind", "slot")
-    slots = slots.agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros((2, SLOTS), dtype=np.int64)
-    counts[slots["kind"].to_numpy(), slots["slot"].to_numpy()] = slots["n"].to_numpy()
-    return counts[0], counts[1]
+        place = np.flatnonzero(totals)
+        yield pd.DataFrame({"place": place, "n": totals.ravel()[place]})
+
+    slots = docs.mapInPandas(counted, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("value"))
+    counts = gathered(slots, 2 * SLOTS, "int64")
+    return counts[:SLOTS], counts[SLOTS:]
 
 
 class Rarity:

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_strata.llm.common import release_models, whole_text, workers_find_package, written
+from retail_strata.llm.common import gathered, release_models, whole_text, workers_find_package, written
 from retail_strata.llm.shingles import gram_hashes, groups, word_hashes
 
 GRAM = 30
@@ -80,12 +80,9 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
     let more suffixes through, which the exact join drops."""
     bits = min(MAX_BITS, max(10, int(keys.count() * 16).bit_length()))
     words = keys.select(F.expr(f"pmod(key, {1 << bits}L)").alias("slot")).selectExpr(
-        "cast(slot div 32 AS int) AS word", "shiftleft(1L, cast(slot % 32 AS int)) AS bit"
+        "slot div 32 AS place", "shiftleft(1L, cast(slot % 32 AS int)) AS bit"
     )
-    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    bitmap = np.zeros(1 << (bits - 5), dtype=np.uint32)
-    bitmap[rows["word"].to_numpy(dtype=int)] = rows["bits"].to_numpy().astype(np.uint32)
-    return bitmap
+    return gathered(words.groupBy("place").agg(F.bit_or("bit").alias("value")), 1 << (bits - 5), "uint32")
 
 
 def _records(docs: DataFrame, least_words: int) -> DataFrame:
