@@ -1,14 +1,17 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
 A bounded sample of the vectors are the pivots.  Every vector is described by its
-``nearest`` pivots in order, and stands in the inverted list of each.  Vectors of one
-label that share at least ``shared`` pivots are compared by cosine in double precision;
-a pair is compared in the list of its first shared pivot only.
+``nearest`` pivots in order.  Vectors of one label that share at least ``shared`` pivots
+are compared by cosine in double precision; a pair is compared in the list of its first
+shared pivot only, so a vector stands in the inverted lists of those of its pivots after
+which enough others are left to be shared.
 
-Rows with equal label and vector are one class.  A list is cut into blocks of bounded
-size and its blocks are compared pairwise, each pair of blocks being a task's group.  A
-group returns, for each of its vectors, how many links it found and one link to the
-head of its own component there: never the pairs themselves.
+Rows with equal label and vector are one class.  A list is cut into parts of bounded
+size and its parts are compared pairwise, each pair of parts being a task's group: a
+vector is dealt out once a list and part.  Inside a group a ``block`` of vectors meets a
+block at a time, so that the matrices of pairs are bounded as well.  A group returns, for
+each of its vectors, how many links it found and one link to the head of its own
+component there: never the pairs themselves.
 
 Vectors that are null, empty, zero or hold null or non-finite parts, and rows without a
 label, are linked with nothing.  Vectors of different length are not compared.  A
@@ -31,16 +34,25 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
-def _heads(linked: np.ndarray) -> np.ndarray:
-    """For each row of a symmetric matrix of links, the first row of its component."""
-    head = np.arange(len(linked))
+BLOCKS_A_PART = 16
+
+
+def _put_together(head: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Joins the components of each pair of places; ``head`` has the first place of the
+    component of every place, before and afterwards."""
     while True:
-        least = np.where(linked, head[None, :], len(linked)).min(axis=1, initial=len(linked))
-        least = np.minimum(head, least)
-        least = least[least]
-        if (least == head).all():
-            return head
-        head = least
+        a, b = head[a], head[b]
+        apart = a != b
+        if not apart.any():
+            return
+        a, b = a[apart], b[apart]
+        np.minimum.at(head, np.maximum(a, b), np.minimum(a, b))
+        while (head[head] != head).any():
+            head[:] = head[head]
+
+
+def _spans(start: int, end: int, block: int) -> list[slice]:
+    return [slice(a, min(a + block, end)) for a in range(start, end, block)]
 
 
 def embedding_links(
@@ -50,6 +62,8 @@ def embedding_links(
     """``vec_id``, ``n_links`` (rows linked directly) and ``component_id`` of every row."""
     spark = vectors.sparkSession
     workers_find_package(spark)
+    kind = vectors.select("embedding").schema[0].dataType.simpleString()
+    exact = "f4" if kind == "array<float>" else "f8"  # holds the numbers of a vector as they are
     rows = vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label").cast("string").alias("label"),
         F.col("embedding").cast("array<double>").alias("vector"),
@@ -70,51 +84,64 @@ def embedding_links(
     def described(batches):
         for batch in batches:
             for size, part in batch.groupby(batch["vector"].map(len)):
+                part = part.copy()
                 unit = _unit(np.array(part["vector"].tolist(), dtype=float))
                 near = points.get(size, np.zeros((1, size)))  # no pivot of this length: one list for all
                 order = np.argsort(-(unit @ near.T), axis=1, kind="stable")[:, :nearest]
-                part = part.drop(columns="vector")
+                vectors = part.pop("vector")
                 yield part.assign(
                     label=part["label"] + f"/{size}", permutation=list(order.astype(np.int32)),
-                    unit=[u.tobytes() for u in unit],
+                    packed=[np.array(v, dtype=exact).tobytes() for v in vectors],
                 )
 
-    kinds = "label string, size bigint, node bigint, permutation array<int>, unit binary"
+    kinds = "label string, size bigint, node bigint, permutation array<int>, packed binary"
     described_rows = written(classes.select("label", "vector", "size", "node").mapInPandas(described, kinds), "embedding-index")
-    lists = described_rows.withColumn("pivot", F.explode("permutation"))
+    needed = F.least(F.lit(shared), F.size("permutation"))
+    first = F.slice(F.sort_array("permutation"), F.lit(1), F.size("permutation") - needed + 1)
+    lists = described_rows.withColumn("pivot", F.explode(first))
     sizes = lists.groupBy("label", "pivot").agg(F.count(F.lit(1)).alias("members"))
-    sizes = written(sizes.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")), "embedding-lists")
-    cut = lists.join(sizes, ["label", "pivot"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # Every pair of blocks of a list, a block with itself included, is one group.
-    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    many = block * BLOCKS_A_PART
+    sizes = written(sizes.withColumn("parts", F.ceil(F.col("members") / many).cast("int")), "embedding-lists")
+    cut = lists.join(sizes, ["label", "pivot"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    # Every pair of parts of a list, a part with itself included, is one group.
+    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     met = met.select(
         "label", "pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "own", "node", "size", "permutation", "unit",
+        "own", "node", "size", "permutation", "packed",
     )
 
     def compared(key, group: pd.DataFrame) -> pd.DataFrame:
         _, pivot, i, j = key
-        group = group.sort_values("node")
-        node, own = group["node"].to_numpy(), group["own"].to_numpy()
-        unit = np.array([np.frombuffer(u) for u in group["unit"]])
+        group = group.sort_values(["own", "node"])
+        n, node, size = len(group), group["node"].to_numpy(), group["size"].to_numpy()
+        unit = np.frombuffer(b"".join(group["packed"]), dtype=exact).reshape(n, -1)
+        unit = _unit(unit.astype(float))
         order = np.array(group["permutation"].tolist())
-        holds = np.zeros((len(group), max(pivots, 1)), dtype=np.float32)
+        holds = np.zeros((n, max(pivots, 1)), dtype=np.float32)
         np.put_along_axis(holds, order, 1.0, axis=1)
-        candidate = holds @ holds.T >= min(shared, order.shape[1])
-        earlier = holds[:, : int(pivot)]
-        candidate &= earlier @ earlier.T == 0  # else an earlier list compares the pair
-        if i != j:
-            candidate &= own[:, None] != own[None, :]
-        np.fill_diagonal(candidate, False)
-        linked = np.zeros_like(candidate)
-        some = np.flatnonzero(candidate.any(axis=1))
-        if len(some):
-            linked[np.ix_(some, some)] = (unit[some] @ unit[some].T >= threshold) & candidate[np.ix_(some, some)]
-            linked |= linked.T
-        links = linked @ group["size"].to_numpy()
+        earlier = np.ascontiguousarray(holds[:, : int(pivot)])
+        least = min(shared, order.shape[1])
+        if i == j:
+            spans = _spans(0, n, block)
+            tiles = [(x, y) for at, x in enumerate(spans) for y in spans[at:]]
+        else:
+            middle = int((group["own"] == i).sum())
+            tiles = [(x, y) for x in _spans(0, middle, block) for y in _spans(middle, n, block)]
+        links, head = np.zeros(n, dtype=np.int64), np.arange(n)
+        for x, y in tiles:
+            candidate = holds[x] @ holds[y].T >= least
+            candidate &= earlier[x] @ earlier[y].T == 0  # else an earlier list compares the pair
+            if x == y:
+                candidate = np.triu(candidate, 1)
+            if candidate.any():
+                linked = candidate & (unit[x] @ unit[y].T >= threshold)
+                a, b = np.nonzero(linked)
+                if len(a):
+                    links[x] += linked @ size[y]
+                    links[y] += size[x] @ linked
+                    _put_together(head, a + x.start, b + y.start)
         found = links > 0
-        heads = node[_heads(linked)] if found.any() else node
-        return pd.DataFrame({"node": node[found], "links": links[found], "head": heads[found]})
+        return pd.DataFrame({"node": node[found], "links": links[found], "head": node[head][found]})
 
     found = met.groupBy("label", "pivot", "i", "j").applyInPandas(compared, "node bigint, links bigint, head bigint")
     found = written(found, "embedding-found")
