@@ -28,8 +28,11 @@ def overwrite_parquet(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> Non
     writer.partitionBy(*by).parquet(path)
 
 
-def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", by: tuple[str, ...] = ()) -> None:
-    df.write.mode(mode).partitionBy(*by).json(path)
+def write_json_lines(
+    df: DataFrame, path: str, mode: str = "overwrite", by: tuple[str, ...] = (),
+    compression: str | None = None,
+) -> None:
+    df.write.mode(mode).partitionBy(*by).json(path, compression=compression)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", by: tuple[str, ...] = ()) -> None:
