@@ -75,6 +75,14 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(total + np.uint64(n))
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted, each once; numpy's own way, by a hash table and then a sort, takes thrice the time."""
+    values = np.sort(values)
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
 def shingle_sets(texts: list[str], n: int, weigh=None) -> list:
     """Sorted distinct shingle hashes of each text; with fewer words than n, the whole
     sequence is one; without words the set is empty.  With ``weigh``, a whole number for
@@ -88,7 +96,7 @@ def shingle_sets(texts: list[str], n: int, weigh=None) -> list:
         long = min(n, b - a)  # words in a shingle
         own = grams[a : b - n + 1] if long == n else gram_hashes(hashes[a:b], long) & MASK if long else grams[:0]
         if weigh is None:
-            sets.append(np.unique(own))
+            sets.append(_distinct(own))
             continue
         own, first = np.unique(own, return_index=True)
         sets.append((own, before[a + first + long] - before[a + first]))
